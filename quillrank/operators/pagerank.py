@@ -33,7 +33,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quillrank.operators.graph import (
@@ -78,62 +79,75 @@ class PageRank:
         self.hub_degree = int(hub_degree)
         self.partitions = int(partitions or self.spark.conf.get("spark.sql.shuffle.partitions"))
         self._links: DataFrame | None = None
+        self._nodes: DataFrame | None = None
         self._table: str | None = None
         self._label_rows: int | None = None
 
     # ------------------------------------------------------------------ build
-    def degrees(self) -> DataFrame:
-        """(src, deg, nsalt) over distinct arcs."""
-        deg = out_degree(distinct_arcs(self.arcs))
-        return deg.withColumn("nsalt", salt_count(F.col("deg"), self.hub_degree, self.partitions))
-
     def links(self) -> DataFrame:
         """The loop-invariant link table (built and written on first use)."""
         if self._links is None:
-            self._links = self._write_links()
+            self._build()
         return self._links
 
-    def _node_attributes(self, deg: DataFrame) -> DataFrame:
-        """(id, nsalt, dmult) for every source and every dangling label id.
+    def nodes(self) -> DataFrame:
+        """(id, deg, nsalt, dmult) for every source (dmult 0) and every
+        dangling label id (deg null); built with the links."""
+        if self._nodes is None:
+            self._build()
+        return self._nodes
 
-        Sources and dangling ids are disjoint, so a union replaces a join."""
-        attrs = deg.select(F.col("src").alias("id"), "nsalt", F.lit(0).cast("long").alias("dmult"))
+    def _node_table(self, arcs_d: DataFrame) -> DataFrame:
+        deg = out_degree(arcs_d).withColumn("nsalt", salt_count(F.col("deg"), self.hub_degree, self.partitions))
+        nodes = deg.select(F.col("src").alias("id"), "deg", "nsalt", F.lit(0).cast("long").alias("dmult"))
         if self.dangling:
+            # Sources and dangling ids are disjoint, so a union replaces a join.
             dm = dangling_nodes(self.labels, deg).groupBy("id").agg(F.count(F.lit(1)).alias("dmult"))
-            attrs = attrs.unionByName(dm.select("id", F.lit(1).alias("nsalt"), "dmult"))
-        return attrs
-
-    def _write_links(self) -> DataFrame:
-        arcs_d = distinct_arcs(self.arcs)
-        deg = self.degrees()
-        attrs = self._node_attributes(deg).select(
-            F.col("id").alias("dst"), F.col("nsalt").alias("dst_nsalt"), F.col("dmult").alias("dst_dmult")
-        )
-        links = (
-            arcs_d.join(deg, "src")
-            .withColumn("salt", salt_of(F.col("dst"), F.col("nsalt")))
-            .join(attrs, "dst", "left")
-            .select(
-                "src", "salt", "dst", "deg",
-                F.coalesce("dst_nsalt", F.lit(1)).alias("dst_nsalt"),
-                F.coalesce("dst_dmult", F.lit(0).cast("long")).alias("dst_dmult"),
+            nodes = nodes.unionByName(
+                dm.select("id", F.lit(None).cast("long").alias("deg"), F.lit(1).alias("nsalt"), "dmult")
             )
-        )
-        self._table = f"quillrank_links_{uuid.uuid4().hex[:12]}"
-        (
-            # One writer task per bucket: one file per bucket, however many tasks.
-            links.repartition(self.partitions, "src", "salt")
-            .write.format("parquet")
-            .bucketBy(self.partitions, "src", "salt")
-            .option("path", scratch_path(self.spark, "links"))
-            .saveAsTable(self._table)
-        )
-        return self.spark.table(self._table)
+        return nodes
+
+    def _build(self) -> None:
+        # The distinct arcs feed both written tables; keep them for the build only.
+        arcs_d = distinct_arcs(self.arcs).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            path = scratch_path(self.spark, "nodes")
+            self._node_table(arcs_d).write.parquet(path)
+            nodes = self.spark.read.parquet(path)
+            src_attr = nodes.where(F.col("deg").isNotNull()).select(F.col("id").alias("src"), "deg", "nsalt")
+            dst_attr = nodes.select(
+                F.col("id").alias("dst"), F.col("nsalt").alias("dst_nsalt"), F.col("dmult").alias("dst_dmult")
+            )
+            links = (
+                arcs_d.join(src_attr, "src")
+                .withColumn("salt", salt_of(F.col("dst"), F.col("nsalt")))
+                .join(dst_attr, "dst", "left")
+                .select(
+                    "src", "salt", "dst", "deg",
+                    F.coalesce("dst_nsalt", F.lit(1)).alias("dst_nsalt"),
+                    F.coalesce("dst_dmult", F.lit(0).cast("long")).alias("dst_dmult"),
+                )
+            )
+            table = f"quillrank_links_{uuid.uuid4().hex[:12]}"
+            (
+                # One writer task per bucket: one file per bucket, however many tasks.
+                links.repartition(self.partitions, "src", "salt")
+                .write.format("parquet")
+                .bucketBy(self.partitions, "src", "salt")
+                .option("path", scratch_path(self.spark, "links"))
+                .saveAsTable(table)
+            )
+        finally:
+            arcs_d.unpersist()
+        self._table = table
+        self._nodes = nodes
+        self._links = self.spark.table(table)
 
     def initial(self) -> DataFrame:
         """(id, rank, nsalt, dmult): 1.0 for every node with an out-link."""
-        return self.degrees().select(
-            F.col("src").alias("id"), F.lit(1.0).alias("rank"), "nsalt", F.lit(0).cast("long").alias("dmult")
+        return self.nodes().where(F.col("deg").isNotNull()).select(
+            "id", F.lit(1.0).alias("rank"), "nsalt", "dmult"
         )
 
     # ------------------------------------------------------------------ round
@@ -173,33 +187,57 @@ class PageRank:
             self._label_rows = int(label_count(self.labels).first()["n"])
         return self._label_rows
 
+    def _scalar_columns(self) -> list[Column]:
+        cols = [F.coalesce(F.sum(F.col("rank") * F.col("dmult")), F.lit(0.0)).alias("mass")]
+        if self.normalizer == DISTINCT_CONTRIBS:
+            cols.append(F.coalesce(F.sum("ndist"), F.lit(0)).cast("double").alias("normalizer"))
+        return cols
+
+    def _normalizer(self, row) -> float:
+        if self.normalizer == DISTINCT_CONTRIBS:
+            return float(row["normalizer"])
+        return float(self.label_rows())
+
     def round_scalars(self, inter: DataFrame) -> DataFrame:
         """One row (mass, normalizer, share) for a round's intermediate ranks."""
-        mass = F.coalesce(F.sum(F.col("rank") * F.col("dmult")), F.lit(0.0))
-        if self.normalizer == DISTINCT_CONTRIBS:
-            norm = F.coalesce(F.sum("ndist"), F.lit(0)).cast("double")
-        else:
-            norm = F.lit(float(self.label_rows()))
-        row = inter.agg(mass.alias("mass"), norm.alias("normalizer"))
+        row = inter.agg(*self._scalar_columns())
+        if self.normalizer != DISTINCT_CONTRIBS:
+            row = row.withColumn("normalizer", F.lit(float(self.label_rows())))
         return row.select(
             "mass", "normalizer", F.coalesce(F.try_divide("mass", "normalizer"), F.lit(0.0)).alias("share")
         )
 
-    def _persist_round(self, inter: DataFrame, i: int, run: str) -> DataFrame:
-        path = f"{run}/round-{i:04d}"
-        inter.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+    @staticmethod
+    def share(mass: float, normalizer: float) -> float:
+        """The dangling share; a zero normaliser gives no share."""
+        return mass / normalizer if normalizer else 0.0
 
     def run(self, iterations: int = 10) -> DataFrame:
-        """(id, rank) after ``iterations`` rounds."""
+        """(id, rank) after ``iterations`` rounds.
+
+        Each round is one job: the round's ranks are written under the
+        checkpoint folder (cutting the lineage) and, for the dangling
+        variants, the mass and normaliser are observed while they are
+        written, so no second pass is needed.
+        """
         ranks = self.initial()
         run = scratch_path(self.spark, "ranks")
+        if self.dangling and self.normalizer == DISTINCT_LABELS:
+            self.label_rows()
         for i in range(iterations):
-            inter = self._persist_round(self.intermediate(ranks), i, run)
+            inter = self.intermediate(ranks)
+            schema = inter.schema
+            obs = None
             if self.dangling:
-                share = float(self.round_scalars(inter).first()["share"])
-                inter = inter.withColumn("rank", F.col("rank") + F.lit(share))
-            ranks = inter
+                obs = Observation(f"quillrank_round_{i}")
+                inter = inter.observe(obs, *self._scalar_columns())
+            path = f"{run}/round-{i:04d}"
+            inter.write.parquet(path)
+            ranks = self.spark.read.schema(schema).parquet(path)
+            if obs is not None:
+                got = obs.get
+                share = self.share(float(got["mass"]), self._normalizer(got))
+                ranks = ranks.withColumn("rank", F.col("rank") + F.lit(share))
         return ranks.select("id", "rank")
 
     def close(self) -> None:
@@ -209,6 +247,7 @@ class PageRank:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._table}")
             self._table = None
             self._links = None
+            self._nodes = None
 
 
 def pagerank(arcs: DataFrame, labels: DataFrame | None = None, *, iterations: int = 10,
