@@ -41,9 +41,21 @@ def term_freq(toks: DataFrame) -> DataFrame:
     return toks.groupBy("word", "title").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def _present(tf: DataFrame):
+    # tf > 0 always holds; counting through it keeps the tf aggregate whole,
+    # so df, N and the join share one tf shuffle (ReusedExchange) instead of
+    # Catalyst pruning the count away and tokenizing the corpus again.
+    return F.col("tf") > 0
+
+
 def doc_freq(tf: DataFrame) -> DataFrame:
     """(word, df): number of titles containing the word."""
-    return tf.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    return tf.groupBy("word").agg(F.count(F.when(_present(tf), True)).alias("df"))
+
+
+def titles_in(tf: DataFrame) -> DataFrame:
+    """One row (n): distinct titles of a tf table, sharing its shuffle."""
+    return tf.agg(F.countDistinct(F.when(_present(tf), F.col("title"))).alias("n"))
 
 
 def doc_count(articles: DataFrame) -> DataFrame:
@@ -81,9 +93,14 @@ def tfidf(articles: DataFrame, *, keep_empty: bool = True, title_key: str = FULL
         n = doc_count(articles)
     tf = term_freq(toks)
     if term is None:
-        n = tf.agg(F.countDistinct("title").alias("n"))
+        n = titles_in(tf)
     if not keep_empty:
         tf = tf.where(F.col("word") != "")
+    return weights(tf, n, title_key=title_key)
+
+
+def weights(tf: DataFrame, n: DataFrame, *, title_key: str = FULL) -> DataFrame:
+    """(word, title, tf, df, w) from a tf table and the one-row corpus size."""
     df = doc_freq(tf)
     return (
         tf.join(df, "word")

@@ -1,0 +1,5 @@
+"""Sinks: delimited text lines, tables and the console."""
+
+from quillrank.sinks.text import show, write_lines, write_table
+
+__all__ = ["show", "write_lines", "write_table"]

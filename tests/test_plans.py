@@ -1,0 +1,50 @@
+"""Plan shape: what must (and must not) appear in the physical plans."""
+
+from quillrank.operators.tfidf import tfidf_term, tfidf_topk
+from quillrank.plans.inspect import count_nodes, final_plan, has_python, plan_text
+from quillrank.plans.registry import QUERIES, graph_for, pages_articles
+from conftest import SF_SMALL
+
+
+def test_round_shuffles_only_the_rank_side(spark):
+    pr = graph_for(spark, SF_SMALL, "B")
+    text = plan_text(pr.intermediate(pr.initial()), "simple")
+    # Bucketed links are read in place; the ranks and the partial sums move.
+    assert "Bucketed: true" in text
+    assert text.count("Exchange hashpartitioning") == 2
+    assert "SortMergeJoin" not in text and "ShuffledHashJoin" in text
+    assert "partial_sum" in text
+
+
+def test_topk_is_take_ordered(spark):
+    assert count_nodes(tfidf_topk(pages_articles(spark, SF_SMALL), "the"), "TakeOrderedAndProject") == 1
+
+
+def test_term_filter_sits_on_the_explode(spark):
+    lines = plan_text(tfidf_term(pages_articles(spark, SF_SMALL), "the"), "simple").splitlines()
+    gens = [i for i, l in enumerate(lines) if "Generate explode" in l]
+    assert gens
+    for g in gens:  # the parent of every explode is the term filter
+        assert "Filter (word" in lines[g - 1] and "= the)" in lines[g - 1]
+
+
+def test_scans_are_pruned_and_pushed(spark):
+    text = plan_text(QUERIES["distinct_arcs"](spark, SF_SMALL), "simple")
+    assert "PushedFilters: [IsNotNull(l_returnflag), IsNotNull(l_linestatus), EqualTo(l_returnflag,R)" in text
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_linenumber:int" in text
+    text = plan_text(QUERIES["tfidf_all"](spark, SF_SMALL), "simple")
+    assert "ReadSchema: struct<html:string>" in text
+
+
+def test_no_python_in_any_registered_plan(spark):
+    for name in ("tokens", "tfidf_all", "adjacency", "dangling_nodes", "scan_articles", "scan_labels_ws"):
+        assert not has_python(QUERIES[name](spark, SF_SMALL)), name
+
+
+def test_corpus_is_tokenized_once(spark):
+    """df, N and the join share one tf shuffle: one executed explode."""
+    df = QUERIES["tfidf_all"](spark, SF_SMALL)
+    df.collect()
+    text = final_plan(df)
+    assert text.count("Generate explode") == 1
+    assert text.count("ReusedExchange") == 2
