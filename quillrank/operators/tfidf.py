@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from quillrank.functions.text import token_array, token_array_glued
 from quillrank.operators.topk import DIGITS, top_k
+from quillrank.plans.partitioning import spread_to_cores
 
 FULL = "full"
 BEFORE_COMMA = "before_comma"
@@ -27,13 +28,17 @@ BEFORE_COMMA = "before_comma"
 
 def tokens(articles: DataFrame, keep_empty: bool = True) -> DataFrame:
     """(title, word): one row per word occurrence."""
-    out = articles.select("title", F.explode(token_array("body")).alias("word"))
+    out = spread_to_cores(articles.select("title", "body")).select(
+        "title", F.explode(token_array("body")).alias("word")
+    )
     return out if keep_empty else out.where(F.col("word") != "")
 
 
 def tokens_glued(articles: DataFrame) -> DataFrame:
     """(title, word) with the second tokenizer (tags glue neighbouring text)."""
-    return articles.select("title", F.explode(token_array_glued("body")).alias("word"))
+    return spread_to_cores(articles.select("title", "body")).select(
+        "title", F.explode(token_array_glued("body")).alias("word")
+    )
 
 
 def term_freq(toks: DataFrame) -> DataFrame:

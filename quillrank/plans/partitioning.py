@@ -1,0 +1,21 @@
+"""Physical-layout helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_to_cores(df: DataFrame) -> DataFrame:
+    """Round-robin a DataFrame whose scan yields fewer partitions than the
+    session has cores (e.g. one file with a single row group).
+
+    CPU-heavy per-row work (the tokenizer's regular expressions) then uses
+    every core. A large input already has more splits than cores, so this is
+    a no-op there and the raw corpus is never shuffled.
+    """
+    if df.isStreaming:
+        return df  # micro-batches are sized by the source's own options
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
