@@ -14,9 +14,10 @@ Semantics kept on purpose (they differ from textbook PageRank):
 
 Plan, per round (checked in ``tests/test_plans.py``):
 
-* ``links`` (src, salt, dst, deg, dst attributes) is built once and written
-  as a table bucketed on (src, salt) under the shared checkpoint folder, so
-  the per-round join reads it in place: only the rank vector is shuffled.
+* ``links`` (src, salt, dst, deg, source and target attributes) is built
+  once, in one job, and written as a table bucketed on (src, salt) under the
+  shared checkpoint folder, so the per-round join reads it in place: only
+  the rank vector is shuffled.
 * A hub (out-degree above ``hub_degree``) has its out-links spread over
   several salt buckets; its rank row is replicated once per bucket, so no
   task holds a hub's whole neighbour list.
@@ -33,7 +34,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -79,26 +79,22 @@ class PageRank:
         self.hub_degree = int(hub_degree)
         self.partitions = int(partitions or self.spark.conf.get("spark.sql.shuffle.partitions"))
         self._links: DataFrame | None = None
-        self._nodes: DataFrame | None = None
         self._table: str | None = None
         self._label_rows: int | None = None
 
     # ------------------------------------------------------------------ build
     def links(self) -> DataFrame:
-        """The loop-invariant link table (built and written on first use)."""
+        """The loop-invariant link table (built and written on first use):
+        (src, salt, dst, deg, nsalt, dst_nsalt, dst_dmult)."""
         if self._links is None:
-            self._build()
+            self._links = self._build()
         return self._links
 
     def nodes(self) -> DataFrame:
         """(id, deg, nsalt, dmult) for every source (dmult 0) and every
-        dangling label id (deg null); built with the links."""
-        if self._nodes is None:
-            self._build()
-        return self._nodes
-
-    def _node_table(self, arcs_d: DataFrame) -> DataFrame:
-        deg = out_degree(arcs_d).withColumn("nsalt", salt_count(F.col("deg"), self.hub_degree, self.partitions))
+        dangling label id (deg null)."""
+        deg = out_degree(distinct_arcs(self.arcs))
+        deg = deg.withColumn("nsalt", salt_count(F.col("deg"), self.hub_degree, self.partitions))
         nodes = deg.select(F.col("src").alias("id"), "deg", "nsalt", F.lit(0).cast("long").alias("dmult"))
         if self.dangling:
             # Sources and dangling ids are disjoint, so a union replaces a join.
@@ -108,79 +104,72 @@ class PageRank:
             )
         return nodes
 
-    def _build(self) -> None:
-        # The distinct arcs feed both written tables; keep them for the build only.
-        arcs_d = distinct_arcs(self.arcs).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            path = scratch_path(self.spark, "nodes")
-            self._node_table(arcs_d).write.parquet(path)
-            nodes = self.spark.read.parquet(path)
-            src_attr = nodes.where(F.col("deg").isNotNull()).select(F.col("id").alias("src"), "deg", "nsalt")
-            dst_attr = nodes.select(
-                F.col("id").alias("dst"), F.col("nsalt").alias("dst_nsalt"), F.col("dmult").alias("dst_dmult")
-            )
-            links = (
-                arcs_d.join(src_attr, "src")
-                .withColumn("salt", salt_of(F.col("dst"), F.col("nsalt")))
-                .join(dst_attr, "dst", "left")
-                .select(
-                    "src", "salt", "dst", "deg",
-                    F.coalesce("dst_nsalt", F.lit(1)).alias("dst_nsalt"),
-                    F.coalesce("dst_dmult", F.lit(0).cast("long")).alias("dst_dmult"),
-                )
-            )
-            table = f"quillrank_links_{uuid.uuid4().hex[:12]}"
-            (
-                # One writer task per bucket: one file per bucket, however many tasks.
-                links.repartition(self.partitions, "src", "salt")
-                .write.format("parquet")
-                .bucketBy(self.partitions, "src", "salt")
-                .option("path", scratch_path(self.spark, "links"))
-                .saveAsTable(table)
+    def _build(self) -> DataFrame:
+        # One job: the distinct-arc and degree shuffles are shared by every
+        # branch (ReusedExchange), so nothing needs caching.
+        nodes = self.nodes()
+        src_attr = nodes.where(F.col("deg").isNotNull()).select(F.col("id").alias("src"), "deg", "nsalt")
+        dst_attr = nodes.select(
+            F.col("id").alias("dst"), F.col("nsalt").alias("dst_nsalt"), F.col("dmult").alias("dst_dmult")
+        )
+        links = (
+            distinct_arcs(self.arcs).join(src_attr, "src")
+            .withColumn("salt", salt_of(F.col("dst"), F.col("nsalt")))
+            .join(dst_attr, "dst", "left")
+            .select(
+                "src", "salt", "dst", "deg", "nsalt",
+                F.coalesce("dst_nsalt", F.lit(1)).alias("dst_nsalt"),
+                F.coalesce("dst_dmult", F.lit(0).cast("long")).alias("dst_dmult"),
             )
-        finally:
-            arcs_d.unpersist()
-        self._table = table
-        self._nodes = nodes
-        self._links = self.spark.table(table)
+        )
+        self._table = f"quillrank_links_{uuid.uuid4().hex[:12]}"
+        (
+            # One writer task per bucket: one file per bucket, however many tasks.
+            links.repartition(self.partitions, "src", "salt")
+            .write.format("parquet")
+            .bucketBy(self.partitions, "src", "salt")
+            .option("path", scratch_path(self.spark, "links"))
+            .saveAsTable(self._table)
+        )
+        return self.spark.table(self._table)
 
     def initial(self) -> DataFrame:
         """(id, rank, nsalt, dmult): 1.0 for every node with an out-link."""
-        return self.nodes().where(F.col("deg").isNotNull()).select(
-            "id", F.lit(1.0).alias("rank"), "nsalt", "dmult"
+        per_src = self.links().groupBy("src").agg(F.max("nsalt").alias("nsalt"))
+        return per_src.select(
+            F.col("src").alias("id"), F.lit(1.0).alias("rank"), "nsalt", F.lit(0).cast("long").alias("dmult")
         )
 
     # ------------------------------------------------------------------ round
-    def contributions(self, ranks: DataFrame) -> DataFrame:
-        """(dst, contrib, dst_nsalt, dst_dmult): rank / out-degree along each link."""
-        links = self.links()
+    def _joined(self, ranks: DataFrame) -> DataFrame:
+        """Bucketed links joined with the rank rows, one row per link."""
         fan = ranks.select(
             F.col("id").alias("src"), "rank", F.explode(F.sequence(F.lit(0), F.col("nsalt") - 1)).alias("salt")
         )
         # The rank rows are the small side: build the hash table on them and
         # stream the bucketed links without sorting them.
-        return links.join(fan.hint("shuffle_hash"), ["src", "salt"]).select(
+        return self.links().join(fan.hint("shuffle_hash"), ["src", "salt"])
+
+    def contributions(self, ranks: DataFrame) -> DataFrame:
+        """(dst, contrib, dst_nsalt, dst_dmult): rank / out-degree along each link."""
+        return self._joined(ranks).select(
             "dst", (F.col("rank") / F.col("deg")).alias("contrib"), "dst_nsalt", "dst_dmult"
         )
 
     def intermediate(self, ranks: DataFrame) -> DataFrame:
-        """(id, rank, nsalt, dmult[, ndist]): damped sums of one round."""
+        """(id, rank, nsalt, dmult[, ndist]): damped sums of one round.
+
+        Written as one aggregate over the join (few DataFrame calls, so the
+        driver spends little time analysing each round's plan)."""
+        contrib = F.col("rank") / F.col("deg")
         aggs = [
-            F.sum("contrib").alias("s"),
+            (F.lit(self.base) + F.lit(self.damping) * F.sum(contrib)).alias("rank"),
             F.max("dst_nsalt").alias("nsalt"),
             F.max("dst_dmult").alias("dmult"),
         ]
-        extra: list[Column | str] = []
         if self.dangling and self.normalizer == DISTINCT_CONTRIBS:
-            aggs.append(F.count_distinct(F.round("contrib", CONTRIB_DIGITS)).alias("ndist"))
-            extra.append("ndist")
-        return self.contributions(ranks).groupBy("dst").agg(*aggs).select(
-            F.col("dst").alias("id"),
-            (F.lit(self.base) + F.lit(self.damping) * F.col("s")).alias("rank"),
-            "nsalt",
-            "dmult",
-            *extra,
-        )
+            aggs.append(F.count_distinct(F.round(contrib, CONTRIB_DIGITS)).alias("ndist"))
+        return self._joined(ranks).groupBy(F.col("dst").alias("id")).agg(*aggs)
 
     def label_rows(self) -> int:
         if self._label_rows is None:
@@ -247,7 +236,6 @@ class PageRank:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._table}")
             self._table = None
             self._links = None
-            self._nodes = None
 
 
 def pagerank(arcs: DataFrame, labels: DataFrame | None = None, *, iterations: int = 10,

@@ -26,8 +26,15 @@ CLEAN_GLUED = (
     "'[^a-zA-Z]+', ' ', 'g'))"
 )
 
-TFIDF_CTES = f"""
-articles AS ({ARTICLES}),
+DOC_ARTICLES = (
+    "SELECT doc_id AS article_id, 'doc' || CAST(doc_id AS VARCHAR) AS title, text AS body FROM documents"
+)
+SOURCE_ARTICLES = "SELECT doc_id AS article_id, source AS title, text AS body FROM documents"
+
+
+def tfidf_ctes(articles: str) -> str:
+    return f"""
+articles AS ({articles}),
 toks AS (SELECT title, unnest(string_split({CLEAN}, ' ')) AS word FROM articles),
 tf AS (SELECT word, title, count(*) AS tf FROM toks GROUP BY word, title),
 df AS (SELECT word, count(*) AS df FROM tf GROUP BY word),
@@ -37,6 +44,9 @@ scored AS (
   FROM tf JOIN df USING (word) CROSS JOIN n
 )"""
 
+
+TFIDF_CTES = tfidf_ctes(ARTICLES)
+
 ARCS_RAW = """
 SELECT a.l_partkey AS src, b.l_partkey AS dst
 FROM lineitem a JOIN lineitem b
@@ -161,6 +171,12 @@ SQL: dict[str, str] = {
 cut AS (SELECT split_part(title, ',', 1) AS title, max(w) AS w FROM scored WHERE word = '{TERM}' GROUP BY 1)""",
         f"SELECT title, round(w, 9) AS w FROM cut ORDER BY round(w, 9) DESC, title DESC LIMIT {K}",
     ),
+    "docs_tfidf_topk": with_(
+        tfidf_ctes(DOC_ARTICLES),
+        f"SELECT title, round(w, 9) AS w FROM scored WHERE word = '{TERM}' "
+        f"ORDER BY round(w, 9) DESC, title DESC LIMIT {K}",
+    ),
+    "source_tfidf_all": with_(tfidf_ctes(SOURCE_ARTICLES), "SELECT word, title, tf, df, round(w, 9) AS w FROM scored"),
     # ------------------------------------------------------------------ graph
     "distinct_arcs": with_(GRAPH_CTES, "SELECT src, dst FROM arcs"),
     "adjacency": with_(

@@ -38,8 +38,8 @@ def pages_articles(spark: SparkSession, d: str) -> DataFrame:
     return src_tables.articles_from_pages(src_tables.table(spark, d, "pages"))
 
 
-def lineitem_arcs(spark: SparkSession, d: str) -> DataFrame:
-    return src_tables.arcs_from_lineitem(src_tables.table(spark, d, "lineitem"))
+def lineitem_arcs(spark: SparkSession, d: str, distinct: bool = True) -> DataFrame:
+    return src_tables.arcs_from_lineitem(src_tables.table(spark, d, "lineitem"), distinct)
 
 
 def part_labels(spark: SparkSession, d: str, delimiter: str = "tab") -> DataFrame:
@@ -79,7 +79,8 @@ def scan_articles(spark, d):
 
 def _scan_arcs(delimiter):
     def q(spark, d):
-        return parse_pairs(pair_lines(lineitem_arcs(spark, d), "src", "dst"), ("src", "dst"), delimiter)
+        raw = lineitem_arcs(spark, d, distinct=False)
+        return parse_pairs(pair_lines(raw, "src", "dst"), ("src", "dst"), delimiter)
     return q
 
 
@@ -135,6 +136,17 @@ def tfidf_before_comma(spark, d):
     )
 
 
+def docs_tfidf_topk(spark, d):
+    arts = src_tables.articles_from_documents(src_tables.table(spark, d, "documents"), "doc_id")
+    return tf_ops.tfidf_topk(arts, TERM, K).select("title", r9("w"))
+
+
+def source_tfidf_all(spark, d):
+    """Documents merged under their source: few titles, each one hot."""
+    arts = src_tables.articles_from_documents(src_tables.table(spark, d, "documents"), "source")
+    return tf_ops.tfidf(arts).select("word", "title", "tf", "df", r9("w"))
+
+
 # ------------------------------------------------------------------- graph
 def distinct_arcs(spark, d):
     return graph.distinct_arcs(lineitem_arcs(spark, d))
@@ -221,6 +233,8 @@ QUERIES: dict[str, Query] = {
     "tfidf_term": tfidf_term,
     "tfidf_topk": tfidf_topk,
     "tfidf_before_comma": tfidf_before_comma,
+    "docs_tfidf_topk": docs_tfidf_topk,
+    "source_tfidf_all": source_tfidf_all,
     "distinct_arcs": distinct_arcs,
     "adjacency": adjacency,
     "out_degree": out_degree,

@@ -44,12 +44,15 @@ def articles_from_documents(documents: DataFrame, title: str = "doc_id") -> Data
     return documents.select(F.col("doc_id").alias("article_id"), t.alias("title"), F.col("text").alias("body"))
 
 
-def arcs_from_lineitem(lineitem: DataFrame) -> DataFrame:
+def arcs_from_lineitem(lineitem: DataFrame, distinct: bool = True) -> DataFrame:
     """Arcs part -> part of the next line of the same order, returned lines only.
 
-    Duplicates are kept, like a raw arc file; the graph operators dedup. The
-    join is on (order, line number), so one huge order still spreads over
-    many tasks.
+    The join is on (order, line number), so one huge order still spreads
+    over many tasks. ``(order, line number)`` is not unique, so the join
+    multiplies duplicates: with ``distinct=True`` (the arc relation as
+    defined) each side is deduplicated first, with a map-side partial
+    aggregate, and the result is the distinct arc set. ``distinct=False``
+    gives the raw bag, like an arc file with repeated lines.
     """
     a = lineitem.where((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")).select(
         F.col("l_orderkey").alias("ok"), (F.col("l_linenumber") + 1).alias("ln"), F.col("l_partkey").alias("src")
@@ -57,7 +60,10 @@ def arcs_from_lineitem(lineitem: DataFrame) -> DataFrame:
     b = lineitem.where(F.col("l_returnflag") == "R").select(
         F.col("l_orderkey").alias("ok"), F.col("l_linenumber").alias("ln"), F.col("l_partkey").alias("dst")
     )
-    return a.join(b, ["ok", "ln"]).where(F.col("src") != F.col("dst")).select("src", "dst")
+    if distinct:
+        a, b = a.distinct(), b.distinct()
+    arcs = a.join(b, ["ok", "ln"]).where(F.col("src") != F.col("dst")).select("src", "dst")
+    return arcs.distinct() if distinct else arcs
 
 
 def labels_from_part(part: DataFrame, delimiter: str = "tab", mode: str = FAILFAST) -> DataFrame:

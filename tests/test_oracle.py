@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry_mod
 from conftest import SF_SMALL
 
-TABLES = ["pages", "lineitem", "part"]
+TABLES = ["pages", "lineitem", "part", "documents"]
 
 
 def digest(cols, rows):

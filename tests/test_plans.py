@@ -6,9 +6,10 @@ from quillrank.plans.registry import QUERIES, graph_for, pages_articles
 from conftest import SF_SMALL
 
 
-def test_round_shuffles_only_the_rank_side(spark):
+def test_round_shuffles_only_the_rank_side(spark, tmp_path):
     pr = graph_for(spark, SF_SMALL, "B")
-    text = plan_text(pr.intermediate(pr.initial()), "simple")
+    pr.initial().write.parquet(f"file://{tmp_path}/r0")  # a round's written ranks
+    text = plan_text(pr.intermediate(spark.read.parquet(f"file://{tmp_path}/r0")), "simple")
     # Bucketed links are read in place; the ranks and the partial sums move.
     assert "Bucketed: true" in text
     assert text.count("Exchange hashpartitioning") == 2
