@@ -77,3 +77,9 @@ def test_file_readers(spark, tmp_path):
     assert arts.count() == 6 and arts.where("title = 'Beta, Inc'").count() == 1
     assert read_arcs(spark, f"file://{tmp_path}/arcs.txt", delimiter="ws").count() == 8
     assert read_labels(spark, f"file://{tmp_path}/labels.txt").count() == 6
+
+
+def test_plain_single_space_split(spark):
+    # A plain " " split keeps a tab inside its field.
+    got = arrays(spark, lambda c: F.split(c, " "), ["a\tb c"])
+    assert got == [["a\tb", "c"]]
