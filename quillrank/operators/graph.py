@@ -40,28 +40,28 @@ def label_count(labels: DataFrame) -> DataFrame:
     return labels.agg(F.count_distinct("id", "name").alias("n"))
 
 
-def salt_count(deg: Column, hub_degree: int, max_salt: int) -> Column:
+def salt_count(deg: Column, hub_degree: int, max_salt: int | None = None) -> Column:
     """How many buckets a source's out-links are spread over: 1 for ordinary
-    nodes, up to ``max_salt`` for hubs."""
-    n = F.ceil(deg / F.lit(float(hub_degree))).cast("int")
-    return F.greatest(F.lit(1), F.least(F.lit(int(max_salt)), n))
+    nodes, about deg / hub_degree for hubs (at most ``max_salt`` if given)."""
+    n = F.greatest(F.lit(1), F.ceil(deg / F.lit(float(hub_degree))).cast("int"))
+    return n if max_salt is None else F.least(F.lit(int(max_salt)), n)
 
 
 def salt_of(dst: Column, nsalt: Column) -> Column:
     return F.pmod(F.xxhash64(dst), nsalt.cast("long")).cast("int")
 
 
-def adjacency(arcs: DataFrame, hub_degree: int = HUB_DEGREE, max_salt: int = 1024) -> DataFrame:
+def adjacency(arcs: DataFrame, hub_degree: int = HUB_DEGREE) -> DataFrame:
     """(src, dsts): each source's sorted neighbours joined by commas.
 
     A source with at most ``hub_degree`` distinct targets gets one row. A hub
-    gets one row per salt bucket, so no row (and no task) has to hold an
-    unbounded neighbour list.
+    gets about deg / hub_degree rows (its targets hashed into chunks), so no
+    row and no task holds an unbounded neighbour list.
     """
     arcs_d = distinct_arcs(arcs)
     deg = out_degree(arcs_d)
     chunked = arcs_d.join(deg, "src").withColumn(
-        "chunk", salt_of(F.col("dst"), salt_count(F.col("deg"), hub_degree, max_salt))
+        "chunk", salt_of(F.col("dst"), salt_count(F.col("deg"), hub_degree))
     )
     return chunked.groupBy("src", "chunk").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list("dst")), lambda x: x.cast("string")), ",").alias("dsts")

@@ -87,23 +87,53 @@ def tfidf(articles: DataFrame, *, keep_empty: bool = True, title_key: str = FULL
           term: str | None = None) -> DataFrame:
     """(word, title, tf, df, w) for every word and title, or for one ``term``.
 
-    N is exact either way: every article yields at least one token before the
-    empty word is dropped, so over the whole vocabulary N is read off the tf
-    aggregate (sharing its shuffle); for one term the tokens are filtered
-    right after the explode and N comes from the cheaper title projection.
+    N is exact: every article yields at least one token before the empty word
+    is dropped, so N is read off the tf aggregate (sharing its shuffle).
     """
-    toks = tokens(articles, keep_empty=True)
     if term is not None:
-        toks = toks.where(F.col("word") == F.lit(term))
-        n = doc_count(articles)
-    tf = term_freq(toks)
-    if term is None:
-        n = titles_in(tf)
+        return term_weights(articles, term, keep_empty=keep_empty, title_key=title_key)
+    tf = term_freq(tokens(articles, keep_empty=True))
+    n = titles_in(tf)
     if not keep_empty:
         tf = tf.where(F.col("word") != "")
     return weights(tf, n, title_key=title_key)
 
 
+def term_weights(articles: DataFrame, term: str, *, keep_empty: bool = True,
+                 title_key: str = FULL) -> DataFrame:
+    """(word, title, tf, df, w) for one term, in a single pass.
+
+    Each article counts the term inside its token array (no explode), one
+    two-phase aggregate by title gives tf per title, and the same aggregate
+    gives df (titles with hits) and N (all titles), so the corpus is read
+    and tokenized once.
+    """
+    if term == "" and not keep_empty:
+        hits = F.lit(0)
+    else:
+        hits = F.size(F.filter(token_array("body"), lambda w: w == F.lit(term)))
+    per_title = (
+        spread_to_cores(articles.select("title", "body"))
+        .select("title", hits.cast("long").alias("hits"))
+        .groupBy("title")
+        .agg(F.sum("hits").alias("tf"))
+    )
+    stats = per_title.agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("tf") > 0, True)).alias("df")
+    )
+    return (
+        per_title.where(F.col("tf") > 0)
+        .crossJoin(F.broadcast(stats))
+        .select(
+            F.lit(term).alias("word"),
+            _output_title(title_key).alias("title"),
+            "tf",
+            "df",
+            (F.col("tf") * F.log10(F.col("n") / F.col("df"))).alias("w"),
+        )
+    )
+
+
 def weights(tf: DataFrame, n: DataFrame, *, title_key: str = FULL) -> DataFrame:
     """(word, title, tf, df, w) from a tf table and the one-row corpus size."""
     df = doc_freq(tf)

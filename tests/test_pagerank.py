@@ -43,6 +43,10 @@ def test_graph_layer(spark, lines):
     assert label_count(labels).first()["n"] == 6
     adj = {r.src: r.dsts for r in adjacency(arcs).collect()}
     assert adj == {"1": "2,3", "2": "3", "3": "1,4,6", "5": "1"}
+    # A hub's list is split into bounded chunks that together hold every target.
+    chunks = adjacency(arcs, hub_degree=1).where("src = '3'").collect()
+    assert len(chunks) >= 2
+    assert sorted(x for r in chunks for x in r.dsts.split(",")) == ["1", "4", "6"]
 
 
 def test_empty_graph(spark, lines):
