@@ -9,8 +9,7 @@ Plan shape (see ``tests/test_plans.py``): tokens are exploded inside the scan
 stage; tf is a two-phase aggregate (partial counts per task before the
 shuffle, so a stop-word never moves row by row); df aggregates the tf rows the
 same way; tf joins df on ``word``, where AQE splits a hot word's partition
-(or broadcasts df when its runtime size is small); N arrives as a one-row
-broadcast.
+(or broadcasts df when its runtime size is small); N is a scalar subquery.
 """
 
 from __future__ import annotations
@@ -69,10 +68,10 @@ def doc_count(articles: DataFrame) -> DataFrame:
 
 
 def idf(df: DataFrame, n: DataFrame) -> DataFrame:
-    """(word, df, n, idf) with idf = log10(n / df)."""
-    return df.crossJoin(F.broadcast(n)).select(
-        "word", "df", "n", F.log10(F.col("n") / F.col("df")).alias("idf")
-    )
+    """(word, df, n, idf) with idf = log10(n / df); ``n`` is a one-row frame
+    used as a scalar subquery."""
+    n_value = n.select("n").scalar()
+    return df.select("word", "df", n_value.alias("n"), F.log10(n_value / F.col("df")).alias("idf"))
 
 
 def _output_title(title_key: str):
@@ -118,35 +117,31 @@ def term_weights(articles: DataFrame, term: str, *, keep_empty: bool = True,
         .groupBy("title")
         .agg(F.sum("hits").alias("tf"))
     )
+    # One struct-valued scalar subquery over the same per-title aggregate. It
+    # reads tf, so Catalyst keeps the aggregate whole and reuses its shuffle.
     stats = per_title.agg(
-        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("tf") > 0, True)).alias("df")
-    )
-    return (
-        per_title.where(F.col("tf") > 0)
-        .crossJoin(F.broadcast(stats))
-        .select(
-            F.lit(term).alias("word"),
-            _output_title(title_key).alias("title"),
-            "tf",
-            "df",
-            (F.col("tf") * F.log10(F.col("n") / F.col("df"))).alias("w"),
-        )
+        F.struct(F.count(F.lit(1)).alias("n"), F.count(F.when(_present(per_title), True)).alias("df"))
+    ).scalar()
+    n, df = stats.getField("n"), stats.getField("df")
+    return per_title.where(F.col("tf") > 0).select(
+        F.lit(term).alias("word"),
+        _output_title(title_key).alias("title"),
+        "tf",
+        df.alias("df"),
+        (F.col("tf") * F.log10(n / df)).alias("w"),
     )
 
 
 def weights(tf: DataFrame, n: DataFrame, *, title_key: str = FULL) -> DataFrame:
-    """(word, title, tf, df, w) from a tf table and the one-row corpus size."""
-    df = doc_freq(tf)
-    return (
-        tf.join(df, "word")
-        .crossJoin(F.broadcast(n))
-        .select(
-            "word",
-            _output_title(title_key).alias("title"),
-            "tf",
-            "df",
-            (F.col("tf") * F.log10(F.col("n") / F.col("df"))).alias("w"),
-        )
+    """(word, title, tf, df, w) from a tf table and the one-row corpus size
+    (used as a scalar subquery, computed once per query)."""
+    n_value = n.select("n").scalar()
+    return tf.join(doc_freq(tf), "word").select(
+        "word",
+        _output_title(title_key).alias("title"),
+        "tf",
+        "df",
+        (F.col("tf") * F.log10(n_value / F.col("df"))).alias("w"),
     )
 
 

@@ -28,9 +28,11 @@ def has_python(df: DataFrame) -> bool:
     return any(k in text for k in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas"))
 
 
-def final_plan(df: DataFrame) -> str:
-    """The executed adaptive plan (run the DataFrame first)."""
-    text = plan_text(df, "simple")
-    if "== Final Plan ==" in text:
-        text = text.split("== Final Plan ==", 1)[1].split("== Initial Plan ==", 1)[0]
-    return text
+def executed(df: DataFrame, op: str) -> int:
+    """How many ``op`` operators ran inside whole-stage codegen (``*(n) op``)
+    in an executed adaptive plan (run the DataFrame first). Initial plans
+    carry no codegen ids, so they are not counted; every Parquet scan that
+    ran shows up as ``*(n) ColumnarToRow``. Only the top-level final plan is
+    read (the top-level initial plan re-prints subqueries)."""
+    text = plan_text(df, "simple").split("\n+- == Initial Plan ==")[0]
+    return len(re.findall(rf"\*\(\d+\) {re.escape(op)}\b", text))

@@ -113,9 +113,8 @@ def doc_freq(spark, d):
 
 
 def idf(spark, d):
-    arts = pages_articles(spark, d)
-    df = tf_ops.doc_freq(tf_ops.term_freq(tf_ops.tokens(arts)))
-    return tf_ops.idf(df, tf_ops.doc_count(arts)).select("word", "df", "n", r9("idf"))
+    tf = tf_ops.term_freq(tf_ops.tokens(pages_articles(spark, d)))
+    return tf_ops.idf(tf_ops.doc_freq(tf), tf_ops.titles_in(tf)).select("word", "df", "n", r9("idf"))
 
 
 def tfidf_all(spark, d):
