@@ -157,6 +157,8 @@ SQL: dict[str, str] = {
     "doc_freq": with_(TFIDF_CTES, "SELECT word, df FROM df"),
     "idf": with_(TFIDF_CTES, "SELECT word, df, n, round(log10(n / df), 9) AS idf FROM df CROSS JOIN n"),
     "tfidf_all": with_(TFIDF_CTES, "SELECT word, title, tf, df, round(w, 9) AS w FROM scored"),
+    # The streaming form must give exactly the batch result.
+    "stream_tfidf_all": with_(TFIDF_CTES, "SELECT word, title, tf, df, round(w, 9) AS w FROM scored"),
     "tfidf_term": with_(
         TFIDF_CTES, f"SELECT word, title, tf, df, round(w, 9) AS w FROM scored WHERE word = '{TERM}'"
     ),

@@ -16,7 +16,8 @@ from quillrank.operators import graph, tfidf as tf_ops
 from quillrank.operators.pagerank import DISTINCT_CONTRIBS, DISTINCT_LABELS, PageRank, pagerank, rank_labels
 from quillrank.operators.topk import bottom_k, top_k
 from quillrank.plans.oracle import ITERATIONS, K, TERM
-from quillrank.session import ensure_checkpoint_dir
+from quillrank import streaming
+from quillrank.session import ensure_checkpoint_dir, scratch_path
 from quillrank.sources import tables as src_tables
 from quillrank.sources.text import article_lines, pair_lines, parse_articles, parse_pairs
 
@@ -146,6 +147,17 @@ def source_tfidf_all(spark, d):
     return tf_ops.tfidf(arts).select("word", "title", "tf", "df", r9("w"))
 
 
+def stream_tfidf_all(spark, d):
+    """The pages table read as a file stream; tf kept as streaming state and
+    appended per micro-batch; weights computed from the latest counts."""
+    ensure_checkpoint_dir(spark)
+    arts = src_tables.articles_from_pages(streaming.stream_table(spark, d, "pages"))
+    updates = scratch_path(spark, "tf-updates")
+    query = streaming.start_term_freq(arts, updates, scratch_path(spark, "tf-stream"), trigger_once=True)
+    query.awaitTermination()
+    return streaming.tfidf_from_updates(spark, updates).select("word", "title", "tf", "df", r9("w"))
+
+
 # ------------------------------------------------------------------- graph
 def distinct_arcs(spark, d):
     return graph.distinct_arcs(lineitem_arcs(spark, d))
@@ -234,6 +246,7 @@ QUERIES: dict[str, Query] = {
     "tfidf_before_comma": tfidf_before_comma,
     "docs_tfidf_topk": docs_tfidf_topk,
     "source_tfidf_all": source_tfidf_all,
+    "stream_tfidf_all": stream_tfidf_all,
     "distinct_arcs": distinct_arcs,
     "adjacency": adjacency,
     "out_degree": out_degree,

@@ -5,6 +5,7 @@ from quillrank.streaming.text import (
     stream_arcs,
     stream_articles,
     stream_labels,
+    stream_table,
     term_freq_stream,
     tfidf_from_updates,
 )
@@ -14,6 +15,7 @@ __all__ = [
     "stream_arcs",
     "stream_articles",
     "stream_labels",
+    "stream_table",
     "term_freq_stream",
     "tfidf_from_updates",
 ]

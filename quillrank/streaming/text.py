@@ -36,6 +36,14 @@ def stream_labels(spark: SparkSession, path: str, delimiter: str = "tab", mode:
     return parse_pairs(spark.readStream.format("text").load(path), ("id", "name"), delimiter, mode=mode)
 
 
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A Parquet table as a file stream (each new file is new input). The
+    file source wants a directory or a glob, so a single-file table is
+    matched by a glob on its name."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path + "*")
+
+
 def term_freq_stream(articles: DataFrame) -> DataFrame:
     """Streaming (word, title, tf): counts kept in the state store."""
     return term_freq(tokens(articles))
