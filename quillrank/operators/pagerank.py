@@ -26,8 +26,8 @@ Plan, per round (checked in ``tests/test_plans.py``):
   next round's rank rows already know their salt count.
 * Contributions are summed with a two-phase aggregate (hot targets combine
   map-side). Each round's ranks are written to the checkpoint folder, which
-  cuts the lineage and survives lost executors; the round's scalars are one
-  small aggregate over that output.
+  cuts the lineage and survives lost executors; the round's scalars (mass,
+  normalizer) are observed while that output is written.
 """
 
 from __future__ import annotations
