@@ -120,3 +120,15 @@ def test_sf001_reference_numbers(spark):
         agg = r.agg(F.count("*").alias("n"), F.sum("rank").alias("s")).first()
         assert agg.n == 172
         assert abs(agg.s - expected[variant]) < 1e-6
+
+
+def test_intermediate_writes_go_under_the_checkpoint_dir(spark, lines):
+    from quillrank.session import ensure_checkpoint_dir
+
+    arcs, labels = tiny(lines, "tab")
+    pr = PageRank(arcs, labels, dangling=True)
+    ranks = pr.run(2)
+    root = ensure_checkpoint_dir(spark).replace("file:", "")
+    assert all(root in f.replace("file:", "") for f in ranks.inputFiles())
+    assert all(root in f.replace("file:", "") for f in pr.links().inputFiles())
+    pr.close()
