@@ -132,3 +132,22 @@ def test_intermediate_writes_go_under_the_checkpoint_dir(spark, lines):
     assert all(root in f.replace("file:", "") for f in ranks.inputFiles())
     assert all(root in f.replace("file:", "") for f in pr.links().inputFiles())
     pr.close()
+
+
+def test_zero_normalizer_gives_no_share(spark, lines):
+    """Q20: with no label rows variant B divides by zero; the share is 0, so
+    the ranks equal variant C's."""
+    arcs, _ = tiny(lines, "tab")
+    empty = parse_pairs(lines([]), ("id", "name"))
+    b = {r.id: round(r.rank, 9) for r in pagerank(arcs, empty, iterations=3, dangling=True).collect()}
+    c = {r.id: round(r.rank, 9) for r in pagerank(arcs, empty, iterations=3).collect()}
+    assert b == c and len(b) > 0
+
+
+def test_duplicate_labels_multiply_rows(spark, lines):
+    """Q17: the label join is inner; an id with two label rows appears twice,
+    an unlabelled id not at all."""
+    arcs, _ = tiny(lines, "tab")
+    labels = parse_pairs(lines(["3\tGamma", "3\tGamma again", "1\tAlpha"]), ("id", "name"))
+    got = sorted((r.id, r.name) for r in rank_labels(pagerank(arcs, labels, iterations=2), labels).collect())
+    assert got == [("1", "Alpha"), ("3", "Gamma"), ("3", "Gamma again")]
