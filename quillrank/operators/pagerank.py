@@ -79,7 +79,6 @@ class PageRank:
         self.hub_degree = int(hub_degree)
         self.partitions = int(partitions or self.spark.conf.get("spark.sql.shuffle.partitions"))
         self._links: DataFrame | None = None
-        self._table: str | None = None
         self._label_rows: int | None = None
 
     # ------------------------------------------------------------------ build
@@ -122,16 +121,21 @@ class PageRank:
                 F.coalesce("dst_dmult", F.lit(0).cast("long")).alias("dst_dmult"),
             )
         )
-        self._table = f"quillrank_links_{uuid.uuid4().hex[:12]}"
+        table = f"quillrank_links_{uuid.uuid4().hex[:12]}"
         (
             # One writer task per bucket: one file per bucket, however many tasks.
             links.repartition(self.partitions, "src", "salt")
             .write.format("parquet")
             .bucketBy(self.partitions, "src", "salt")
             .option("path", scratch_path(self.spark, "links"))
-            .saveAsTable(self._table)
+            .saveAsTable(table)
         )
-        return self.spark.table(self._table)
+        resolved = self.spark.table(table)
+        # The resolved relation keeps its bucket spec and files; the catalog
+        # entry (external, so dropping keeps the files) is not needed after
+        # this and is not left in a shared metastore.
+        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        return resolved
 
     def initial(self) -> DataFrame:
         """(id, rank, nsalt, dmult): 1.0 for every node with an out-link."""
@@ -230,12 +234,9 @@ class PageRank:
         return ranks.select("id", "rank")
 
     def close(self) -> None:
-        """Forget the link table's catalog entry (its files stay in the
-        checkpoint folder, which the cluster cleans)."""
-        if self._table is not None:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._table}")
-            self._table = None
-            self._links = None
+        """Forget the link table (its files stay in the checkpoint folder,
+        which the cluster cleans)."""
+        self._links = None
 
 
 def pagerank(arcs: DataFrame, labels: DataFrame | None = None, *, iterations: int = 10,

@@ -151,3 +151,12 @@ def test_duplicate_labels_multiply_rows(spark, lines):
     labels = parse_pairs(lines(["3\tGamma", "3\tGamma again", "1\tAlpha"]), ("id", "name"))
     got = sorted((r.id, r.name) for r in rank_labels(pagerank(arcs, labels, iterations=2), labels).collect())
     assert got == [("1", "Alpha"), ("3", "Gamma"), ("3", "Gamma again")]
+
+
+def test_no_catalog_entry_is_left(spark, lines):
+    arcs, labels = tiny(lines, "tab")
+    before = {t.name for t in spark.catalog.listTables()}
+    pr = PageRank(arcs, labels, dangling=True)
+    pr.links()
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert named(pr.run(2), labels) == fx.PAGERANK[("B", 2)]
