@@ -160,3 +160,25 @@ def test_no_catalog_entry_is_left(spark, lines):
     pr.links()
     assert {t.name for t in spark.catalog.listTables()} == before
     assert named(pr.run(2), labels) == fx.PAGERANK[("B", 2)]
+
+
+def test_one_hub_holding_a_third_of_the_arcs(spark):
+    """A source with a third of all arcs is split over salt buckets (only it:
+    hub_degree sits above every other out-degree); ranks equal the model's."""
+    import brute
+
+    d = "/root/testdata/sf0.001"
+    base = arcs_from_lineitem(table(spark, d, "lineitem"))
+    targets = base.select("dst").distinct()
+    hub = targets.select(F.lit(-1).cast("long").alias("src"), "dst")
+    arcs = base.unionByName(hub)
+    labels = labels_from_part(table(spark, d, "part"))
+    n_arcs, n_hub = arcs.count(), hub.count()
+    assert 3 * n_hub >= n_arcs - n_hub  # the hub holds about a third or more
+    pr = PageRank(arcs, labels, dangling=True, hub_degree=10, partitions=8)
+    assert pr.links().where("src = -1").select("salt").distinct().count() > 1
+    assert pr.links().where("src <> -1 AND salt > 0").count() == 0
+    got = {r.id: r.rank for r in pr.run(4).collect()}
+    model = brute.pagerank([tuple(r) for r in arcs.collect()], [tuple(r) for r in labels.collect()], 4, "B")
+    assert got.keys() == model.keys()
+    assert all(abs(got[k] - model[k]) < 1e-9 for k in got)
