@@ -25,9 +25,10 @@ Plan, per round (checked in ``tests/test_plans.py``):
   link rows, so the dangling-mass join runs once, outside the loop, and the
   next round's rank rows already know their salt count.
 * Contributions are summed with a two-phase aggregate (hot targets combine
-  map-side). Each round's ranks are written to the checkpoint folder, which
-  cuts the lineage and survives lost executors; the round's scalars (mass,
-  normalizer) are observed while that output is written.
+  map-side). Round outputs are written to the checkpoint folder, which cuts
+  the lineage and survives lost executors: every round for A and B, whose
+  scalars (mass, normalizer) are observed while that output is written, and
+  every third round for C.
 """
 
 from __future__ import annotations
@@ -205,20 +206,28 @@ class PageRank:
         """The dangling share; a zero normaliser gives no share."""
         return mass / normalizer if normalizer else 0.0
 
-    def run(self, iterations: int = 10) -> DataFrame:
+    def run(self, iterations: int = 10, write_every: int | None = None) -> DataFrame:
         """(id, rank) after ``iterations`` rounds.
 
-        Each round is one job: the round's ranks are written under the
-        checkpoint folder (cutting the lineage) and, for the dangling
-        variants, the mass and normaliser are observed while they are
-        written, so no second pass is needed.
+        Round outputs are written under the checkpoint folder, which cuts the
+        lineage. The dangling variants write every round: the mass and
+        normaliser are observed while the round is written, so no second
+        pass is needed. Variant C needs no scalar, so by default it chains
+        three rounds per job (a lost executor recomputes at most those).
         """
+        if write_every is None:
+            write_every = 1 if self.dangling else 3
+        if self.dangling and write_every != 1:
+            raise ValueError("the dangling variants need every round written")
         ranks = self.initial()
         run = scratch_path(self.spark, "ranks")
         if self.dangling and self.normalizer == DISTINCT_LABELS:
             self.label_rows()
         for i in range(iterations):
             inter = self.intermediate(ranks)
+            if (i + 1) % write_every and i + 1 < iterations:
+                ranks = inter
+                continue
             schema = inter.schema
             obs = None
             if self.dangling:

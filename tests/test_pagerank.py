@@ -34,6 +34,13 @@ def test_goldens(spark, lines, variant, iterations):
     assert named(pagerank(arcs, labels, iterations=iterations, **kw), labels) == fx.PAGERANK[(variant, iterations)]
 
 
+@pytest.mark.parametrize("every", [1, 2, 4])
+def test_write_interval_does_not_change_ranks(spark, lines, every):
+    arcs, labels = tiny(lines, "tab")
+    got = named(PageRank(arcs, labels).run(10, write_every=every), labels)
+    assert got == fx.PAGERANK[("C", 10)]
+
+
 def test_graph_layer(spark, lines):
     arcs, labels = tiny(lines, "tab")
     d = distinct_arcs(arcs)
