@@ -10,6 +10,10 @@ stage; tf is a two-phase aggregate (partial counts per task before the
 shuffle, so a stop-word never moves row by row); df aggregates the tf rows the
 same way; tf joins df on ``word``, where AQE splits a hot word's partition
 (or broadcasts df when its runtime size is small); N is a scalar subquery.
+df and N read the tf rows through the tf column, so all three share one tf
+shuffle and the corpus is tokenized once. A single-term lookup
+(:func:`term_weights`) skips the explode: it counts the term inside each
+article's token array and aggregates by title.
 """
 
 from __future__ import annotations
