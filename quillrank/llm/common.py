@@ -30,9 +30,9 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.root, self.paths = spark, scratch_path(spark, label), {}
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
+    def save(self, df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
         path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
         if name in self.paths:
             self.drop(name)
         self.paths[name] = path

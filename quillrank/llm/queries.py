@@ -2,18 +2,49 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quillrank.llm import ngram_join
+from quillrank.llm import decontamination, ngram_join, packing, quality_rules, token_counts, warc_zip
 from quillrank.llm.common import table
 
+WORD_BPE, PIECE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model"
+
+
+def op1_benchmark_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that contain a test item, each with its item, best passage, score and overlaps."""
+    return decontamination.find_contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+def op3_concatenate_and_cut(spark: SparkSession, d: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 tokens."""
+    pieces = packing.pack(table(spark, d, "documents"), public_tokenizers.path(WORD_BPE))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op4_warc_zip(spark: SparkSession, d: str) -> DataFrame:
+    """All pages written as WARC records in ZIP packages and read back by range."""
+    return warc_zip.read_packages(warc_zip.write_packages(table(spark, d, "pages")))
+
 
 def op8_ngram_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
     """Components of documents whose 4-word shingle sets have a Jaccard of at least 0.85."""
     return ngram_join.ngram_components(table(spark, d, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in [op8_ngram_jaccard_join]}
+def op9_quality_isolation_forest(spark: SparkSession, d: str) -> DataFrame:
+    """Base rules and the isolation forest's verdict on every document."""
+    return quality_rules.quality_rules(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+def op10_token_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Tokens of every document by the 32k piece model."""
+    return token_counts.token_counts(table(spark, d, "documents"), public_tokenizers.path(PIECE_BPE))
+
+
+QUERIES = {f.__name__: f for f in [op1_benchmark_decontamination, op3_concatenate_and_cut, op4_warc_zip, op8_ngram_jaccard_join,
+                                   op9_quality_isolation_forest, op10_token_counts]}
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -41,4 +72,13 @@ comp AS (SELECT s.doc_id, s.n, coalesce(r.component_id, s.doc_id) AS component_i
 
 SQL = {
     "op8_ngram_jaccard_join": f"WITH RECURSIVE {jaccard_sql('documents', 4, 85, 100)} SELECT doc_id, n::BIGINT AS n_shingles, component_id FROM comp",
+    "op4_warc_zip": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha1(coalesce(html, '')) AS hex FROM pages),
+best AS (SELECT hex, max(page_id) AS best FROM p GROUP BY hex)
+SELECT p.page_id, octet_length(b)::BIGINT AS payload_bytes,
+    array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + ((('0x' || substr(p.hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::BIGINT, 1)), '') AS payload_digest,
+    CASE WHEN p.page_id < best THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN p.page_id < best THEN best END AS refers_to
+FROM p JOIN best USING (hex)""",
 }

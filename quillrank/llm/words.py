@@ -117,8 +117,12 @@ def _buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(raw, dtype=np.uint8) if raw is not None and raw.size else np.zeros(0, dtype=np.uint8)), offsets
 
 
-def scan(column: pa.Array, lower: bool = False):
-    """Yield ``(first row, Words)`` over blocks of about ``BLOCK`` bytes; a null text is an empty one."""
+def scan(column: pa.Array, lower: bool = False, fold: np.ndarray | None = None):
+    """Yield ``(first row, Words)`` over blocks of about ``BLOCK`` bytes; a null text is an empty one.
+
+    ``lower`` makes A-Z small; ``fold`` maps bytes by a table of 256 before words are cut.
+    """
+    fold = _LOWER if lower and fold is None else fold
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
@@ -133,8 +137,8 @@ def scan(column: pa.Array, lower: bool = False):
         last = min(last, n)
         a, b = int(offsets[first]), int(offsets[last])
         block = data[a:b]
-        if lower:
-            block = _LOWER[block]
+        if fold is not None:
+            block = fold[block]
         text = offsets[first : last + 1] - a
         edge = np.ones(len(block) + 2, dtype=bool)
         edge[1:-1] = _SPACE[block]
