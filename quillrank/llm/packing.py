@@ -27,7 +27,8 @@ from quillrank.llm.common import Scratch
 
 WINDOW, END = 2048, 1
 #: Words whose ids a worker keeps, in each of two generations; longer words are not kept.
-CACHE_WORDS, CACHE_BYTES = 300_000, 64
+CACHE_WORDS, CACHE_BYTES = 400_000, 64
+_STOPS = b".,"
 #: Unknown words encoded in one call, and bytes of texts handled at once.
 CALL_WORDS, BLOCK = 4096, 1 << 19
 
@@ -70,19 +71,19 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.young, self.old = {}, {}
         special = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.lstrip and not t.rstrip and not t.single_word]
-        self.mark, self.mark_id = special[-1] if special and cuts_at_spaces(path) else (None, None)
+        special = [s for s in special if s[0].startswith("<|")]
+        others = [t for t in self.tokenizer.get_added_tokens_decoder().values() if not t.content.startswith("<|")]
+        self.mark, self.mark_id = special[-1] if special and not others and cuts_at_spaces(path) else (None, None)
+        self.lowers = "Lowercase" in str(self.tokenizer.normalizer)
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
     def _learn(self, unknown: list[bytes]) -> None:
+        """Encode words without ``<|``, which begins every special token of the file."""
         mark = self.mark.encode()
-        apart = [w for w in unknown if b"<" in w or b">" in w]  # may hold or complete a special token
-        for w in apart:
-            self.young[w] = self._ids(w.decode()).tobytes()
-        plain = [w for w in unknown if w not in self.young] if apart else unknown
-        for at in range(0, len(plain), CALL_WORDS):
-            part = plain[at : at + CALL_WORDS]
+        for at in range(0, len(unknown), CALL_WORDS):
+            part = unknown[at : at + CALL_WORDS]
             ids = self._ids(mark.join(part).decode())
             cuts = np.flatnonzero(ids == self.mark_id)
             lo = (np.concatenate([[0], cuts + 1]) * 4).tolist()
@@ -93,20 +94,26 @@ class Encoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if self.mark is None:
             return [self._ids(t.decode()).tobytes() for t in texts]
-        found = [t.split() for t in texts]
-        distinct = set().union(*found)
+        # a text that may hold a special token goes whole; in others letters can be made small first
+        found = [None if b"<|" in t else t.lower().split() if self.lowers else t.split() for t in texts]
+        distinct = set().union(*filter(None, found))
         unknown = distinct.difference(self.young)
         if unknown and len(self.young) > CACHE_WORDS:
             self.old, self.young = self.young, {}
             unknown = distinct
         if unknown:
-            kept = unknown.intersection(self.old)
-            self.young.update((w, self.old[w]) for w in kept)
-            self._learn(list(unknown - kept))
-        out = [b"".join(map(self.young.__getitem__, f)) for f in found]
+            self.young.update([(w, self.old[w]) for w in unknown if w in self.old])
+            new = [w for w in unknown if w not in self.young]
+            # a full stop or comma after a plain letter or digit is a pre-token of its own
+            ends = [w for w in new if w[-1] in _STOPS and len(w) > 1 and w[-2:-1].isalnum()]
+            stems = {w[:-1] for w in ends}.difference(self.young)
+            self._learn(list(stems.union(set(new).difference(ends), [bytes([c]) for c in _STOPS]).difference(self.young)))
+            self.young.update([(w, self.young[w[:-1]] + self.young[w[-1:]]) for w in ends])
+            unknown |= stems
+        out = [self._ids(t.decode()).tobytes() if f is None else b"".join(map(self.young.__getitem__, f)) for t, f in zip(texts, found)]
         for w in unknown:
             if len(w) > CACHE_BYTES:
-                del self.young[w]
+                self.young.pop(w, None)
         return out
 
 

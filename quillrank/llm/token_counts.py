@@ -77,9 +77,8 @@ class Counter:
             self.old, self.young = self.young, dict(self.whole)
             unknown = distinct.difference(self.young)
         if unknown:
-            kept = unknown.intersection(self.old)
-            self.young.update((w, self.old[w]) for w in kept)
-            new = list(unknown - kept)
+            self.young.update([(w, self.old[w]) for w in unknown if w in self.old])
+            new = [w for w in unknown if w not in self.young]
             self.young.update(zip(new, map(len, self.model.encode([w.decode() for w in new], num_threads=1)), strict=True))
         out = [aside[i] if i in aside else sum(map(self.young.__getitem__, s)) for i, s in enumerate(split)]
         for w in unknown:
