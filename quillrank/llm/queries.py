@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillrank.llm import decontamination, ngram_join, packing, quality_rules, token_counts, warc_zip
+from quillrank.llm import decontamination, ngram_join, packing, pii, quality_rules, token_counts, warc_zip
 from quillrank.llm.common import table
 
 WORD_BPE, PIECE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model"
+#: For the registered query only; a user passes a key of their own, from a secret store.
+PII_KEY = "example-key"
 
 
 def op1_benchmark_decontamination(spark: SparkSession, d: str) -> DataFrame:
@@ -17,6 +19,11 @@ def op1_benchmark_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontamination.find_contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+def op2_pii_surrogates(spark: SparkSession, d: str) -> DataFrame:
+    """Every document's text with its mentions replaced, and their number."""
+    return pii.replace_pii(table(spark, d, "documents").select("doc_id", "text"), PII_KEY)
+
+
 def op3_concatenate_and_cut(spark: SparkSession, d: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens."""
     pieces = packing.pack(table(spark, d, "documents"), public_tokenizers.path(WORD_BPE))
@@ -43,7 +50,7 @@ def op10_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return token_counts.token_counts(table(spark, d, "documents"), public_tokenizers.path(PIECE_BPE))
 
 
-QUERIES = {f.__name__: f for f in [op1_benchmark_decontamination, op3_concatenate_and_cut, op4_warc_zip, op8_ngram_jaccard_join,
+QUERIES = {f.__name__: f for f in [op1_benchmark_decontamination, op2_pii_surrogates, op3_concatenate_and_cut, op4_warc_zip, op8_ngram_jaccard_join,
                                    op9_quality_isolation_forest, op10_token_counts]}
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
