@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillrank.llm import decontamination, ngram_join, packing, pii, quality_rules, token_counts, warc_zip
+from quillrank.llm import decontamination, licenses, ngram_join, packing, pii, quality_rules, token_counts, warc_zip
 from quillrank.llm.common import table
 
 WORD_BPE, PIECE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -40,6 +40,11 @@ def op8_ngram_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, d, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op7_license_minhash(spark: SparkSession, d: str) -> DataFrame:
+    """License notices in all documents."""
+    return licenses.scan_licenses(table(spark, d, "documents"))
+
+
 def op9_quality_isolation_forest(spark: SparkSession, d: str) -> DataFrame:
     """Base rules and the isolation forest's verdict on every document."""
     return quality_rules.quality_rules(table(spark, d, "documents"), table(spark, d, "labels"))
@@ -50,7 +55,8 @@ def op10_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return token_counts.token_counts(table(spark, d, "documents"), public_tokenizers.path(PIECE_BPE))
 
 
-QUERIES = {f.__name__: f for f in [op1_benchmark_decontamination, op2_pii_surrogates, op3_concatenate_and_cut, op4_warc_zip, op8_ngram_jaccard_join,
+QUERIES = {f.__name__: f for f in [op1_benchmark_decontamination, op2_pii_surrogates, op3_concatenate_and_cut, op4_warc_zip,
+                                   op7_license_minhash, op8_ngram_jaccard_join,
                                    op9_quality_isolation_forest, op10_token_counts]}
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -78,6 +84,7 @@ comp AS (SELECT s.doc_id, s.n, coalesce(r.component_id, s.doc_id) AS component_i
 
 
 SQL = {
+    "op7_license_minhash": licenses.scan_sql(),
     "op8_ngram_jaccard_join": f"WITH RECURSIVE {jaccard_sql('documents', 4, 85, 100)} SELECT doc_id, n::BIGINT AS n_shingles, component_id FROM comp",
     "op4_warc_zip": """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha1(coalesce(html, '')) AS hex FROM pages),
