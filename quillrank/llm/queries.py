@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillrank.llm import decontamination, licenses, ngram_join, packing, pii, quality_rules, token_counts, warc_zip
+from quillrank.llm import decontamination, gated_lm, licenses, ngram_join, packing, pii, quality_rules, token_counts, toxicity, warc_zip
 from quillrank.llm.common import table
 
 WORD_BPE, PIECE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -40,6 +40,16 @@ def op8_ngram_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, d, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op5_toxicity_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    """Toxicity score of every document, with the examples it comes from."""
+    return toxicity.toxicity(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+def op6_gated_language_model(spark: SparkSession, d: str) -> DataFrame:
+    """Log10 probability of every document by the unigram base and by the gated model."""
+    return gated_lm.document_scores(table(spark, d, "documents"))
+
+
 def op7_license_minhash(spark: SparkSession, d: str) -> DataFrame:
     """License notices in all documents."""
     return licenses.scan_licenses(table(spark, d, "documents"))
@@ -55,8 +65,8 @@ def op10_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return token_counts.token_counts(table(spark, d, "documents"), public_tokenizers.path(PIECE_BPE))
 
 
-QUERIES = {f.__name__: f for f in [op1_benchmark_decontamination, op2_pii_surrogates, op3_concatenate_and_cut, op4_warc_zip,
-                                   op7_license_minhash, op8_ngram_jaccard_join,
+QUERIES = {f.__name__: f for f in [op1_benchmark_decontamination, op2_pii_surrogates, op3_concatenate_and_cut, op4_warc_zip, op5_toxicity_neighbours,
+                                   op6_gated_language_model,                                   op7_license_minhash, op8_ngram_jaccard_join,
                                    op9_quality_isolation_forest, op10_token_counts]}
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
