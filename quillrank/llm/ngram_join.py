@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillrank.llm import words
 from quillrank.llm.common import Scratch, components
@@ -94,13 +95,17 @@ def _list_array(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
 
 
+def _key(grams: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None
+
+
 def _prefixes(k: int, num: int, den: int, frequent):
     def run(batches):
         hot, counts = frequent.value
         for (ids,), sets in _distinct(batches, k, ("doc_id",)):
             keys, first = [], []
             for s in sets:
-                keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+                keys.append(_key(s))
                 n = len(s)
                 take = n - -(-num * n // den) + 1 + n // 10
                 if take < n and len(hot):
@@ -144,7 +149,7 @@ def _possible(x: str, y: str, num: int, den: int) -> str:
 
 
 def ngram_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, class_size)`` per row of ``docs(doc_id, text)``.
+    """``(doc_id, n_shingles, component_id, class_size, key, first_key)`` per row of ``docs(doc_id, text)``.
 
     Two documents link when ``den * |A n B| >= num * |A u B|`` over their sets
     of distinct lower-cased k-word shingles. ``component_id`` is the smallest
@@ -153,7 +158,9 @@ def ngram_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100)
     one shingle. A row without a doc_id takes part and gets the smallest id of
     its component, null where there is none. Repeated rows are repeated in the
     result; rows of one id and different texts are separate documents. Other
-    columns are ignored. An empty table gives an empty result.
+    columns are ignored. An empty table gives an empty result. ``class_size``
+    rows have the same set; ``key`` stands for it (null for an empty one), and
+    ``first_key`` for the set of the row that ``component_id`` names.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "ngram-join")
@@ -202,12 +209,46 @@ def ngram_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100)
     roots = scratch.save(components(scratch, links.union(more)), "final")
 
     member = nodes.select("key", "node", "doc_id").join(roots, "node", "left").select("key", "doc_id", F.coalesce("root", "node").alias("root"))
-    named = member.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    member = member.join(named, "root").select("key", "component_id")
+    named = member.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key")).alias("f"))
+    named = named.select("root", F.col("f.doc_id").alias("component_id"), F.col("f.key").alias("first_key"))
+    member = member.join(named, "root").select("key", "component_id", "first_key")
     sizes = sized.where("n > 0").groupBy("key").agg(F.count("*").alias("class_size"))
     member = member.join(sizes, "key")
     out = sized.select("doc_id", "n", "key").join(member, "key", "left")
     out = out.select("doc_id", F.col("n").alias("n_shingles"),
                      F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-                     F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"))
+                     F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"), "key", "first_key")
     return scratch.finish(out)
+
+
+def _keyed(k: int):
+    def run(batches):
+        for batch in batches:
+            names = batch.schema.names
+            for others, sets in _distinct([batch], k, tuple(names)):
+                yield pa.RecordBatch.from_arrays([*others, pa.array([_key(s) for s in sets], pa.binary())], [*names, "__key"])
+
+    return run
+
+
+def keep_first(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest doc_id, all columns as they are.
+
+    Rows without words link with nothing and all stay. Rows without an id go
+    where their component has an id. Of several rows of the id that stays and of
+    one shingle set (or without any id), the one whose row is smallest as JSON does.
+    """
+    kept = [F.col(f"`{c}`") for c in docs.columns]
+    found = ngram_components(docs, k, num, den).where("key IS NOT NULL")
+    stays = (F.col("key") == F.col("first_key")) & F.col("doc_id").eqNullSafe(F.col("component_id"))
+    lost = found.where(~stays).select(F.col("doc_id").alias("__id"), F.col("key").alias("__lost")).distinct()
+    again = found.where(stays).groupBy("key", "doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("__id"), F.col("key").alias("__lost"))
+
+    rows = docs.mapInArrow(_keyed(k), T.StructType([*docs.schema.fields, T.StructField("__key", T.BinaryType())]))
+    mine = (F.col("__key") == F.col("__lost")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
+    rows = rows.join(lost, mine, "left_anti")
+    if not again.limit(1).count():
+        return rows.select(*kept)
+    row = F.struct(*kept)
+    once = rows.join(again, mine, "left_semi").groupBy("__key").agg(F.min_by(row, F.to_json(row)).alias("r")).select("r.*")
+    return rows.join(again, mine, "left_anti").select(*kept).unionByName(once)

@@ -181,20 +181,20 @@ def surrogates(values: DataFrame, key: str, scratch: Scratch) -> DataFrame:
     raise RuntimeError(f"surrogates still collide after {ROUNDS} rounds: a kind has fewer surrogates than values")
 
 
-def replace_pii(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """``docs`` with every mention in ``text`` replaced, and ``n_pii``, the number of mentions.
+def replace_pii(docs: DataFrame, key: str, text: str = "text", count: str = "n_pii") -> DataFrame:
+    """``docs`` with every mention in ``text`` replaced, and the number of mentions in the column ``count``.
 
-    All other columns stay (one named ``n_pii`` is replaced). A null text stays
+    All other columns stay (one named as ``count`` is replaced). A null text stays
     null and an empty one empty, with 0 mentions. Repeated rows get the same
     surrogates and stay repeated. An empty table gives an empty one.
     """
     if not key:
         raise ValueError("a key is needed")
     scratch = Scratch(docs.sparkSession, "pii")
-    kept = [c for c in docs.columns if c != "n_pii"]
+    kept = [c for c in docs.columns if c != count]
     body = F.col(f"`{text}`").cast("string")
     docs = docs.select(*[F.col(f"`{c}`") for c in kept])
-    clean = docs.where(~F.coalesce(body.rlike(PII), F.lit(False))).withColumn("n_pii", F.lit(0).cast("long"))
+    clean = docs.where(~F.coalesce(body.rlike(PII), F.lit(False))).withColumn(count, F.lit(0).cast("long"))
 
     hit = docs.where(body.rlike(PII)).select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"))
     hit = scratch.save(hit, "hit")
@@ -208,5 +208,5 @@ def replace_pii(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     gaps = F.split(body, PII, -1)
     with_gap = F.transform(F.col("p"), lambda x: F.concat(F.when(x["part"] == 0, F.element_at(gaps, x["at"] + 1)).otherwise(F.lit("")), x["s"]))
     new = F.concat(F.array_join(with_gap, ""), F.element_at(gaps, -1))
-    out = hit.join(put, "row").select(F.col("doc").withField(f"`{text}`", new).alias("doc"), (F.size(gaps) - 1).cast("long").alias("n_pii"))
-    return out.select("doc.*", "n_pii").unionByName(clean)
+    out = hit.join(put, "row").select(F.col("doc").withField(f"`{text}`", new).alias("doc"), (F.size(gaps) - 1).cast("long").alias(count))
+    return out.select("doc.*", f"`{count}`").unionByName(clean)
