@@ -10,8 +10,8 @@ not depend on the size of the benchmark.
 A task slides passages of ``PASSAGE`` words, ``STRIDE`` apart, over each text
 (the last one reaches the end). As in block-max WAND (Ding and Suel, 2011) a
 block is skipped when the sum of the passage's block maxima stays below the
-block's lowest threshold; here the sums of all passages and blocks are taken
-at once from running totals. Items of blocks that remain are scored exactly.
+block's lowest threshold; here the sums of all passages and blocks of a run of
+texts are taken at once. Items of blocks that remain are scored exactly.
 An item is retrieved when its score reaches ``SHARE`` of the score it has for
 its own text; every such pair of passage and item is then verified against
 the whole document: the share of the question's and of the answer's
@@ -96,6 +96,12 @@ def _passages(n: int) -> np.ndarray:
     return np.arange(max(1, math.ceil((n - PASSAGE) / STRIDE) + 1)) * STRIDE if n else np.zeros(0, np.int64)
 
 
+def _ranges(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """All whole numbers of the ranges ``lo[i]`` to ``hi[i]``, one range after the other."""
+    size = hi - lo
+    return np.arange(size.sum()) + np.repeat(lo - (np.cumsum(size) - size), size)
+
+
 def retrieve(index: Index, block: words.Words) -> list[tuple[int, int, int, float]]:
     """All ``(row, first word, item position, score)`` at or above the thresholds."""
     if not len(index.ids) or not len(block.hash):
@@ -105,24 +111,28 @@ def retrieve(index: Index, block: words.Words) -> list[tuple[int, int, int, floa
     place = np.flatnonzero(known)
     if not len(place):
         return []
-    terms = at[place]
-    total = np.zeros((len(place) + 1, index.most.shape[1]), np.float64)
-    np.cumsum(index.most[terms], axis=0, dtype=np.float64, out=total[1:])
     counts = np.diff(block.row)
     parts = [(i, _passages(n)) for i, n in enumerate(counts) if n]
     row = np.concatenate([np.full(len(p), i) for i, p in parts])
     begin = np.concatenate([p for _, p in parts])
     lo = block.row[row] + begin
-    hi = np.minimum(lo + PASSAGE, block.row[row + 1])
-    a, b = np.searchsorted(place, lo), np.searchsorted(place, hi)
-    bound = total[b] - total[a]
+    a, b = np.searchsorted(place, lo), np.searchsorted(place, np.minimum(lo + PASSAGE, block.row[row + 1]))
+    # distinct (passage, word) pairs, passage by passage
+    passage = np.repeat(np.arange(len(row)), b - a)
+    pairs = np.unique(passage * len(index.vocab) + at[place[_ranges(a, b)]])
+    passage, term = pairs // len(index.vocab), pairs % len(index.vocab)
+    first = np.searchsorted(passage, np.arange(len(row) + 1))
+    some = np.flatnonzero(np.diff(first))
+    bound = np.add.reduceat(index.most[term], first[some], axis=0)
+    open_at, open_block = np.nonzero(bound * np.float32(1.0001) >= index.block_need)
     found = []
-    for p, k in np.argwhere(bound * 1.0001 + 1e-6 >= index.block_need):
+    for k in np.unique(open_block):
+        mine = some[open_at[open_block == k]]
         items = slice(k * BLOCK_ITEMS, (k + 1) * BLOCK_ITEMS)
-        distinct = np.unique(terms[a[p] : b[p]])
-        score = index.weight[distinct, items].sum(0)
-        for j in np.flatnonzero(score >= index.need[items]):
-            found.append((int(row[p]), int(begin[p]), int(k * BLOCK_ITEMS + j), float(score[j])))
+        size = np.diff(first)[mine]
+        score = np.add.reduceat(index.weight[term[_ranges(first[mine], first[mine] + size)], items], np.cumsum(size) - size, axis=0)
+        for p, j in zip(*np.nonzero(score * np.float32(1.0001) >= index.need[items])):
+            found.append((int(row[mine[p]]), int(begin[mine[p]]), int(k * BLOCK_ITEMS + j), float(score[p, j])))
     return found
 
 
