@@ -1,0 +1,33 @@
+"""The batch jobs, from files to lines (FIXTURES.md)."""
+
+import pytest
+
+import fixtures as fx
+from quillrank import jobs
+from quillrank.session import scratch_path
+
+
+def read(spark, path):
+    return [r.value.split("\t") for r in spark.read.text(path).collect()]
+
+
+def test_tfidf_job(spark, lines):
+    src, out = (scratch_path(spark, x) for x in ("in", "out"))
+    lines(fx.ARTICLE_LINES).write.text(src)
+    jobs.main(["tfidf", "--articles", src, "--out", out, "--term", "cloud"])
+    assert [(t, round(float(w), 9)) for t, w in read(spark, out)] == [("Alpha", 0.665546249), ("Beta, Inc", 0.443697499), ("Delta", 0.22184875)]
+    jobs.main(["tfidf", "--articles", src, "--out", out, "--k", "0", "--title-key", "before_comma"])
+    assert {t for t, _ in read(spark, out)} == {"Alpha", "Beta", "Delta"}
+
+
+@pytest.mark.parametrize("variant", ["A", "B", "C"])
+def test_pagerank_job(spark, lines, variant):
+    arcs, labels, out = (scratch_path(spark, x) for x in ("arcs", "labels", "out"))
+    lines(fx.ARC_LINES).write.text(arcs)
+    lines(fx.LABEL_LINES).write.text(labels)
+    jobs.main(["pagerank", "--variant", variant, "--arcs", arcs, "--labels", labels, "--out", out])
+    got = read(spark, out)
+    assert {n: round(float(r), 9) for n, r in got} == fx.PAGERANK[(variant, 10)]
+    assert [float(r) for _, r in got] == sorted((float(r) for _, r in got), reverse=True)
+    jobs.main(["pagerank", "--variant", variant, "--arcs", arcs, "--labels", labels, "--out", out, "--k", "1", "--bottom"])
+    assert len(read(spark, out)) == 1
