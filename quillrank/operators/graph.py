@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 # Out-links per salt bucket before a source is treated as a hub and split.
 HUB_DEGREE = 100_000
+# Hex digits of the target's hash that split every neighbour list.
+CHUNK_DIGITS = 2
 
 
 def distinct_arcs(arcs: DataFrame) -> DataFrame:
@@ -31,8 +33,13 @@ def initial_ranks(deg: DataFrame, value: float = 1.0) -> DataFrame:
 
 
 def dangling_nodes(labels: DataFrame, deg: DataFrame) -> DataFrame:
-    """Label rows whose id has no out-link (duplicates kept, an anti-join)."""
-    return labels.join(deg.select(F.col("src").alias("id")), "id", "left_anti")
+    """Label rows whose id has no out-link (duplicates kept, an anti-join).
+
+    Every degree is above 0; reading it keeps the degree aggregate whole, so
+    its shuffle is shared with the other branches of a plan instead of the
+    arcs being read again.
+    """
+    return labels.join(deg.where("deg > 0").select(F.col("src").alias("id")), "id", "left_anti")
 
 
 def label_count(labels: DataFrame) -> DataFrame:
@@ -51,18 +58,15 @@ def salt_of(dst: Column, nsalt: Column) -> Column:
     return F.pmod(F.xxhash64(dst), nsalt.cast("long")).cast("int")
 
 
-def adjacency(arcs: DataFrame, hub_degree: int = HUB_DEGREE) -> DataFrame:
-    """(src, dsts): each source's sorted neighbours joined by commas.
+def adjacency(arcs: DataFrame, chunk_digits: int = CHUNK_DIGITS) -> DataFrame:
+    """(src, chunk, dsts): sorted neighbours joined by commas, per source and chunk.
 
-    A source with at most ``hub_degree`` distinct targets gets one row. A hub
-    gets about deg / hub_degree rows (its targets hashed into chunks), so no
-    row and no task holds an unbounded neighbour list.
+    A target's chunk is the first ``chunk_digits`` hex digits of the md5 of its
+    id as text, for every source alike, so the grain does not depend on the
+    data. A row holds about deg / 16**chunk_digits targets: take more digits
+    for a graph of larger hubs.
     """
-    arcs_d = distinct_arcs(arcs)
-    deg = out_degree(arcs_d)
-    chunked = arcs_d.join(deg, "src").withColumn(
-        "chunk", salt_of(F.col("dst"), salt_count(F.col("deg"), hub_degree))
-    )
-    return chunked.groupBy("src", "chunk").agg(
+    chunk = F.substring(F.md5(F.col("dst").cast("string").cast("binary")), 1, chunk_digits)
+    return distinct_arcs(arcs).groupBy("src", chunk.alias("chunk")).agg(
         F.array_join(F.transform(F.sort_array(F.collect_list("dst")), lambda x: x.cast("string")), ",").alias("dsts")
-    ).select("src", "dsts")
+    )

@@ -28,7 +28,11 @@ Plan, per round (checked in ``tests/test_plans.py``):
   map-side). Round outputs are written to the checkpoint folder, which cuts
   the lineage and survives lost executors: every round for A and B, whose
   scalars (mass, normalizer) are observed while that output is written, and
-  every third round for C.
+  every fifth round for C. A round's folder is deleted once the next one is
+  written, the link table in :meth:`PageRank.close`.
+* The join with the ranks is sorted, so it can spill; with
+  ``spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold`` set, adaptive
+  execution hashes it where every partition was measured small.
 """
 
 from __future__ import annotations
@@ -47,32 +51,39 @@ from quillrank.operators.graph import (
     salt_count,
     salt_of,
 )
-from quillrank.session import scratch_path
+from quillrank.session import delete_path, scratch_path
 
 DISTINCT_CONTRIBS = "distinct_contribs"
 DISTINCT_LABELS = "distinct_labels"
-# Contributions are compared at 12 decimals when counting distinct ones, so
-# the count does not depend on the summation order of the previous round.
+# Contributions are compared at 12 significant digits when counting distinct
+# ones, so the count does not depend on the summation order of the previous
+# round, however small they are.
 CONTRIB_DIGITS = 12
 
 
+def significant(c: Column, digits: int = CONTRIB_DIGITS) -> Column:
+    """A positive number at so many significant digits (others as they are)."""
+    scale = F.pow(F.lit(10.0), F.floor(F.log10(F.when(c > 0, c))))
+    return F.coalesce(F.round(c / scale, digits - 1) * scale, c)
+
+
 class PageRank:
     """A prepared graph that runs rounds of one PageRank variant."""
 
     def __init__(self, arcs: DataFrame, labels: DataFrame | None = None, *,
                  dangling: bool = False, normalizer: str = DISTINCT_LABELS,
-                 base: float = 0.15, damping: float = 0.85,
+                 base: float = 0.15, damping: float = 0.85,  # fixed values of the original jobs
                  hub_degree: int = HUB_DEGREE, partitions: int | None = None):
         if dangling and labels is None:
             raise ValueError("dangling mass needs the label table")
         if normalizer not in (DISTINCT_LABELS, DISTINCT_CONTRIBS):
             raise ValueError(f"unknown normalizer {normalizer!r}")
         self.spark = arcs.sparkSession
-        self.arcs = arcs.select("src", "dst")
+        # An arc without one of its ends is none. Said once here, the filter is the
+        # same in every branch of the build, which then share their shuffles.
+        self.arcs = arcs.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL")
         self.id_type = dict(self.arcs.dtypes)["src"]
-        self.labels = None
-        if labels is not None:
-            self.labels = labels.select(F.col("id").cast(self.id_type).alias("id"), "name")
+        self.labels = labels.select("id", "name") if labels is not None else None
         self.dangling = dangling
         self.normalizer = normalizer
         self.base = float(base)
@@ -80,12 +91,13 @@ class PageRank:
         self.hub_degree = int(hub_degree)
         self.partitions = int(partitions or self.spark.conf.get("spark.sql.shuffle.partitions"))
         self._links: DataFrame | None = None
+        self._links_path: str | None = None
         self._label_rows: int | None = None
 
     # ------------------------------------------------------------------ build
     def links(self) -> DataFrame:
         """The loop-invariant link table (built and written on first use):
-        (src, salt, dst, deg, nsalt, dst_nsalt, dst_dmult)."""
+        (src, salt, dst, deg, nsalt, dst_nsalt), and dst_dmult for the dangling variants."""
         if self._links is None:
             self._links = self._build()
         return self._links
@@ -98,40 +110,50 @@ class PageRank:
         nodes = deg.select(F.col("src").alias("id"), "deg", "nsalt", F.lit(0).cast("long").alias("dmult"))
         if self.dangling:
             # Sources and dangling ids are disjoint, so a union replaces a join.
-            dm = dangling_nodes(self.labels, deg).groupBy("id").agg(F.count(F.lit(1)).alias("dmult"))
+            # An id that is none of the arcs' type can't be ranked, so it has no mass.
+            ids = self.labels.select(F.col("id").try_cast(self.id_type).alias("id")).where("id IS NOT NULL")
+            dm = dangling_nodes(ids, deg).groupBy("id").agg(F.count(F.lit(1)).alias("dmult"))
             nodes = nodes.unionByName(
                 dm.select("id", F.lit(None).cast("long").alias("deg"), F.lit(1).alias("nsalt"), "dmult")
             )
         return nodes
 
-    def _build(self) -> DataFrame:
-        # One job: the distinct-arc and degree shuffles are shared by every
-        # branch (ReusedExchange), so nothing needs caching.
+    def unwritten_links(self) -> DataFrame:
+        """The link rows before they are written."""
+        # One job: every branch reads the degree, so the distinct-arc and degree
+        # shuffles are shared (ReusedExchange) and the arcs are read once.
         nodes = self.nodes()
         src_attr = nodes.where(F.col("deg").isNotNull()).select(F.col("id").alias("src"), "deg", "nsalt")
         dst_attr = nodes.select(
             F.col("id").alias("dst"), F.col("nsalt").alias("dst_nsalt"), F.col("dmult").alias("dst_dmult")
         )
-        links = (
+        return (
             distinct_arcs(self.arcs).join(src_attr, "src")
             .withColumn("salt", salt_of(F.col("dst"), F.col("nsalt")))
             .join(dst_attr, "dst", "left")
             .select(
                 "src", "salt", "dst", "deg", "nsalt",
                 F.coalesce("dst_nsalt", F.lit(1)).alias("dst_nsalt"),
-                F.coalesce("dst_dmult", F.lit(0).cast("long")).alias("dst_dmult"),
+                *([F.coalesce("dst_dmult", F.lit(0).cast("long")).alias("dst_dmult")] if self.dangling else []),
             )
         )
-        table = f"quillrank_links_{uuid.uuid4().hex[:12]}"
+
+    def _build(self) -> DataFrame:
+        # Bucketing needs Spark's own catalog, whichever one is current.
+        table = f"spark_catalog.default.quillrank_links_{uuid.uuid4().hex[:12]}"
+        self._links_path = scratch_path(self.spark, "links")
         (
             # One writer task per bucket: one file per bucket, however many tasks.
-            links.repartition(self.partitions, "src", "salt")
+            self.unwritten_links().repartition(self.partitions, "src", "salt")
             .write.format("parquet")
             .bucketBy(self.partitions, "src", "salt")
-            .option("path", scratch_path(self.spark, "links"))
+            .option("path", self._links_path)
             .saveAsTable(table)
         )
         resolved = self.spark.table(table)
+        spec = {r["col_name"]: r["data_type"] for r in self.spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+        if spec.get("Num Buckets") != str(self.partitions):
+            raise RuntimeError("the link table was not bucketed by this catalog")
         # The resolved relation keeps its bucket spec and files; the catalog
         # entry (external, so dropping keeps the files) is not needed after
         # this and is not left in a shared metastore.
@@ -141,9 +163,8 @@ class PageRank:
     def initial(self) -> DataFrame:
         """(id, rank, nsalt, dmult): 1.0 for every node with an out-link."""
         per_src = self.links().groupBy("src").agg(F.max("nsalt").alias("nsalt"))
-        return per_src.select(
-            F.col("src").alias("id"), F.lit(1.0).alias("rank"), "nsalt", F.lit(0).cast("long").alias("dmult")
-        )
+        dmult = [F.lit(0).cast("long").alias("dmult")] if self.dangling else []
+        return per_src.select(F.col("src").alias("id"), F.lit(1.0).alias("rank"), "nsalt", *dmult)
 
     # ------------------------------------------------------------------ round
     def _joined(self, ranks: DataFrame) -> DataFrame:
@@ -151,15 +172,11 @@ class PageRank:
         fan = ranks.select(
             F.col("id").alias("src"), "rank", F.explode(F.sequence(F.lit(0), F.col("nsalt") - 1)).alias("salt")
         )
-        # The rank rows are the small side: build the hash table on them and
-        # stream the bucketed links without sorting them.
-        return self.links().join(fan.hint("shuffle_hash"), ["src", "salt"])
+        return self.links().join(fan, ["src", "salt"])
 
     def contributions(self, ranks: DataFrame) -> DataFrame:
-        """(dst, contrib, dst_nsalt, dst_dmult): rank / out-degree along each link."""
-        return self._joined(ranks).select(
-            "dst", (F.col("rank") / F.col("deg")).alias("contrib"), "dst_nsalt", "dst_dmult"
-        )
+        """(dst, contrib): rank / out-degree along each link."""
+        return self._joined(ranks).select("dst", (F.col("rank") / F.col("deg")).alias("contrib"))
 
     def intermediate(self, ranks: DataFrame) -> DataFrame:
         """(id, rank, nsalt, dmult[, ndist]): damped sums of one round.
@@ -170,10 +187,11 @@ class PageRank:
         aggs = [
             (F.lit(self.base) + F.lit(self.damping) * F.sum(contrib)).alias("rank"),
             F.max("dst_nsalt").alias("nsalt"),
-            F.max("dst_dmult").alias("dmult"),
         ]
+        if self.dangling:
+            aggs.append(F.max("dst_dmult").alias("dmult"))
         if self.dangling and self.normalizer == DISTINCT_CONTRIBS:
-            aggs.append(F.count_distinct(F.round(contrib, CONTRIB_DIGITS)).alias("ndist"))
+            aggs.append(F.count_distinct(significant(contrib)).alias("ndist"))
         return self._joined(ranks).groupBy(F.col("dst").alias("id")).agg(*aggs)
 
     def label_rows(self) -> int:
@@ -213,16 +231,22 @@ class PageRank:
         lineage. The dangling variants write every round: the mass and
         normaliser are observed while the round is written, so no second
         pass is needed. Variant C needs no scalar, so by default it chains
-        three rounds per job (a lost executor recomputes at most those).
+        five rounds per job (a lost executor recomputes at most those). Only
+        the folder that the result reads is left.
         """
         if write_every is None:
-            write_every = 1 if self.dangling else 3
+            write_every = 1 if self.dangling else 5
         if self.dangling and write_every != 1:
             raise ValueError("the dangling variants need every round written")
         ranks = self.initial()
         run = scratch_path(self.spark, "ranks")
         if self.dangling and self.normalizer == DISTINCT_LABELS:
             self.label_rows()
+        if not iterations:  # the result must not read the link table, which close() deletes
+            path = f"{run}/round-0000"
+            ranks.write.parquet(path)
+            ranks = self.spark.read.schema(ranks.schema).parquet(path)
+        before = None
         for i in range(iterations):
             inter = self.intermediate(ranks)
             if (i + 1) % write_every and i + 1 < iterations:
@@ -236,6 +260,9 @@ class PageRank:
             path = f"{run}/round-{i:04d}"
             inter.write.parquet(path)
             ranks = self.spark.read.schema(schema).parquet(path)
+            if before:
+                delete_path(self.spark, before)
+            before = path
             if obs is not None:
                 got = obs.get
                 share = self.share(float(got["mass"]), self._normalizer(got))
@@ -243,9 +270,10 @@ class PageRank:
         return ranks.select("id", "rank")
 
     def close(self) -> None:
-        """Forget the link table (its files stay in the checkpoint folder,
-        which the cluster cleans)."""
-        self._links = None
+        """Delete the link table; what :meth:`run` returned does not read it."""
+        if self._links_path:
+            delete_path(self.spark, self._links_path)
+        self._links = self._links_path = None
 
 
 def pagerank(arcs: DataFrame, labels: DataFrame | None = None, *, iterations: int = 10,
@@ -260,6 +288,7 @@ def pagerank(arcs: DataFrame, labels: DataFrame | None = None, *, iterations: in
 
 def rank_labels(ranks: DataFrame, labels: DataFrame) -> DataFrame:
     """(id, name, rank): inner join, so unlabelled nodes drop out and a node
-    with several labels appears once per label."""
-    lab = labels.select(F.col("id").cast(dict(ranks.dtypes)["id"]).alias("id"), "name")
+    with several labels appears once per label. A label id that is none of the
+    ranks' type matches nothing."""
+    lab = labels.select(F.col("id").try_cast(dict(ranks.dtypes)["id"]).alias("id"), "name")
     return ranks.join(lab, "id").select("id", "name", "rank")

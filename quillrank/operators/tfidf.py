@@ -9,9 +9,11 @@ Plan shape (see ``tests/test_plans.py``): tokens are exploded inside the scan
 stage; tf is a two-phase aggregate (partial counts per task before the
 shuffle, so a stop-word never moves row by row); df aggregates the tf rows the
 same way; tf joins df on ``word``, where AQE splits a hot word's partition
-(or broadcasts df when its runtime size is small); N is a scalar subquery.
-df and N read the tf rows through the tf column, so all three share one tf
-shuffle and the corpus is tokenized once. A single-term lookup
+(or broadcasts df when its runtime size is small). Each article also gives one
+row under a marker that no tokenizer produces, counted as 0: N is the number
+of its titles, a scalar subquery over the same tf rows, so a body without
+words (or a null one) still counts and no title is shuffled for N. All
+branches share one tf shuffle and the corpus is tokenized once. A single-term lookup
 (:func:`term_weights`) skips the explode: it counts the term inside each
 article's token array and aggregates by title.
 """
@@ -22,26 +24,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillrank.functions.text import token_array, token_array_glued
-from quillrank.operators.topk import DIGITS, top_k
-from quillrank.plans.partitioning import spread_to_cores
+from quillrank.operators.topk import top_k
 
 FULL = "full"
 BEFORE_COMMA = "before_comma"
+# Stands for an article itself among its words; words have letters only.
+MARKER = "#"
 
 
 def tokens(articles: DataFrame, keep_empty: bool = True) -> DataFrame:
     """(title, word): one row per word occurrence."""
-    out = spread_to_cores(articles.select("title", "body")).select(
-        "title", F.explode(token_array("body")).alias("word")
-    )
+    out = articles.select("title", F.explode(token_array("body")).alias("word"))
     return out if keep_empty else out.where(F.col("word") != "")
 
 
 def tokens_glued(articles: DataFrame) -> DataFrame:
     """(title, word) with the second tokenizer (tags glue neighbouring text)."""
-    return spread_to_cores(articles.select("title", "body")).select(
-        "title", F.explode(token_array_glued("body")).alias("word")
-    )
+    return articles.select("title", F.explode(token_array_glued("body")).alias("word"))
 
 
 def term_freq(toks: DataFrame) -> DataFrame:
@@ -49,6 +48,16 @@ def term_freq(toks: DataFrame) -> DataFrame:
     return toks.groupBy("word", "title").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def marked_term_freq(articles: DataFrame) -> DataFrame:
+    """(word, title, tf) with one more row per title: the marker, of tf 0.
+
+    ``where("tf > 0")`` gives the words, :func:`titles_in` the number of titles.
+    """
+    words = F.coalesce(F.concat(token_array("body"), F.array(F.lit(MARKER))), F.array(F.lit(MARKER)))
+    toks = articles.select("title", F.explode(words).alias("word"))
+    return toks.groupBy("word", "title").agg(F.count(F.when(F.col("word") != MARKER, True)).alias("tf"))
+
+
 def _present(tf: DataFrame):
     # tf > 0 always holds; counting through it keeps the tf aggregate whole,
     # so df, N and the join share one tf shuffle (ReusedExchange) instead of
@@ -61,9 +70,9 @@ def doc_freq(tf: DataFrame) -> DataFrame:
     return tf.groupBy("word").agg(F.count(F.when(_present(tf), True)).alias("df"))
 
 
-def titles_in(tf: DataFrame) -> DataFrame:
-    """One row (n): distinct titles of a tf table, sharing its shuffle."""
-    return tf.agg(F.countDistinct(F.when(_present(tf), F.col("title"))).alias("n"))
+def titles_in(marked: DataFrame) -> DataFrame:
+    """One row (n): distinct titles of a :func:`marked_term_freq` table, sharing its shuffle."""
+    return marked.agg(F.count(F.when(F.col("tf") == 0, F.col("title"))).alias("n"))
 
 
 def doc_count(articles: DataFrame) -> DataFrame:
@@ -90,16 +99,16 @@ def tfidf(articles: DataFrame, *, keep_empty: bool = True, title_key: str = FULL
           term: str | None = None) -> DataFrame:
     """(word, title, tf, df, w) for every word and title, or for one ``term``.
 
-    N is exact: every article yields at least one token before the empty word
-    is dropped, so N is read off the tf aggregate (sharing its shuffle).
+    N counts the titles of all articles, null bodies included (they have no
+    words); a null title is no title.
     """
     if term is not None:
         return term_weights(articles, term, keep_empty=keep_empty, title_key=title_key)
-    tf = term_freq(tokens(articles, keep_empty=True))
-    n = titles_in(tf)
+    marked = marked_term_freq(articles)
+    tf = marked.where(F.col("tf") > 0)
     if not keep_empty:
         tf = tf.where(F.col("word") != "")
-    return weights(tf, n, title_key=title_key)
+    return weights(tf, titles_in(marked), title_key=title_key)
 
 
 def term_weights(articles: DataFrame, term: str, *, keep_empty: bool = True,
@@ -114,17 +123,17 @@ def term_weights(articles: DataFrame, term: str, *, keep_empty: bool = True,
     if term == "" and not keep_empty:
         hits = F.lit(0)
     else:
-        hits = F.size(F.filter(token_array("body"), lambda w: w == F.lit(term)))
+        hits = F.coalesce(F.size(F.filter(token_array("body"), lambda w: w == F.lit(term))), F.lit(0))
+        hits = F.greatest(hits, F.lit(0))  # size of null is -1 where ANSI mode is off
     per_title = (
-        spread_to_cores(articles.select("title", "body"))
-        .select("title", hits.cast("long").alias("hits"))
+        articles.select("title", hits.cast("long").alias("hits"))
         .groupBy("title")
         .agg(F.sum("hits").alias("tf"))
     )
     # One struct-valued scalar subquery over the same per-title aggregate. It
     # reads tf, so Catalyst keeps the aggregate whole and reuses its shuffle.
     stats = per_title.agg(
-        F.struct(F.count(F.lit(1)).alias("n"), F.count(F.when(_present(per_title), True)).alias("df"))
+        F.struct(F.count("title").alias("n"), F.count(F.when(_present(per_title), True)).alias("df"))
     ).scalar()
     n, df = stats.getField("n"), stats.getField("df")
     return per_title.where(F.col("tf") > 0).select(
@@ -155,7 +164,7 @@ def tfidf_term(articles: DataFrame, term: str, **kw) -> DataFrame:
 
 
 def tfidf_topk(articles: DataFrame, term: str = "cloud", k: int = 100, *,
-               title_key: str = FULL, keep_empty: bool = True, digits: int = DIGITS) -> DataFrame:
+               title_key: str = FULL, keep_empty: bool = True, digits: int | None = None) -> DataFrame:
     """(title, w): the k titles with the highest weight for ``term``.
 
     Ties go to the larger title. With ``before_comma`` several titles can

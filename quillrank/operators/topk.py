@@ -2,9 +2,10 @@
 
 ``orderBy(...).limit(k)`` plans as ``TakeOrderedAndProject``: every task keeps
 its own k best rows and only those reach the final merge, so no full sort and
-no whole result on the driver. Values are compared after rounding (so engines
-that sum in a different order agree) and ties are broken by the given columns,
-which makes the order total.
+no whole result on the driver. Ties are broken by the given columns, which
+makes the order total. ``digits`` compares values after rounding, for results
+that must agree with an engine that sums in a different order; by default the
+values themselves are compared.
 """
 
 from __future__ import annotations
@@ -12,26 +13,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DIGITS = 9
-
-
 def _key(value: str, digits: int | None) -> Column:
     return F.round(F.col(value), digits) if digits is not None else F.col(value)
 
 
-def top_k(df: DataFrame, value: str, *ties: str, k: int = 100, digits: int | None = DIGITS) -> DataFrame:
+def top_k(df: DataFrame, value: str, *ties: str, k: int = 100, digits: int | None = None) -> DataFrame:
     """The k rows with the largest ``value``; ties by ``ties`` descending."""
     order = [_key(value, digits).desc()] + [F.col(t).desc() for t in ties]
     return df.orderBy(*order).limit(k)
 
 
-def bottom_k(df: DataFrame, value: str, *ties: str, k: int = 100, digits: int | None = DIGITS) -> DataFrame:
+def bottom_k(df: DataFrame, value: str, *ties: str, k: int = 100, digits: int | None = None) -> DataFrame:
     """The k rows with the smallest ``value``; ties by ``ties`` ascending."""
     order = [_key(value, digits).asc()] + [F.col(t).asc() for t in ties]
     return df.orderBy(*order).limit(k)
 
 
-def sort_all(df: DataFrame, value: str, *ties: str, digits: int | None = DIGITS,
+def sort_all(df: DataFrame, value: str, *ties: str, digits: int | None = None,
              ascending: bool = False) -> DataFrame:
     """Full ordering of a result (range-partitioned sort, no limit)."""
     key = _key(value, digits)

@@ -16,6 +16,7 @@ ARTICLES = (
     "SELECT page_id AS article_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, "
     "html AS body FROM pages"
 )
+# Fixed values, as in functions/text.py: the tag, non-letter and escaped line break patterns.
 # Tags and literal backslash-n become spaces, non-letter runs one space, lower, trim.
 CLEAN = (
     "trim(lower(regexp_replace(replace(regexp_replace(body, '<[^>]*>', ' ', 'g'), '\\n', ' '), "
@@ -54,6 +55,20 @@ FROM lineitem a JOIN lineitem b
 WHERE a.l_partkey <> b.l_partkey
   AND a.l_returnflag = 'R' AND a.l_linestatus = 'F' AND b.l_returnflag = 'R'"""
 
+# Without the filters on returned lines.
+ARCS_FULL = """
+SELECT a.l_partkey AS src, b.l_partkey AS dst
+FROM lineitem a JOIN lineitem b
+  ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1
+WHERE a.l_partkey <> b.l_partkey"""
+
+# Fields of an arc record are apart by 1 to 3 of these characters, from the data.
+SEPARATORS = " \t  \t"
+WS_LINE = (
+    "repeat(' ', (src % 2)::BIGINT) || CAST(src AS VARCHAR) || "
+    f"substr('{SEPARATORS}', (1 + src % 3)::BIGINT, (1 + dst % 3)::BIGINT) || CAST(dst AS VARCHAR) || repeat(chr(9), (dst % 2)::BIGINT)"
+)
+
 LABELS_TAB = "SELECT p_partkey AS id, p_name AS name FROM part"
 # The whitespace reader splits the whole record on whitespace runs.
 LABELS_WS = (
@@ -61,21 +76,31 @@ LABELS_WS = (
     "string_split_regex(CAST(p_partkey AS VARCHAR) || chr(9) || p_name, '\\s+')[2] AS name FROM part"
 )
 
-GRAPH_CTES = f"""
-arcs AS (SELECT DISTINCT src, dst FROM ({ARCS_RAW})),
+def graph_ctes(arcs: str) -> str:
+    return f"""
+arcs AS (SELECT DISTINCT src, dst FROM ({arcs})),
 deg AS (SELECT src, count(*) AS deg FROM arcs GROUP BY src),
 links AS (SELECT a.src, a.dst, d.deg FROM arcs a JOIN deg d USING (src))"""
 
 
+GRAPH_CTES = graph_ctes(ARCS_RAW)
+
+
+def significant(c: str, digits: int = 12) -> str:
+    """A positive number at so many significant digits."""
+    scale = f"pow(10.0::DOUBLE, floor(log10({c})))"
+    return f"(round({c} / {scale}, {digits - 1}) * {scale})"
+
+
 def with_(ctes: str, body: str) -> str:
     return f"WITH {ctes.strip()}\n{body}"
 
 
-def pagerank_ctes(variant: str, iterations: int = ITERATIONS) -> str:
+def pagerank_ctes(variant: str, iterations: int = ITERATIONS, arcs: str = ARCS_RAW) -> str:
     """CTEs r0..rN (id, rank) for variant A, B or C, plus c_i and i_i."""
     labels = LABELS_WS if variant == "A" else LABELS_TAB
     ctes = [
-        GRAPH_CTES.strip(),
+        graph_ctes(arcs).strip(),
         f"labels AS ({labels})",
         "dangling AS (SELECT id FROM labels WHERE id NOT IN (SELECT src FROM deg))",
         "nlabels AS (SELECT count(*) AS n FROM (SELECT DISTINCT id, name FROM labels))",
@@ -99,7 +124,7 @@ def pagerank_ctes(variant: str, iterations: int = ITERATIONS) -> str:
         )
         if variant == "A":
             ctes.append(
-                f"n{i} AS (SELECT count(*)::DOUBLE AS n FROM (SELECT DISTINCT dst, round(contrib, 12) FROM c{i}))"
+                f"n{i} AS (SELECT count(*)::DOUBLE AS n FROM (SELECT DISTINCT dst, {significant('contrib')} FROM c{i}))"
             )
         else:
             ctes.append(f"n{i} AS (SELECT n::DOUBLE AS n FROM nlabels)")
@@ -111,8 +136,8 @@ def pagerank_ctes(variant: str, iterations: int = ITERATIONS) -> str:
     return ",\n".join(ctes)
 
 
-def pagerank_sql(variant: str, iterations: int = ITERATIONS) -> str:
-    return with_(pagerank_ctes(variant, iterations), f"SELECT id, round(rank, 9) AS rank FROM r{iterations}")
+def pagerank_sql(variant: str, iterations: int = ITERATIONS, arcs: str = ARCS_RAW) -> str:
+    return with_(pagerank_ctes(variant, iterations, arcs), f"SELECT id, round(rank, 9) AS rank FROM r{iterations}")
 
 
 def pagerank_topk_sql(variant: str, k: int = K, bottom: bool = False, iterations: int = ITERATIONS) -> str:
@@ -139,7 +164,10 @@ SQL: dict[str, str] = {
         f"{escaped('url')} AS ts, {escaped('html')} AS body, CAST(NULL AS VARCHAR) AS plain FROM pages"
     ),
     "scan_arcs_tab": f"SELECT CAST(src AS VARCHAR) AS src, CAST(dst AS VARCHAR) AS dst FROM ({ARCS_RAW})",
-    "scan_arcs_ws": f"SELECT CAST(src AS VARCHAR) AS src, CAST(dst AS VARCHAR) AS dst FROM ({ARCS_RAW})",
+    # A line that begins with white space has an empty first field.
+    "scan_arcs_ws": (
+        f"SELECT p[1] AS src, p[2] AS dst FROM (SELECT string_split_regex({WS_LINE}, '\\s+') AS p FROM ({ARCS_RAW}))"
+    ),
     "scan_labels_tab": "SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name FROM part",
     "scan_labels_ws": (
         "SELECT CAST(p_partkey AS VARCHAR) AS id, "
@@ -182,8 +210,11 @@ cut AS (SELECT split_part(title, ',', 1) AS title, max(w) AS w FROM scored WHERE
     # ------------------------------------------------------------------ graph
     "distinct_arcs": with_(GRAPH_CTES, "SELECT src, dst FROM arcs"),
     "adjacency": with_(
-        GRAPH_CTES, "SELECT src, string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst) AS dsts FROM arcs GROUP BY src"
+        GRAPH_CTES,
+        "SELECT src, substr(md5(CAST(dst AS VARCHAR)), 1, 2) AS chunk, "
+        "string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst) AS dsts FROM arcs GROUP BY src, chunk",
     ),
+    "distinct_arcs_full": with_(graph_ctes(ARCS_FULL), "SELECT src, dst FROM arcs"),
     "out_degree": with_(GRAPH_CTES, "SELECT src, deg FROM deg"),
     "initial_ranks": with_(GRAPH_CTES, "SELECT src AS id, 1.0::DOUBLE AS rank FROM deg"),
     "dangling_nodes": with_(
@@ -196,7 +227,7 @@ cut AS (SELECT split_part(title, ',', 1) AS title, max(w) AS w FROM scored WHERE
     "pagerank_step": with_(pagerank_ctes("C", 1), "SELECT id, round(rank, 9) AS rank FROM i1"),
     "pagerank_step_dangling": pagerank_sql("B", 1),
     "distinct_contribs": with_(
-        pagerank_ctes("A", 1), "SELECT count(*) AS n FROM (SELECT DISTINCT dst, round(contrib, 12) FROM c1)"
+        pagerank_ctes("A", 1), f"SELECT count(*) AS n FROM (SELECT DISTINCT dst, {significant('contrib')} FROM c1)"
     ),
     "dangling_mass": with_(pagerank_ctes("B", 1), "SELECT round(mass, 9) AS mass FROM m1"),
     "rank_labels": with_(
@@ -206,6 +237,9 @@ cut AS (SELECT split_part(title, ',', 1) AS title, max(w) AS w FROM scored WHERE
     "pagerank_a": pagerank_sql("A"),
     "pagerank_b": pagerank_sql("B"),
     "pagerank_c": pagerank_sql("C"),
+    "pagerank_a_full": pagerank_sql("A", arcs=ARCS_FULL),
+    "pagerank_b_full": pagerank_sql("B", arcs=ARCS_FULL),
+    "pagerank_c_full": pagerank_sql("C", arcs=ARCS_FULL),
     "pagerank_a_topk": pagerank_topk_sql("A"),
     "pagerank_b_topk": pagerank_topk_sql("B"),
     "pagerank_c_topk": pagerank_topk_sql("C"),

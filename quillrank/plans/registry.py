@@ -1,7 +1,8 @@
 """Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per key.
 
-Each query reads the driver's tables (pages, lineitem, part) in full and
-derives its inputs with Spark. Names and column aliases match the DuckDB
+Each query reads the driver's tables (pages, documents, lineitem, part) and
+derives its inputs with Spark. The arcs are those of returned lines, which
+leaves dangling nodes; the ``_full`` queries take every line. Names and column aliases match the DuckDB
 statements in :mod:`quillrank.plans.oracle`.
 """
 
@@ -13,13 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillrank.operators import graph, tfidf as tf_ops
-from quillrank.operators.pagerank import DISTINCT_CONTRIBS, DISTINCT_LABELS, PageRank, pagerank, rank_labels
+from quillrank.operators.pagerank import DISTINCT_CONTRIBS, DISTINCT_LABELS, PageRank, pagerank, rank_labels, significant
 from quillrank.operators.topk import bottom_k, top_k
-from quillrank.plans.oracle import ITERATIONS, K, TERM
+from quillrank.plans.oracle import ITERATIONS, K, SEPARATORS, TERM
 from quillrank import streaming
 from quillrank.session import ensure_checkpoint_dir, scratch_path
 from quillrank.sources import tables as src_tables
-from quillrank.sources.text import article_lines, pair_lines, parse_articles, parse_pairs
+from quillrank.sources.text import article_lines, pair_lines, read_arcs, read_articles, read_labels
+
+# Doubles that leave a query, and the order of top-k, are at this many decimals, as in the oracle.
+DIGITS = 9
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,8 +43,8 @@ def pages_articles(spark: SparkSession, d: str) -> DataFrame:
     return src_tables.articles_from_pages(src_tables.table(spark, d, "pages"))
 
 
-def lineitem_arcs(spark: SparkSession, d: str, distinct: bool = True) -> DataFrame:
-    return src_tables.arcs_from_lineitem(src_tables.table(spark, d, "lineitem"), distinct)
+def lineitem_arcs(spark: SparkSession, d: str, distinct: bool = True, returned_only: bool = True) -> DataFrame:
+    return src_tables.arcs_from_lineitem(src_tables.table(spark, d, "lineitem"), distinct, returned_only)
 
 
 def part_labels(spark: SparkSession, d: str, delimiter: str = "tab") -> DataFrame:
@@ -56,11 +60,28 @@ def graph_for(spark: SparkSession, d: str, variant: str) -> PageRank:
     )
 
 
-def ranks_for(spark: SparkSession, d: str, variant: str, iterations: int = ITERATIONS) -> DataFrame:
+def step(spark: SparkSession, d: str, variant: str, what: Callable[[PageRank], DataFrame]) -> DataFrame:
+    """One step over a prepared graph, written so that the link table can go."""
+    pr = graph_for(spark, d, variant)
+    out, path = what(pr), scratch_path(spark, "step")
+    out.write.parquet(path)
+    pr.close()
+    return spark.read.schema(out.schema).parquet(path)
+
+
+def written(lines: DataFrame, label: str) -> str:
+    """The folder of text files that hold some lines."""
+    path = scratch_path(lines.sparkSession, label)
+    lines.write.text(path)
+    return path
+
+
+def ranks_for(spark: SparkSession, d: str, variant: str, iterations: int = ITERATIONS,
+              returned_only: bool = True) -> DataFrame:
     ensure_checkpoint_dir(spark)
     v = VARIANTS[variant]
     return pagerank(
-        lineitem_arcs(spark, d), part_labels(spark, d, v["delimiter"]), iterations=iterations,
+        lineitem_arcs(spark, d, returned_only=returned_only), part_labels(spark, d, v["delimiter"]), iterations=iterations,
         dangling=v["dangling"], normalizer=v["normalizer"],
     )
 
@@ -75,20 +96,27 @@ def scan_articles(spark, d):
         F.col("html").alias("body"),
         F.lit(None).cast("string").alias("plain"),
     )
-    return parse_articles(article_lines(arts))
+    return read_articles(spark, written(article_lines(arts), "articles"))
 
 
-def _scan_arcs(delimiter):
-    def q(spark, d):
-        raw = lineitem_arcs(spark, d, distinct=False)
-        return parse_pairs(pair_lines(raw, "src", "dst"), ("src", "dst"), delimiter)
-    return q
+def scan_arcs_tab(spark, d):
+    raw = lineitem_arcs(spark, d, distinct=False)
+    return read_arcs(spark, written(pair_lines(raw, "src", "dst"), "arcs"), "tab")
+
+
+def scan_arcs_ws(spark, d):
+    """Fields apart by 1 to 3 spaces and tabs; some lines begin with a space or end with a tab."""
+    raw = lineitem_arcs(spark, d, distinct=False)
+    gap = F.substr(F.lit(SEPARATORS), (1 + F.col("src") % 3).cast("int"), (1 + F.col("dst") % 3).cast("int"))
+    line = F.concat(F.repeat(F.lit(" "), (F.col("src") % 2).cast("int")), F.col("src").cast("string"), gap,
+                    F.col("dst").cast("string"), F.repeat(F.lit("\t"), (F.col("dst") % 2).cast("int")))
+    return read_arcs(spark, written(raw.select(line.alias("value")), "arcs"), "ws")
 
 
 def _scan_labels(delimiter):
     def q(spark, d):
         part = src_tables.table(spark, d, "part")
-        return parse_pairs(pair_lines(part, "p_partkey", "p_name"), ("id", "name"), delimiter)
+        return read_labels(spark, written(pair_lines(part, "p_partkey", "p_name"), "labels"), delimiter)
     return q
 
 
@@ -114,8 +142,8 @@ def doc_freq(spark, d):
 
 
 def idf(spark, d):
-    tf = tf_ops.term_freq(tf_ops.tokens(pages_articles(spark, d)))
-    return tf_ops.idf(tf_ops.doc_freq(tf), tf_ops.titles_in(tf)).select("word", "df", "n", r9("idf"))
+    marked = tf_ops.marked_term_freq(pages_articles(spark, d))
+    return tf_ops.idf(tf_ops.doc_freq(marked.where("tf > 0")), tf_ops.titles_in(marked)).select("word", "df", "n", r9("idf"))
 
 
 def tfidf_all(spark, d):
@@ -127,18 +155,18 @@ def tfidf_term(spark, d):
 
 
 def tfidf_topk(spark, d):
-    return tf_ops.tfidf_topk(pages_articles(spark, d), TERM, K).select("title", r9("w"))
+    return tf_ops.tfidf_topk(pages_articles(spark, d), TERM, K, digits=DIGITS).select("title", r9("w"))
 
 
 def tfidf_before_comma(spark, d):
-    return tf_ops.tfidf_topk(pages_articles(spark, d), TERM, K, title_key=tf_ops.BEFORE_COMMA).select(
+    return tf_ops.tfidf_topk(pages_articles(spark, d), TERM, K, title_key=tf_ops.BEFORE_COMMA, digits=DIGITS).select(
         "title", r9("w")
     )
 
 
 def docs_tfidf_topk(spark, d):
     arts = src_tables.articles_from_documents(src_tables.table(spark, d, "documents"), "doc_id")
-    return tf_ops.tfidf_topk(arts, TERM, K).select("title", r9("w"))
+    return tf_ops.tfidf_topk(arts, TERM, K, digits=DIGITS).select("title", r9("w"))
 
 
 def source_tfidf_all(spark, d):
@@ -154,7 +182,7 @@ def stream_tfidf_all(spark, d):
     arts = src_tables.articles_from_pages(streaming.stream_table(spark, d, "pages"))
     updates = scratch_path(spark, "tf-updates")
     query = streaming.start_term_freq(arts, updates, scratch_path(spark, "tf-stream"), trigger_once=True)
-    query.awaitTermination()
+    query.awaitTermination()  # raises what stopped the stream; it ends by itself once all files are read
     return streaming.tfidf_from_updates(spark, updates).select("word", "title", "tf", "df", r9("w"))
 
 
@@ -186,13 +214,11 @@ def label_count(spark, d):
 
 # ---------------------------------------------------------------- PageRank
 def contributions(spark, d):
-    pr = graph_for(spark, d, "C")
-    return pr.contributions(pr.initial()).select("dst", r9("contrib"))
+    return step(spark, d, "C", lambda pr: pr.contributions(pr.initial()).select("dst", r9("contrib")))
 
 
 def pagerank_step(spark, d):
-    pr = graph_for(spark, d, "C")
-    return pr.intermediate(pr.initial()).select("id", r9("rank"))
+    return step(spark, d, "C", lambda pr: pr.intermediate(pr.initial()).select("id", r9("rank")))
 
 
 def pagerank_step_dangling(spark, d):
@@ -200,38 +226,40 @@ def pagerank_step_dangling(spark, d):
 
 
 def distinct_contribs(spark, d):
-    pr = graph_for(spark, d, "A")
-    c = pr.contributions(pr.initial())
-    return c.agg(F.count_distinct("dst", F.round("contrib", 12)).alias("n"))
+    return step(spark, d, "A", lambda pr: pr.contributions(pr.initial()).agg(
+        F.count_distinct("dst", significant(F.col("contrib"))).alias("n")))
 
 
 def dangling_mass(spark, d):
-    pr = graph_for(spark, d, "B")
-    return pr.round_scalars(pr.intermediate(pr.initial())).select(r9("mass"))
+    return step(spark, d, "B", lambda pr: pr.round_scalars(pr.intermediate(pr.initial())).select(r9("mass")))
 
 
 def rank_labels_q(spark, d):
     return rank_labels(ranks_for(spark, d, "C"), part_labels(spark, d)).select("id", "name", r9("rank"))
 
 
-def _ranks(variant):
+def _ranks(variant, returned_only=True):
     def q(spark, d):
-        return ranks_for(spark, d, variant).select("id", r9("rank"))
+        return ranks_for(spark, d, variant, returned_only=returned_only).select("id", r9("rank"))
     return q
 
 
+def distinct_arcs_full(spark, d):
+    return graph.distinct_arcs(lineitem_arcs(spark, d, returned_only=False))
+
+
 def _ranks_topk(variant, bottom=False):
     def q(spark, d):
         labelled = rank_labels(ranks_for(spark, d, variant), part_labels(spark, d, VARIANTS[variant]["delimiter"]))
         pick = bottom_k if bottom else top_k
-        return pick(labelled, "rank", "name", "id", k=K).select("id", "name", r9("rank"))
+        return pick(labelled, "rank", "name", "id", k=K, digits=DIGITS).select("id", "name", r9("rank"))
     return q
 
 
 QUERIES: dict[str, Query] = {
     "scan_articles": scan_articles,
-    "scan_arcs_tab": _scan_arcs("tab"),
-    "scan_arcs_ws": _scan_arcs("ws"),
+    "scan_arcs_tab": scan_arcs_tab,
+    "scan_arcs_ws": scan_arcs_ws,
     "scan_labels_tab": _scan_labels("tab"),
     "scan_labels_ws": _scan_labels("ws"),
     "doc_count": doc_count,
@@ -248,6 +276,7 @@ QUERIES: dict[str, Query] = {
     "source_tfidf_all": source_tfidf_all,
     "stream_tfidf_all": stream_tfidf_all,
     "distinct_arcs": distinct_arcs,
+    "distinct_arcs_full": distinct_arcs_full,
     "adjacency": adjacency,
     "out_degree": out_degree,
     "initial_ranks": initial_ranks,
@@ -262,6 +291,9 @@ QUERIES: dict[str, Query] = {
     "pagerank_a": _ranks("A"),
     "pagerank_b": _ranks("B"),
     "pagerank_c": _ranks("C"),
+    "pagerank_a_full": _ranks("A", returned_only=False),
+    "pagerank_b_full": _ranks("B", returned_only=False),
+    "pagerank_c_full": _ranks("C", returned_only=False),
     "pagerank_a_topk": _ranks_topk("A"),
     "pagerank_b_topk": _ranks_topk("B"),
     "pagerank_c_topk": _ranks_topk("C"),

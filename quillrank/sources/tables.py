@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillrank.sources.text import FAILFAST, pair_lines, parse_pairs
+from quillrank.sources.text import FAILFAST, check_records, is_whitespace
 
 # Fixed value: the page title pattern of the fixture mapping.
 TITLE_PATTERN = r"<title>([^<]*)</title>"
@@ -44,8 +44,11 @@ def articles_from_documents(documents: DataFrame, title: str = "doc_id") -> Data
     return documents.select(F.col("doc_id").alias("article_id"), t.alias("title"), F.col("text").alias("body"))
 
 
-def arcs_from_lineitem(lineitem: DataFrame, distinct: bool = True) -> DataFrame:
-    """Arcs part -> part of the next line of the same order, returned lines only.
+def arcs_from_lineitem(lineitem: DataFrame, distinct: bool = True, returned_only: bool = True) -> DataFrame:
+    """Arcs part -> part of the next line of the same order.
+
+    ``returned_only`` takes returned lines alone (the first of them closed),
+    which leaves parts without out-links; without it every line takes part.
 
     The join is on (order, line number), so one huge order still spreads
     over many tasks. ``(order, line number)`` is not unique, so the join
@@ -54,10 +57,14 @@ def arcs_from_lineitem(lineitem: DataFrame, distinct: bool = True) -> DataFrame:
     aggregate, and the result is the distinct arc set. ``distinct=False``
     gives the raw bag, like an arc file with repeated lines.
     """
-    a = lineitem.where((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")).select(
+    first, second = lineitem, lineitem
+    if returned_only:
+        first = lineitem.where((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"))
+        second = lineitem.where(F.col("l_returnflag") == "R")
+    a = first.select(
         F.col("l_orderkey").alias("ok"), (F.col("l_linenumber") + 1).alias("ln"), F.col("l_partkey").alias("src")
     )
-    b = lineitem.where(F.col("l_returnflag") == "R").select(
+    b = second.select(
         F.col("l_orderkey").alias("ok"), F.col("l_linenumber").alias("ln"), F.col("l_partkey").alias("dst")
     )
     if distinct:
@@ -67,10 +74,16 @@ def arcs_from_lineitem(lineitem: DataFrame, distinct: bool = True) -> DataFrame:
 
 
 def labels_from_part(part: DataFrame, delimiter: str = "tab", mode: str = FAILFAST) -> DataFrame:
-    """(id, name) labels: each part formatted as an ``id<delim>name`` record and
-    parsed by the text source, so the whitespace variant cuts names at the
-    first space. The id keeps the part key's type."""
-    lines = pair_lines(part, "p_partkey", "p_name")
-    parsed = parse_pairs(lines, ("id", "name"), delimiter, mode=mode)
-    id_type = dict(part.dtypes)["p_partkey"]
-    return parsed.select(F.col("id").cast(id_type).alias("id"), "name")
+    """(id, name) labels, as the text source gives them for ``id<TAB>name``
+    records: a name ends at its first tab, or with the whitespace delimiter at
+    its first space. A projection of the table, no record is written or parsed.
+    The id keeps the part key's type."""
+    name = F.col("p_name")
+    if is_whitespace(delimiter):
+        cut = F.regexp_extract(name, r"^\s*(\S*)", 1)
+        malformed = name.isNull() | (cut == "")
+    else:
+        cut = F.substring_index(name, "\t", 1)
+        malformed = name.isNull() | (F.rtrim(name, F.lit("\t")) == "")
+    rows = part.where(F.col("p_partkey").isNotNull()).select(F.col("p_partkey").alias("id"), cut.alias("name"), malformed.alias("_bad"))
+    return check_records(rows, F.col("_bad"), F.col("id").cast("string"), mode, "(id, name)").drop("_bad")

@@ -28,7 +28,11 @@ def _delimiter(delimiter: str) -> str:
     return DELIMITERS.get(delimiter, delimiter)
 
 
-def _check(df: DataFrame, malformed: Column, value: Column, mode: str, what: str) -> DataFrame:
+def is_whitespace(delimiter: str) -> bool:
+    return _delimiter(delimiter) == WHITESPACE
+
+
+def check_records(df: DataFrame, malformed: Column, value: Column, mode: str, what: str) -> DataFrame:
     mode = mode.upper()
     if mode == DROPMALFORMED:
         return df.where(~malformed)
@@ -39,16 +43,22 @@ def _check(df: DataFrame, malformed: Column, value: Column, mode: str, what: str
     return df.where(F.when(malformed, error).otherwise(F.lit(True)))
 
 
+def _split(lines: DataFrame, value: str, delimiter: str) -> DataFrame:
+    """(_line, _parts): each record split once. Every field and the check read
+    the generated column, so the optimizer can't write the split into each of them."""
+    v = F.col(value)
+    return lines.select(v.alias("_line"), F.explode(F.array(split_fields(v, delimiter))).alias("_parts"))
+
+
 def parse_articles(lines: DataFrame, value: str = "value", mode: str = FAILFAST) -> DataFrame:
     """Tab-separated article records -> (article_id, title, ts, body, plain).
 
     Only title (field 1) and body (field 3) are required; ``ts`` and ``plain``
     are null when the record stops early.
     """
-    v = F.col(value)
-    parts = split_fields(v, TAB)
-    df = lines.select(
-        v.alias("_line"),
+    parts = F.col("_parts")
+    df = _split(lines, value, TAB).select(
+        "_line",
         field(parts, 0).alias("article_id"),
         field(parts, 1).alias("title"),
         field(parts, 2).alias("ts"),
@@ -56,7 +66,7 @@ def parse_articles(lines: DataFrame, value: str = "value", mode: str = FAILFAST)
         field(parts, 4).alias("plain"),
     )
     malformed = F.col("title").isNull() | F.col("body").isNull()
-    return _check(df, malformed, F.col("_line"), mode, "article").drop("_line")
+    return check_records(df, malformed, F.col("_line"), mode, "article").drop("_line")
 
 
 def parse_pairs(lines: DataFrame, names: tuple[str, str], delimiter: str = "tab",
@@ -66,11 +76,10 @@ def parse_pairs(lines: DataFrame, names: tuple[str, str], delimiter: str = "tab"
     With the whitespace delimiter a label is cut at its first space, exactly
     like splitting the whole line on whitespace runs.
     """
-    v = F.col(value)
-    parts = split_fields(v, _delimiter(delimiter))
+    parts = F.col("_parts")
     a, b = names
-    df = lines.select(v.alias("_line"), field(parts, 0).alias(a), field(parts, 1).alias(b))
-    return _check(df, F.col(b).isNull(), F.col("_line"), mode, f"({a}, {b})").drop("_line")
+    df = _split(lines, value, _delimiter(delimiter)).select("_line", field(parts, 0).alias(a), field(parts, 1).alias(b))
+    return check_records(df, F.col(b).isNull(), F.col("_line"), mode, f"({a}, {b})").drop("_line")
 
 
 def read_articles(spark: SparkSession, path: str, mode: str = FAILFAST) -> DataFrame:

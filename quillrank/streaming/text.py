@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quillrank.operators.tfidf import FULL, term_freq, titles_in, tokens, weights
+from quillrank.operators.tfidf import FULL, marked_term_freq, titles_in, weights
 from quillrank.sources.text import FAILFAST, parse_articles, parse_pairs
 
 
@@ -38,15 +38,15 @@ def stream_labels(spark: SparkSession, path: str, delimiter: str = "tab", mode:
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A Parquet table as a file stream (each new file is new input). The
-    file source wants a directory or a glob, so a single-file table is
-    matched by a glob on its name."""
+    file source wants a directory or a glob, so the table is named by a glob
+    that matches nothing else: its last letter as a class of one."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path + "*")
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path[:-1] + "[t]")
 
 
 def term_freq_stream(articles: DataFrame) -> DataFrame:
-    """Streaming (word, title, tf): counts kept in the state store."""
-    return term_freq(tokens(articles))
+    """Streaming (word, title, tf) with a marker row of tf 0 per title: counts kept in the state store."""
+    return marked_term_freq(articles)
 
 
 def start_term_freq(articles: DataFrame, path: str, checkpoint: str, *,
@@ -77,5 +77,5 @@ def tfidf_from_updates(spark: SparkSession, path: str, *, title_key: str = FULL)
 
     Counts only grow, so the latest count of a key is its largest one.
     """
-    tf = spark.read.parquet(path).groupBy("word", "title").agg(F.max("tf").alias("tf"))
-    return weights(tf, titles_in(tf), title_key=title_key)
+    marked = spark.read.parquet(path).groupBy("word", "title").agg(F.max("tf").alias("tf"))
+    return weights(marked.where("tf > 0"), titles_in(marked), title_key=title_key)

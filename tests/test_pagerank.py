@@ -48,12 +48,24 @@ def test_graph_layer(spark, lines):
     assert {r.src: r.deg for r in out_degree(d).collect()} == {"1": 2, "2": 1, "3": 3, "5": 1}
     assert sorted(r.id for r in dangling_nodes(labels, out_degree(d)).collect()) == ["4", "7"]
     assert label_count(labels).first()["n"] == 6
-    adj = {r.src: r.dsts for r in adjacency(arcs).collect()}
-    assert adj == {"1": "2,3", "2": "3", "3": "1,4,6", "5": "1"}
-    # A hub's list is split into bounded chunks that together hold every target.
-    chunks = adjacency(arcs, hub_degree=1).where("src = '3'").collect()
-    assert len(chunks) >= 2
-    assert sorted(x for r in chunks for x in r.dsts.split(",")) == ["1", "4", "6"]
+    # chunks are the targets' own, so every source has the same grain
+    for digits in (1, 2):
+        got = {}
+        for r in adjacency(arcs, chunk_digits=digits).collect():
+            assert len(r.chunk) == digits
+            got.setdefault(r.src, []).extend(r.dsts.split(","))
+        assert {k: sorted(v) for k, v in got.items()} == {"1": ["2", "3"], "2": ["3"], "3": ["1", "4", "6"], "5": ["1"]}
+
+
+def test_adjacency_grain_at_a_large_hub(spark):
+    """150,000 arcs of one source: the rows are those that the oracle's statement gives."""
+    import duckdb
+
+    arcs = spark.range(150_000).select(F.lit(7).cast("long").alias("src"), F.col("id").alias("dst"))
+    got = {(r.src, r.chunk): r.dsts for r in adjacency(arcs).collect()}
+    con = duckdb.connect()
+    want = con.execute("SELECT 7, substr(md5(CAST(range AS VARCHAR)), 1, 2) c, string_agg(CAST(range AS VARCHAR), ',' ORDER BY range) FROM range(150000) GROUP BY c").fetchall()
+    assert got == {(a, c): d for a, c, d in want} and len(got) == 256
 
 
 def test_empty_graph(spark, lines):
@@ -116,7 +128,7 @@ def test_relabelling_ids_keeps_the_rank_multiset(spark, lines):
     assert a == b
 
 
-def test_sf001_reference_numbers(spark):
+def test_sf01_reference_numbers(spark):
     """FIXTURES.md: sf0.01, 10 rounds: 172 ranked ids and the published sums."""
     d = "/root/testdata/sf0.01"
     arcs = arcs_from_lineitem(table(spark, d, "lineitem"))
@@ -189,3 +201,71 @@ def test_one_hub_holding_a_third_of_the_arcs(spark):
     model = brute.pagerank([tuple(r) for r in arcs.collect()], [tuple(r) for r in labels.collect()], 4, "B")
     assert got.keys() == model.keys()
     assert all(abs(got[k] - model[k]) < 1e-9 for k in got)
+
+
+def test_close_contributions_of_large_degrees_stay_apart(spark):
+    """1/2000000 and 1/2000001 differ; the rounding is relative, also in the oracle."""
+    import duckdb
+
+    from quillrank.operators.pagerank import significant
+    from quillrank.plans.oracle import significant as sql
+
+    values = [1 / 2_000_000, 1 / 2_000_001, 1 / 2_000_000 * (1 + 1e-15), 0.001, 0.1 + 0.2, 0.3, 1e-300, 12.5]
+    df = spark.createDataFrame([(v,) for v in values], "c double")
+    got = df.agg(F.count_distinct(significant(F.col("c")))).first()[0]
+    rows = ", ".join(f"({v!r}::DOUBLE)" for v in values)
+    want = duckdb.connect().execute(f"SELECT count(DISTINCT {sql('c')}) FROM (VALUES {rows}) t(c)").fetchone()[0]
+    assert got == want == 6
+    # in the normalizer: two sources of those degrees that share a target, as analytic link rows
+    pr = PageRank(spark.createDataFrame([(1, 2)], "src long, dst long"), spark.createDataFrame([], "id long, name string"), dangling=True, normalizer="distinct_contribs")
+    links = spark.createDataFrame([(1, 0, 9, 2_000_000, 1, 1, 0), (2, 0, 9, 2_000_001, 1, 1, 0)], "src long, salt int, dst long, deg long, nsalt int, dst_nsalt int, dst_dmult long")
+    pr._links = links
+    ranks = spark.createDataFrame([(1, 1.0, 1, 0), (2, 1.0, 1, 0)], "id long, rank double, nsalt int, dmult long")
+    assert pr.intermediate(ranks).first()["ndist"] == 2
+
+
+def test_label_ids_of_another_type_just_do_not_match(spark):
+    arcs = spark.createDataFrame([(1, 2), (2, 1), (2, 3)], "src long, dst long")
+    labels = spark.createDataFrame([("1", "one"), ("x", "odd"), ("3", "three")], "id string, name string")
+    ranks = pagerank(arcs, labels, iterations=2, dangling=True)
+    got = {(r.id, r.name) for r in rank_labels(ranks, labels).collect()}
+    assert got == {(1, "one"), (3, "three")}
+    # x has no out-link and still counts as a label row of the normalizer
+    assert PageRank(arcs, labels, dangling=True).label_rows() == 3
+
+
+def test_only_what_the_result_reads_is_left(spark, lines, tmp_path):
+    import os
+
+    arcs, labels = tiny(lines, "tab")
+    sc = spark.sparkContext
+    before = sc.getCheckpointDir()
+    sc.setCheckpointDir(f"file://{tmp_path}/ck")
+    try:
+        root = sc.getCheckpointDir().replace("file:", "")
+        ranks = pagerank(arcs, labels, iterations=4, dangling=True)
+        left = {os.path.dirname(f).replace("file://", "").replace("file:", "") for f in ranks.inputFiles()}
+        dirs = {d for d, _, files in os.walk(root) if any(f.startswith("part-") for f in files)}
+        assert dirs == left and len(left) == 1
+        pr = PageRank(arcs, labels, dangling=True)
+        pr.links()
+        pr.close()
+        assert {d for d, _, files in os.walk(root) if any(f.startswith("part-") for f in files)} == left
+        assert pagerank(arcs, labels, iterations=0).count() == 4
+    finally:
+        sc.setCheckpointDir(before.rsplit("/", 1)[0])
+
+
+def test_link_build_reads_the_arcs_once(spark, tmp_path):
+    from quillrank.plans.inspect import plan_text
+    from quillrank.sources import read_arcs
+
+    (tmp_path / "arcs").write_text("\n".join(fx.ARC_LINES) + "\n")
+    d = "/root/testdata/sf0.001"
+    by_text = read_arcs(spark, f"file://{tmp_path}/arcs"), parse_pairs(spark.createDataFrame([(v,) for v in fx.LABEL_LINES], "value string"), ("id", "name"))
+    by_table = arcs_from_lineitem(table(spark, d, "lineitem")), labels_from_part(table(spark, d, "part"))
+    for (arcs, labels), scans in ((by_text, {"FileScan text": 1}), (by_table, {"lineitem.parquet": 2, "part.parquet": 1})):
+        links = PageRank(arcs, labels, dangling=True).unwritten_links()
+        links.collect()
+        final = plan_text(links, "simple").split("+- == Initial Plan ==")[0]
+        assert {k: final.count(k) for k in scans} == scans and "ReusedExchange" in final

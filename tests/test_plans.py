@@ -6,15 +6,26 @@ from quillrank.plans.registry import QUERIES, graph_for, pages_articles
 from conftest import SF_SMALL
 
 
-def test_round_shuffles_only_the_rank_side(spark, tmp_path):
-    pr = graph_for(spark, SF_SMALL, "B")
-    pr.initial().write.parquet(f"file://{tmp_path}/r0")  # a round's written ranks
-    text = plan_text(pr.intermediate(spark.read.parquet(f"file://{tmp_path}/r0")), "simple")
-    # Bucketed links are read in place; the ranks and the partial sums move.
-    assert "Bucketed: true" in text
-    assert text.count("Exchange hashpartitioning") == 2
-    assert "SortMergeJoin" not in text and "ShuffledHashJoin" in text
-    assert "partial_sum" in text
+def test_round_join_can_spill_and_is_hashed_only_where_small(spark, tmp_path):
+    """Sorted unless adaptive execution measured every partition below the threshold."""
+    pr = graph_for(spark, SF_SMALL, "C")
+    pr.initial().write.parquet(f"file://{tmp_path}/r0")
+    key, low = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    old = spark.conf.get(key)
+    try:
+        for threshold, join in (("0", "SortMergeJoin"), ("64m", "ShuffledHashJoin")):
+            spark.conf.set(key, threshold)
+            df = pr.intermediate(spark.read.parquet(f"file://{tmp_path}/r0"))
+            df.collect()
+            final = plan_text(df, "simple").split("+- == Initial Plan ==")[0]
+            assert join in final and "Bucketed: true" in final and "partial_sum" in final
+            # the links are read in place: the ranks and the partial sums move
+            assert final.count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.set(key, old)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", low)
+        pr.close()
 
 
 def test_topk_is_take_ordered(spark):
@@ -40,8 +51,48 @@ def test_scans_are_pruned_and_pushed(spark):
 
 
 def test_no_python_in_any_registered_plan(spark):
-    for name in ("tokens", "tfidf_all", "adjacency", "dangling_nodes", "scan_articles", "scan_labels_ws"):
-        assert not has_python(QUERIES[name](spark, SF_SMALL)), name
+    for name, query in QUERIES.items():
+        assert not has_python(query(spark, SF_SMALL)), name
+
+
+def test_building_a_tfidf_query_starts_no_job(spark):
+    sc = spark.sparkContext
+    sc.setJobGroup("plan-only", "plan-only")
+    try:
+        for name in ("tokens", "tokens_glued", "term_freq", "idf", "tfidf_all", "tfidf_term", "tfidf_topk", "source_tfidf_all"):
+            df = QUERIES[name](spark, SF_SMALL)
+            assert "RoundRobinPartitioning" not in plan_text(df, "simple"), name
+        # after a shuffle too, where counting partitions would run the stages above
+        from quillrank.operators.tfidf import tokens
+
+        tokens(pages_articles(spark, SF_SMALL).dropDuplicates(["article_id"]))
+        # reading a Parquet schema is a job of its own, of one task
+        jobs = sc.statusTracker().getJobIdsForGroup("plan-only")
+        infos = [sc.statusTracker().getJobInfo(j) for j in jobs]
+        stages = [sc.statusTracker().getStageInfo(s) for i in infos for s in i.stageIds]
+        assert all(s.name.startswith("parquet at") for s in stages if s)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_no_exchange_by_title_alone(spark):
+    """N is read off marker rows: no title is moved for it."""
+    df = QUERIES["tfidf_all"](spark, SF_SMALL)
+    df.collect()
+    import re
+
+    keys = re.findall(r"hashpartitioning\(([^,]*)#", plan_text(df, "simple"))
+    assert "title" not in keys and "CASE" not in " ".join(keys)
+
+
+def test_records_are_split_once(spark):
+    from quillrank.sources import parse_pairs
+
+    lines = spark.createDataFrame([("1\ta",)], "value string")
+    for delimiter in ("tab", "ws"):
+        text = plan_text(parse_pairs(lines, ("id", "name"), delimiter), "simple").split("== Physical Plan ==")[-1]
+        assert text.count("split(") <= 2  # in the one generator: the plan prints it as input and as output
+        assert text.count("Generate") == 1
 
 
 def test_corpus_is_tokenized_once(spark):

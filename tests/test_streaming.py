@@ -12,10 +12,10 @@ def test_incremental_tf_matches_batch(spark, lines, tmp_path):
     out, ck = f"file://{tmp_path}/tf", f"file://{tmp_path}/ck"
     (src / "a.txt").write_text("\n".join(fx.ARTICLE_LINES[:3]) + "\n")
     q = start_term_freq(stream_articles(spark, f"file://{src}"), out, ck, trigger_once=True)
-    q.awaitTermination(120)
+    assert q.awaitTermination(120)
     (src / "b.txt").write_text("\n".join(fx.ARTICLE_LINES[3:]) + "\n")
     q = start_term_freq(stream_articles(spark, f"file://{src}"), out, ck, trigger_once=True)
-    q.awaitTermination(120)
+    assert q.awaitTermination(120)
     got = sorted((r.word, r.title, r.tf, round(r.w, 9)) for r in tfidf_from_updates(spark, out).collect())
     exp = sorted((r.word, r.title, r.tf, round(r.w, 9)) for r in tfidf(parse_articles(lines(fx.ARTICLE_LINES))).collect())
     assert got == exp
@@ -27,5 +27,31 @@ def test_stream_arcs_memory_sink(spark, tmp_path):
     (src / "a.txt").write_text("\n".join(fx.ARC_LINES) + "\n")
     q = (stream_arcs(spark, f"file://{src}").writeStream.format("memory").queryName("arcs_stream_test")
          .trigger(availableNow=True).start())
-    q.awaitTermination(120)
+    assert q.awaitTermination(120)
     assert spark.table("arcs_stream_test").count() == 8
+
+
+def test_stream_reads_only_the_table_named(spark, tmp_path):
+    """A sibling that shares the name's beginning is another table."""
+    import shutil
+
+    from quillrank.sources import articles_from_pages
+    from quillrank.sources.tables import table
+    from quillrank.streaming import stream_table
+
+    for name in ("pages.parquet", "pages.parquet_old"):
+        shutil.copy("/root/testdata/sf0.001/pages.parquet", tmp_path / name)
+    arts = articles_from_pages(stream_table(spark, f"file://{tmp_path}", "pages"))
+    q = start_term_freq(arts, f"file://{tmp_path}/tf", f"file://{tmp_path}/ck", trigger_once=True)
+    assert q.awaitTermination(120)
+    batch = tfidf(articles_from_pages(table(spark, "/root/testdata/sf0.001", "pages")))
+    got = tfidf_from_updates(spark, f"file://{tmp_path}/tf")
+    assert got.agg({"tf": "sum"}).first()[0] == batch.agg({"tf": "sum"}).first()[0]
+
+
+def test_null_bodies_count_in_the_stream(spark, tmp_path):
+    spark.createDataFrame([("A", "x"), ("B", None)], "title string, body string").write.parquet(f"file://{tmp_path}/in")
+    arts = spark.readStream.schema("title string, body string").parquet(f"file://{tmp_path}/in")
+    q = start_term_freq(arts, f"file://{tmp_path}/tf", f"file://{tmp_path}/ck", trigger_once=True)
+    assert q.awaitTermination(120)
+    assert [(r.word, round(r.w, 3)) for r in tfidf_from_updates(spark, f"file://{tmp_path}/tf").collect()] == [("x", 0.301)]

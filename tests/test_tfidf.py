@@ -74,3 +74,22 @@ def test_topk_sink(spark, lines, tmp_path):
     write_lines(tfidf_topk(articles(lines), "cloud"), out, ["title", "w"], single_file=True)
     got = spark.read.text(out).collect()
     assert [r.value.split("\t")[0] for r in got] == ["Alpha", "Beta, Inc", "Delta"]
+
+
+def test_null_bodies_count_for_n(spark):
+    """Both paths, the document count and DuckDB agree."""
+    import duckdb
+
+    from quillrank.plans.oracle import tfidf_ctes, with_
+
+    arts = spark.createDataFrame([(1, "A", "x y"), (2, "B", None), (3, "C", "x"), (4, None, "x")], "article_id long, title string, body string")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t AS SELECT * FROM (VALUES ('A', 'x y'), ('B', NULL), ('C', 'x'), (NULL, 'x')) v(title, body)")
+    want = con.execute(with_(tfidf_ctes("SELECT title, body FROM t"), "SELECT word, title, round(w, 9) FROM scored ORDER BY ALL")).fetchall()
+    key = lambda r: (r[0], r[1] is None, r[1] or "")
+    assert doc_count(arts).first()["n"] == 3
+    got = [(r.word, r.title, round(r.w, 9)) for r in tfidf(arts).collect()]
+    assert [r for r in sorted(got, key=key) if r[1]] == [r for r in sorted(want, key=key) if r[1]]
+    one = {(r.title, round(r.w, 9)) for r in tfidf(arts, term="y").collect()}
+    assert one == {(t, w) for word, t, w in got if word == "y"}
+    assert one == {("A", 0.477121255)}
