@@ -1,0 +1,126 @@
+"""Token counts and packing against the libraries."""
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+
+import cases
+from quillrank.llm import packing, token_counts
+
+PIECE, WORD = P.path("piece_bpe_32k.model"), P.path("word_bpe_49k.json")
+BITS = ["a", "the", " ", "  ", "\n", "é", "é", "▁", "\t", "<s>", "</s>", "<unk>", "\0", "　", "日本", "word", "ing", ".", " ", " \n", "😀", "<0x0A>",
+        "<|endoftext|>", "<|endof", "text|>", "'s", "'", "9", "A", "ß", "İ", "́", "ﬁ", "<", ">", "!!", "É", "*", "|", "-"]
+
+
+def texts(seed, n):
+    r = random.Random(seed)
+    return ["".join(r.choice(BITS) for _ in range(r.randint(0, 14))) for _ in range(n)]
+
+
+def test_counts_equal_the_library():
+    c, some = token_counts.Counter(PIECE), texts(1, 4000)
+    assert c.splits_at_spaces and c.count([t.encode() for t in some]) == [len(c.model.encode(t)) for t in some]
+
+
+def test_counts_with_a_full_cache(monkeypatch):
+    monkeypatch.setattr(token_counts, "CACHE_WORDS", 5)
+    c, some = token_counts.Counter(PIECE), texts(2, 300)
+    assert [c.count([t.encode()])[0] for t in some] == [len(c.model.encode(t)) for t in some]
+
+
+def test_whole_tokens_are_proved():
+    c = token_counts.Counter(PIECE)
+    for w in random.Random(1).sample(sorted(c.whole), 500):
+        assert w == b"" or len(c.model.encode(w.decode())) == 1
+
+
+def test_counts_of_a_model_that_fails_the_proof():
+    c = token_counts.Counter(PIECE)
+    c.splits_at_spaces = False
+    assert c.count([b" a  b", b""]) == [len(c.model.encode(" a  b")), 0]
+
+
+def test_token_counts_of_odd_rows(spark):
+    import sentencepiece
+
+    m = sentencepiece.SentencePieceProcessor(model_file=PIECE)
+    got = token_counts.token_counts(cases.odd(spark), PIECE).collect()
+    want = [(i, len((t or "").encode()), len(m.encode(t or "")), len(m.encode(t or "")) > 4096) for i, t in cases.ODD]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    assert any(w[3] for w in want)
+    assert token_counts.token_counts(cases.none(spark), PIECE).count() == 0
+
+
+def test_proofs_of_tokenizer_files():
+    assert packing.cuts_at_spaces(WORD) and packing.merges_alone(WORD)
+    assert not packing.cuts_at_spaces(P.path("byte_bpe_50k.json")) and not packing.merges_alone(P.path("byte_bpe_50k.json"))
+
+
+@pytest.mark.parametrize("ranked", [True, False])
+@pytest.mark.parametrize("cache", [400_000, 7])
+def test_ids_equal_the_library(monkeypatch, ranked, cache):
+    monkeypatch.setattr(packing, "CACHE_WORDS", cache)
+    e, some = packing.Encoder(WORD, ranked), texts(3, 3000)
+    got = [x for lo in range(0, len(some), 50) for x in e.encode([t.encode() for t in some[lo : lo + 50]])]
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+
+
+def test_every_word_of_the_documents(spark):
+    """Plain words by ranks and by the file's own merges, for all distinct words of a table."""
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(WORD)
+    found = sorted({w for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect() for w in r.text.lower().split()})
+    plain = [w for w in found if packing.PlainWords.plain(w)]
+    assert len(plain) > 10_000
+    assert [np.frombuffer(x, "<u4").tolist() for x in packing.PlainWords(WORD).encode(plain)] == [x.ids for x in t.encode_batch(plain, add_special_tokens=False)]
+
+
+def test_other_tokenizers_go_whole():
+    e = packing.Encoder(P.path("byte_bpe_50k.json"))
+    assert np.frombuffer(e.encode([b"a  b <|endoftext|>"])[0], "<u4").tolist() == e.tokenizer.encode("a  b <|endoftext|>", add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("window", [2048, 16])
+def test_pieces_cover_every_id_once(spark, window):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(WORD)
+    rows = packing.pack(cases.odd(spark).repartition(3), WORD, window).collect()
+    want = sorted(str([*t.encode(x or "", add_special_tokens=False).ids, 1]) for _, x in cases.ODD)
+    docs, at = {}, {}
+    for r in rows:
+        ids = np.frombuffer(r.ids, "<u4").tolist()
+        assert len(ids) == r.length > 0 and r.offset + r.length <= window
+        at[r.sequence_id * window + r.offset] = r.length
+        docs.setdefault(r.sequence_id * window + r.offset - r.start, []).append((r.start, ids, r.doc_tokens))
+    got = []
+    for pieces in docs.values():
+        ids = [i for _, part, _ in sorted(pieces) for i in part]
+        assert len(ids) == pieces[0][2]
+        got.append(str(ids))
+    assert sorted(got) == want
+    end = 0
+    for place in sorted(at):  # gapless over all sequences
+        assert place == end
+        end += at[place]
+    assert packing.pack(cases.none(spark), WORD).count() == 0
+
+
+def test_crc_of_the_query(spark):
+    from quillrank.llm.queries import QUERIES
+
+    got = QUERIES["op3_concatenate_and_cut"](spark, "/root/testdata/sf0.001").collect()
+    e = packing.Encoder(WORD)
+    text = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    ids = {i: e.encode([(t or "").encode()])[0] + b"\1\0\0\0" for i, t in text.items()}
+    assert sum(r.length for r in got) == sum(len(x) for x in ids.values()) // 4
+    assert all(zlib.crc32(ids[r.doc_id][4 * r.start : 4 * (r.start + r.length)]) == r.ids_crc32 and len(ids[r.doc_id]) == 4 * r.doc_tokens for r in got)
+    last = max(r.sequence_id for r in got)
+    size = {}
+    for r in got:
+        size[r.sequence_id] = size.get(r.sequence_id, 0) + r.length
+    assert all(n == 2048 for s, n in size.items() if s < last) and sorted(size) == list(range(last + 1))
