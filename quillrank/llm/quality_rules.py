@@ -64,12 +64,12 @@ def statistics(block: words.Words) -> dict[str, np.ndarray]:
     out = {"n_words": n_words, "word_chars": _sums(~space & ~_NOT_CODE_POINT[data], block.text)}
     for name, chars in _IS.items():
         out[f"n_{name}s"] = _sums(chars[data], block.text)
-    # lines: cut at \n and at the rows' ends
-    cuts = np.union1d(np.flatnonzero(data == 10), block.text[1:])
-    starts = np.union1d(np.flatnonzero(data == 10) + 1, block.text[:-1])
+    # lines end at \n or with their row
+    breaks = np.flatnonzero(data == 10)
+    starts = np.union1d(breaks + 1, block.text[:-1])
     row_of = np.searchsorted(block.text, starts, side="right") - 1
-    starts = starts[row_of < n_rows]
-    ends = cuts[np.searchsorted(cuts, starts)] if len(starts) else starts
+    starts, row_of = starts[row_of < n_rows], row_of[row_of < n_rows]
+    ends = np.minimum(np.append(breaks, len(data))[np.searchsorted(breaks, starts)], block.text[row_of + 1])
     filled = np.concatenate([[0], np.cumsum(~space, dtype=np.int64)])
     has_word = filled[ends] > filled[starts]
     starts, ends = starts[has_word], ends[has_word]
