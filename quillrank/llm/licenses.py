@@ -118,7 +118,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None) -> D
     known = known.select("license", "window", "bands", F.array_distinct(shingles(F.col("text"))).alias("own"))
     own = sorted({s for r in known.select("own").collect() for s in r["own"]})
     most = max((r[3] for r in rows), default=1)
-    sizes = sorted({r[2] for r in rows})
+    sizes = sorted({r[2] for r in rows}) or [LENGTHS[0]]
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     may = _bind(words(F.col("text")), lambda w: F.exists(_places(w), lambda i: _shingle(w, i).isin(own) if own else F.lit(False)))

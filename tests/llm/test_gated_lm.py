@@ -1,0 +1,98 @@
+"""Gradients, whole-document likelihoods, and scores against plain counting."""
+
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+import cases
+from quillrank.llm import gated_lm as g
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture()
+def small(monkeypatch):
+    for name, value in (("HIDDEN", 4), ("CLASS", 3), ("TOP", 7), ("STEPS", 50)):
+        monkeypatch.setattr(g, name, value)
+    rng = np.random.default_rng(0)
+    v = g.Vocabulary(np.arange(10, dtype=np.uint64), np.arange(20, 10, -1), 200, 14)
+    m = {k: rng.normal(0, 0.5, x.shape) for k, x in g.start(v).items()}
+    return v, m, rng.integers(0, 8, 30).astype(np.int32), np.array([0, 9, 10, 22, 30]), rng
+
+
+def test_gradients(small):
+    _, m, ids, at, rng = small
+    got = {}
+    g.run_windows(m, ids, at, 2, lambda grads, n: got.update({k: x.copy() for k, x in grads.items()}))
+    for k in m:
+        for _ in range(4):
+            i, e = tuple(rng.integers(0, s) for s in m[k].shape), 1e-3
+            old = m[k][i]
+            m[k][i] = old + e
+            a = -g.run_windows(m, ids, at, 2).sum()
+            m[k][i] = old - e
+            b = -g.run_windows(m, ids, at, 2).sum()
+            m[k][i] = old
+            assert abs((a - b) / (2 * e) - got[k][i]) < 1e-2 * max(1, abs(got[k][i]))
+
+
+@pytest.mark.parametrize("steps,lanes", [(1, 1), (3, 3), (7, 2), (64, 9)])
+def test_state_is_carried_across_windows(small, monkeypatch, steps, lanes):
+    """Any window length and any dealing to lanes give each document's own likelihood."""
+    _, m, ids, at, _ = small
+    monkeypatch.setattr(g, "STEPS", steps)
+    alone = np.concatenate([g.run_windows(m, ids[a:b], np.array([0, b - a]), 1) for a, b in zip(at, at[1:])])
+    assert np.allclose(g.run_windows(m, ids, at, lanes), alone, atol=1e-5)
+
+
+def test_probabilities_sum_to_one(small):
+    v, m, *_ = small
+    h = np.random.default_rng(1).normal(size=(1, 4)).repeat(8, 0).astype(np.float32)
+    p = np.exp(g.output(m, h, np.arange(8))[0])
+    assert abs(p.sum() - 1) < 1e-5  # seven words and the tail
+    # within the tail: known kinds by count + 1, and 1 for the unknown
+    known_tail = v.total - v.top_counts.sum() + (v.kinds - v.top)
+    assert known_tail + 1 == v.tail
+
+
+def brute(rows):
+    docs = {n: (i, [*(t or "").encode().lower().split(), None]) for n, (i, t) in enumerate(rows)}
+    out_of = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+    c = Counter(w for i, ws in docs.values() if not out_of(i) for w in ws)
+    n, v = sum(c.values()), len(c)
+    return [(i, out_of(i), len(ws), sum(c[w] > 0 for w in ws), n, round(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in ws), 6)) for i, ws in docs.values()]
+
+
+def key(r):
+    return (r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6))
+
+
+@pytest.mark.parametrize("head", [1 << 18, 3000, 40])
+def test_counts_and_base_match_plain_counting(spark, monkeypatch, head):
+    """Also where most tokens are beyond the broadcast head and joined."""
+    monkeypatch.setattr(g, "HEAD", head)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = g.document_scores(docs).collect()
+    assert sorted(map(key, rows)) == sorted(brute([(r.doc_id, r.text) for r in docs.collect()]))
+    held = [r for r in rows if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_untrained_model_is_the_unigram_model(spark, monkeypatch):
+    """Without training the factored output gives the counts' own probabilities."""
+    monkeypatch.setattr(g, "ROUNDS", 0)
+    rows = g.document_scores(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).collect()
+    assert all(abs(r.score - r.base_score) < 0.02 * abs(r.base_score) + 0.1 for r in rows)
+
+
+def test_odd_rows(spark):
+    got = g.document_scores(cases.odd(spark)).collect()
+    assert sorted(map(str, map(key, got))) == sorted(map(str, brute(cases.ODD)))
+    assert all(math.isfinite(r.score) and r.score <= 0 for r in got)
+    assert g.document_scores(cases.none(spark)).count() == 0
+    held = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 7 == 2)
+    only = g.document_scores(cases.plain(spark, [(held, "a b"), (held, None)])).collect()
+    assert [(r.n_known, r.train_tokens, r.base_score, r.score) for r in only] == [(0, 0, 0.0, 0.0)] * 2

@@ -1,0 +1,141 @@
+"""The pipeline's stages against brute force on their own inputs, and the registered queries."""
+
+import hashlib
+import random
+
+import duckdb
+import numpy as np
+import pytest
+
+import __spark_entry__ as entry_mod
+import cases
+import corpus_pipeline
+from quillrank.llm import decontamination, packing, quality_rules
+from quillrank.llm.common import Scratch
+from quillrank.llm.queries import QUERIES, SQL
+from test_ngram_join import brute
+from test_quality_rules import brute as statistics
+
+SMALL = "/root/testdata/sf0.001"
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """What each stage made of the last one's rows, from the smallest tables."""
+    scratch, docs, out = Scratch(spark, "test-pipeline"), spark.read.parquet(f"{SMALL}/documents.parquet"), []
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        made = scratch.save(stage(spark, docs, SMALL), f"s{k}")
+        out.append((docs, made))
+        docs = made
+    return out
+
+
+def rows(df):
+    return {r.doc_id: r for r in df.collect()}
+
+
+def test_stages_and_columns(stages):
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "n-gram Jaccard join", "benchmark decontamination", "PII", "packing"]
+    assert all(made.columns == COLUMNS for _, made in stages[:-1])
+    for docs, made in stages[:3]:  # filters leave what they keep as it is
+        before, after = rows(docs), rows(made)
+        assert set(after) <= set(before) and all(after[i] == before[i] for i in after)
+
+
+def test_quality_stage(spark, stages):
+    docs, made = stages[0]
+    kept = set(rows(made))
+    truth = {r.doc_id: r.quality for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
+    for i, r in rows(docs).items():
+        s = statistics(r.text)
+        if s["n_words"] < 10 or 100 * s["n_repeat_words"] > 20 * s["n_words"]:
+            assert i not in kept
+    verdicts = {r.doc_id: r.kept for r in quality_rules.quality_rules(docs, spark.read.parquet(f"{SMALL}/labels.parquet")).collect()}
+    assert kept == {i for i, k in verdicts.items() if k}
+    assert np.mean([i in kept for i, y in truth.items() if y and statistics(rows(docs)[i].text)["n_words"] >= 10]) > 0.9
+
+
+def test_near_duplicate_stage(stages):
+    docs, made = stages[1]
+    given = sorted((i, r.text) for i, r in rows(docs).items())
+    root, _ = brute(given, 5, 8, 10)
+    first = {}
+    for (i, _), c in zip(given, root):
+        first.setdefault(c, i)
+    assert set(rows(made)) == set(first.values())
+
+
+def test_benchmark_stage(spark, stages):
+    docs, made = stages[2]
+    items = [r.text for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+    assert set(rows(docs)) - set(rows(made)) >= {i for i, r in rows(docs).items() if any(t in r.text for t in items)}
+    found = {r.doc_id for r in decontamination.find_contamination(docs, spark.read.parquet(f"{SMALL}/benchmark.parquet")).collect()}
+    assert set(rows(docs)) - set(rows(made)) == found
+
+
+def test_private_stage(stages):
+    docs, made = stages[3]
+    before, after = rows(docs), rows(made)
+    assert set(before) == set(after)
+    for i, r in after.items():
+        assert r.n_chars == len(r.text) and (r.lang, r.source) == (before[i].lang, before[i].source)
+
+
+def test_packing_stage(stages):
+    docs, made = stages[4]
+    import public_tokenizers
+
+    e = packing.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    want = {i: len(e.encode([r.text.encode()])[0]) // 4 + 1 for i, r in rows(docs).items()}
+    got = {}
+    for r in made.collect():
+        assert r.doc_tokens == want[r.doc_id] and r.offset + r.length <= 2048
+        got[r.doc_id] = got.get(r.doc_id, 0) + r.length
+    assert got == want
+
+
+def test_odd_documents_go_through(spark, tmp_path):
+    texts = [*cases.ODD, (11, cases.prose(11, 60) + " a@b.co +1 (269) 555-3296"), (12, cases.prose(12, 80) + " éa. 10.2.3.4 " + cases.prose(13, 9))]
+    base = f"file://{tmp_path}"
+    for name, df in (("documents", cases.odd(spark, texts)), ("labels", spark.createDataFrame([(5, 1, 0), (10, 1, 0), (4, 0, 1)], "doc_id long, quality int, toxic int")),
+                     ("benchmark", spark.createDataFrame([(1, None), (2, cases.prose(10, 60))], "item_id long, text string"))):
+        df.write.parquet(f"{base}/{name}.parquet")
+    out = corpus_pipeline.run(spark, base).collect()
+    assert {r.doc_id for r in out} >= {5, 11, 12} and not {r.doc_id for r in out} & {1, 2, 3, 4, 6, 10}
+    for name, schema in (("documents", cases.odd(spark)),):
+        schema.where("false").write.mode("overwrite").parquet(f"{base}/{name}.parquet")
+    assert corpus_pipeline.run(spark, base).count() == 0
+
+
+def test_registered():
+    qs = entry_mod.queries()
+    assert set(QUERIES) <= set(qs) and qs["pipeline"] is corpus_pipeline.run
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert set(SQL) <= set(QUERIES) and "pipeline" not in entry_mod.oracle_sql()
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_queries_match_duckdb(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
+    res = con.execute(SQL[name])
+    cols = [c[0] for c in res.description]
+    norm = lambda v: repr(round(v, 9)) if isinstance(v, float) else repr(v)
+    df = QUERIES[name](spark, SMALL)
+    assert sorted(df.columns) == sorted(cols)
+    got, want = (sorted(hashlib.sha1("|".join(norm(v) for v in r).encode()).hexdigest() for r in x) for x in (df.select(*cols).collect(), res.fetchall()))
+    assert got == want
+
+
+def test_near_copies_of_a_group_leave_one(spark):
+    r = random.Random(3)
+    base = cases.prose(4, 200).split()
+    texts = []
+    for i in range(30):
+        w = list(base)
+        w[r.randrange(200)] = f"other{i}"
+        texts.append((i + 7, " ".join(w)))
+    docs = cases.plain(spark, [*texts, (1, cases.prose(5, 200))])
+    assert sorted(x.doc_id for x in corpus_pipeline.near_duplicates(spark, docs, SMALL).collect()) == [1, 7]
