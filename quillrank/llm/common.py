@@ -4,20 +4,43 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillrank.session import scratch_path
+from quillrank.session import delete_path, scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Delete one folder of ours through the Hadoop file system it is in."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def largest(df: DataFrame, rank: Column, n: int, *ties: str) -> DataFrame:
+    """Rows of the largest ``rank`` (a whole number of few values), at most n.
+
+    Only whole ranks are taken: the counts of the ranks, a few rows, tell from
+    which one on the rows number n at most. No task sorts or gathers the best
+    rows of all others. Where the first rank alone has more than n rows, its n
+    first by ``ties`` are taken.
+    """
+    counts = sorted(((r["rank"], r["n"]) for r in df.groupBy(rank.alias("rank")).agg(F.count("*").alias("n")).collect() if r["rank"] is not None), reverse=True)
+    total, cut = 0, None
+    for value, many in counts:
+        if total + many > n:
+            break
+        total, cut = total + many, value
+    if cut is None:
+        return df.where(rank == F.lit(counts[0][0])).orderBy(*ties).limit(n) if counts else df.where("false")
+    return df.where(rank >= F.lit(cut))
+
+
+def drawn(df: DataFrame, n: int, by: str) -> DataFrame:
+    """At most n rows, drawn by a hash of a column in 4096 ranks (all rows where there are n or fewer)."""
+    return largest(df, F.shiftrightunsigned(F.xxhash64(F.col(by)), 52), n, by)
+
+
+def magnitude(count: Column) -> Column:
+    """A positive count's binary logarithm in eighths, as a rank."""
+    return F.floor(F.log2(count) * 8).cast("int")
 
 
 class Scratch:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillrank.llm import words
-from quillrank.llm.common import Scratch
+from quillrank.llm.common import Scratch, largest, magnitude
 from quillrank.llm.toxicity import held_out
 
 TOP, CLASS, HEAD = 2048, 64, 1 << 18
@@ -389,8 +389,10 @@ def document_scores(docs: DataFrame) -> DataFrame:
     learned = docs.where(~held_out(F.col("doc_id"), 7, 2))
     counts = scratch.save(learned.select("text").mapInArrow(_count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "counts")
     whole = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    head = counts.orderBy(F.desc("c"), "h").limit(HEAD).toArrow()
-    vocabulary = Vocabulary(head["h"].to_numpy().view(np.uint64), head["c"].to_numpy(), int(whole["n"]), int(whole["v"]))
+    head = largest(counts, magnitude(F.col("c")), HEAD, "h").toArrow()
+    h, c = head["h"].to_numpy().view(np.uint64), head["c"].to_numpy()
+    order = np.lexsort((h, -c))
+    vocabulary = Vocabulary(h[order], c[order], int(whole["n"]), int(whole["v"]))
 
     sample = learned.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(EVERY)) == 0).select("text")
     weights = train(scratch.save(sample, "sample"), vocabulary)

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillrank.llm import words
-from quillrank.llm.common import Scratch, components
+from quillrank.llm.common import Scratch, components, largest, magnitude
 
 #: Grams ranked by frequency in the global order; the others go first, by hash.
 MAX_FREQUENT = 1 << 16
@@ -80,10 +80,11 @@ def _count(k: int):
     return run
 
 
-def frequent_grams(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
+def frequent_grams(docs: DataFrame, k: int, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent grams and their reported counts, at most ``MAX_FREQUENT`` of them, sorted by gram."""
-    top = (docs.select("text").mapInArrow(_count(k), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
-           .where(F.col("c") >= MIN_FREQUENT).orderBy(F.desc("c"), "h").limit(MAX_FREQUENT).toArrow())
+    counts = docs.select("text").mapInArrow(_count(k), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    counts = scratch.save(counts.where(F.col("c") >= MIN_FREQUENT), "frequent")
+    top = largest(counts, magnitude(F.col("c")), MAX_FREQUENT, "h").toArrow()
     h = top["h"].to_numpy().view(np.uint64)
     order = np.argsort(h)
     return h[order], top["c"].to_numpy()[order]
@@ -165,7 +166,7 @@ def ngram_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100)
     spark = docs.sparkSession
     scratch = Scratch(spark, "ngram-join")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    frequent = spark.sparkContext.broadcast(frequent_grams(docs, k))
+    frequent = spark.sparkContext.broadcast(frequent_grams(docs, k, scratch))
 
     sized = scratch.save(docs.mapInArrow(_prefixes(k, num, den, frequent), "doc_id long, n long, key binary, prefix array<long>"), "sized")
     nodes = sized.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillrank.llm import words
-from quillrank.llm.common import Scratch
+from quillrank.llm.common import Scratch, drawn
 
 TREES, SAMPLE, BINS, SEED = 200, 256, 1000, 17
 WINDOW = 5
@@ -219,8 +219,9 @@ def fit(measured: DataFrame, labels: DataFrame) -> tuple[list, float]:
     spark = measured.sparkSession
     labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("quality IN (0, 1)")
     judged = measured.where(~_base_failed()).join(labels, "doc_id")
-    rows = judged.where("quality = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS).select("features").toArrow()["features"]
-    forest = grow(np.array(rows.to_pylist(), dtype=float).reshape(-1, len(FEATURES)))
+    rows = drawn(judged.where("quality = 1"), FIT_ROWS, "doc_id").select("doc_id", "features").collect()
+    rows = sorted((r["doc_id"], r["features"]) for r in rows)
+    forest = grow(np.array([f for _, f in rows], dtype=float).reshape(-1, len(FEATURES)))
     shared = spark.sparkContext.broadcast(forest)
     scores = judged.select("quality", "features").mapInArrow(_scored(shared), "quality int, score double")
     bins = scores.groupBy("quality", F.floor(F.col("score") * BINS).cast("int").alias("bin")).count().collect()
