@@ -3,8 +3,8 @@
 * **Terms** are lower-cased words and word beginnings of ``STEM`` bytes. On a
   bounded sample of labelled rows Spark counts in how many rows of either
   label each term occurs; kept are the terms that go with label 1 beyond
-  chance (chi-squared, corrected for the number of terms), the ``MAX_TERMS``
-  strongest at most.
+  chance (chi-squared, corrected for the number of terms) and are at least
+  ``LIFT`` times as frequent there, the ``MAX_TERMS`` strongest at most.
 * **Vectors** over these terms are made of every whole text in one pass.
   Document frequencies count all documents.
 * **Index**: TF-IDF vectors of at most ``EXAMPLES`` labelled rows per label, in
@@ -35,7 +35,7 @@ STEM = 5
 #: Bounds of the fitted parts: labelled rows per label for terms and for the index, rows for calibration.
 TERM_ROWS, EXAMPLES, CALIBRATION_ROWS, MAX_TERMS = 20_000, 2_000, 20_000, 1024
 #: Chi-squared value that one in a hundred million random terms reaches.
-CHI_SQUARED = 32.8
+CHI_SQUARED, LIFT = 32.8, 10.0
 NEIGHBOURS, SOFT, PRIOR, BLOCK, BINS, EVIDENCE = 25, 0.05, 5.0, 64, 20, 5
 COUNT_BLOCK = 1 << 21
 _STEM_MARK = np.uint64(0x5bd1e995_9e3779b9)
@@ -252,7 +252,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     a, b = F.col("pos").cast("double"), F.col("neg").cast("double")
     off = a * (n0 - b) - b * (n1 - a)
     chi = (n1 + n0) * off * off / F.nullif((a + b) * (n1 + n0 - a - b) * n1 * n0, F.lit(0.0))
-    kept = counted.where("term IS NOT NULL").withColumn("chi", chi).where((off > 0) & (F.col("chi") >= CHI_SQUARED)) if n1 and n0 else counted.where("false").withColumn("chi", F.lit(0.0))
+    kept = counted.where("term IS NOT NULL").withColumn("chi", chi).where((a * n0 >= LIFT * b * n1) & (F.col("chi") >= CHI_SQUARED)) if n1 and n0 else counted.where("false").withColumn("chi", F.lit(0.0))
     vocab = np.sort(np.array([r["term"] for r in kept.orderBy(F.desc("chi"), "term").limit(MAX_TERMS).collect()], np.int64).view(np.uint64))
 
     vectors = scratch.save(docs.mapInArrow(_vectors(share(vocab)), VECTORS), "vectors")
