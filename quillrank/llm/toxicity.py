@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillrank.llm import words
-from quillrank.llm.common import Scratch
+from quillrank.llm.common import Scratch, drawn
 
 STEM = 5
 #: Bounds of the fitted parts: labelled rows per label for terms and for the index, rows for calibration.
@@ -218,8 +218,9 @@ def _scores(shared):
 
 
 def _chosen(rows: DataFrame, n: int) -> list:
-    """Rows of the smallest hashes of their ids, n at most."""
-    return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n).collect()
+    """At most n rows, drawn and in order by a hash of their ids."""
+    rows = drawn(rows, n, "doc_id").withColumn("hash", F.xxhash64("doc_id")).collect()
+    return sorted(rows, key=lambda r: (r["hash"], r["doc_id"]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
