@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +28,10 @@ from quillrank.llm.common import Scratch
 
 WINDOW, END = 2048, 1
 #: Words whose ids a worker keeps, in each of two generations; longer words are not kept.
-CACHE_WORDS, CACHE_BYTES = 400_000, 64
-_STOPS = b".,"
+CACHE_WORDS, CACHE_BYTES = 500_000, 64
+_PUNCTUATION = b"!\"#$%&()*+,-./:;=>?@[]^_`{}~"  # no apostrophe, and nothing that begins a special token
 #: Unknown words encoded in one call, and bytes of texts handled at once.
-CALL_WORDS, BLOCK = 4096, 1 << 19
+CALL_WORDS, BLOCK = 4096, 1 << 21
 
 
 def cuts_at_spaces(path: str) -> bool:
@@ -56,15 +57,117 @@ def cuts_at_spaces(path: str) -> bool:
     return bool(calm and split and rest and added and t["post_processor"] is None and t["truncation"] is None and t["padding"] is None)
 
 
+def _bytes_of() -> dict[str, int]:
+    """Byte of each character that byte-level vocabularies write bytes with (a published mapping)."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
+def merges_alone(path: str) -> bool:
+    """Whether every merged token of a byte-level BPE file with word ends, merged alone, ends up as that token.
+
+    Then adjacent tokens whose joined text is a token are always the pair that
+    the file merges: where the token's ends have stayed boundaries, its inside
+    has merged as it does alone. So merging by the rank of the joined text, as
+    rank-based libraries do, gives the file's own result. Also false where two
+    merges give one text, since there is no rank by text then.
+    """
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    if model["type"] != "BPE" or model.get("end_of_word_suffix") != "</w>" or model.get("dropout") or model.get("ignore_merges"):
+        return False
+    rank = {tuple(m): i for i, m in enumerate(model["merges"])}
+    if len({a + b for a, b in rank}) != len(rank):
+        return False
+    for a, b in rank:
+        z = a + b
+        word, end = (z[:-4], "</w>") if z.endswith("</w>") else (z, "")
+        parts = [*word[:-1], word[-1] + end]
+        while len(parts) > 1:
+            r, i = min((rank.get(p, len(rank)), i) for i, p in enumerate(zip(parts, parts[1:])))
+            if r == len(rank):
+                return False
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+    return True
+
+
+class PlainWords:
+    """Ids of words of small Latin letters by a rank-based library; exact where :func:`merges_alone` holds."""
+
+    #: Stands for the end of a word in the ranks; no plain word has it.
+    STOP = "\0"
+
+    def __init__(self, path: str):
+        import tiktoken
+
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        byte, stop = _bytes_of(), self.STOP.encode()
+
+        def raw(token: str) -> bytes:
+            end = token.endswith("</w>")
+            return bytes(byte[c] for c in token[: -4 if end else None]) + stop * end
+
+        ranks = {bytes([b]): b for b in range(256)} | {bytes([b]) + stop: 256 + b for b in range(256) if b}
+        ranks[stop + stop] = 256
+        for i, (a, b) in enumerate(model["merges"]):
+            ranks[raw(a) + raw(b)] = 512 + i
+        ids = {raw(t): i for t, i in model["vocab"].items()}
+        order = sorted(ranks, key=ranks.get)
+        self.id = np.array([ids.get(t, 0) for t in order], "<u4")
+        self.ends = np.array([t.endswith(stop) and len(t) > 1 for t in order])
+        self.coder = tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
+
+    @staticmethod
+    def plain(word: str) -> bool:
+        """One pre-token that no normalizer changes: letters below U+0250, none of them capital."""
+        return word.isalpha() and word == word.lower() and (word.isascii() or max(word) < "\u0250")
+
+    def encode(self, found: list[str]) -> list[bytes]:
+        ranks = np.array(self.coder.encode_ordinary(self.STOP.join(found) + self.STOP), np.int64)
+        stops = ((np.flatnonzero(self.ends[ranks]) + 1) * 4).tolist()
+        raw = self.id[ranks].tobytes()
+        return [raw[a:b] for a, b in zip([0, *stops], stops)]
+
+
+def _marks_apart(text: bytes) -> bytes:
+    """A space before full stops and commas that end a word, unless one of them follows other punctuation.
+
+    After a letter or digit and before white space such a mark is a pre-token of
+    its own, so its word needs no second entry. A text with any other such mark
+    stays as it is.
+    """
+    if _OTHER_MARK.search(text):
+        return text
+    for mark in (b". ", b", ", b".\n", b",\n"):
+        text = text.replace(mark, b" " + mark)
+    return text
+
+
+def _ends_plainly(word: bytes) -> bool:
+    """Whether a word's last character is a letter or digit: of ASCII, or a letter below U+0250."""
+    if word[-1] < 128:
+        return word[-1:].isalnum()
+    last = word.decode()[-1]
+    return last.isalpha() and last < "\u0250" and len(last.lower()) == 1  # a capital dotted I becomes two
+
+
+#: A full stop or comma before white space that is not after an ASCII letter or digit, or a letter of U+00C0 to U+00FF.
+_OTHER_MARK = re.compile(rb"[.,](?=[ \n])(?<![A-Za-z0-9][.,])(?<!\xc3[\x80-\x96\x98-\xb6\xb8-\xbf][.,])")
+
+
 class Encoder:
     """Token ids of texts as little-endian uint32 bytes, equal to the library's for the whole text.
 
     Where :func:`cuts_at_spaces` holds, each distinct word is encoded once and
     kept; unknown words of a block go to the library in one string, with one of
     the file's own special tokens between them. Otherwise texts are encoded whole.
+    Only words that it has not kept go through a library at all.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ranked: bool = False):
+        """``ranked``: whether :func:`merges_alone` holds, so plain words need not go through the slower library."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -74,6 +177,7 @@ class Encoder:
         special = [s for s in special if s[0].startswith("<|")]
         others = [t for t in self.tokenizer.get_added_tokens_decoder().values() if not t.content.startswith("<|")]
         self.mark, self.mark_id = special[-1] if special and not others and cuts_at_spaces(path) else (None, None)
+        self.words = PlainWords(path) if ranked and self.mark is not None else None
         self.lowers = "Lowercase" in str(self.tokenizer.normalizer)
 
     def _ids(self, text: str) -> np.ndarray:
@@ -82,6 +186,13 @@ class Encoder:
     def _learn(self, unknown: list[bytes]) -> None:
         """Encode words without ``<|``, which begins every special token of the file."""
         mark = self.mark.encode()
+        if self.words:
+            plain, others = [], []
+            for w in unknown:
+                (plain if PlainWords.plain(w.decode()) else others).append(w)
+            if plain:
+                self.young.update(zip(plain, self.words.encode([w.decode() for w in plain]), strict=True))
+            unknown = others
         for at in range(0, len(unknown), CALL_WORDS):
             part = unknown[at : at + CALL_WORDS]
             ids = self._ids(mark.join(part).decode())
@@ -95,7 +206,7 @@ class Encoder:
         if self.mark is None:
             return [self._ids(t.decode()).tobytes() for t in texts]
         # a text that may hold a special token goes whole; in others letters can be made small first
-        found = [None if b"<|" in t else t.lower().split() if self.lowers else t.split() for t in texts]
+        found = [None if b"<|" in t else _marks_apart(t.lower() if self.lowers else t).split() for t in texts]
         distinct = set().union(*filter(None, found))
         unknown = distinct.difference(self.young)
         if unknown and len(self.young) > CACHE_WORDS:
@@ -104,12 +215,19 @@ class Encoder:
         if unknown:
             self.young.update([(w, self.old[w]) for w in unknown if w in self.old])
             new = [w for w in unknown if w not in self.young]
-            # a full stop or comma after a plain letter or digit is a pre-token of its own
-            ends = [w for w in new if w[-1] in _STOPS and len(w) > 1 and w[-2:-1].isalnum()]
-            stems = {w[:-1] for w in ends}.difference(self.young)
-            self._learn(list(stems.union(set(new).difference(ends), [bytes([c]) for c in _STOPS]).difference(self.young)))
-            self.young.update([(w, self.young[w[:-1]] + self.young[w[-1:]]) for w in ends])
-            unknown |= stems
+            # punctuation after a letter or digit is a pre-token of its own
+            ends, parts = [], set()
+            for w in new:
+                stem = w.rstrip(_PUNCTUATION)
+                if stem and len(stem) < len(w) and _ends_plainly(stem):
+                    ends.append((w, stem, w[len(stem):]))
+                    parts.update(ends[-1][1:])
+                else:
+                    parts.add(w)
+            parts.difference_update(self.young)
+            self._learn(list(parts))
+            self.young.update([(w, self.young[stem] + self.young[tail]) for w, stem, tail in ends])
+            unknown |= parts
         out = [self._ids(t.decode()).tobytes() if f is None else b"".join(map(self.young.__getitem__, f)) for t, f in zip(texts, found)]
         for w in unknown:
             if len(w) > CACHE_BYTES:
@@ -120,10 +238,10 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, ranked: bool) -> Encoder:
     """The worker's own encoder of a file, kept for its next task."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, ranked)
     return _encoders[path]
 
 
@@ -143,9 +261,9 @@ def blocks(column: pa.Array, size: int):
 TOKENS = "doc_id long, ids binary, doc_tokens long, part int, at long"
 
 
-def _tokenize(path: str):
+def _tokenize(path: str, ranked: bool):
     def run(batches):
-        enc, part, at = encoder(path), TaskContext.get().partitionId(), 0
+        enc, part, at = encoder(path, ranked), TaskContext.get().partitionId(), 0
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
             for lo, texts in blocks(batch.column(1), BLOCK):
@@ -196,7 +314,7 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark, "packing")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    tokens = scratch.save(docs.mapInArrow(_tokenize(path), TOKENS), "tokens", compression="zstd")
+    tokens = scratch.save(docs.mapInArrow(_tokenize(path, merges_alone(path)), TOKENS), "tokens")
     totals = tokens.groupBy("part").agg(F.sum("doc_tokens").alias("n")).collect()
     each = np.zeros(max((r["part"] for r in totals), default=-1) + 1, np.int64)
     for r in totals:
