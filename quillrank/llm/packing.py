@@ -16,10 +16,10 @@ from __future__ import annotations
 
 import json
 import os
-import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +31,7 @@ WINDOW, END = 2048, 1
 CACHE_WORDS, CACHE_BYTES = 500_000, 64
 _PUNCTUATION = b"!\"#$%&()*+,-./:;=>?@[]^_`{}~"  # no apostrophe, and nothing that begins a special token
 #: Unknown words encoded in one call, and bytes of texts handled at once.
-CALL_WORDS, BLOCK = 4096, 1 << 21
+CALL_WORDS, BLOCK = 4096, 1 << 23
 
 
 def cuts_at_spaces(path: str) -> bool:
@@ -131,20 +131,6 @@ class PlainWords:
         return [raw[a:b] for a, b in zip([0, *stops], stops)]
 
 
-def _marks_apart(text: bytes) -> bytes:
-    """A space before full stops and commas that end a word, unless one of them follows other punctuation.
-
-    After a letter or digit and before white space such a mark is a pre-token of
-    its own, so its word needs no second entry. A text with any other such mark
-    stays as it is.
-    """
-    if _OTHER_MARK.search(text):
-        return text
-    for mark in (b". ", b", ", b".\n", b",\n"):
-        text = text.replace(mark, b" " + mark)
-    return text
-
-
 def _ends_plainly(word: bytes) -> bool:
     """Whether a word's last character is a letter or digit: of ASCII, or a letter below U+0250."""
     if word[-1] < 128:
@@ -153,12 +139,8 @@ def _ends_plainly(word: bytes) -> bool:
     return last.isalpha() and last < "\u0250" and len(last.lower()) == 1  # a capital dotted I becomes two
 
 
-#: A full stop or comma before white space that is not after an ASCII letter or digit, or a letter of U+00C0 to U+00FF.
-_OTHER_MARK = re.compile(rb"[.,](?=[ \n])(?<![A-Za-z0-9][.,])(?<!\xc3[\x80-\x96\x98-\xb6\xb8-\xbf][.,])")
-
-
 class Encoder:
-    """Token ids of texts as little-endian uint32 bytes, equal to the library's for the whole text.
+    """Token ids of texts, equal to the library's for the whole text.
 
     Where :func:`cuts_at_spaces` holds, each distinct word is encoded once and
     kept; unknown words of a block go to the library in one string, with one of
@@ -202,22 +184,21 @@ class Encoder:
             raw = ids.tobytes()
             self.young.update(zip(part, [raw[i:j] for i, j in zip(lo, hi)], strict=True))
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
+    def _known(self, distinct: list[bytes]) -> list[bytes]:
+        """Ids of distinct words without special tokens; where texts go whole the only word is the empty one."""
         if self.mark is None:
-            return [self._ids(t.decode()).tobytes() for t in texts]
-        # a text that may hold a special token goes whole; in others letters can be made small first
-        found = [None if b"<|" in t else _marks_apart(t.lower() if self.lowers else t).split() for t in texts]
-        distinct = set().union(*filter(None, found))
-        unknown = distinct.difference(self.young)
+            return [b""] * len(distinct)
+        unknown = [w for w in distinct if w not in self.young]
         if unknown and len(self.young) > CACHE_WORDS:
             self.old, self.young = self.young, {}
             unknown = distinct
         if unknown:
             self.young.update([(w, self.old[w]) for w in unknown if w in self.old])
-            new = [w for w in unknown if w not in self.young]
             # punctuation after a letter or digit is a pre-token of its own
             ends, parts = [], set()
-            for w in new:
+            for w in unknown:
+                if w in self.young:
+                    continue
                 stem = w.rstrip(_PUNCTUATION)
                 if stem and len(stem) < len(w) and _ends_plainly(stem):
                     ends.append((w, stem, w[len(stem):]))
@@ -227,13 +208,48 @@ class Encoder:
             parts.difference_update(self.young)
             self._learn(list(parts))
             self.young.update([(w, self.young[stem] + self.young[tail]) for w, stem, tail in ends])
-            unknown |= parts
-        out = [self._ids(t.decode()).tobytes() if f is None else b"".join(map(self.young.__getitem__, f)) for t, f in zip(texts, found)]
+            unknown = parts.union(unknown)
+        out = [self.young[w] for w in distinct]
         for w in unknown:
             if len(w) > CACHE_BYTES:
                 self.young.pop(w, None)
         return out
 
+    def ids(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some texts in one array, and how many each has; ``end`` comes after each text.
+
+        Words are cut and made distinct by Arrow, so Python sees each distinct word of a
+        block once and the ids are put together by whole-array arithmetic.
+        """
+        whole = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False) if self.mark is not None else np.ones(len(texts), bool)
+        plain = pc.if_else(pa.array(~whole), texts, "")  # texts that may hold a special token go whole
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(plain) if self.mark is not None and self.lowers else plain)
+        found = lists.flatten().dictionary_encode()
+        at = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
+        word = found.indices.to_numpy(zero_copy_only=False)
+        pieces = self._known(found.dictionary.cast(pa.binary()).to_pylist())
+        word = word.astype(np.int64)
+        for i in np.flatnonzero(whole):
+            word[at[i]] = len(pieces)
+            pieces.append(self._ids(texts[int(i)].as_py()).tobytes())
+        if end is not None:
+            word = np.insert(word, at[1:], len(pieces))
+            pieces.append(np.array([end], "<u4").tobytes())
+            at = at + np.arange(len(at))
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+        flat, start = np.frombuffer(b"".join(pieces), "<u4"), np.cumsum(size) - size
+        length = size[word]
+        total = np.concatenate([[0], np.cumsum(length)])
+        out = flat[np.repeat(start[word] - total[:-1], length) + np.arange(total[-1])]
+        return out, np.diff(total[at])
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Each text's ids as little-endian uint32 bytes."""
+        out, n = self.ids(pa.array([t.decode() for t in texts], pa.string()))
+        edges = np.concatenate([[0], np.cumsum(n)]) * 4
+        raw = out.tobytes()
+        return [raw[a:b] for a, b in zip(edges, edges[1:])]
+
 
 _encoders: dict[str, Encoder] = {}
 
@@ -258,20 +274,32 @@ def blocks(column: pa.Array, size: int):
         yield first, held
 
 
+def spans(texts: pa.Array, size: int):
+    """``(first, end)`` of runs of rows of about ``size`` bytes."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < len(ends):
+        done = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, done + size, side="right")))
+        yield lo, hi
+        lo = hi
+
+
 TOKENS = "doc_id long, ids binary, doc_tokens long, part int, at long"
 
 
 def _tokenize(path: str, ranked: bool):
     def run(batches):
         enc, part, at = encoder(path, ranked), TaskContext.get().partitionId(), 0
-        end = np.array([END], "<u4").tobytes()
         for batch in batches:
-            for lo, texts in blocks(batch.column(1), BLOCK):
-                ids = [x + end for x in enc.encode(texts)]
-                n = np.array([len(x) // 4 for x in ids], np.int64)
+            texts = batch.column(1).fill_null("")
+            for lo, hi in spans(texts, BLOCK):
+                ids, n = enc.ids(texts.slice(lo, hi - lo), END)
                 before = at + np.cumsum(n) - n
                 at += int(n.sum())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, len(ids)), pa.array(ids, pa.binary()), pa.array(n), pa.array(np.full(len(ids), part, np.int32)), pa.array(before)],
+                edges = pa.py_buffer((np.concatenate([[0], np.cumsum(n)]) * 4).astype(np.int64).tobytes())
+                column = pa.Array.from_buffers(pa.large_binary(), hi - lo, [None, edges, pa.py_buffer(ids.tobytes())]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), column, pa.array(n), pa.array(np.full(hi - lo, part, np.int32)), pa.array(before)],
                                                  ["doc_id", "ids", "doc_tokens", "part", "at"])
 
     return run
