@@ -1,27 +1,27 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine, block-max index, calibrated votes.
 
-* **Terms** are lower-cased words and word beginnings of ``STEM`` bytes. On a
-  bounded sample of labelled rows Spark counts in how many rows of either
-  label each term occurs; kept are the terms that go with label 1 beyond
-  chance (chi-squared, corrected for the number of terms) and are at least
-  ``LIFT`` times as frequent there, the ``MAX_TERMS`` strongest at most.
-* **Vectors** over these terms are made of every whole text in one pass.
-  Document frequencies count all documents.
-* **Index**: TF-IDF vectors of at most ``EXAMPLES`` labelled rows per label, in
-  blocks of ``BLOCK``; for each term the largest weight in each block. A query
-  visits blocks by falling bound and stops when the bound is below its k-th
-  best cosine, so the k nearest are exact. Its size is bounded by
-  ``2 * EXAMPLES * MAX_TERMS`` numbers, whatever the corpus.
+* **Examples** are at most ``EXAMPLES`` labelled rows per label. Their terms
+  (lower-cased words and word beginnings of ``STEM`` bytes), all of them, are
+  the vocabulary; a term that no example has can't match and is left out.
+* **Weights**: every term weighs its inverse document frequency over all
+  documents, times how surely it goes with one label or the other:
+  ``chi / (chi + CHI_SQUARED)`` by its chi-squared value on a bounded sample
+  of labelled rows, ``EVEN`` at least. One pass over the corpus counts both.
+* **Index**: posting lists, cut into blocks of ``BLOCK`` examples; each block
+  of a list has its largest weight. A query takes the blocks of the highest
+  bounds first and then those whose bound reaches its k-th best cosine, so the
+  k nearest are exact. Its size is bounded by the examples' terms, whatever
+  the corpus. Texts are scored as they are read, no vector is written.
 * **Votes** of the ``NEIGHBOURS`` nearest are weighted by 1 / (distance +
   ``SOFT``), less what an example at cosine 0 has, and by what the sample's
   labels are short of the true shares; ``PRIOR`` votes go to the base rate, so
-  far examples decide little. Votes are calibrated on labelled rows that neither terms nor examples saw (monotone
+  far examples decide little. Votes are calibrated on labelled rows that neither weights nor examples saw (monotone
   bins). The nearest examples' ids are returned as evidence.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -32,12 +32,13 @@ from quillrank.llm import words
 from quillrank.llm.common import Scratch, drawn
 
 STEM = 5
-#: Bounds of the fitted parts: labelled rows per label for terms and for the index, rows for calibration.
-TERM_ROWS, EXAMPLES, CALIBRATION_ROWS, MAX_TERMS = 20_000, 2_000, 20_000, 1024
-#: Chi-squared value that one in a hundred million random terms reaches.
-CHI_SQUARED, LIFT = 32.8, 10.0
+#: Bounds of the fitted parts: labelled rows per label for weights and for the index, rows for calibration.
+TERM_ROWS, EXAMPLES, CALIBRATION_ROWS = 20_000, 2_000, 20_000
+#: Chi-squared value that one in a hundred million random terms reaches: half the weight. The least weight.
+CHI_SQUARED, EVEN = 32.8, 0.05
 NEIGHBOURS, SOFT, PRIOR, BLOCK, BINS, EVIDENCE = 25, 0.05, 5.0, 64, 20, 5
-COUNT_BLOCK = 1 << 21
+#: Blocks scored before bounds are compared.
+FIRST = 4
 _STEM_MARK = np.uint64(0x5bd1e995_9e3779b9)
 
 
@@ -63,97 +64,134 @@ def _place(sorted_ids: np.ndarray, column: pa.Array) -> np.ndarray:
     return np.where((sorted_ids[at] == ids) & column.is_valid().to_numpy(zero_copy_only=False), at, -1)
 
 
-def _count(sample):
-    """Rows of either label per term; a null term counts the rows themselves."""
-    def run(batches):
-        ids, toxic = sample.value
-        held, size = [], 0
+def _ranges(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """All whole numbers of the ranges ``lo[i]`` to ``hi[i]``, one range after the other."""
+    size = hi - lo
+    return np.arange(size.sum()) + np.repeat(lo - (np.cumsum(size) - size), size)
 
-        def flush():
-            h, y = (np.concatenate(x) for x in zip(*held))
-            u, at = np.unique(h, return_inverse=True)
-            n = np.bincount(at, minlength=len(u))
-            pos = np.bincount(at, weights=y, minlength=len(u)).astype(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(pos), pa.array(n - pos)], ["term", "pos", "neg"])
 
-        for batch in batches:
-            at = _place(ids, batch.column(0))
-            mine = np.flatnonzero(at >= 0)
-            if not len(mine):
-                continue
-            y = toxic[at[mine]].astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([int(y.sum())]), pa.array([int(len(y) - y.sum())])], ["term", "pos", "neg"])
-            for first, block in words.scan(batch.column(1).take(pa.array(mine)), lower=True):
-                h, row = terms(block)
-                order = np.lexsort((h, row))
-                h, row = h[order], row[order]
-                new = np.ones(len(h), bool)
-                new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
-                held.append((h[new], y[first + row[new]]))
-                size += int(new.sum())
-                if size >= COUNT_BLOCK:
-                    yield flush()
-                    held, size = [], 0
-        if held:
-            yield flush()
+def _rows(column: pa.Array, vocab: np.ndarray):
+    """Per block of texts its first row, and the (row, term, count) of the vocabulary's terms in order."""
+    for first, block in words.scan(column, lower=True):
+        h, row = terms(block)
+        at = np.searchsorted(vocab, h)
+        hit = np.flatnonzero(at < len(vocab))
+        hit = hit[vocab[at[hit]] == h[hit]]
+        key, n = np.unique(row[hit] * max(len(vocab), 1) + at[hit], return_counts=True)
+        yield first, len(block), key // max(len(vocab), 1), key % max(len(vocab), 1), n
+
+
+HASHED = "doc_id long, terms array<long>, counts array<int>"
 
-    return run
 
+def _hashed(batches):
+    """All terms of each text, as hashes, and how often it has them."""
+    for batch in batches:
+        for first, block in words.scan(batch.column(1), lower=True):
+            h, row = terms(block)
+            order = np.lexsort((h, row))
+            h, row = h[order], row[order]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
+            begin = np.flatnonzero(new)
+            n = np.diff(np.append(begin, len(h))).astype(np.int32)
+            offsets = pa.array(np.searchsorted(row[begin], np.arange(len(block) + 1)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(block)), pa.ListArray.from_arrays(offsets, pa.array(h[begin].view(np.int64))),
+                                              pa.ListArray.from_arrays(offsets, pa.array(n))], ["doc_id", "terms", "counts"])
 
-VECTORS = "doc_id long, terms array<int>, counts array<int>"
 
+COUNTED = "term int, df long, pos long, neg long"
 
-def _vectors(shared):
+
+def _count(vocabulary, sample):
+    """Rows that have each term: all of them, and the sample's of either label; term -1 counts the rows themselves."""
     def run(batches):
-        vocab = shared.value
+        vocab, (ids, toxic) = vocabulary.value, sample.value
+        size = len(vocab)
+        sums = np.zeros((3, size + 1), np.int64)
         for batch in batches:
-            for first, block in words.scan(batch.column(1), lower=True):
-                h, row = terms(block)
-                if len(vocab):
-                    at = np.minimum(np.searchsorted(vocab, h), len(vocab) - 1)
-                    hit = vocab[at] == h
-                    key, n = np.unique(row[hit] * len(vocab) + at[hit], return_counts=True)
-                    row, at = key // len(vocab), key % len(vocab)
-                else:
-                    row = at = n = np.zeros(0, np.int64)
-                offsets = pa.array(np.searchsorted(row, np.arange(len(block) + 1)).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(block)), pa.ListArray.from_arrays(offsets, pa.array(at.astype(np.int32))),
-                                                  pa.ListArray.from_arrays(offsets, pa.array(n.astype(np.int32)))], ["doc_id", "terms", "counts"])
+            place = _place(ids, batch.column(0))
+            label = np.where(place >= 0, toxic[place], -1) if len(ids) else place
+            sums[:, size] += [len(label), (label == 1).sum(), (label == 0).sum()]
+            for first, _, row, at, _ in _rows(batch.column(1), vocab):
+                sums[0, :size] += np.bincount(at, minlength=size)
+                y = label[first + row]
+                for k, mine in ((1, y == 1), (2, y == 0)):
+                    if mine.any():
+                        sums[k, :size] += np.bincount(at[mine], minlength=size)
+        some = np.flatnonzero(sums[0])
+        yield pa.RecordBatch.from_arrays([pa.array(np.where(some < size, some, -1).astype(np.int32)), *(pa.array(x[some]) for x in sums)], ["term", "df", "pos", "neg"])
 
     return run
 
 
+class Lists:
+    """Posting lists of examples: per term its blocks and their largest weights, per block of a term its examples."""
+
+    def __init__(self, term: np.ndarray, example: np.ndarray, weight: np.ndarray, n_terms: int, n_examples: int):
+        order = np.lexsort((example, term))
+        term, self.example, self.weight = term[order], example[order].astype(np.int32), weight[order].astype(np.float32)
+        self.n, self.blocks = n_examples, -(-n_examples // BLOCK)
+        key = term.astype(np.int64) * max(self.blocks, 1) + self.example // BLOCK
+        begin = np.flatnonzero(np.diff(key, prepend=-1))
+        self.begin = np.append(begin, len(key))
+        self.block = (key[begin] % max(self.blocks, 1)).astype(np.int32)
+        self.most = np.maximum.reduceat(self.weight, begin) if len(begin) else self.weight
+        self.term = np.searchsorted(term[begin], np.arange(n_terms + 1))
+
+    def nearest(self, at: np.ndarray, v: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        lo, hi = self.term[at], self.term[at + 1]
+        entry, by = _ranges(lo, hi), np.repeat(v, hi - lo)
+        block = self.block[entry]
+        bound = np.bincount(block, weights=self.most[entry] * by, minlength=self.blocks)
+        cosine = np.zeros(self.n)
+
+        def score(blocks: np.ndarray) -> None:
+            mine = np.zeros(self.blocks, bool)
+            mine[blocks] = True
+            mine = mine[block]
+            lo, hi = self.begin[entry[mine]], self.begin[entry[mine] + 1]
+            post = _ranges(lo, hi)
+            np.add(cosine, np.bincount(self.example[post], weights=self.weight[post] * np.repeat(by[mine], hi - lo), minlength=self.n), out=cosine)
+
+        order = np.argsort(-bound, kind="stable")
+        score(order[:FIRST])
+        least = -np.partition(-cosine, k - 1)[k - 1] if self.n >= k else 0.0
+        rest = order[FIRST:]
+        score(rest[(bound[rest] > 0) & (bound[rest] >= least - 1e-6)])
+        found = np.flatnonzero(cosine > 0)
+        if len(found) > k:
+            found = found[cosine[found] >= -np.partition(-cosine[found], k - 1)[k - 1] - 1e-8]
+        found = found[np.lexsort((found, -np.round(cosine[found], 9)))[:k]]
+        return found, cosine[found]
+
+
 @dataclass
 class Index:
-    """Normalized example vectors with their labels' weights, and block maxima."""
+    """Normalized example vectors with their labels' weights, as posting lists with block maxima."""
 
     ids: np.ndarray
     toxic: np.ndarray
     share: np.ndarray  # weight of an example's vote
-    idf: np.ndarray
-    rows: np.ndarray  # example x term
-    most: np.ndarray  # block x term
+    idf: np.ndarray  # weight of each term
+    rows: Lists | np.ndarray  # example x term
+    most: np.ndarray | None  # block x term, of a dense index; the lists have their own
     base: float  # share of label 1 among labelled rows
     bins: np.ndarray | None = None  # calibrated score of each raw bin; the last is for texts without a term
 
+    def __post_init__(self):
+        self.lists = self.rows
+        if not isinstance(self.rows, Lists):
+            example, term = np.nonzero(self.rows)
+            self.lists = Lists(term, example, self.rows[example, term], self.rows.shape[1], len(self.rows))
+
     def vector(self, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
         v = (1 + np.log(counts)) * self.idf[at]
         return v / max(float(np.sqrt((v * v).sum())), 1e-12)
 
     def nearest(self, at: np.ndarray, v: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
         """Positions and cosines of the k nearest examples with a cosine above 0, ties by id."""
-        bound = self.most[:, at] @ v
-        found, cosines, least = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(found) >= k and bound[b] < least - 1e-9:
-                break
-            c = self.rows[b * BLOCK : (b + 1) * BLOCK][:, at] @ v
-            hit = np.flatnonzero(c > 0)
-            found, cosines = np.concatenate([found, b * BLOCK + hit]), np.concatenate([cosines, c[hit]])
-            best = np.lexsort((found, -np.round(cosines, 9)))[:k]
-            found, cosines = found[best], cosines[best]
-            least = float(cosines[-1]) if len(cosines) else 0.0
-        return found, cosines
+        return self.lists.nearest(at, v, k)
 
     def raw(self, at: np.ndarray, counts: np.ndarray) -> tuple[float, np.ndarray]:
         """Weighted vote and the examples it comes from; the base rate and none where no example is near."""
@@ -193,26 +231,18 @@ def calibrate(bins: np.ndarray, toxic: np.ndarray, base: float) -> np.ndarray:
     return np.array([v for v, _, m in groups for _ in range(m)] + [value[BINS]])
 
 
-def _pairs(batch: pa.RecordBatch):
-    """(terms, counts) arrays of each row."""
-    def lists(c: pa.ListArray):
-        return c.offsets.to_numpy(), c.values.to_numpy()
-
-    (o, t), (_, n) = lists(batch.column(batch.schema.get_field_index("terms"))), lists(batch.column(batch.schema.get_field_index("counts")))
-    for i in range(batch.num_rows):
-        yield t[o[i] : o[i + 1]], n[o[i] : o[i + 1]]
-
-
 SCORES = "doc_id long, score double, evidence array<long>"
 
 
-def _scores(shared):
+def _scores(vocabulary, shared):
     def run(batches):
-        index = shared.value
+        vocab, index = vocabulary.value, shared.value
         for batch in batches:
-            got = [index.score(t, n) for t, n in _pairs(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s for s, _ in got], pa.float64()), pa.array([e.tolist() for _, e in got], pa.list_(pa.int64()))],
-                                             ["doc_id", "score", "evidence"])
+            for first, size, row, at, n in _rows(batch.column(1), vocab):
+                edge = np.searchsorted(row, np.arange(size + 1))
+                got = [index.score(at[a:b], n[a:b]) for a, b in zip(edge[:-1], edge[1:])]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, size), pa.array([s for s, _ in got], pa.float64()),
+                                                  pa.array([e.tolist() for _, e in got], pa.list_(pa.int64()))], ["doc_id", "score", "evidence"])
 
     return run
 
@@ -228,8 +258,8 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     ``labels(doc_id, toxic)``: only rows of ids that are not held out (crc32 of
     the id as text is 0 modulo 5) and of toxic 0 or 1 are read; an id labelled
-    both ways counts as toxic. A text without any kept term (null and empty
-    ones too) gets the share of label 1 among such texts. Without labels every
+    both ways counts as toxic. A text without any term of an example (null and
+    empty ones too) gets the share of label 1 among such texts. Without labels every
     score is 0.5 at most and nothing is predicted. Repeated rows are scored
     alike; other columns are ignored.
     """
@@ -246,44 +276,44 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     by_label = {y: _chosen(train.where(f"part > 0 AND toxic = {y}"), TERM_ROWS) for y in (0, 1)}
     sample = sorted((r["doc_id"], y) for y, rows in by_label.items() for r in rows)
     sample = tuple(np.array(x, np.int64) for x in (zip(*sample) if sample else ((), ())))
-    counted = docs.mapInArrow(_count(share(sample)), "term long, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    counted = scratch.save(counted, "terms", compression="zstd")
-    sums = counted.where("term IS NULL").first()
-    n1, n0 = (sums["pos"], sums["neg"]) if sums else (0, 0)
-    a, b = F.col("pos").cast("double"), F.col("neg").cast("double")
-    off = a * (n0 - b) - b * (n1 - a)
-    chi = (n1 + n0) * off * off / F.nullif((a + b) * (n1 + n0 - a - b) * n1 * n0, F.lit(0.0))
-    kept = counted.where("term IS NOT NULL").withColumn("chi", chi).where((a * n0 >= LIFT * b * n1) & (F.col("chi") >= CHI_SQUARED)) if n1 and n0 else counted.where("false").withColumn("chi", F.lit(0.0))
-    vocab = np.sort(np.array([r["term"] for r in kept.orderBy(F.desc("chi"), "term").limit(MAX_TERMS).collect()], np.int64).view(np.uint64))
-
-    vectors = scratch.save(docs.mapInArrow(_vectors(share(vocab)), VECTORS), "vectors")
-    df = {r["t"]: r["n"] for r in vectors.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("n")).collect()}
-    n_docs = vectors.count()
-    idf = np.log((n_docs + 1) / (np.array([df.get(t, 0) for t in range(len(vocab))], float) + 1)) + 1
+    label = {r["doc_id"]: y for y, rows in by_label.items() for r in rows}
 
-    def fetch(rows: list) -> list[tuple]:
-        """(doc_id, terms, counts) of some ids, once each."""
+    def texts(rows: list) -> DataFrame:
+        """``(doc_id, text)`` of some ids, once each: at most 2 * EXAMPLES or CALIBRATION_ROWS."""
         ids = spark.createDataFrame([(r["doc_id"],) for r in rows], "doc_id long")
-        got = vectors.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]).collect()  # at most 2 * EXAMPLES or CALIBRATION_ROWS
-        return sorted(((r["doc_id"], np.array(r["terms"], np.int64), np.array(r["counts"], np.int64)) for r in got), key=lambda x: x[0])
+        return docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+
+    examples = texts([r for rows in by_label.values() for r in rows[:EXAMPLES]]).mapInArrow(_hashed, HASHED).toArrow().combine_chunks().sort_by("doc_id")
+    ids = examples["doc_id"].to_numpy()
+    size = examples["terms"].combine_chunks().value_lengths().to_numpy(zero_copy_only=False).astype(np.int64) if len(ids) else np.zeros(0, np.int64)
+    hashes = examples["terms"].combine_chunks().flatten().to_numpy().view(np.uint64) if len(ids) else np.zeros(0, np.uint64)
+    often = examples["counts"].combine_chunks().flatten().to_numpy() if len(ids) else np.zeros(0, np.int32)
+    vocab, at = np.unique(hashes, return_inverse=True)
+    vocabulary = share(vocab)
+
+    counted = docs.mapInArrow(_count(vocabulary, share(sample)), COUNTED).groupBy("term").agg(*[F.sum(c).alias(c) for c in ("df", "pos", "neg")]).toArrow()
+    sums = np.zeros((3, len(vocab) + 1), np.int64)  # -1 is the last place
+    sums[:, counted["term"].to_numpy()] = [counted[c].to_numpy() for c in ("df", "pos", "neg")]
+    (df, a, b), (n_docs, n1, n0) = sums[:, :-1].astype(float), sums[:, -1].astype(float)
+    off = a * (n0 - b) - b * (n1 - a)
+    chi = (n1 + n0) * off * off / np.maximum((a + b) * (n1 + n0 - a - b) * n1 * n0, 1)
+    weight = (np.log((n_docs + 1) / (df + 1)) + 1) * (EVEN + (1 - EVEN) * chi / (chi + CHI_SQUARED))
 
-    label = {r["doc_id"]: y for y, rows in by_label.items() for r in rows}
-    examples = fetch([r for rows in by_label.values() for r in rows[:EXAMPLES]])
-    toxic = np.array([label[i] for i, *_ in examples], float)
-    index = Index(np.array([i for i, *_ in examples], np.int64), toxic, np.zeros(len(examples)), idf, np.zeros((len(examples), len(vocab)), np.float32), np.zeros((0, len(vocab)), np.float32), base)
+    toxic = np.array([label[i] for i in ids], float)
+    votes = np.zeros(len(ids))
     for y in (0, 1):
-        index.share[toxic == y] = total.get(y, 0) / max((toxic == y).sum(), 1)
-    for row, (_, at, n) in enumerate(examples):
-        if len(at):
-            index.rows[row, at] = index.vector(at, n)
-    if len(examples) and len(vocab):
-        index.most = np.maximum.reduceat(index.rows, np.arange(0, len(examples), BLOCK), axis=0)
+        votes[toxic == y] = total.get(y, 0) / max((toxic == y).sum(), 1)
+    example, v = np.repeat(np.arange(len(ids)), size), (1 + np.log(often)) * weight[at]
+    norm = np.sqrt(np.bincount(example, weights=v * v, minlength=len(ids)))
+    index = Index(ids, toxic, votes, weight, Lists(at, example, v / np.maximum(norm, 1e-12)[example], len(vocab), len(ids)), None, base)
 
     judged = _chosen(train.where("part = 0"), CALIBRATION_ROWS)
     truth = {r["doc_id"]: r["toxic"] for r in judged}
-    seen = [(truth[i], *index.raw(at, n)) for i, at, n in fetch(judged)]
-    bins = np.array([bin_of(r) if len(e) else BINS for _, r, e in seen], np.int64)
-    index.bins = calibrate(bins, np.array([y for y, *_ in seen], float), base)
+    seen = [(truth[r["doc_id"]], r["score"], r["near"]) for r in texts(judged).mapInArrow(_scores(vocabulary, share(index)), SCORES).select("doc_id", "score", (F.size("evidence") > 0).alias("near")).collect()]
+    bins = np.array([bin_of(r) if near else BINS for _, r, near in seen], np.int64)
+    # the broadcast one stays as it is, without bins
+    index = replace(index, bins=calibrate(bins, np.array([y for y, *_ in seen], float), base))
+    scratch.drop("train")
 
-    scored = vectors.mapInArrow(_scores(share(index)), SCORES)
+    scored = docs.mapInArrow(_scores(vocabulary, share(index)), SCORES)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")

@@ -68,3 +68,26 @@ def test_odd_rows(spark):
         assert sum(r.doc_id is None and not r.held_out for r in got) == 2
     assert all(r.predicted == 0 for r in t.toxicity(cases.odd(spark), labels.where("false")).collect())
     assert t.toxicity(cases.none(spark), labels).count() == 0
+
+
+def test_ordinary_and_rare_words_count(spark):
+    rng = np.random.default_rng(4)
+    signal, common = [f"sig{i}n" for i in range(12)], [f"w{i}" for i in range(60)]
+    rows, labels = [], []
+    for i in range(1500):
+        toxic = i % 5 == 0
+        # each signal word is about five times as frequent with label 1
+        text = [w for w in signal if rng.random() < (0.5 if toxic else 0.1)] + rng.choice(common, 30).tolist()
+        rng.shuffle(text)
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(toxic)))
+    # words that two documents alone have, one of them labelled
+    known = [i for i in range(5000, 5040) if zlib.crc32(str(i).encode()) % 5][:6]
+    for i in known:
+        text = " ".join(f"q{i}z{j}" for j in range(30))
+        rows += [(i, text), (i + 4000, text)]
+        labels.append((i, 1))
+    got = {r.doc_id: r for r in t.toxicity(cases.plain(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    judged = [(y, got[i].predicted) for i, y in labels if got[i].held_out]
+    assert np.mean([p for y, p in judged if y]) > 0.8 and np.mean([p for y, p in judged if not y]) < 0.1
+    assert sum(got[i + 4000].evidence[:1] == [i] for i in known) >= 3  # the others are for calibration
