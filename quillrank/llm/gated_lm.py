@@ -9,11 +9,10 @@ every text, unknown tokens included, has a probability.
 output is factored: P(class | state) * P(word | class, state). Biases start as
 the corpus's log counts, so training begins at the unigram model.
 
-**Training**: every ``EVERY``-th training document (by a hash of its id and
-text) takes part, so the sample grows with the corpus. Each task trains a
-replica on its share by backpropagation truncated to windows of ``STEPS``
-tokens, the state being carried over; the replicas' weights are averaged by
-Spark and the next round starts from there. Only one set of weights (about
+**Training**: every training document takes part. Each task trains a replica
+on its share by backpropagation truncated to windows of ``STEPS`` tokens, the
+state being carried over; the replicas' weights are averaged by Spark and the
+next round starts from there. Only one set of weights (about
 ``2 * TOP * HIDDEN`` numbers) ever reaches the driver.
 
 **Scoring**: documents run in lanes side by side, window after window; the
@@ -39,7 +38,7 @@ from quillrank.llm.toxicity import held_out
 
 TOP, CLASS, HEAD = 2048, 64, 1 << 18
 HIDDEN, STEPS, LANES, TRAIN_LANES = 16, 32, 1024, 32
-EVERY, ROUNDS, RATE = 16, 2, 0.01
+ROUNDS, RATE = 2, 0.01
 COUNT_BLOCK, SCORE_TOKENS, SEED = 1 << 21, 1 << 20, 5
 #: The end of a document as a token; no word is empty.
 END = words.mix(np.array([1], np.uint64))[0]
@@ -394,8 +393,7 @@ def document_scores(docs: DataFrame) -> DataFrame:
     order = np.lexsort((h, -c))
     vocabulary = Vocabulary(h[order], c[order], int(whole["n"]), int(whole["v"]))
 
-    sample = learned.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(EVERY)) == 0).select("text")
-    weights = train(scratch.save(sample, "sample"), vocabulary)
+    weights = train(learned.select("text"), vocabulary)
     share = spark.sparkContext.broadcast
     scored = scratch.save(docs.mapInArrow(_score(share(vocabulary), share(weights)), SCORED), "scored", compression="zstd")
 

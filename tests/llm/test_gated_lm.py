@@ -96,3 +96,11 @@ def test_odd_rows(spark):
     held = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 7 == 2)
     only = g.document_scores(cases.plain(spark, [(held, "a b"), (held, None)])).collect()
     assert [(r.n_known, r.train_tokens, r.base_score, r.score) for r in only] == [(0, 0, 0.0, 0.0)] * 2
+
+
+def test_every_training_document_is_trained_on(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(g, "train", lambda texts, v: seen.extend(r.text for r in texts.collect()) or g.flat(g.start(v)))
+    rows = [(i, f"word{i} again") for i in range(200)] + [(None, "no id"), (1, "word1 again")]
+    g.document_scores(cases.plain(spark, rows))
+    assert sorted(seen) == sorted(t for i, t in rows if i is None or zlib.crc32(str(i).encode()) % 7 != 2)
