@@ -12,8 +12,9 @@ A task slides passages of ``PASSAGE`` words, ``STRIDE`` apart, over each text
 block is skipped when the sum of the passage's block maxima stays below the
 block's lowest threshold; here the sums of all passages and blocks of a run of
 texts are taken at once. Items of blocks that remain are scored exactly.
-An item is retrieved when its score reaches ``SHARE`` of the score it has for
-its own text; every such pair of passage and item is then verified against
+An item is retrieved when its score reaches ``SHARE`` of the least that a
+passage within a copy of it scores: of any ``PASSAGE`` words of its text in
+a row, or of its question where that is shorter; every such pair of passage and item is then verified against
 the whole document: the share of the question's and of the answer's
 ``GRAM``-word windows that occur in it. The answer is an item's last sentence,
 its windows are those with at least one of its words; the others are the
@@ -63,6 +64,19 @@ def _words(text: str) -> np.ndarray:
     return np.concatenate([b.hash for _, b in words.scan(pa.array([text]), fold=FOLD)])
 
 
+def _least(vocab: np.ndarray, weight: np.ndarray, text: np.ndarray) -> float:
+    """The least score of an item (its weight of each word) for any ``PASSAGE`` words of a text in a row; for all of a shorter one."""
+    size = min(PASSAGE, len(text))
+    least = np.inf
+    at = np.searchsorted(vocab, text)
+    for i in range(0, len(text) - size + 1, 4096):
+        windows = np.sort(np.lib.stride_tricks.sliding_window_view(at[i : i + 4095 + size], size), axis=1)
+        once = np.ones(windows.shape, bool)
+        once[:, 1:] = windows[:, 1:] != windows[:, :-1]
+        least = min(least, float((weight[windows] * once).sum(1).min()))
+    return least
+
+
 def build_index(items: list[tuple[int, str]]) -> Index:
     """Index of ``(item_id, text)``; items without a word can't be met and are left out."""
     kept = [(i, t, w) for i, t in items if i is not None and t and len(w := _words(t))]
@@ -76,18 +90,20 @@ def build_index(items: list[tuple[int, str]]) -> Index:
     idf = np.log1p((len(kept) - df + 0.5) / (df + 0.5)).astype(np.float32)
     norm = (K1 * (1 - B + B * lengths / max(lengths.mean(), 1))).astype(np.float32) if kept else np.zeros(0, np.float32)
     weight = (idf[:, None] * tf * np.float32(K1 + 1) / np.maximum(tf + norm, np.float32(1e-9))).astype(np.float32)
-    need = np.float32(SHARE) * weight.sum(0)  # an item's own text has all its words once
-    edges = np.arange(0, len(kept), BLOCK_ITEMS)
-    most = np.maximum.reduceat(weight, edges, axis=1) if kept else weight
-    block_need = np.minimum.reduceat(need, edges) if kept else need
-    grams = []
-    for _, t, w in kept:
+    grams, least = [], []
+    for j, (_, t, w) in enumerate(kept):
         k = min(GRAM, len(w))
         g = words.gram_hash(w, k)
         sentences = [s for s in re.split(r"(?<=[.!?])\s+|\n+", t) if len(_words(s))]
         tail = len(_words(sentences[-1])) if len(sentences) > 1 else 0
         first = max(0, len(w) - tail - k + 1) if tail else len(g)  # the first gram with a word of the answer
         grams.append((k, np.unique(g[:first]), np.unique(g[first:])))
+        parts = [w, w[: len(w) - tail]] if 0 < first < len(g) else [w]
+        least.append(min(_least(vocab, weight[:, j], part) for part in parts))
+    need = np.float32(SHARE) * np.array(least, np.float32)
+    edges = np.arange(0, len(kept), BLOCK_ITEMS)
+    most = np.maximum.reduceat(weight, edges, axis=1) if kept else weight
+    block_need = np.minimum.reduceat(need, edges) if kept else need
     return Index(np.array([i for i, *_ in kept], np.int64), vocab, weight, most, need, block_need, grams)
 
 
@@ -136,14 +152,17 @@ def retrieve(index: Index, block: words.Words) -> list[tuple[int, int, int, floa
     return found
 
 
-def verify(index: Index, item: int, text: np.ndarray) -> tuple[float, float]:
-    """Shares of the item's question and answer windows that the words of a whole text contain.
+def verify(index: Index, item: int, have: np.ndarray) -> tuple[float, float]:
+    """Shares of the item's question and answer windows among the sorted windows (of the item's gram size) of a whole text.
 
     A part without windows (an item of one sentence, or a very short question) takes the other's share.
     """
-    k, question, answer = index.grams[item]
-    have = words.gram_hash(text, k)
-    q, a = (float(np.isin(g, have).mean()) if len(g) else None for g in (question, answer))
+    def share(g: np.ndarray) -> float | None:
+        if not len(g) or not len(have):
+            return 0.0 if len(g) else None
+        return float((have[np.minimum(np.searchsorted(have, g), len(have) - 1)] == g).mean())
+
+    q, a = map(share, index.grams[item][1:])
     return (a if q is None else q), (q if a is None else a)
 
 
@@ -157,9 +176,14 @@ def matches(index: Index, block: words.Words) -> list[tuple[int, int, int, float
     for row, begin, item, score in retrieve(index, block):
         s, at, n = best.get((row, item), (-1.0, 0, 0))
         best[row, item] = (score, begin, n + 1) if score > s else (s, at, n + 1)
-    out = []
+    out, of, have = [], None, {}
     for (row, item), (score, begin, n) in sorted(best.items()):
-        q, a = verify(index, item, block.of(row))
+        if row != of:
+            of, have = row, {}  # a text's windows are hashed once for all its items
+        k = index.grams[item][0]
+        if k not in have:
+            have[k] = np.sort(words.gram_hash(block.of(row), k))
+        q, a = verify(index, item, have[k])
         if contaminated(q, a):
             out.append((row, item, begin, score, n, q, a))
     return out

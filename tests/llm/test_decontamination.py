@@ -85,3 +85,15 @@ def test_odd_rows(spark):
     assert d.find_contamination(cases.odd(spark), none).count() == 0 and d.decontaminate(cases.odd(spark), none).count() == len(cases.ODD)
     assert d.find_contamination(cases.none(spark), items).count() == 0 and d.decontaminate(cases.none(spark), items).count() == 0
     assert not np.isnan([s for r in d.find_contamination(cases.odd(spark), items).collect() for s in (r.bm25, r.answer_overlap)]).any()
+
+
+def test_items_longer_than_a_passage(spark):
+    # every word once, so a passage holds 64 / n of an item's score
+    word = lambda a, b: " ".join(f"w{i}x" for i in range(a, b))
+    items = [(1, f"{word(0, 260)}. {word(260, 300)}."), (2, f"{word(1000, 1020)}. {word(1020, 1320)}."), (3, f"{word(2000, 2090)}."), (4, f"{word(3000, 4000)}. {word(4000, 4010)}.")]
+    rows = [(10 * i + shift, f"{cases.prose(i, 40 + shift)} {t} {cases.prose(50 + i, 90)}") for i, t in items for shift in (0, 7, 13)]
+    rows += [(90, f"{cases.prose(3, 70)} {word(1000, 1020)} {cases.prose(4, 70)}"), (91, cases.prose(5, 400)), (92, word(0, 100))]
+    docs, tests = cases.plain(spark, rows), spark.createDataFrame(items, "item_id long, text string")
+    want = {(10 * i + shift, i) for i, _ in items for shift in (0, 7, 13)} | {(90, 2)}  # 90: the question alone
+    assert {(r.doc_id, r.item_id) for r in d.find_contamination(docs, tests).collect()} == want
+    assert {r.doc_id for r in d.decontaminate(docs, tests).collect()} == {91, 92}
