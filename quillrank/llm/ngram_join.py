@@ -123,9 +123,17 @@ def _prefixes(k: int, num: int, den: int, frequent):
 
 
 def _sets(k: int):
+    """Key and set of each text; a task gives equal sets once."""
     def run(batches):
-        for (node,), sets in _distinct(batches, k, ("node",)):
-            yield pa.RecordBatch.from_arrays([node, _list_array(sets)], ["node", "grams"])
+        seen = set()
+        for _, sets in _distinct(batches, k, ()):
+            new = {}
+            for s in sets:
+                key = _key(s)
+                if key is not None and key not in seen:
+                    seen.add(key)
+                    new[key] = s
+            yield pa.RecordBatch.from_arrays([pa.array(list(new), pa.binary()), _list_array(list(new.values()))], ["key", "grams"])
 
     return run
 
@@ -177,11 +185,12 @@ def ngram_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100)
     enough = first.join(met, "h").groupBy("node").agg(F.count("*").alias("c"))
     least = F.expr(f"1 + ((n * {num} + {den - 1}) div {den}) div 10")
     kept = nodes.drop("prefix").join(enough, "node").where(F.col("c") >= least).select("node", "n", "key", "doc_id")
-    kept = scratch.save(kept.where("doc_id IS NOT NULL"), "kept")
+    kept = scratch.save(kept, "kept")
 
-    texts = docs.join(kept, "doc_id").select("node", "text")  # an id of several texts: the wrong ones go below
-    sets = texts.mapInArrow(_sets(k), "node long, grams array<long>").join(kept.select("node", "n", "key"), "node").where(F.size("grams") == F.col("n"))
-    sets = scratch.save(sets.groupBy("node").agg(F.first("n").alias("n"), F.min("grams").alias("grams")), "sets")
+    # one text of each node: its id's, or any without an id; other texts of these ids find no node of their key, or their own
+    texts = docs.join(kept.where("doc_id IS NOT NULL").select("doc_id"), "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL"))
+    sets = texts.select("text").mapInArrow(_sets(k), "key binary, grams array<long>").join(kept.select("node", "n", "key"), "key")
+    sets = scratch.save(sets.groupBy("node").agg(F.first("n").alias("n"), F.first("grams").alias("grams")), "sets")
 
     rows = sets.select("node", "n", F.explode("grams").alias("h"))
     df = rows.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")

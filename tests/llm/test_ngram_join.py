@@ -6,7 +6,7 @@ import pytest
 
 import cases
 from quillrank.llm.common import Scratch, components
-from quillrank.llm.ngram_join import keep_first, ngram_components
+from quillrank.llm.ngram_join import _keyed, keep_first, ngram_components
 
 
 def grams(text, k):
@@ -98,3 +98,19 @@ def test_components_of_long_chains(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(100, 200), (300, 200), (500, 500)]
     got = {r.node: r.root for r in components(Scratch(spark, "t"), spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(61)} | {100: 100, 200: 100, 300: 100}
+
+
+def test_near_copies_without_ids_and_two_texts_of_one_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(80)) for x in "abc")
+    rows = [(None, c + " one"), (None, c + " two"), (5, a), (5, b), (6, a + " end"), (7, b + " end")]
+    got = {r.text: r for r in ngram_components(cases.plain(spark, rows)).join(texts_by_key(spark, rows), "key").collect()}
+    assert got[a].n_shingles == got[b].n_shingles
+    assert got[c + " one"].first_key == got[c + " two"].first_key and got[c + " one"].component_id is None
+    assert got[a].first_key == got[a + " end"].first_key == got[a].key and got[b].first_key == got[b + " end"].first_key == got[b].key
+    kept = sorted((str(r.doc_id), r.text) for r in keep_first(cases.plain(spark, rows)).collect())
+    assert len(kept) == 3 and kept[:2] == [("5", a), ("5", b)] and kept[2][1] in (c + " one", c + " two")
+
+
+def texts_by_key(spark, rows, k=4):
+    keyed = cases.plain(spark, rows).mapInArrow(_keyed(k), "doc_id long, text string, __key binary")
+    return keyed.selectExpr("__key AS key", "text").distinct()
