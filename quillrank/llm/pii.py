@@ -1,8 +1,9 @@
 """PII surrogates: keyed, type-consistent, distinct replacements; column expressions only.
 
-1. **Mentions.** One pattern finds e-mail addresses, IPv4 addresses, card and
-   social-security numbers, IBANs, phone numbers, and persons (a title or a
-   known given name, then capitalized names). A mention is cut into pieces: a
+1. **Mentions.** One pattern finds e-mail addresses, IPv4 and IPv6 addresses,
+   card and social-security numbers, IBANs, phone numbers, and persons (a title
+   and one to four names, or a known given name and one to three more; after
+   them their surnames alone in the same document). A mention is cut into pieces: a
    person's title stays as it is, given name and surname are pieces of their own
    kinds, an address is its local part and its domain. So ``Dr. Mary Jones``,
    ``Mary Jones`` and ``Ms Jones`` stay the same person, and one domain stays
@@ -37,6 +38,11 @@ GIVEN = {
     "cm": ["Иван", "Сергей", "Дмитрий", "Андрей", "Алексей", "Николай", "Михаил", "Виктор", "Павел", "Юрий"],
     "cf": ["Мария", "Анна", "Елена", "Ольга", "Наталья", "Татьяна", "Ирина", "Светлана", "Галина", "Юлия"],
 }
+#: Given names that are found besides those of the surrogates.
+KNOWN = {
+    "m": "John Paul Mark George Kenneth Steven Edward Brian Ronald Kevin Jason Jeffrey Ryan Jacob Gary Nicholas Eric Jonathan Stephen Larry Justin Scott Brandon Benjamin Samuel Gregory Alexander Patrick Jack Dennis Jerry Tyler Aaron Jose Adam Nathan Henry Peter Zachary Kyle Walter Ethan Jeremy Harold Keith Christian Roger Noah Gerald Carl Terry Sean Arthur Austin Christopher Andrew Joshua Donald Timothy Luis Juan Pedro Pablo Diego Antonio Manuel Francisco Hans Karl Heinz Wolfgang Uwe Dieter Matthias Andreas Tobias Jean Michel Philippe Louis Nicolas Olivier Giovanni Marco Luca Mohammed Ahmed Ali Omar Владимир Александр Максим Игорь Олег Пётр Роман Антон Борис Василий Константин".split(),
+    "f": "Lisa Betty Sandra Ashley Kimberly Emily Donna Michelle Carol Amanda Melissa Deborah Stephanie Rebecca Sharon Laura Cynthia Dorothy Amy Kathleen Angela Shirley Emma Brenda Pamela Nicole Anna Samantha Katherine Christine Debra Rachel Carolyn Janet Catherine Maria Heather Diane Ruth Julie Olivia Joyce Virginia Victoria Kelly Lauren Christina Joan Evelyn Judith Megan Andrea Cheryl Hannah Jacqueline Martha Gloria Teresa Ann Anne Sara Madison Frances Kathryn Janice Alice Julia Jane Sophia Ana Lucia Isabel Elena Petra Monika Heike Gisela Renate Claudia Marie Sophie Isabelle Nathalie Fatima Aisha Екатерина Людмила Анастасия Нина Валентина Вера Надежда Дарья Марина Оксана Ксения Виктория".split(),
+}
 SURNAMES = {
     "l": ["Smith", "Johnson", "Brown", "Miller", "Wilson", "Taylor", "Anderson", "Walker", "Mitchell", "Campbell", "Schneider", "Fischer", "Weber", "Wagner", "Dubois", "Moreau", "Laurent", "Garcia", "Fernandez", "Romero"],
     "c": ["Иванов", "Петров", "Смирнов", "Кузнецов", "Соколов", "Лебедев", "Козлов", "Новиков", "Морозов", "Волков"],
@@ -46,15 +52,21 @@ ENDINGS = {"lm": "n", "lf": "na", "cm": "н", "cf": "на", "l": "n", "c": "в"}
 
 _TITLE = "(?:" + "|".join(sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True)) + r")\.?"
 _NAME = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?"
-_GIVEN = "(?:" + "|".join(n for ns in GIVEN.values() for n in ns) + ")"
+_STOP = "The|This|That|These|Those|And|But|Or|If|In|On|At|He|She|It|They|We|You|His|Her|Our|Is|Was|Has|Had|Will|Can|When|Then|Der|Die|Das|Und|Er|Sie|Le|La|Les|Et|Il|Elle|El|Los|Las|Он|Она|Они|Это"
+_MORE = rf"(?: (?!(?:{_STOP})(?!\p{{L}})){_NAME})"
+_GIVEN = "(?:" + "|".join(n for ns in (*GIVEN.values(), *KNOWN.values()) for n in ns) + ")"
+#: A capitalized word alone; where it is the surname of a person found before, it is replaced.
+BARE = rf"(?<![\p{{L}}-]){_NAME}(?![\p{{L}}-])"
+_HEX = "[0-9A-Fa-f]{1,4}"
 PATTERNS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "ipv4": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\w]|\.\d)",
-    "card": r"(?<![\w.+-])(?:\d{4}[ -]?){3}\d{1,4}(?![\w-])",
+    "ipv6": rf"(?<![\w:.])(?:(?:{_HEX}:){{7}}{_HEX}|(?=[0-9A-Fa-f:]*\d){_HEX}(?::{_HEX}){{0,5}}::(?:{_HEX}(?::{_HEX}){{0,5}})?)(?![\w:])",
+    "card": r"(?<![\w.+-])(?:(?:\d{4}[ -]?){3}\d{1,4}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-])",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
-    "phone": r"(?<![\w.+-])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}|\+\d{1,3}(?:[ .-]\d{2,4}){2,4})(?![\w-])",
-    "person": rf"(?<!\p{{L}})(?=[\p{{Lu}}г])(?:{_TITLE} {_NAME}(?: {_NAME})?|{_GIVEN} {_NAME})(?!\p{{L}})",
+    "phone": r"(?<![\w.+-])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}|\+\d{7,15}(?![\w-])|\+\d(?:(?:[ .-]|[ .-]?\(|\)[ .-]?)?\d){6,14}|\+\d{1,3}(?:[ .-]\d{2,4}){2,4}|1?[2-9][0-8]\d[2-9]\d{6})(?![\w-])",
+    "person": rf"(?<!\p{{L}})(?=[\p{{Lu}}г])(?:{_TITLE} {_NAME}{_MORE}{{0,3}}|(?={_NAME} \p{{Lu}}){_GIVEN}{_MORE}{{1,3}})(?!\p{{L}})",
 }
 PII = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Rounds of the collision check; each leaves a small share of the one before.
@@ -77,15 +89,18 @@ def _pieces(value: Column) -> Column:
     title = F.regexp_extract(value, f"^{_TITLE} ", 0)
     word = F.regexp_replace(title, r"[. ]+$", "")
     name = F.substr(value, F.length(title) + 1)
+    names = F.split(name, " ")
     given = F.when(name.contains(" "), F.substring_index(name, " ", 1))
     script = F.when(name.rlike(r"\p{IsCyrillic}"), "c").otherwise("l")
-    listed = F.when(given.isin(GIVEN["lf"] + GIVEN["cf"]), "f").when(given.isin(GIVEN["lm"] + GIVEN["cm"]), "m")
+    listed = F.when(given.isin(GIVEN["lf"] + GIVEN["cf"] + KNOWN["f"]), "f").when(given.isin(GIVEN["lm"] + GIVEN["cm"] + KNOWN["m"]), "m")
     titled = F.when(word.isin(TITLES["f"]), "f").when(word.isin(TITLES["m"]), "m")
     # a title without gender says nothing; a name not listed is then taken as one that ends like a woman's name or not
     gender = F.coalesce(listed, titled, F.when(given.rlike("[aа]$"), "f").otherwise("m"))
     none = F.lit(None)
-    person = F.filter(F.array(piece(none, title), piece(F.concat(F.lit("given_"), script, gender), given), piece(none, F.when(given.isNotNull(), F.lit(" "))),
-                              piece(F.concat(F.lit("surname_"), script), F.substring_index(name, " ", -1))), lambda p: p["value"].isNotNull() & (p["value"] != ""))
+    # the last name is the surname, all before it are given names
+    named = F.transform(names, lambda w, i: F.when(i < F.size(names) - 1, F.array(piece(F.concat(F.lit("given_"), script, gender), w), piece(none, F.lit(" "))))
+                        .otherwise(F.array(piece(F.concat(F.lit("surname_"), script), w))))
+    person = F.filter(F.concat(F.array(piece(none, title)), F.flatten(named)), lambda p: p["value"].isNotNull() & (p["value"] != ""))
     email = F.array(piece(F.lit("email"), F.substring_index(value, "@", 1)), piece(none, F.lit("@")), piece(F.lit("domain"), F.lower(F.substring_index(value, "@", -1))))
     return F.when(kind == "email", email).when(kind == "person", person).otherwise(F.array(piece(kind, value)))
 
@@ -129,8 +144,18 @@ def _ipv4(value: Column, seed: Column) -> Column:
     return F.array_join(F.transform(F.split(value, r"\."), octet), ".")
 
 
+def _ipv6(value: Column, seed: Column) -> Column:
+    """Hexadecimal digits replaced: digits by digits, letters by letters of the same case."""
+    def one(i: Column) -> Column:
+        c, n = F.substr(value, i, F.lit(1)), _number(seed, i)
+        small = F.substr(F.lit("abcdef"), n % 6 + 1, F.lit(1))
+        return F.when(c == ":", c).when(c.rlike("[0-9]"), (n % 10).cast("string")).when(c.rlike("[a-f]"), small).otherwise(F.upper(small))
+
+    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(value)), one), "")
+
+
 def _phone(value: Column, seed: Column) -> Column:
-    code = F.regexp_extract(value, r"^\+\d{1,3}", 0)
+    code = F.regexp_extract(value, r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{1,3})", 0)
     return F.concat(code, _spelled(F.substr(value, F.length(code) + 1), seed))
 
 
@@ -157,7 +182,7 @@ def _surrogate(key: str) -> Column:
     seed = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, known_as, attempt.cast("string")), 256)
     local = F.concat(_spelled(value, seed), F.when(attempt > 20, attempt.cast("string")).otherwise(F.lit("")))
     out = F.when(kind == "email", local).when(kind == "domain", _domain(value, seed)).when(kind == "ipv4", _ipv4(value, seed)).when(kind == "card", _card(value, seed))
-    out = out.when(kind == "phone", _phone(value, seed)).when(kind == "iban", _iban(value, seed))
+    out = out.when(kind == "phone", _phone(value, seed)).when(kind == "iban", _iban(value, seed)).when(kind == "ipv6", _ipv6(value, seed))
     for which, names in GIVEN.items():
         out = out.when(kind == f"given_{which}", _listed(names, which[0], ENDINGS[which], seed, attempt))
     for which, names in SURNAMES.items():
@@ -203,10 +228,26 @@ def replace_pii(docs: DataFrame, key: str, text: str = "text", count: str = "n_p
     pieces = mention.select("row", "at", F.posexplode(_pieces(F.col("mention"))).alias("part", "piece")).select("row", "at", "part", "piece.kind", "piece.value")
     pieces = scratch.save(pieces, "pieces")
     table = surrogates(pieces.where("kind IS NOT NULL").select("kind", "value").distinct(), key, scratch)
-    put = pieces.join(table, ["kind", "value"], "left").select("row", F.struct("at", "part", F.coalesce("surrogate", "value").alias("s")).alias("p"))
+    put = pieces.join(table, ["kind", "value"], "left").select("row", F.struct("at", "part", F.coalesce("surrogate", "value").alias("s"), F.when(F.col("kind").startswith("surname_"), F.col("value")).alias("name")).alias("p"))
     put = put.groupBy("row").agg(F.sort_array(F.collect_list("p")).alias("p"))
-    gaps = F.split(body, PII, -1)
-    with_gap = F.transform(F.col("p"), lambda x: F.concat(F.when(x["part"] == 0, F.element_at(gaps, x["at"] + 1)).otherwise(F.lit("")), x["s"]))
-    new = F.concat(F.array_join(with_gap, ""), F.element_at(gaps, -1))
-    out = hit.join(put, "row").select(F.col("doc").withField(f"`{text}`", new).alias("doc"), (F.size(gaps) - 1).cast("long").alias(count))
+    known = F.filter("p", lambda x: x["name"].isNotNull())
+    out = hit.join(put, "row").select("doc", "p", F.split(body, PII, -1).alias("plain"), known.alias("known"), F.transform(known, lambda x: x["name"]).alias("names"))
+
+    def later(gap: Column, i: Column) -> Column:
+        """A gap with the bare surnames of persons before it replaced, and their number."""
+        def swap(w: Column) -> Column:
+            at = F.array_position("names", w)
+            person = F.get("known", (at - 1).cast("int"))
+            return F.struct(w.alias("w"), F.when((at > 0) & (person["at"] < i), person["s"]).alias("s"))
+
+        found = F.transform(F.regexp_extract_all(gap, F.lit(BARE), F.lit(0)), swap)
+        text = F.array_join(F.zip_with(F.split(gap, BARE, -1), found, lambda b, x: F.concat(b, F.coalesce(x["s"], x["w"], F.lit("")))), "")
+        return F.struct(text.alias("text"), F.size(F.filter(found, lambda x: x["s"].isNotNull())).alias("n"))
+
+    as_is = F.transform("plain", lambda g: F.struct(g.alias("text"), F.lit(0).alias("n")))
+    out = out.select("doc", "p", F.when(F.size("names") > 0, F.transform("plain", later)).otherwise(as_is).alias("gaps"))
+    with_gap = F.transform(F.col("p"), lambda x: F.concat(F.when(x["part"] == 0, F.element_at("gaps", x["at"] + 1)["text"]).otherwise(F.lit("")), x["s"]))
+    new = F.concat(F.array_join(with_gap, ""), F.element_at("gaps", -1)["text"])
+    n = F.size("gaps") - 1 + F.aggregate("gaps", F.lit(0), lambda a, x: a + x["n"])
+    out = out.select(F.col("doc").withField(f"`{text}`", new).alias("doc"), n.cast("long").alias(count))
     return out.select("doc.*", f"`{count}`").unionByName(clean)

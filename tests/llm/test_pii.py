@@ -105,3 +105,16 @@ def test_odd_rows(spark):
     assert pii.replace_pii(cases.none(spark), "k").count() == 0
     with pytest.raises(ValueError):
         pii.replace_pii(cases.none(spark), "")
+
+
+def test_common_formats_and_names(spark):
+    values = ["+14155552671", "+33612345678", "+33 6 12 34 56 78", "+44 7700 900123", "+49 30 901820", "4155552671", "3782 822463 10005", "2001:db8:85a3::8a2e:370:7334", "fe80:0:0:0:202:b3ff:fe1e:8329"]
+    got = run(spark, [f"see {v}, ok" for v in values])
+    shape = lambda x: re.sub("[a-f]", "a", re.sub(r"\d", "9", x))
+    assert all(v not in g and shape(g) == shape(f"see {v}, ok") for v, g in zip(values, got))
+    a = run(spark, ["John Smith came. Later Smith left.", "Dr. Mary Ann Jones; Jones and Mary Jones", "Smith alone"])
+    first = re.fullmatch(r"(\w+) (\w+) came\. Later (\w+) left\.", a[0]).groups()
+    assert first[1] == first[2] != "Smith" and first[0] != "John"
+    second = re.fullmatch(r"Dr\. (\w+) (\w+) (\w+); (\w+) and (\w+) (\w+)", a[1]).groups()
+    assert second[2] == second[3] == second[5] != "Jones" and second[0] == second[4] and second[1] != "Ann"
+    assert a[2] == "Smith alone"
