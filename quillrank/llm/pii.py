@@ -71,6 +71,8 @@ PATTERNS = {
 PII = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Rounds of the collision check; each leaves a small share of the one before.
 ROUNDS = 40
+#: Attempts in an IPv4 address's own octet lengths; later ones have three digits each, as short formats have few addresses.
+WIDE = 8
 
 
 def _kind(value: Column) -> Column:
@@ -135,11 +137,11 @@ def _card(value: Column, seed: Column) -> Column:
     return F.concat(body, F.when(_luhn(value) == 0, wanted).otherwise((wanted + 1 + _number(seed, F.lit(99)) % 9) % 10).cast("string"))
 
 
-def _ipv4(value: Column, seed: Column) -> Column:
-    """Octets of the same number of digits, within 0 to 255; no network or broadcast address."""
+def _ipv4(value: Column, seed: Column, wide: Column) -> Column:
+    """Octets of the same number of digits (``wide``: of three), within 0 to 255; no network or broadcast address."""
     def octet(o: Column, i: Column) -> Column:
-        n = _number(seed, i)
-        return F.when(F.length(o) == 1, n % 9 + 1).when(F.length(o) == 2, n % 90 + 10).otherwise(F.when(i == 0, n % 124 + 100).otherwise(n % 155 + 100)).cast("string")
+        n, size = _number(seed, i), F.when(wide, 3).otherwise(F.length(o))
+        return F.when(size == 1, n % 9 + 1).when(size == 2, n % 90 + 10).otherwise(F.when(i == 0, n % 124 + 100).otherwise(n % 155 + 100)).cast("string")
 
     return F.array_join(F.transform(F.split(value, r"\."), octet), ".")
 
@@ -181,7 +183,7 @@ def _surrogate(key: str) -> Column:
     known_as = F.when(kind == "email", F.lower(value)).otherwise(value)  # one address, however it is cased
     seed = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, known_as, attempt.cast("string")), 256)
     local = F.concat(_spelled(value, seed), F.when(attempt > 20, attempt.cast("string")).otherwise(F.lit("")))
-    out = F.when(kind == "email", local).when(kind == "domain", _domain(value, seed)).when(kind == "ipv4", _ipv4(value, seed)).when(kind == "card", _card(value, seed))
+    out = F.when(kind == "email", local).when(kind == "domain", _domain(value, seed)).when(kind == "ipv4", _ipv4(value, seed, attempt > WIDE)).when(kind == "card", _card(value, seed))
     out = out.when(kind == "phone", _phone(value, seed)).when(kind == "iban", _iban(value, seed)).when(kind == "ipv6", _ipv6(value, seed))
     for which, names in GIVEN.items():
         out = out.when(kind == f"given_{which}", _listed(names, which[0], ENDINGS[which], seed, attempt))

@@ -118,3 +118,13 @@ def test_common_formats_and_names(spark):
     second = re.fullmatch(r"Dr\. (\w+) (\w+) (\w+); (\w+) and (\w+) (\w+)", a[1]).groups()
     assert second[2] == second[3] == second[5] != "Jones" and second[0] == second[4] and second[1] != "Ann"
     assert a[2] == "Smith alone"
+
+
+def test_more_addresses_than_their_format_has_left(spark):
+    from quillrank.llm.common import Scratch
+
+    values = [".".join(str(i // 9**k % 9 + 1) for k in range(4)) for i in range(4000)]  # of 6561
+    got = pii.surrogates(spark.createDataFrame([("ipv4", v) for v in values], "kind string, value string"), "k", Scratch(spark, "t")).collect()
+    out = {r.surrogate for r in got}
+    assert len(got) == len(out) == 4000 and not out & set(values)
+    assert all(0 < int(o) < 256 for x in out for o in x.split("."))
