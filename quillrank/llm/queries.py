@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillrank.llm import decontamination, gated_lm, licenses, ngram_join, packing, pii, quality_rules, token_counts, toxicity, warc_zip
+from quillrank.llm import decontamination, divergence, filter_audit, gated_lm, golay_simhash, licenses, ngram_join, packing, pii, quality_rules, token_counts, toxicity, warc_zip
 from quillrank.llm.common import table
 
 WORD_BPE, PIECE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -65,9 +65,24 @@ def op10_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return token_counts.token_counts(table(spark, d, "documents"), public_tokenizers.path(PIECE_BPE))
 
 
+def op11_source_divergence(spark: SparkSession, d: str) -> DataFrame:
+    """Each source's divergence from its language's other sources, and its leading terms."""
+    return divergence.source_divergence(table(spark, d, "documents"))
+
+
+def op12_golay_simhash(spark: SparkSession, d: str) -> DataFrame:
+    """Components of documents whose SimHash fingerprints differ in four bits at most."""
+    return golay_simhash.simhash_components(table(spark, d, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, d: str) -> DataFrame:
+    """What each of the 120 orders of five filters removes, per language and step."""
+    return filter_audit.filter_audit(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 QUERIES = {f.__name__: f for f in [op1_benchmark_decontamination, op2_pii_surrogates, op3_concatenate_and_cut, op4_warc_zip, op5_toxicity_neighbours,
                                    op6_gated_language_model,                                   op7_license_minhash, op8_ngram_jaccard_join,
-                                   op9_quality_isolation_forest, op10_token_counts]}
+                                   op9_quality_isolation_forest, op10_token_counts, op11_source_divergence, op12_golay_simhash, op13_filter_audit]}
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -94,6 +109,8 @@ comp AS (SELECT s.doc_id, s.n, coalesce(r.component_id, s.doc_id) AS component_i
 
 
 SQL = {
+    "op11_source_divergence": divergence.divergence_sql(),
+    "op13_filter_audit": filter_audit.audit_sql(),
     "op7_license_minhash": licenses.scan_sql(),
     "op8_ngram_jaccard_join": f"WITH RECURSIVE {jaccard_sql('documents', 4, 85, 100)} SELECT doc_id, n::BIGINT AS n_shingles, component_id FROM comp",
     "op4_warc_zip": """
