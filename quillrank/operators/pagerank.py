@@ -15,12 +15,17 @@ Semantics kept on purpose (they differ from textbook PageRank):
 Plan, per round (checked in ``tests/test_plans.py``):
 
 * ``links`` (src, salt, dst, deg, source and target attributes) is built
-  once, in one job, and written as a table bucketed on (src, salt) under the
-  shared checkpoint folder, so the per-round join reads it in place: only
-  the rank vector is shuffled.
+  once, in one job, and written bucketed on (src, salt) under the shared
+  checkpoint folder.
+* The **rank vector has the same buckets**. A round sums contributions by
+  (dst, dst_salt), where dst_salt is 0, and that one exchange already deals
+  its result the way the next round's join needs it: it is written bucketed
+  on (id, salt), and links and ranks are joined in place. Nothing but the
+  partial sums moves. Each round replaces the one before.
 * A hub (out-degree above ``hub_degree``) has its out-links spread over
-  several salt buckets; its rank row is replicated once per bucket, so no
-  task holds a hub's whole neighbour list.
+  several salt buckets. The ranks have salt 0 only, so links of other salts
+  are joined apart, with the hubs' ranks replicated once per salt; only these
+  few rows move in addition, and only where the graph has hubs.
 * The dangling multiplicity and salt count of each target ride along on its
   link rows, so the dangling-mass join runs once, outside the loop, and the
   next round's rank rows already know their salt count.
@@ -30,17 +35,19 @@ Plan, per round (checked in ``tests/test_plans.py``):
   scalars (mass, normalizer) are observed while that output is written, and
   every fifth round for C. A round's folder is deleted once the next one is
   written, the link table in :meth:`PageRank.close`.
-* The join with the ranks is sorted, so it can spill; with
-  ``spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold`` set, adaptive
-  execution hashes it where every partition was measured small.
+* The join is sorted, so it can spill; where a bucket's share of the ranks is
+  below ``spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold`` (the
+  setting that lets adaptive execution do the same for shuffled joins), it is
+  hashed, which spares sorting the links in every round.
+* With ``state`` a run is **resumable**: the link table, the last round and a
+  manifest stay in that folder, and the same call goes on from there.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillrank.operators.graph import (
     HUB_DEGREE,
@@ -51,7 +58,9 @@ from quillrank.operators.graph import (
     salt_count,
     salt_of,
 )
+from quillrank.operators.progress import Manifest, fingerprint
 from quillrank.session import delete_path, scratch_path
+from quillrank.sinks.bucketed import open_bucketed, write_bucketed
 
 DISTINCT_CONTRIBS = "distinct_contribs"
 DISTINCT_LABELS = "distinct_labels"
@@ -59,6 +68,9 @@ DISTINCT_LABELS = "distinct_labels"
 # ones, so the count does not depend on the summation order of the previous
 # round, however small they are.
 CONTRIB_DIGITS = 12
+# Bytes that a rank row takes in a hash table, about.
+RANK_BYTES = 128
+HASH_CONF = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
 
 
 def significant(c: Column, digits: int = CONTRIB_DIGITS) -> Column:
@@ -92,14 +104,17 @@ class PageRank:
         self.partitions = int(partitions or self.spark.conf.get("spark.sql.shuffle.partitions"))
         self._links: DataFrame | None = None
         self._links_path: str | None = None
+        self._hubs = True  # as long as the built links have not been seen to have none
+        self._nodes: int | None = None
         self._label_rows: int | None = None
 
     # ------------------------------------------------------------------ build
     def links(self) -> DataFrame:
         """The loop-invariant link table (built and written on first use):
-        (src, salt, dst, deg, nsalt, dst_nsalt), and dst_dmult for the dangling variants."""
+        (src, salt, dst, dst_salt, deg, nsalt, dst_nsalt), and dst_dmult for the
+        dangling variants. dst_salt is 0: the salt of the target's rank row."""
         if self._links is None:
-            self._links = self._build()
+            self._links = self._build(scratch_path(self.spark, "links"))
         return self._links
 
     def nodes(self) -> DataFrame:
@@ -132,54 +147,55 @@ class PageRank:
             .withColumn("salt", salt_of(F.col("dst"), F.col("nsalt")))
             .join(dst_attr, "dst", "left")
             .select(
-                "src", "salt", "dst", "deg", "nsalt",
+                "src", "salt", "dst", F.lit(0).alias("dst_salt"), "deg", "nsalt",
                 F.coalesce("dst_nsalt", F.lit(1)).alias("dst_nsalt"),
                 *([F.coalesce("dst_dmult", F.lit(0).cast("long")).alias("dst_dmult")] if self.dangling else []),
             )
         )
 
-    def _build(self) -> DataFrame:
-        # Bucketing needs Spark's own catalog, whichever one is current.
-        table = f"spark_catalog.default.quillrank_links_{uuid.uuid4().hex[:12]}"
-        self._links_path = scratch_path(self.spark, "links")
-        (
-            # One writer task per bucket: one file per bucket, however many tasks.
-            self.unwritten_links().repartition(self.partitions, "src", "salt")
-            .write.format("parquet")
-            .bucketBy(self.partitions, "src", "salt")
-            .option("path", self._links_path)
-            .saveAsTable(table)
-        )
-        resolved = self.spark.table(table)
-        spec = {r["col_name"]: r["data_type"] for r in self.spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
-        if spec.get("Num Buckets") != str(self.partitions):
-            raise RuntimeError("the link table was not bucketed by this catalog")
-        # The resolved relation keeps its bucket spec and files; the catalog
-        # entry (external, so dropping keeps the files) is not needed after
-        # this and is not left in a shared metastore.
-        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-        return resolved
+    def _build(self, path: str) -> DataFrame:
+        self._links_path = path
+        obs = Observation()
+        links = self.unwritten_links().observe(
+            obs, F.coalesce(F.max("nsalt"), F.lit(1)).alias("salts"), F.approx_count_distinct("src").alias("nodes"))
+        # One writer task per bucket: one file per bucket, however many tasks.
+        out = write_bucketed(links.repartition(self.partitions, "src", "salt"), path, self.partitions, "src", "salt")
+        self._hubs, self._nodes = obs.get["salts"] > 1, obs.get["nodes"]
+        return out
 
     def initial(self) -> DataFrame:
-        """(id, rank, nsalt, dmult): 1.0 for every node with an out-link."""
-        per_src = self.links().groupBy("src").agg(F.max("nsalt").alias("nsalt"))
+        """(id, salt, rank, nsalt, dmult): 1.0 for every node with an out-link."""
+        links = self.links()  # says whether there are hubs
+        # without them (src, salt) is the source, and its buckets are read in place
+        per_src = links.groupBy("src", *([] if self._hubs else ["salt"])).agg(F.max("nsalt").alias("nsalt"))
         dmult = [F.lit(0).cast("long").alias("dmult")] if self.dangling else []
-        return per_src.select(F.col("src").alias("id"), F.lit(1.0).alias("rank"), "nsalt", *dmult)
+        salt = F.lit(0).alias("salt") if self._hubs else F.col("salt")
+        return per_src.select(F.col("src").alias("id"), salt, F.lit(1.0).alias("rank"), "nsalt", *dmult)
 
     # ------------------------------------------------------------------ round
+    def _hashed(self, rows: DataFrame) -> DataFrame:
+        """``rows`` marked to be hashed in a join where a bucket of them is small."""
+        limit = self.spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(self.spark.conf.get(HASH_CONF, "0"))
+        small = self._nodes is not None and self._nodes * RANK_BYTES < limit * self.partitions
+        return rows.hint("shuffle_hash") if small else rows
+
     def _joined(self, ranks: DataFrame) -> DataFrame:
-        """Bucketed links joined with the rank rows, one row per link."""
-        fan = ranks.select(
-            F.col("id").alias("src"), "rank", F.explode(F.sequence(F.lit(0), F.col("nsalt") - 1)).alias("salt")
-        )
-        return self.links().join(fan, ["src", "salt"])
+        """Links joined with the rank rows, one row per link: in place for
+        salt 0, with replicated hub ranks for the other salts."""
+        links = self.links()
+        rows = ranks.select(F.col("id").alias("src"), "salt", "rank", F.col("nsalt").alias("src_nsalt"))
+        if not self._hubs:
+            return links.join(self._hashed(rows.select("src", "salt", "rank")), ["src", "salt"])
+        home = links.where("salt = 0").join(self._hashed(rows.select("src", "salt", "rank")), ["src", "salt"])
+        spread = rows.where("src_nsalt > 1").select("src", F.explode(F.sequence(F.lit(1), F.col("src_nsalt") - 1)).alias("salt"), "rank")
+        return home.unionByName(links.where("salt > 0").join(spread, ["src", "salt"]))
 
     def contributions(self, ranks: DataFrame) -> DataFrame:
         """(dst, contrib): rank / out-degree along each link."""
         return self._joined(ranks).select("dst", (F.col("rank") / F.col("deg")).alias("contrib"))
 
     def intermediate(self, ranks: DataFrame) -> DataFrame:
-        """(id, rank, nsalt, dmult[, ndist]): damped sums of one round.
+        """(id, salt, rank, nsalt, dmult[, ndist]): damped sums of one round.
 
         Written as one aggregate over the join (few DataFrame calls, so the
         driver spends little time analysing each round's plan)."""
@@ -192,7 +208,7 @@ class PageRank:
             aggs.append(F.max("dst_dmult").alias("dmult"))
         if self.dangling and self.normalizer == DISTINCT_CONTRIBS:
             aggs.append(F.count_distinct(significant(contrib)).alias("ndist"))
-        return self._joined(ranks).groupBy(F.col("dst").alias("id")).agg(*aggs)
+        return self._joined(ranks).groupBy(F.col("dst").alias("id"), F.col("dst_salt").alias("salt")).agg(*aggs)
 
     def label_rows(self) -> int:
         if self._label_rows is None:
@@ -224,7 +240,21 @@ class PageRank:
         """The dangling share; a zero normaliser gives no share."""
         return mass / normalizer if normalizer else 0.0
 
-    def run(self, iterations: int = 10, write_every: int | None = None) -> DataFrame:
+    def _described(self) -> dict:
+        """What a manifest must agree with: the input and everything that the ranks depend on."""
+        labels = fingerprint(self.labels) if self.dangling else None
+        return {"arcs": fingerprint(self.arcs), "labels": labels, "dangling": self.dangling, "normalizer": self.normalizer if self.dangling else None,
+                "base": self.base, "damping": self.damping, "hub_degree": self.hub_degree, "partitions": self.partitions, "id": self.id_type}
+
+    def _resume(self, manifest: Manifest, said: dict) -> DataFrame:
+        """The ranks of the last finished round; the link table is opened, not built."""
+        kind = {k: T.StructType.fromJson(said[k + "_schema"]) for k in ("links", "ranks")}
+        self._links_path = None  # the state's own, so close() leaves it
+        self._links = open_bucketed(self.spark, said["links"], kind["links"], self.partitions, "src", "salt")
+        self._hubs, self._nodes, self._label_rows = said["hubs"], said["nodes"], said["label_rows"]
+        return open_bucketed(self.spark, said["ranks"], kind["ranks"], self.partitions, "id", "salt")
+
+    def run(self, iterations: int = 10, write_every: int | None = None, state: str | None = None) -> DataFrame:
         """(id, rank) after ``iterations`` rounds.
 
         Round outputs are written under the checkpoint folder, which cuts the
@@ -233,55 +263,94 @@ class PageRank:
         pass is needed. Variant C needs no scalar, so by default it chains
         five rounds per job (a lost executor recomputes at most those). Only
         the folder that the result reads is left.
+
+        ``state`` names a folder (one run's own, on a file system that every
+        executor reaches) in which the run keeps its link table, its last
+        written round and a manifest. The same call on the same input and
+        settings goes on after the last round of the manifest, also in another
+        session and for more iterations; other input or settings raise
+        ``ValueError``, and so does a number of iterations already passed. The
+        input is read once more for its fingerprint. The folder is the caller's to delete.
         """
         if write_every is None:
             write_every = 1 if self.dangling else 5
         if self.dangling and write_every != 1:
             raise ValueError("the dangling variants need every round written")
-        ranks = self.initial()
-        run = scratch_path(self.spark, "ranks")
+        manifest, run, share, done, described = None, None, 0.0, 0, {}
+        ranks = before = None
+        if state:
+            manifest, described = Manifest(self.spark, state), self._described()
+            said = manifest.last()
+            if said:
+                if said["input"] != described:
+                    raise ValueError(f"{state} holds a run over other input or settings")
+                if said["round"] > iterations:
+                    raise ValueError(f"{state} has passed round {iterations}: it holds round {said['round']}")
+                ranks, share, done, before = self._resume(manifest, said), said["share"], said["round"], said["ranks"]
+            elif self._links is None:
+                links = manifest.path("links")
+                delete_path(self.spark, links)  # of a build that did not end
+                self._links = self._build(links)
+                self._links_path = None
+            run = manifest.path("ranks")
+        else:
+            run = scratch_path(self.spark, "ranks")
+        if ranks is None:
+            ranks = self.initial()
+        ranks = self._shared(ranks, share)
         if self.dangling and self.normalizer == DISTINCT_LABELS:
             self.label_rows()
         if not iterations:  # the result must not read the link table, which close() deletes
             path = f"{run}/round-0000"
-            ranks.write.parquet(path)
+            ranks.write.mode("overwrite").parquet(path)
             ranks = self.spark.read.schema(ranks.schema).parquet(path)
-        before = None
-        for i in range(iterations):
+        for i in range(done, iterations):
             inter = self.intermediate(ranks)
             if (i + 1) % write_every and i + 1 < iterations:
                 ranks = inter
                 continue
-            schema = inter.schema
-            obs = None
-            if self.dangling:
-                obs = Observation(f"quillrank_round_{i}")
-                inter = inter.observe(obs, *self._scalar_columns())
-            path = f"{run}/round-{i:04d}"
-            inter.write.parquet(path)
-            ranks = self.spark.read.schema(schema).parquet(path)
-            if before:
+            ranks, path, share, scalars = self._written(inter, f"{run}/round-{i + 1:04d}")
+            if manifest:
+                manifest.add(i + 1, {
+                    "input": described, "links": manifest.path("links"), "links_schema": self.links().schema.jsonValue(),
+                    "ranks": path, "ranks_schema": ranks.schema.jsonValue(), "share": share, **scalars,
+                    "hubs": self._hubs, "nodes": self._nodes, "label_rows": self._label_rows})
+            elif before:
                 delete_path(self.spark, before)
             before = path
-            if obs is not None:
-                got = obs.get
-                share = self.share(float(got["mass"]), self._normalizer(got))
-                ranks = ranks.withColumn("rank", F.col("rank") + F.lit(share))
+            ranks = self._shared(ranks, share)
         return ranks.select("id", "rank")
 
+    @staticmethod
+    def _shared(ranks: DataFrame, share: float) -> DataFrame:
+        return ranks.withColumn("rank", F.col("rank") + F.lit(share)) if share else ranks
+
+    def _written(self, inter: DataFrame, path: str) -> tuple[DataFrame, str, float, dict]:
+        """A round's ranks as written in the links' buckets, their folder, the dangling share and what it comes from."""
+        obs = Observation()
+        scalars = self._scalar_columns() if self.dangling else []
+        delete_path(self.spark, path)  # of a write that did not end
+        ranks = write_bucketed(inter.observe(obs, F.count("*").alias("nodes"), *scalars), path, self.partitions, "id", "salt")
+        got = obs.get
+        self._nodes = got["nodes"]
+        if not self.dangling:
+            return ranks, path, 0.0, {}
+        mass, normalizer = float(got["mass"]), self._normalizer(got)
+        return ranks, path, self.share(mass, normalizer), {"mass": mass, "normalizer": normalizer}
+
     def close(self) -> None:
-        """Delete the link table; what :meth:`run` returned does not read it."""
+        """Delete the link table, unless it is a state's; what :meth:`run` returned does not read it."""
         if self._links_path:
             delete_path(self.spark, self._links_path)
         self._links = self._links_path = None
 
 
 def pagerank(arcs: DataFrame, labels: DataFrame | None = None, *, iterations: int = 10,
-             dangling: bool = False, normalizer: str = DISTINCT_LABELS, **kw) -> DataFrame:
-    """(id, rank) after ``iterations`` rounds of the chosen variant."""
+             dangling: bool = False, normalizer: str = DISTINCT_LABELS, state: str | None = None, **kw) -> DataFrame:
+    """(id, rank) after ``iterations`` rounds of the chosen variant; ``state`` as in :meth:`PageRank.run`."""
     pr = PageRank(arcs, labels, dangling=dangling, normalizer=normalizer, **kw)
     try:
-        return pr.run(iterations)
+        return pr.run(iterations, state=state)
     finally:
         pr.close()  # the result reads the written rounds, not the link table
 

@@ -218,9 +218,9 @@ def test_close_contributions_of_large_degrees_stay_apart(spark):
     assert got == want == 6
     # in the normalizer: two sources of those degrees that share a target, as analytic link rows
     pr = PageRank(spark.createDataFrame([(1, 2)], "src long, dst long"), spark.createDataFrame([], "id long, name string"), dangling=True, normalizer="distinct_contribs")
-    links = spark.createDataFrame([(1, 0, 9, 2_000_000, 1, 1, 0), (2, 0, 9, 2_000_001, 1, 1, 0)], "src long, salt int, dst long, deg long, nsalt int, dst_nsalt int, dst_dmult long")
+    links = spark.createDataFrame([(1, 0, 9, 0, 2_000_000, 1, 1, 0), (2, 0, 9, 0, 2_000_001, 1, 1, 0)], "src long, salt int, dst long, dst_salt int, deg long, nsalt int, dst_nsalt int, dst_dmult long")
     pr._links = links
-    ranks = spark.createDataFrame([(1, 1.0, 1, 0), (2, 1.0, 1, 0)], "id long, rank double, nsalt int, dmult long")
+    ranks = spark.createDataFrame([(1, 0, 1.0, 1, 0), (2, 0, 1.0, 1, 0)], "id long, salt int, rank double, nsalt int, dmult long")
     assert pr.intermediate(ranks).first()["ndist"] == 2
 
 
@@ -269,3 +269,97 @@ def test_link_build_reads_the_arcs_once(spark, tmp_path):
         links.collect()
         final = plan_text(links, "simple").split("+- == Initial Plan ==")[0]
         assert {k: final.count(k) for k in scans} == scans and "ReusedExchange" in final
+
+
+class Lost(Exception):
+    pass
+
+
+def _graph(spark):
+    d = "/root/testdata/sf0.001"
+    return arcs_from_lineitem(table(spark, d, "lineitem")), labels_from_part(table(spark, d, "part"))
+
+
+@pytest.mark.parametrize("variant", ["A", "B", "C"])
+def test_a_lost_run_goes_on_after_its_last_round(spark, tmp_path, monkeypatch, variant):
+    """The loop is killed after round 4; the rest gives the whole run's ranks, and rounds 1-4 do not run again."""
+    arcs, labels = _graph(spark)
+    _, kw = VARIANTS[variant]
+    whole = {r.id: r.rank for r in pagerank(arcs, labels, iterations=10, **kw).collect()}
+    state, rounds, builds = f"file://{tmp_path}/state", [], []
+    step, build = PageRank.intermediate, PageRank._build
+
+    def counted(self, ranks):
+        if len(rounds) == 4:
+            raise Lost
+        rounds.append(1)
+        return step(self, ranks)
+
+    monkeypatch.setattr(PageRank, "intermediate", counted)
+    monkeypatch.setattr(PageRank, "_build", lambda self, path: builds.append(1) or build(self, path))
+    with pytest.raises(Lost):
+        PageRank(arcs, labels, **kw).run(10, write_every=1, state=state)
+    rounds.clear()
+    monkeypatch.setattr(PageRank, "intermediate", lambda self, ranks: rounds.append(1) or step(self, ranks))
+    got = {r.id: r.rank for r in PageRank(arcs, labels, **kw).run(10, write_every=1, state=state).collect()}
+    assert len(rounds) == 6 and len(builds) == 1
+    assert got.keys() == whole.keys() and all(abs(got[k] - whole[k]) < 1e-12 for k in got)
+    # once more, and for two more rounds
+    rounds.clear()
+    assert {r.id: r.rank for r in PageRank(arcs, labels, **kw).run(10, state=state).collect()} == got and not rounds
+    more = {r.id: r.rank for r in pagerank(arcs, labels, iterations=12, state=state, **kw).collect()}
+    straight = {r.id: r.rank for r in pagerank(arcs, labels, iterations=12, **kw).collect()}
+    assert len(builds) == 2 and all(abs(more[k] - straight[k]) < 1e-12 for k in straight)
+    with pytest.raises(ValueError, match="has passed round 3"):
+        PageRank(arcs, labels, **kw).run(3, state=state)
+
+
+def test_a_run_lost_while_writing_leaves_whole_rounds(spark, tmp_path, monkeypatch):
+    """What an unfinished build, round or manifest left behind is written anew."""
+    import os
+
+    from quillrank.operators import progress
+
+    arcs, labels = _graph(spark)
+    want = {r.id: r.rank for r in pagerank(arcs, labels, iterations=3, dangling=True).collect()}
+    root = tmp_path / "state"
+    for junk in ("links/part-x.parquet", "ranks/round-0001/part-y.parquet", "rounds/_round-000001.json.ab"):
+        os.makedirs((root / junk).parent, exist_ok=True)
+        (root / junk).write_text("torn")
+    add, state = progress.Manifest.add, f"file://{root}"
+
+    def torn(self, number, said):
+        if number == 2:
+            raise Lost
+        add(self, number, said)
+
+    monkeypatch.setattr(progress.Manifest, "add", torn)
+    with pytest.raises(Lost):
+        pagerank(arcs, labels, iterations=3, dangling=True, state=state)
+    monkeypatch.setattr(progress.Manifest, "add", add)
+    assert progress.Manifest(spark, state).last()["round"] == 1
+    got = {r.id: r.rank for r in pagerank(arcs, labels, iterations=3, dangling=True, state=state).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in got)
+    left = sorted(f for f in os.listdir(root / "rounds") if f.endswith(".json") and not f.startswith("_"))
+    assert left == ["round-000003.json"] and os.listdir(root / "ranks") == ["round-0003"]
+
+
+def test_a_state_of_other_input_or_settings_is_refused(spark, tmp_path):
+    arcs, labels = _graph(spark)
+    state = f"file://{tmp_path}/state"
+    pagerank(arcs, labels, iterations=1, dangling=True, state=state)
+    other = [(arcs.limit(5), labels, {}), (arcs.unionByName(arcs.limit(2)), labels, {}), (arcs, labels.limit(3), {}), (arcs, labels, dict(damping=0.5)), (arcs, labels, dict(partitions=3))]
+    for a, lab, kw in other:
+        with pytest.raises(ValueError, match="other input or settings"):
+            pagerank(a, lab, iterations=2, dangling=True, state=state, **kw)
+    # the same rows in another order are the same input
+    assert pagerank(arcs.orderBy(F.rand(3)), labels, iterations=2, dangling=True, state=state).count() > 0
+
+
+@pytest.mark.parametrize("variant", ["A", "B", "C"])
+def test_resumed_hubs(spark, lines, tmp_path, variant):
+    delim, kw = VARIANTS[variant]
+    arcs, labels = tiny(lines, delim)
+    kw = dict(kw, hub_degree=1, partitions=4, state=f"file://{tmp_path}/{variant}")
+    pagerank(arcs, labels, iterations=2, **kw)
+    assert named(pagerank(arcs, labels, iterations=10, **kw), labels) == fx.PAGERANK[(variant, 10)]

@@ -6,25 +6,73 @@ from quillrank.plans.registry import QUERIES, graph_for, pages_articles
 from conftest import SF_SMALL
 
 
-def test_round_join_can_spill_and_is_hashed_only_where_small(spark, tmp_path):
-    """Sorted unless adaptive execution measured every partition below the threshold."""
-    pr = graph_for(spark, SF_SMALL, "C")
-    pr.initial().write.parquet(f"file://{tmp_path}/r0")
+def final_plan(df):
+    return plan_text(df, "simple").split("+- == Initial Plan ==")[0]
+
+
+def test_round_joins_in_place_and_is_hashed_only_where_small(spark, tmp_path):
+    """Links and ranks have the same buckets: one exchange a round, that of the partial sums.
+    The join is sorted unless a bucket of the ranks is below the threshold."""
     key, low = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     old = spark.conf.get(key)
     try:
-        for threshold, join in (("0", "SortMergeJoin"), ("64m", "ShuffledHashJoin")):
-            spark.conf.set(key, threshold)
-            df = pr.intermediate(spark.read.parquet(f"file://{tmp_path}/r0"))
-            df.collect()
-            final = plan_text(df, "simple").split("+- == Initial Plan ==")[0]
-            assert join in final and "Bucketed: true" in final and "partial_sum" in final
-            # the links are read in place: the ranks and the partial sums move
-            assert final.count("Exchange hashpartitioning") == 2
+        for variant, exchanges in (("C", 1), ("B", 1), ("A", 2)):  # A counts distinct pairs, by (target, contribution) first
+            pr = graph_for(spark, SF_SMALL, variant)
+            ranks, *_ = pr._written(pr.intermediate(pr.initial()), f"file://{tmp_path}/r0-{variant}")
+            for threshold, join in (("0", "SortMergeJoin"), ("64m", "ShuffledHashJoin")):
+                spark.conf.set(key, threshold)
+                df = pr.intermediate(pr._shared(ranks, 0.25))
+                df.collect()
+                final = final_plan(df)
+                assert join in final and final.count("Bucketed: true") == 2 and "partial_sum" in final
+                assert final.count("Exchange hashpartitioning") == exchanges
+            pr.close()
     finally:
         spark.conf.set(key, old)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", low)
+
+
+def test_first_round_and_written_rounds_do_not_move_ranks(spark, tmp_path):
+    """Initial ranks come from the links in place, and a round is written as it is dealt."""
+    low = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pr = graph_for(spark, SF_SMALL, "C")
+        df = pr.intermediate(pr.initial())
+        df.collect()
+        assert final_plan(df).count("Exchange hashpartitioning") == 1
+        ranks, *_ = pr._written(df, f"file://{tmp_path}/r1")
+        names = [f.rsplit("/", 1)[1] for f in ranks.inputFiles()]
+        buckets = [n.split("_")[-1].split(".")[0] for n in names]
+        assert len(set(buckets)) == len(buckets) > 1  # one file a bucket
+        pr.close()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", low)
+
+
+def test_only_hub_ranks_move_besides(spark, tmp_path):
+    """With hubs, their replicated rows are one more exchange; all other ranks stay in place."""
+    from pyspark.sql import functions as F
+
+    from quillrank import PageRank
+
+    low = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    arcs = spark.range(400).select((F.col("id") % 40).alias("src"), F.expr("id div 3").alias("dst")).unionByName(
+        spark.range(500).select(F.lit(7).cast("long").alias("src"), F.col("id").alias("dst")))
+    pr = PageRank(arcs, hub_degree=100, partitions=8)
+    ranks, *_ = pr._written(pr.intermediate(pr.initial()), f"file://{tmp_path}/r1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = pr.intermediate(ranks)
+        df.collect()
+        final = final_plan(df)
+        assert final.count("Exchange hashpartitioning") == 2
+        import re
+        moved = re.findall(r"Filter .*src_nsalt|Filter .*nsalt#", final)
+        assert moved  # the rows that move are those of hubs
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", low)
         pr.close()
 
 
