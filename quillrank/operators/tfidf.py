@@ -15,7 +15,9 @@ of its titles, a scalar subquery over the same tf rows, so a body without
 words (or a null one) still counts and no title is shuffled for N. All
 branches share one tf shuffle and the corpus is tokenized once. A single-term lookup
 (:func:`term_weights`) skips the explode: it counts the term inside each
-article's token array and aggregates by title.
+article's token array and aggregates by title. ``split_hot`` does the skew
+split in the plan itself (:func:`salted_weights`), whatever adaptive execution
+is set to; :mod:`quillrank.operators.keyed` keeps weights for many lookups.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ FULL = "full"
 BEFORE_COMMA = "before_comma"
 # Stands for an article itself among its words; words have letters only.
 MARKER = "#"
+# A word is hot where it alone has more than one part in so many of a partition's even share of rows.
+HOT_PART = 16
 
 
 def tokens(articles: DataFrame, keep_empty: bool = True) -> DataFrame:
@@ -96,11 +100,12 @@ def _output_title(title_key: str):
 
 
 def tfidf(articles: DataFrame, *, keep_empty: bool = True, title_key: str = FULL,
-          term: str | None = None) -> DataFrame:
+          term: str | None = None, split_hot: bool = False) -> DataFrame:
     """(word, title, tf, df, w) for every word and title, or for one ``term``.
 
     N counts the titles of all articles, null bodies included (they have no
-    words); a null title is no title.
+    words); a null title is no title. ``split_hot`` splits the rows of frequent
+    words by a salt, for sessions whose adaptive execution does not.
     """
     if term is not None:
         return term_weights(articles, term, keep_empty=keep_empty, title_key=title_key)
@@ -108,7 +113,7 @@ def tfidf(articles: DataFrame, *, keep_empty: bool = True, title_key: str = FULL
     tf = marked.where(F.col("tf") > 0)
     if not keep_empty:
         tf = tf.where(F.col("word") != "")
-    return weights(tf, titles_in(marked), title_key=title_key)
+    return (salted_weights if split_hot else weights)(tf, titles_in(marked), title_key=title_key)
 
 
 def term_weights(articles: DataFrame, term: str, *, keep_empty: bool = True,
@@ -158,6 +163,43 @@ def weights(tf: DataFrame, n: DataFrame, *, title_key: str = FULL) -> DataFrame:
     )
 
 
+def hot_words(df: DataFrame, partitions: int) -> DataFrame:
+    """(word, salts): words of a (word, df) table with many rows, and the number of salts of each.
+
+    A word's df is its number of tf rows. Hot is what has more than ``1 /
+    (HOT_PART * partitions)`` of all rows, so there are at most ``HOT_PART *
+    partitions`` such words and twice as many salts, whatever the corpus.
+    """
+    share = df.agg(F.greatest(F.sum("df") / F.lit(HOT_PART * partitions), F.lit(1.0)).alias("s")).scalar()
+    return df.where(F.col("df") > share).select("word", F.ceil(F.col("df") / share).cast("int").alias("salts"))
+
+
+def salted_weights(tf: DataFrame, n: DataFrame, *, title_key: str = FULL, partitions: int | None = None) -> DataFrame:
+    """As :func:`weights`, with the rows of hot words split by a salt.
+
+    Hot words come from the df aggregate, so the tf shuffle is shared with it.
+    A tf row of a hot word takes one of the word's salts by its title, and the
+    word's df row is there once per salt; every other word has the one salt 0.
+    The list of hot words, of a length bounded by the number of partitions, is
+    broadcast to the tf side.
+    """
+    partitions = partitions or int(tf.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df = doc_freq(tf)
+    hot = F.broadcast(hot_words(df, partitions))
+    of_title = F.pmod(F.xxhash64("title"), F.coalesce("salts", F.lit(1)).cast("long")).cast("int")
+    rows = tf.join(hot, "word", "left").select("word", "title", "tf", of_title.alias("salt"))
+    salts = F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt")
+    spread = df.join(hot, "word", "left").select("word", "df", salts)
+    n_value = n.select("n").scalar()
+    return rows.join(spread, ["word", "salt"]).select(
+        "word",
+        _output_title(title_key).alias("title"),
+        "tf",
+        "df",
+        (F.col("tf") * F.log10(n_value / F.col("df"))).alias("w"),
+    )
+
+
 def tfidf_term(articles: DataFrame, term: str, **kw) -> DataFrame:
     """All (word, title, tf, df, w) rows of one term; stays distributed."""
     return tfidf(articles, term=term, **kw)

@@ -11,6 +11,8 @@ from __future__ import annotations
 TERM = "the"
 K = 100
 ITERATIONS = 10
+# Targets in a row of adjacency_lists; short, so that small tables have cut lists too.
+LIST_LENGTH = 5
 
 ARTICLES = (
     "SELECT page_id AS article_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, "
@@ -156,6 +158,49 @@ def escaped(col: str) -> str:
     return f"replace({col}, chr(10), '\\n')"
 
 
+def list_rows(ctes: str) -> str:
+    return with_(
+        f"{ctes},\nplaced AS (SELECT src, dst, (row_number() OVER (PARTITION BY src ORDER BY dst) - 1) // {LIST_LENGTH} AS part FROM arcs)",
+        "SELECT src, part::BIGINT AS part, string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst) AS dsts FROM placed GROUP BY src, part",
+    )
+
+
+def utf16(c: str) -> str:
+    """A text's UTF-16 code units as hex digits, which sort as the units do."""
+    unit = (f"list_transform(list_filter(string_split({c}, ''), lambda x: x <> ''), lambda x: CASE WHEN unicode(x) > 65535 THEN "
+            "printf('%04x%04x', 55296 + (unicode(x) - 65536) // 1024, 56320 + (unicode(x) - 65536) % 1024) ELSE printf('%04x', unicode(x)) END)")
+    return f"array_to_string({unit}, '')"
+
+
+def initial_java_sql(d: str) -> str:
+    mark = "CASE id % 3 WHEN 0 THEN chr(65313) WHEN 1 THEN chr(128512) ELSE '' END"
+    return with_(
+        f"{graph_ctes(ARCS_FULL).strip()},\nlabels AS (SELECT id, {mark} || name AS name FROM ({LABELS_TAB}))",
+        f"SELECT l.id, l.name, 1.0::DOUBLE AS rank FROM deg JOIN labels l ON deg.src = l.id ORDER BY {utf16('l.name')} {d}, l.id {d} LIMIT {K}",
+    )
+
+
+def cut_lines(by: str, width: int) -> str:
+    """How many fields a line of the quarantine queries keeps."""
+    return f"CASE WHEN {by} % 7 = 0 THEN {width - 1} WHEN {by} % 11 = 0 THEN 1 ELSE {width} END"
+
+
+def article_halves(bad: bool) -> str:
+    body = escaped("html")
+    if bad:
+        return (f"SELECT CASE WHEN n = 3 THEN concat_ws(chr(9), id, title, url) ELSE id END AS record FROM ("
+                f"SELECT CAST(page_id AS VARCHAR) AS id, {TITLE_SQL} AS title, url, {cut_lines('page_id', 4)} AS n FROM pages) WHERE n < 4")
+    return (f"SELECT CAST(page_id AS VARCHAR) AS article_id, {TITLE_SQL} AS title, url AS ts, {body} AS body, CAST(NULL AS VARCHAR) AS plain "
+            f"FROM pages WHERE {cut_lines('page_id', 4)} = 4")
+
+
+def arc_halves(bad: bool) -> str:
+    n = cut_lines("(l_linenumber + l_orderkey)", 2)
+    if bad:
+        return f"SELECT CAST(l_partkey AS VARCHAR) AS record FROM lineitem WHERE {n} < 2"
+    return f"SELECT CAST(l_partkey AS VARCHAR) AS src, CAST(l_suppkey AS VARCHAR) AS dst FROM lineitem WHERE {n} = 2"
+
+
 SQL: dict[str, str] = {
     # ---------------------------------------------------------------- sources
     "scan_articles": (
@@ -173,6 +218,10 @@ SQL: dict[str, str] = {
         "SELECT CAST(p_partkey AS VARCHAR) AS id, "
         "string_split_regex(CAST(p_partkey AS VARCHAR) || chr(9) || p_name, '\\s+')[2] AS name FROM part"
     ),
+    "quarantine_articles": article_halves(False),
+    "quarantine_articles_bad": article_halves(True),
+    "quarantine_arcs": arc_halves(False),
+    "quarantine_arcs_bad": arc_halves(True),
     # ----------------------------------------------------------------- TF-IDF
     "doc_count": with_(f"articles AS ({ARTICLES})", "SELECT count(DISTINCT title) AS n FROM articles"),
     "tokens": with_(f"articles AS ({ARTICLES})", f"SELECT title, unnest(string_split({CLEAN}, ' ')) AS word FROM articles"),
@@ -190,6 +239,15 @@ SQL: dict[str, str] = {
     "tfidf_term": with_(
         TFIDF_CTES, f"SELECT word, title, tf, df, round(w, 9) AS w FROM scored WHERE word = '{TERM}'"
     ),
+    "tfidf_all_salted": with_(TFIDF_CTES, "SELECT word, title, tf, df, round(w, 9) AS w FROM scored"),
+    "tfidf_lookup": with_(
+        TFIDF_CTES, f"SELECT word, title, tf, df, round(w, 9) AS w FROM scored WHERE word = '{TERM}'"
+    ),
+    "tfidf_lookup_many": with_(
+        TFIDF_CTES,
+        "SELECT word, title, tf, df, round(w, 9) AS w FROM scored WHERE word <> '' AND word IN "
+        "(SELECT unnest(string_split(lower(regexp_replace(text, '[^a-zA-Z]+', ' ', 'g')), ' ')) FROM benchmark)",
+    ),
     "tfidf_topk": with_(
         TFIDF_CTES,
         f"SELECT title, round(w, 9) AS w FROM scored WHERE word = '{TERM}' "
@@ -214,6 +272,8 @@ cut AS (SELECT split_part(title, ',', 1) AS title, max(w) AS w FROM scored WHERE
         "SELECT src, substr(md5(CAST(dst AS VARCHAR)), 1, 2) AS chunk, "
         "string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst) AS dsts FROM arcs GROUP BY src, chunk",
     ),
+    "adjacency_lists": list_rows(GRAPH_CTES),
+    "adjacency_lists_full": list_rows(graph_ctes(ARCS_FULL)),
     "distinct_arcs_full": with_(graph_ctes(ARCS_FULL), "SELECT src, dst FROM arcs"),
     "out_degree": with_(GRAPH_CTES, "SELECT src, deg FROM deg"),
     "initial_ranks": with_(GRAPH_CTES, "SELECT src AS id, 1.0::DOUBLE AS rank FROM deg"),
@@ -244,4 +304,11 @@ cut AS (SELECT split_part(title, ',', 1) AS title, max(w) AS w FROM scored WHERE
     "pagerank_b_topk": pagerank_topk_sql("B"),
     "pagerank_c_topk": pagerank_topk_sql("C"),
     "pagerank_bottomk": pagerank_topk_sql("C", bottom=True),
+    "initial_topk_java": initial_java_sql("DESC"),
+    "initial_bottomk_java": initial_java_sql("ASC"),
+    "ranks_numbered": with_(
+        pagerank_ctes("C", arcs=ARCS_FULL),
+        f"SELECT id, name, rank, row_number() OVER (ORDER BY rank DESC, name DESC, id DESC) AS row FROM "
+        f"(SELECT r.id, l.name, round(r.rank, 3) AS rank FROM r{ITERATIONS} r JOIN labels l ON r.id = l.id)",
+    ),
 }

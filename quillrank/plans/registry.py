@@ -14,16 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillrank.operators import graph, tfidf as tf_ops
+from quillrank.operators.keyed import WeightTable
 from quillrank.operators.pagerank import DISTINCT_CONTRIBS, DISTINCT_LABELS, PageRank, pagerank, rank_labels, significant
-from quillrank.operators.topk import bottom_k, top_k
-from quillrank.plans.oracle import ITERATIONS, K, SEPARATORS, TERM
+from quillrank.operators.topk import UTF16, bottom_k, numbered, top_k
+from quillrank.plans.oracle import ITERATIONS, K, LIST_LENGTH, SEPARATORS, TERM
 from quillrank import streaming
 from quillrank.session import ensure_checkpoint_dir, scratch_path
 from quillrank.sources import tables as src_tables
-from quillrank.sources.text import article_lines, pair_lines, read_arcs, read_articles, read_labels
+from quillrank.sources.text import article_lines, pair_lines, quarantine, read_arcs, read_articles, read_labels
 
 # Doubles that leave a query, and the order of top-k, are at this many decimals, as in the oracle.
 DIGITS = 9
+# Few decimals leave many equal ranks, whose order the names and ids decide.
+RANK_DIGITS = 3
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -120,6 +123,24 @@ def _scan_labels(delimiter):
     return q
 
 
+def _quarantined(kind, half):
+    """Lines of which some lack their last fields, by line number or page id."""
+    def q(spark, d):
+        if kind == "articles":
+            pages = src_tables.table(spark, d, "pages")
+            fields = [F.col("page_id").cast("string"), F.regexp_extract("html", src_tables.TITLE_PATTERN, 1), F.col("url"), F.replace("html", F.lit("\n"), F.lit("\\n"))]
+            by, width = F.col("page_id"), 4
+            rows = pages.select(by.alias("by"), F.array(*fields).alias("f"))
+        else:
+            rows, width = src_tables.table(spark, d, "lineitem").select(
+                (F.col("l_linenumber") + F.col("l_orderkey")).alias("by"), F.array(F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")).alias("f")), 2
+        keep = F.when(F.col("by") % 7 == 0, F.lit(width - 1)).when(F.col("by") % 11 == 0, F.lit(1)).otherwise(F.lit(width))
+        lines = rows.select(F.array_join(F.slice("f", F.lit(1), keep), "\t").alias("value"))
+        halves = quarantine(spark.read.text(written(lines, "lines")), kind, scratch_path(spark, "quarantine"))
+        return getattr(halves, half)
+    return q
+
+
 # ------------------------------------------------------------------ TF-IDF
 def doc_count(spark, d):
     return tf_ops.doc_count(pages_articles(spark, d))
@@ -158,6 +179,27 @@ def tfidf_topk(spark, d):
     return tf_ops.tfidf_topk(pages_articles(spark, d), TERM, K, digits=DIGITS).select("title", r9("w"))
 
 
+def tfidf_all_salted(spark, d):
+    """Every weight, hot words split by a salt instead of by adaptive execution."""
+    return tf_ops.tfidf(pages_articles(spark, d), split_hot=True).select("word", "title", "tf", "df", r9("w"))
+
+
+def weight_table(spark, d):
+    return WeightTable.build(pages_articles(spark, d), scratch_path(spark, "weights"))
+
+
+def tfidf_lookup(spark, d):
+    """One term from the keyed table: one bucket is read."""
+    return weight_table(spark, d).lookup(TERM).select("word", "title", "tf", "df", r9("w"))
+
+
+def tfidf_lookup_many(spark, d):
+    """Every word of the benchmark's items that the pages have, from the keyed table in place."""
+    text = F.lower(F.regexp_replace("text", "[^a-zA-Z]+", " "))
+    terms = src_tables.table(spark, d, "benchmark").select(F.explode(F.split(text, " ")).alias("word")).where("word <> ''")
+    return weight_table(spark, d).lookup_all(terms).select("word", "title", "tf", "df", r9("w"))
+
+
 def tfidf_before_comma(spark, d):
     return tf_ops.tfidf_topk(pages_articles(spark, d), TERM, K, title_key=tf_ops.BEFORE_COMMA, digits=DIGITS).select(
         "title", r9("w")
@@ -195,6 +237,13 @@ def adjacency(spark, d):
     return graph.adjacency(lineitem_arcs(spark, d))
 
 
+def _adjacency_lists(returned_only):
+    def q(spark, d):
+        ensure_checkpoint_dir(spark)
+        return graph.adjacency_lists(lineitem_arcs(spark, d, returned_only=returned_only), LIST_LENGTH)
+    return q
+
+
 def out_degree(spark, d):
     return graph.out_degree(graph.distinct_arcs(lineitem_arcs(spark, d)))
 
@@ -256,12 +305,33 @@ def _ranks_topk(variant, bottom=False):
     return q
 
 
+def _initial_java(bottom):
+    """Labels beyond the basic plane: all ranks tie, so the order is that of the names as Java has it."""
+    def q(spark, d):
+        mark = F.when(F.col("id") % 3 == 0, F.lit("\uff21")).when(F.col("id") % 3 == 1, F.lit("\U0001f600")).otherwise(F.lit(""))
+        labels = part_labels(spark, d).select("id", F.concat(mark, "name").alias("name"))
+        ranks = graph.initial_ranks(graph.out_degree(graph.distinct_arcs(lineitem_arcs(spark, d, returned_only=False))))
+        return (bottom_k if bottom else top_k)(rank_labels(ranks, labels), "rank", "name", "id", k=K, order=UTF16).select("id", "name", r9("rank"))
+    return q
+
+
+def ranks_numbered(spark, d):
+    """All labelled ranks of the whole graph with their place in the full order."""
+    labelled = rank_labels(ranks_for(spark, d, "C", returned_only=False), part_labels(spark, d))
+    rows = labelled.select("id", "name", F.round("rank", RANK_DIGITS).alias("rank"))
+    return numbered(rows, "rank", "name", "id")
+
+
 QUERIES: dict[str, Query] = {
     "scan_articles": scan_articles,
     "scan_arcs_tab": scan_arcs_tab,
     "scan_arcs_ws": scan_arcs_ws,
     "scan_labels_tab": _scan_labels("tab"),
     "scan_labels_ws": _scan_labels("ws"),
+    "quarantine_articles": _quarantined("articles", "good"),
+    "quarantine_articles_bad": _quarantined("articles", "bad"),
+    "quarantine_arcs": _quarantined("arcs", "good"),
+    "quarantine_arcs_bad": _quarantined("arcs", "bad"),
     "doc_count": doc_count,
     "tokens": tokens,
     "tokens_glued": tokens_glued,
@@ -269,7 +339,10 @@ QUERIES: dict[str, Query] = {
     "doc_freq": doc_freq,
     "idf": idf,
     "tfidf_all": tfidf_all,
+    "tfidf_all_salted": tfidf_all_salted,
     "tfidf_term": tfidf_term,
+    "tfidf_lookup": tfidf_lookup,
+    "tfidf_lookup_many": tfidf_lookup_many,
     "tfidf_topk": tfidf_topk,
     "tfidf_before_comma": tfidf_before_comma,
     "docs_tfidf_topk": docs_tfidf_topk,
@@ -278,6 +351,8 @@ QUERIES: dict[str, Query] = {
     "distinct_arcs": distinct_arcs,
     "distinct_arcs_full": distinct_arcs_full,
     "adjacency": adjacency,
+    "adjacency_lists": _adjacency_lists(True),
+    "adjacency_lists_full": _adjacency_lists(False),
     "out_degree": out_degree,
     "initial_ranks": initial_ranks,
     "dangling_nodes": dangling_nodes,
@@ -298,4 +373,7 @@ QUERIES: dict[str, Query] = {
     "pagerank_b_topk": _ranks_topk("B"),
     "pagerank_c_topk": _ranks_topk("C"),
     "pagerank_bottomk": _ranks_topk("C", bottom=True),
+    "initial_topk_java": _initial_java(False),
+    "initial_bottomk_java": _initial_java(True),
+    "ranks_numbered": ranks_numbered,
 }

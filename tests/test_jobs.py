@@ -31,3 +31,63 @@ def test_pagerank_job(spark, lines, variant):
     assert [float(r) for _, r in got] == sorted((float(r) for _, r in got), reverse=True)
     jobs.main(["pagerank", "--variant", variant, "--arcs", arcs, "--labels", labels, "--out", out, "--k", "1", "--bottom"])
     assert len(read(spark, out)) == 1
+
+
+def parts(spark, path):
+    """Lines of the part files, file by file in the order of their names."""
+    import os
+
+    root = path.replace("file://", "").replace("file:", "")
+    out = []
+    for name in sorted(f for f in os.listdir(root) if f.startswith("part-")):
+        with open(os.path.join(root, name), encoding="utf-8") as f:
+            out += [line.rstrip("\n").split("\t") for line in f]
+    return out
+
+
+def test_index_job_gives_the_terms_of_the_articles(spark, lines):
+    src, table, out, want = (scratch_path(spark, x) for x in ("in", "table", "out", "want"))
+    lines(fx.ARTICLE_LINES).write.text(src)
+    jobs.main(["index", "--articles", src, "--out", table, "--buckets", "3"])
+    for extra in (["--term", "cloud"], ["--term", "the"], ["--term", ""], ["--term", "unknown"], ["--k", "0", "--title-key", "before_comma"]):
+        jobs.main(["tfidf", "--index", table, "--out", out, *extra])
+        jobs.main(["tfidf", "--articles", src, "--out", want, *extra])
+        assert sorted(read(spark, out)) == sorted(read(spark, want))
+    with pytest.raises(ValueError):
+        jobs.main(["tfidf", "--out", out])
+
+
+def test_full_results_in_order(spark, lines):
+    src, arcs, labels, out = (scratch_path(spark, x) for x in ("in", "arcs", "labels", "out"))
+    lines(fx.ARTICLE_LINES).write.text(src)
+    jobs.main(["tfidf", "--articles", src, "--out", out, "--k", "0", "--ordered"])
+    assert [t for t, _ in parts(spark, out)] == ["Alpha", "Beta, Inc", "Delta"]
+    lines(fx.ARC_LINES).write.text(arcs)
+    lines(fx.LABEL_LINES).write.text(labels)
+    for extra in ([], ["--bottom"]):
+        jobs.main(["pagerank", "--arcs", arcs, "--labels", labels, "--out", out, "--k", "0", "--ordered", *extra])
+        got = [(float(r), n) for n, r in parts(spark, out)]
+        assert got == sorted(got, reverse=not extra) and len(got) == len(fx.PAGERANK[("B", 10)])
+
+
+def test_a_job_goes_on_from_its_state(spark, lines):
+    arcs, labels, out, state = (scratch_path(spark, x) for x in ("arcs", "labels", "out", "state"))
+    lines(fx.ARC_LINES).write.text(arcs)
+    lines(fx.LABEL_LINES).write.text(labels)
+    for n in ("2", "10"):
+        jobs.main(["pagerank", "--arcs", arcs, "--labels", labels, "--out", out, "--state", state, "--iterations", n])
+        assert {n: round(float(r), 9) for n, r in read(spark, out)} == fx.PAGERANK[("B", int(n))]
+
+
+def test_malformed_records_are_kept_and_counted(spark, lines, capsys):
+    arcs, labels, out, bad = (scratch_path(spark, x) for x in ("arcs", "labels", "out", "bad"))
+    lines([*fx.ARC_LINES, "", "lonely"]).write.text(arcs)
+    lines([*fx.LABEL_LINES, "nameless"]).write.text(labels)
+    with pytest.raises(ValueError):
+        jobs.main(["pagerank", "--arcs", arcs, "--labels", labels, "--out", out, "--mode", "QUARANTINE"])
+    for _ in range(2):  # a second run replaces what the first one kept
+        jobs.main(["pagerank", "--arcs", arcs, "--labels", labels, "--out", out, "--mode", "QUARANTINE", "--bad", bad])
+        assert {n: round(float(r), 9) for n, r in read(spark, out)} == fx.PAGERANK[("B", 10)]
+        said = capsys.readouterr().out
+        assert f"arcs: {len(fx.ARC_LINES)} records, 2 malformed" in said and f"labels: {len(fx.LABEL_LINES)} records, 1 malformed" in said
+        assert sorted(r.record for r in spark.read.parquet(f"{bad}/arcs").where("bad = 'true'").collect()) == ["", "lonely"]

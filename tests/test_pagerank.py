@@ -363,3 +363,41 @@ def test_resumed_hubs(spark, lines, tmp_path, variant):
     kw = dict(kw, hub_degree=1, partitions=4, state=f"file://{tmp_path}/{variant}")
     pagerank(arcs, labels, iterations=2, **kw)
     assert named(pagerank(arcs, labels, iterations=10, **kw), labels) == fx.PAGERANK[(variant, 10)]
+
+
+def test_adjacency_lists_of_a_source_with_a_million_arcs(spark):
+    """Rows of at most n targets, at the same grain for every degree, from tasks that each hold a range."""
+    from quillrank.operators.graph import adjacency_lists
+
+    hub = spark.range(1_000_000).select(F.lit(7).cast("long").alias("src"), F.col("id").alias("dst"))
+    others = spark.range(3000).select((F.col("id") % 40 + 100).alias("src"), (F.col("id") * 7 % 1013).alias("dst"))
+    n = 1000
+    out = adjacency_lists(hub.unionByName(others).unionByName(others), n)
+    sizes = out.select("src", "part", F.size(F.split("dsts", ",")).alias("n"))
+    per = {(r.src, r.part): r.n for r in sizes.collect()}
+    assert {k: v for k, v in per.items() if k[0] == 7} == {(7, i): n for i in range(1000)}
+    firsts = out.where("src = 7").select("part", F.split("dsts", ",")[0].cast("long").alias("a"), F.element_at(F.split("dsts", ","), -1).cast("long").alias("b")).collect()
+    assert all((r.a, r.b) == (r.part * n, r.part * n + n - 1) for r in firsts)
+    small = adjacency_lists(others, 8)
+    degree = {r.src: r.deg for r in out_degree(distinct_arcs(others)).collect()}
+    rows = [(r.src, r.part, [int(x) for x in r.dsts.split(",")]) for r in small.collect()]
+    for src, deg in degree.items():
+        mine = sorted((p, d) for s, p, d in rows if s == src)
+        flat = [x for _, d in mine for x in d]
+        assert flat == sorted(set(flat)) and len(flat) == deg
+        assert [len(d) for _, d in mine] == [8] * (deg // 8) + ([deg % 8] if deg % 8 else [])
+    assert adjacency_lists(others.limit(0), 8).count() == 0
+
+
+def test_adjacency_lists_whatever_the_ranges(spark, lines):
+    from quillrank.operators.graph import adjacency_lists
+
+    arcs, _ = tiny(lines, "tab")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        for coalesce in ("true", "false"):
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+            got = {(r.src, r.part, r.dsts) for r in adjacency_lists(arcs, 2).collect()}
+            assert got == {("1", 0, "2,3"), ("2", 0, "3"), ("3", 0, "1,4"), ("3", 1, "6"), ("5", 0, "1")}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)

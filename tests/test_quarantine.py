@@ -1,0 +1,61 @@
+"""Malformed records kept apart, in one pass."""
+
+import pytest
+
+import fixtures as fx
+from quillrank.plans.inspect import plan_text
+from quillrank.sources import parse_articles, parse_pairs
+from quillrank.sources.text import quarantine
+
+ARTICLES = [*fx.ARTICLE_LINES, "", "9", "9\tonly a title", "9\tt\tts", "9\tt\tts\t", "\t\t\t"]
+PAIRS = [*fx.ARC_LINES, "", "7", "7\t", "\t7", " ", "7 8"]
+
+
+def brute(lines, kind, delimiter):
+    """Records as Java's split gives their fields: trailing empty ones are none."""
+    import re
+
+    good, bad = [], []
+    for line in lines:
+        f = re.split(r"\s+" if delimiter == "ws" else "\t", line)
+        while len(f) > 1 and f[-1] == "":
+            f.pop()
+        (good if len(f) > (3 if kind == "articles" else 1) else bad).append(line)
+    return good, bad
+
+
+@pytest.mark.parametrize("kind,delimiter,source", [("articles", "tab", ARTICLES), ("arcs", "tab", PAIRS), ("arcs", "ws", PAIRS), ("labels", "tab", PAIRS)])
+def test_halves_and_counts(spark, lines, tmp_path, kind, delimiter, source):
+    good, bad = brute(source, kind, delimiter)
+    got = quarantine(lines(source), kind, f"file://{tmp_path}/q", delimiter)
+    assert got.counts == {"good": len(good), "bad": len(bad)} and len(bad) >= 3
+    assert sorted(r.record for r in got.bad.collect()) == sorted(bad)
+    want = parse_articles(lines(good)) if kind == "articles" else parse_pairs(lines(good), ("src", "dst") if kind == "arcs" else ("id", "name"), delimiter)
+    assert got.good.columns == want.columns
+    assert sorted(map(str, got.good.collect())) == sorted(map(str, want.collect()))
+
+
+def test_one_scan_and_one_job(spark, lines, tmp_path):
+    """Good and bad records leave in the same pass over the text files."""
+    lines(ARTICLES).coalesce(1).write.text(f"file://{tmp_path}/in")
+    sc = spark.sparkContext
+    sc.setJobGroup("quarantine", "quarantine")
+    try:
+        text = spark.read.text(f"file://{tmp_path}/in")
+        quarantine(text, "articles", f"file://{tmp_path}/q")
+        jobs = sc.statusTracker().getJobIdsForGroup("quarantine")
+        assert len(jobs) == 1
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert plan_text(text, "simple").count("FileScan text") == 1
+
+
+def test_null_lines_no_lines_and_wrong_kinds(spark, lines, tmp_path):
+    got = quarantine(lines([None, "1\t2"]), "arcs", f"file://{tmp_path}/a")
+    assert got.counts == {"good": 1, "bad": 1} and got.bad.first().record is None
+    none = quarantine(lines([]), "labels", f"file://{tmp_path}/b")
+    assert none.counts == {"good": 0, "bad": 0} and none.good.count() == none.bad.count() == 0
+    with pytest.raises(ValueError):
+        quarantine(lines([]), "other", f"file://{tmp_path}/c")
+    with pytest.raises(Exception, match="already exists"):
+        quarantine(lines([]), "labels", f"file://{tmp_path}/b")
