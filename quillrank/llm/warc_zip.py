@@ -11,8 +11,15 @@ Writing: pages of equal payload are found by a two-phase aggregate over the
 payload's SHA-1; each task writes its rows to packages of about
 ``PACKAGE_BYTES`` in the shared folder, under a name no other attempt has, and
 only packages in the written manifest are ever read. Reading: index entries
-are dealt out by stretches of ``STRETCH`` bytes, so a package of any size is
-read by many tasks.
+are dealt out by stretches of ``STRETCH`` bytes (more where there would be over
+``READ_TASKS`` of them), one task for each, so a package of any size is read by
+many tasks and many packages by as many.
+
+Packages of other writers are read too: indexes as CDXJ or as CDX with a header
+line, plain, gzipped or deflated in the package, and records of every type, with
+any record id, plain or gzipped, chunked payloads included. What is not
+understood (an index of another form, a package without one, archive members
+that are compressed as a whole) raises ``ValueError``; nothing is passed over.
 
 Executors open packages through ``pyarrow.fs``, so the shared folder must be in
 a file system it knows (local or NFS, S3, GCS, Azure, HDFS with libhdfs).
@@ -39,7 +46,7 @@ from pyspark.sql import functions as F
 
 from quillrank.llm.common import Scratch
 
-PACKAGE_BYTES, STRETCH = 32 << 20, 8 << 20
+PACKAGE_BYTES, STRETCH, READ_TASKS = 32 << 20, 8 << 20, 20_000
 WARC_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdxj"
 RECORD_ID = "urn:quillrank:page:"
 DATE = "2026-01-01T00:00:00Z"
@@ -123,9 +130,13 @@ class Package:
         return packed, plain, header
 
     def start(self, member: Member) -> int:
-        """Where a stored member's bytes begin (its local header has lengths of its own)."""
+        """Where a stored member's bytes begin."""
         if member.method != 0:
             raise ValueError(f"{member.name} is not stored")
+        return self.place(member)
+
+    def place(self, member: Member) -> int:
+        """Where a member's bytes begin (its local header has lengths of its own)."""
         head = self.read(member.header, 30)
         if head[:4] != LOCAL:
             raise ValueError("local header expected")
@@ -139,17 +150,64 @@ def open_package(path: str) -> tuple[Package, pa.NativeFile]:
     return Package(lambda offset, length: bytes(f.read_at(length, offset)), f.size()), f
 
 
+def _index_lines(package: Package, member: Member) -> list[bytes]:
+    """An index's lines; it may be gzipped, in one or more gzip members, and deflated in the package."""
+    raw = package.read(package.place(member), member.size)
+    if member.method == 8:
+        raw = zlib.decompress(raw, -15)
+    elif member.method:
+        raise ValueError(f"{member.name} is compressed by method {member.method}")
+    if raw[:2] == b"\x1f\x8b":
+        out = []
+        while raw:
+            z = zlib.decompressobj(31)
+            out.append(z.decompress(raw) + z.flush())
+            raw = z.unused_data
+        raw = b"".join(out)
+    return raw.splitlines()
+
+
+def _places(name: str, lines: list[bytes]) -> list[tuple[str, int, int]]:
+    """``(archive file, offset, length)`` of the records that an index lists."""
+    out, fields = [], None
+    for line in lines:
+        if not line.strip() or line.startswith(b"!"):
+            continue
+        if line.startswith(b" CDX "):
+            fields = {letter: i for i, letter in enumerate(line.split()[1:])}
+            continue
+        parts = line.split(b" ", 2)
+        if len(parts) == 3 and parts[2].lstrip().startswith(b"{"):
+            entry = json.loads(parts[2])
+            out.append((entry["filename"], int(entry["offset"]), int(entry["length"])))
+        elif fields and {b"g", b"V", b"S"} <= fields.keys():
+            parts = line.split(b" ")
+            out.append((parts[fields[b"g"]].decode(), int(parts[fields[b"V"]]), int(parts[fields[b"S"]])))
+        else:
+            raise ValueError(f"{name} is no index of a known form")
+    return out
+
+
 def index_entries(package: Package) -> list[tuple[int, int]]:
-    """Absolute ``(start, length)`` of every record that the package's indexes list."""
-    out = []
+    """Absolute ``(start, length)`` of every record that the package's indexes list, each once.
+
+    A ``.idx`` file only says where the blocks of a gzipped index begin; the index itself is read.
+    """
+    out, seen = {}, False
     for name, member in package.members.items():
-        if name.startswith("indexes/") and name.endswith(".cdxj"):
-            base = package.start(member)
-            for line in package.read(base, member.size).splitlines():
-                entry = json.loads(line.split(b" ", 2)[2])
-                warc = package.members[f"archive/{entry['filename']}"]
-                out.append((package.start(warc) + int(entry["offset"]), int(entry["length"])))
-    return out
+        if not name.startswith("indexes/") or name.endswith(("/", ".idx")):
+            continue
+        if not re.search(r"\.cdxj?(\.gz)?$", name):
+            raise ValueError(f"{name} is no index of a known form")
+        seen = True
+        for file, offset, length in _places(name, _index_lines(package, member)):
+            warc = package.members.get(file if file.startswith("archive/") else f"archive/{file}")
+            if warc is None:
+                raise ValueError(f"{name} lists {file}, which is not in the package")
+            out[package.start(warc) + offset, length] = None
+    if not seen and any(n.startswith("archive/") and not n.endswith("/") for n in package.members):
+        raise ValueError("a package without an index")
+    return list(out)
 
 
 # ------------------------------------------------------------------ WARC
@@ -172,28 +230,74 @@ def _headers(block: bytes) -> dict[str, str]:
     return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
 
 
-def parse_record(raw: bytes) -> tuple:
-    """``(page_id, payload_bytes, payload_digest, record_type, refers_to)`` of one gzipped record.
-
-    A response's length and digest are taken from its payload and held against
-    its headers; a revisit has them in its headers only.
+@dataclass
+class Record:
+    """What a WARC record says; payload length and digest are None where it has neither payload nor header."""
+
+    id: str
+    type: str
+    url: str | None
+    payload_bytes: int | None
+    digest: str | None
+    refers_to: str | None
+
+
+def _dechunked(body: bytes) -> bytes:
+    """An HTTP body of chunks put together; a body that is cut short ends where it does."""
+    out, p = [], 0
+    while (end := body.find(b"\r\n", p)) >= 0:
+        try:
+            n = int(body[p:end].split(b";")[0], 16)
+        except ValueError:
+            return body  # as some crawlers write it: decoded already, with the header left
+        if not n:
+            break
+        out.append(body[end + 2 : end + 2 + n])
+        p = end + 2 + n + 2
+    return b"".join(out)
+
+
+def read_record(raw: bytes) -> Record:
+    """One record, gzipped or plain.
+
+    The payload of a response is its HTTP body (chunks put together, content
+    encodings left as they are), of any other record its whole block; its length
+    and SHA-1 are taken from the bytes, and a digest in the header must agree.
+    A revisit has them in its headers only.
     """
-    data = zlib.decompress(raw, 31)
+    data = zlib.decompress(raw, 31) if raw[:2] == b"\x1f\x8b" else raw
     head, _, rest = data.partition(b"\r\n\r\n")
     if not head.startswith(b"WARC/"):
         raise ValueError("not a WARC record")
     warc = _headers(head)
-    http, _, payload = rest[: int(warc["content-length"])].partition(b"\r\n\r\n")
-    digest, n = warc["warc-payload-digest"].removeprefix("sha1:"), int(_headers(http)["content-length"])
+    block, kind = rest[: int(warc["content-length"])], warc["warc-type"]
+    ident, url, said = warc.get("warc-record-id", "").strip("<>"), warc.get("warc-target-uri"), warc.get("warc-payload-digest")
+    of = warc.get("warc-refers-to")
+    said = said.removeprefix("sha1:") if said else None
+    http, _, body = block.partition(b"\r\n\r\n")
+    over_http = block.startswith(b"HTTP/")
+    length = _headers(http).get("content-length") if over_http else None
+    if kind == "revisit":
+        return Record(ident, kind, url, int(length) if length and length.isdigit() else None, said, of.strip("<>") if of else None)
+    payload = body if kind == "response" and over_http else block
+    if kind == "response" and over_http and _headers(http).get("transfer-encoding", "").lower() == "chunked":
+        payload, length = _dechunked(body), None
+    digest = base32_sha1(payload)
+    # a payload that the crawler cut short is shorter than the header says, which its own field tells
+    if said and ":" not in said and (said.upper() != digest or kind == "response" and length is not None and "warc-truncated" not in warc and int(length) != len(payload)):
+        raise ValueError(f"payload of {ident} differs from its digest")
+    return Record(ident, kind, url, len(payload), digest, of.strip("<>") if of else None)
+
+
+def _page(ident: str | None) -> int | None:
+    """The page of a record id that this writer gave."""
+    return int(ident.removeprefix(RECORD_ID)) if ident and ident.startswith(RECORD_ID) and ident != RECORD_ID else None
 
-    def page(name: str):
-        value = warc.get(name, "").strip("<>").removeprefix(RECORD_ID)
-        return int(value) if value else None
 
-    if warc["warc-type"] == "response":
-        if (len(payload), base32_sha1(payload)) != (n, digest):
-            raise ValueError(f"payload of {warc['warc-record-id']} differs from its digest")
-    return page("warc-record-id"), n, digest, warc["warc-type"], page("warc-refers-to")
+def parse_record(raw: bytes) -> tuple:
+    """``(page_id, payload_bytes, payload_digest, record_type, refers_to)`` of one record of :func:`write_packages`."""
+    r = read_record(raw)
+    return _page(r.id), r.payload_bytes, r.digest, r.type, _page(r.refers_to)
 
 
 def base32_sha1(payload: bytes) -> str:
@@ -269,29 +373,49 @@ def _entries(batches):
                                              ["path", "start", "length"])
 
 
-RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
+RECORDS = "path string, start long, record_id string, record_type string, target_uri string, payload_bytes long, payload_digest string, refers_to string"
+_RECORDS = pa.schema([(x.split()[0], pa.int64() if x.endswith("long") else pa.string()) for x in RECORDS.split(", ")])
 
 
 def _read(batches):
     path, f = None, None
-    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
     for batch in batches:
         rows = []
-        for p, start, length in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        for p, start, length in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("path", "start", "length"))):
             if p != path:
                 if f:
                     f.close()
                 fs, inner = open_fs(p)
                 path, f = p, fs.open_input_file(inner)
-            rows.append(parse_record(bytes(f.read_at(length, start))))
-        cols = list(zip(*rows)) if rows else [[]] * 5
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], [x.split()[0] for x in RECORDS.split(", ")])
+            r = read_record(bytes(f.read_at(length, start)))
+            rows.append((p, start, r.id, r.type, r.url, r.payload_bytes, r.digest, r.refers_to))
+        cols = list(zip(*rows)) if rows else [[]] * len(_RECORDS)
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, _RECORDS.types)], _RECORDS.names)
     if f:
         f.close()
 
 
-def read_packages(manifest: DataFrame) -> DataFrame:
-    """Every record that the indexes of the packages at ``path`` list: ``RECORDS``."""
-    entries = manifest.select("path").mapInArrow(_entries, "path string, start long, length long")
-    dealt = entries.repartition("path", F.expr(f"start div {STRETCH}")).sortWithinPartitions("path", "start")
+def read_records(manifest: DataFrame, stretch: int = STRETCH) -> DataFrame:
+    """Every record that the indexes of the packages at ``path`` list, of any type and writer: ``RECORDS``.
+
+    Null paths are none, and a path that is there twice is read once. An empty manifest gives no rows.
+    """
+    scratch = Scratch(manifest.sparkSession, "warc-read")
+    paths = manifest.select("path").where("path IS NOT NULL").distinct()
+    entries = scratch.save(paths.mapInArrow(_entries, "path string, start long, length long"), "entries")
+    total = entries.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
+    stretch = max(stretch, -(-total // READ_TASKS))
+    of = F.call_function("div", F.col("start"), F.lit(stretch))
+    tasks = entries.select("path", of.alias("stretch")).distinct().count()
+    # a partition number that is given is not coalesced, however small the entries are
+    dealt = entries.withColumn("stretch", of).repartitionByRange(max(1, tasks), "path", "stretch").sortWithinPartitions("path", "start")
     return dealt.mapInArrow(_read, RECORDS)
+
+
+def read_packages(manifest: DataFrame, stretch: int = STRETCH) -> DataFrame:
+    """The pages that :func:`write_packages` wrote: ``(page_id, payload_bytes, payload_digest, record_type, refers_to)``."""
+    def page(c: str):
+        return F.expr(f"try_cast(substr({c}, {len(RECORD_ID) + 1}) AS long)")
+
+    own = read_records(manifest, stretch).where(F.col("record_id").startswith(RECORD_ID))
+    return own.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"))

@@ -123,3 +123,101 @@ def test_broken_packages_are_refused():
         p.start(p.members[z.WARC_MEMBER])
     with pytest.raises(ValueError, match="differs"):
         z.parse_record(z.record(1, "u", b"abc", "WRONG", None))
+
+
+# ------------------------------------------------------------------ packages of other writers
+def warc(kind, ident, block, more=(), zipped=True):
+    import gzip
+
+    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{ident}>", *more, f"Content-Length: {len(block)}"]
+    raw = "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+    return gzip.compress(raw) if zipped else raw
+
+
+CHUNKED = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n5;x=1\r\nhello\r\n6\r\n world\r\n0\r\n\r\n"
+FOREIGN = [
+    ("warcinfo", "urn:uuid:1", b"software: other/1.0\r\n", ()),
+    ("request", "urn:uuid:2", b"GET / HTTP/1.1\r\nHost: a\r\n\r\n", ("WARC-Target-URI: http://a/",)),
+    ("response", "urn:uuid:3", CHUNKED, ("WARC-Target-URI: http://a/", f"WARC-Payload-Digest: sha1:{digest('hello world')}")),
+    ("response", "urn:uuid:4", b"HTTP/1.0 200 OK\r\n\r\nno length", ()),
+    ("resource", "urn:uuid:5", b"a file", ("WARC-Payload-Digest: sha256:abc",)),
+    ("revisit", "urn:uuid:6", b"HTTP/1.1 304 Not Modified\r\n\r\n", ("WARC-Refers-To: <urn:uuid:3>", f"WARC-Payload-Digest: sha1:{digest('hello world')}")),
+    ("response", "urn:uuid:7", b"HTTP/1.1 200 OK\r\nContent-Length: 99\r\n\r\ncut", ("WARC-Truncated: length", f"WARC-Payload-Digest: sha1:{digest('cut')}")),
+    ("response", "urn:uuid:8", b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\ndecoded already\r\n", ()),
+]
+READ = [("urn:uuid:1", "warcinfo", 21, digest("software: other/1.0\r\n"), None), ("urn:uuid:2", "request", 27, digest("GET / HTTP/1.1\r\nHost: a\r\n\r\n"), None),
+        ("urn:uuid:3", "response", 11, digest("hello world"), None), ("urn:uuid:4", "response", 9, digest("no length"), None), ("urn:uuid:5", "resource", 6, digest("a file"), None),
+        ("urn:uuid:6", "revisit", None, digest("hello world"), "urn:uuid:3"), ("urn:uuid:7", "response", 3, digest("cut"), None), ("urn:uuid:8", "response", 17, digest("decoded already\r\n"), None)]
+
+
+def foreign(path, index, zipped=True, deflated=False):
+    """A package of another writer; ``index``: name and how its entries are written."""
+    import gzip
+
+    body, places = b"", []
+    for kind, ident, block, more in FOREIGN:
+        raw = warc(kind, ident, block, more, zipped)
+        places.append((len(body), len(raw)))
+        body += raw
+    name = "data.warc.gz" if zipped else "data.warc"
+    if "cdxj" in index or index.endswith("cdx.gz"):
+        lines = [f'com,a)/ 2020 {json.dumps({"filename": name, "offset": str(o), "length": str(n)})}\n' for o, n in places]
+    else:
+        lines = [" CDX N b S V g\n", *[f"com,a)/ 2020 {n} {o} {name}\n" for o, n in places]]
+    data = "".join(lines).encode()
+    if index.endswith(".gz"):  # blocks that are gzip members of their own
+        half = len("".join(lines[:3]))
+        data = gzip.compress(data[:half]) + gzip.compress(data[half:])
+    with zipfile.ZipFile(path, "w") as f:
+        f.writestr("datapackage.json", "{}", zipfile.ZIP_DEFLATED)
+        f.writestr(f"archive/{name}", body)
+        f.writestr(f"indexes/{index}", data, zipfile.ZIP_DEFLATED if deflated else zipfile.ZIP_STORED)
+        if index.endswith(".gz"):
+            f.writestr("indexes/index.idx", "com,a)/ 2020\tindex.cdx.gz\t0\t10\t1\n")
+    return f"file://{path}"
+
+
+@pytest.mark.parametrize("index,zipped,deflated", [("index.cdx.gz", True, False), ("index.cdxj", False, True), ("index.cdx", True, False), ("index.cdxj.gz", True, False)])
+def test_packages_of_other_writers(spark, tmp_path, index, zipped, deflated):
+    path = foreign(tmp_path / "a.wacz", index, zipped, deflated)
+    manifest = spark.createDataFrame([(path,), (path,), (None,)], "path string")
+    got = sorted((r.record_id, r.record_type, r.payload_bytes, r.payload_digest, r.refers_to) for r in z.read_records(manifest).collect())
+    assert got == READ
+    assert z.read_packages(manifest).count() == 0  # none of these is a page of this writer
+
+
+def test_what_is_not_understood_is_refused(tmp_path):
+    def package_of(members):
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w") as f:
+            for name, data in members.items():
+                f.writestr(name, data)
+        return package(buf.getvalue())
+
+    for members, why in (({"archive/data.warc.gz": b"x"}, "without an index"), ({"indexes/index.db": b"x"}, "known form"), ({"indexes/index.cdx": b"a b c\n"}, "known form"),
+                         ({"indexes/index.cdxj": b'a b {"filename": "gone.warc.gz", "offset": 0, "length": 1}\n'}, "not in the package")):
+        with pytest.raises(ValueError, match=why):
+            z.index_entries(package_of(members))
+    assert z.index_entries(package_of({})) == []
+    with pytest.raises(ValueError, match="not a WARC"):
+        z.read_record(b"GET /")
+    with pytest.raises(ValueError, match="differs"):
+        z.read_record(warc("response", "urn:uuid:9", CHUNKED, (f"WARC-Payload-Digest: sha1:{digest('other')}",)))
+
+
+def test_as_many_read_tasks_as_stretches(spark, monkeypatch, tmp_path):
+    """Small index entries of many packages are not put into a few tasks."""
+    monkeypatch.setattr(z, "PACKAGE_BYTES", 4000)
+    pages = spark.range(400).selectExpr("id AS page_id", "'u' AS url", "concat(sha2(cast(id AS string), 512), repeat(sha2(cast(-id AS string), 512), 3)) AS html").repartition(4)
+    manifest = z.write_packages(pages)
+    stretch = 2000
+    rows = z.read_records(manifest, stretch)
+    seen = rows.selectExpr("spark_partition_id() AS p", "path", f"start div {stretch} AS s").distinct().collect()
+    stretches = {(r.path, r.s) for r in seen}
+    assert len(stretches) > 30 and rows.count() == 400
+    tasks = {}
+    for r in seen:
+        tasks.setdefault(r.p, set()).add((r.path, r.s))
+    assert len(tasks) > 0.9 * len(stretches) and sum(map(len, tasks.values())) == len(stretches)  # none is cut in two
+    monkeypatch.setattr(z, "READ_TASKS", 3)
+    assert z.read_packages(manifest, stretch).count() == 400
