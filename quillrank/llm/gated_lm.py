@@ -11,7 +11,8 @@ the corpus's log counts, so training begins at the unigram model.
 
 **Training**: every training document takes part. Each task trains a replica
 on its share by backpropagation truncated to windows of ``STEPS`` tokens, the
-state being carried over; the replicas' weights are averaged by Spark and the
+state being carried over; its first tokens run in few lanes and the others in
+many at a higher rate. The replicas' weights are averaged by Spark and the
 next round starts from there. Only one set of weights (about
 ``2 * TOP * HIDDEN`` numbers) ever reaches the driver.
 
@@ -37,9 +38,12 @@ from quillrank.llm.common import Scratch, largest, magnitude
 from quillrank.llm.toxicity import held_out
 
 TOP, CLASS, HEAD = 2048, 64, 1 << 18
-HIDDEN, STEPS, LANES, TRAIN_LANES = 16, 32, 1024, 32
-ROUNDS, RATE = 2, 0.01
-COUNT_BLOCK, SCORE_TOKENS, SEED = 1 << 21, 1 << 20, 5
+HIDDEN, STEPS, LANES = 16, 32, 512
+#: Lanes and learning rate of a replica's first WARM tokens, when many small steps matter, and after them.
+WARM, WARM_LANES, TRAIN_LANES = 1 << 18, 32, 128
+ROUNDS, RATE, WIDE_RATE = 2, 0.01, 0.02
+#: Tokens that are dealt to lanes at once: so many that the longest documents don't leave most lanes empty.
+COUNT_BLOCK, SCORE_TOKENS, WARM_TOKENS, TRAIN_TOKENS, SEED = 1 << 21, 1 << 21, 1 << 17, 1 << 22, 5
 #: The end of a document as a token; no word is empty.
 END = words.mix(np.array([1], np.uint64))[0]
 LN10 = float(np.log(10))
@@ -136,25 +140,27 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+def _exp_rows(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows less their largest value, in place, and their exponentials."""
+    x -= x.max(1, keepdims=True)
+    return x, np.exp(x)
 
 
 def forward(m: dict[str, np.ndarray], table: np.ndarray, inputs: np.ndarray, h: np.ndarray, keep: bool = False):
     """States of a window, ``inputs`` (steps, lanes); ``table`` is ``E @ W + b``. A start input clears its lane's state."""
     n, first = HIDDEN, len(table) - 1
     states, saved = np.empty((*inputs.shape, n), np.float32), []
-    for t, x in enumerate(inputs):
-        reset = x == first
-        if reset.any():
-            h = np.where(reset[:, None], np.float32(0), h)
-        a, u = table[x], h @ m["U"]
+    read, resets = table[inputs], inputs == first
+    some = resets.any(1)
+    for t, a in enumerate(read):
+        if some[t]:
+            h = np.where(resets[t][:, None], np.float32(0), h)
+        u = h @ m["U"]
         zr = _sigmoid(a[:, : 2 * n] + u[:, : 2 * n])
         z, r = zr[:, :n], zr[:, n:]
         c = np.tanh(a[:, 2 * n :] + r * u[:, 2 * n :])
         if keep:
-            saved.append((h, z, r, c, u[:, 2 * n :], reset))
+            saved.append((h, z, r, c, u[:, 2 * n :], resets[t] if some[t] else None))
         h = c + z * (h - c)
         states[t] = h
     return states, h, saved
@@ -164,54 +170,67 @@ def output(m: dict[str, np.ndarray], states: np.ndarray, targets: np.ndarray, gr
     """Natural log probability of each target given its state, both factors; with ``grads`` also d(-sum)/d(state)."""
     top = m["Ww"].shape[1]
     cls = np.where(targets < top, targets // CLASS, classes(top))
-    logs = _log_softmax(states @ m["Wc"] + m["bc"])
-    rows = np.arange(len(targets))
-    lp = logs[rows, cls].astype(np.float64)
+    order = np.argsort(cls, kind="stable")  # a class's targets side by side
+    states, targets, cls = states[order], targets[order], cls[order]
+    x, e = _exp_rows(states @ m["Wc"] + m["bc"])
+    rows, total = np.arange(len(targets)), e.sum(1)
+    lp = (x[rows, cls] - np.log(total)).astype(np.float64)
     back = None
     if grads is not None:
-        d = np.exp(logs)
-        d[rows, cls] -= 1
-        grads["Wc"] += states.T @ d
-        grads["bc"] += d.sum(0)
-        back = d @ m["Wc"].T
-    order = np.argsort(cls, kind="stable")
-    edges = np.searchsorted(cls[order], np.arange(classes(top) + 1))
+        e /= total[:, None]
+        e[rows, cls] -= 1
+        grads["Wc"] += states.T @ e
+        grads["bc"] += e.sum(0)
+        back = e @ m["Wc"].T
+    edges = np.searchsorted(cls, np.arange(classes(top) + 1))
     for k in range(classes(top)):
-        mine = order[edges[k] : edges[k + 1]]
-        if not len(mine):
+        mine = slice(edges[k], edges[k + 1])
+        if edges[k] == edges[k + 1]:
             continue
         span = slice(k * CLASS, min((k + 1) * CLASS, top))
-        logs = _log_softmax(states[mine] @ m["Ww"][:, span] + m["bw"][span])
-        at = targets[mine] - k * CLASS
-        lp[mine] += logs[np.arange(len(mine)), at]
+        x, e = _exp_rows(states[mine] @ m["Ww"][:, span] + m["bw"][span])
+        at, total = targets[mine] - k * CLASS, e.sum(1)
+        lp[mine] += x[rows[: len(at)], at] - np.log(total)
         if grads is not None:
-            d = np.exp(logs)
-            d[np.arange(len(mine)), at] -= 1
-            grads["Ww"][:, span] += states[mine].T @ d
-            grads["bw"][span] += d.sum(0)
-            back[mine] += d @ m["Ww"][:, span].T
-    return lp, back
+            e /= total[:, None]
+            e[rows[: len(at)], at] -= 1
+            grads["Ww"][:, span] += states[mine].T @ e
+            grads["bw"][span] += e.sum(0)
+            back[mine] += e @ m["Ww"][:, span].T
+    place = np.empty(len(order), np.int64)
+    place[order] = rows
+    return lp[place], None if back is None else back[place]
 
 
 def backward(m, inputs, saved, dstates: np.ndarray, grads) -> None:
     """Backpropagation through one window; the gradient stops at its first step."""
-    n = HIDDEN
+    n, steps = HIDDEN, len(inputs)
     dh = np.zeros(dstates.shape[1:], np.float32)
-    dtable = np.zeros((len(m["E"]), 3 * n), np.float32)
-    for t in range(len(inputs) - 1, -1, -1):
+    da, du = (np.empty((*inputs.shape, 3 * n), np.float32) for _ in range(2))
+    before = np.empty((*inputs.shape, n), np.float32)
+    back = m["U"].T.copy()
+    for t in range(steps - 1, -1, -1):
         h, z, r, c, un, reset = saved[t]
+        before[t] = h
         dh = dh + dstates[t]
-        dz = dh * (h - c) * z * (1 - z)
         dc = dh * (1 - z) * (1 - c * c)
-        dr = dc * un * r * (1 - r)
-        da = np.concatenate([dz, dr, dc], 1)
-        du = np.concatenate([dz, dr, dc * r], 1)
-        np.add.at(dtable, inputs[t], da)
-        grads["U"] += h.T @ du
-        dh = np.where(reset[:, None], np.float32(0), dh * z + du @ m["U"].T)
-    grads["b"] += dtable.sum(0)
-    grads["W"] += m["E"].T @ dtable
-    grads["E"] += dtable @ m["W"].T
+        da[t, :, :n] = dh * (h - c) * z * (1 - z)
+        da[t, :, n : 2 * n] = dc * un * r * (1 - r)
+        da[t, :, 2 * n :] = dc
+        du[t] = da[t]
+        du[t, :, 2 * n :] *= r
+        dh = dh * z + du[t] @ back
+        if reset is not None:
+            dh[reset] = 0
+    grads["U"] += before.reshape(-1, n).T @ du.reshape(-1, 3 * n)
+    # the rows of an input's own, summed at once
+    flat_in, da = inputs.ravel(), da.reshape(-1, 3 * n)
+    order = np.argsort(flat_in, kind="stable")
+    begin = np.flatnonzero(np.diff(flat_in[order], prepend=-1))
+    some, sums = flat_in[order][begin], np.add.reduceat(da[order], begin, axis=0)
+    grads["b"] += sums.sum(0)
+    grads["W"] += m["E"][some].T @ sums
+    grads["E"][some] += sums @ m["W"].T
 
 
 def lanes(lengths: np.ndarray, n: int) -> list[list[int]]:
@@ -289,15 +308,16 @@ class Adam:
 
 # ------------------------------------------------------------------ Spark
 def _train(vocabulary, weights, rate: float):
-    """One replica per task, its weights as (i, w) with the number of tokens it saw."""
+    """One replica per task, its weights as (i, w) with the number of tokens it saw; ``rate`` multiplies the rates."""
     def run(batches):
         v = vocabulary.value
         m = unflat(weights.value, v.top)
-        learn, seen = Adam(m, rate), 0
+        learn, seen, done = Adam(m, RATE * rate), 0, 0
         ids, ends = [], [0]
 
         def fit():
-            run_windows(m, np.concatenate(ids), np.array(ends), TRAIN_LANES, learn)
+            learn.rate = (RATE if done < WARM else WIDE_RATE) * rate
+            run_windows(m, np.concatenate(ids), np.array(ends), WARM_LANES if done < WARM else TRAIN_LANES, learn)
 
         for batch in batches:
             for _, block in words.scan(batch.column(0), lower=True):
@@ -305,9 +325,9 @@ def _train(vocabulary, weights, rate: float):
                 ids.append(v.find(tokens)[0])
                 seen += len(tokens)
                 ends += (ends[-1] + at[1:]).tolist()
-                if ends[-1] >= SCORE_TOKENS:
+                if ends[-1] >= (WARM_TOKENS if done < WARM else TRAIN_TOKENS):
                     fit()
-                    ids, ends = [], [0]
+                    done, ids, ends = seen, [], [0]
         if ids:
             fit()
         if seen:
@@ -368,7 +388,7 @@ def train(texts: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
     context = texts.sparkSession.sparkContext
     weights, shared = flat(start(vocabulary)), context.broadcast(vocabulary)
     for k in range(ROUNDS):
-        mean = texts.mapInArrow(_train(shared, context.broadcast(weights), RATE / 2**k), "i int, w double, n long")
+        mean = texts.mapInArrow(_train(shared, context.broadcast(weights), 1 / 2**k), "i int, w double, n long")
         got = mean.groupBy("i").agg((F.sum("w") / F.sum("n")).alias("w")).orderBy("i").toArrow()
         weights = got["w"].to_numpy().astype(np.float32) if got.num_rows else weights
     return weights
