@@ -30,6 +30,87 @@ def test_nearest_are_exact(seed):
         assert np.allclose(want[best], cosines) and found.tolist() == best.tolist()
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_ties_at_the_last_place_go_to_the_first_examples(seed):
+    """Forty equal examples around the 25th place, in long and in short lists."""
+    rng = np.random.default_rng(seed)
+    rows = np.zeros((400, 50), np.float32)
+    rows[:, 0] = 1  # in every example
+    rows[rng.choice(400, 10, replace=False), 1] = 2
+    rows[rng.choice(400, 40, replace=False), 2] = 1.5
+    rows /= np.sqrt((rows * rows).sum(1, keepdims=True))
+    x = t.Index(np.arange(400), np.zeros(400), np.ones(400), np.ones(50), rows, None, 0.2)
+    at = np.array([0, 1, 2])
+    v = x.vector(at, np.ones(3))
+    found, cosines = x.nearest(at, v)
+    want = x.rows[:, at].astype(float) @ v
+    best = np.lexsort((np.arange(400), -np.round(want, 9)))[: t.NEIGHBOURS]
+    assert found.tolist() == best.tolist() and np.allclose(want[best], cosines, atol=1e-9)
+    assert (np.round(want, 9) == np.round(want[best[-1]], 9)).sum() > 10
+
+
+def test_blocks_that_cannot_reach_the_nearest_are_not_read(monkeypatch):
+    """Short lists of far blocks stay unread, and the result is that of all cosines."""
+    rng = np.random.default_rng(7)
+    rows = np.where(rng.random((2000, 300)) < 0.002, rng.random((2000, 300)), 0).astype(np.float32)
+    rows[:, :20] = 0.1 + rng.random((2000, 20)) * 0.01
+    rows[:, 299] = 1
+    rows[64:128, 20:60] += (rng.random((64, 40)) < 0.5) * 2.0  # one block shares many terms
+    rows /= np.sqrt((rows * rows).sum(1, keepdims=True))
+    x = t.Index(np.arange(2000), np.zeros(2000), np.ones(2000), np.ones(300), rows, None, 0.2)
+    at = np.arange(60)
+    v, read, ranges = x.vector(at, np.ones(60)), [], t._ranges
+    monkeypatch.setattr(t, "_ranges", lambda lo, hi: read.append(int((hi - lo).sum())) or ranges(lo, hi))
+    found, _ = x.nearest(at, v)
+    want = x.rows[:, at].astype(float) @ v
+    best = np.lexsort((np.arange(2000), -np.round(want, 9)))[: t.NEIGHBOURS]
+    assert found.tolist() == best.tolist() and sum(read[1:]) < 0.95 * (x.rows[:, 20:60] > 0).sum() and len(found) == t.NEIGHBOURS
+
+
+def test_the_form_of_the_weight_is_the_best_of_its_folds():
+    """Four folds of the training rows of sf0.1 alone: weights, examples and votes of three, ranks of the fourth."""
+    import pyarrow.parquet as pq
+
+    from quillrank.llm import words
+    d = "/root/testdata/sf0.1"
+    labels = {r["doc_id"]: r["toxic"] for r in pq.read_table(f"{d}/labels.parquet").to_pylist()}
+    table = pq.read_table(f"{d}/documents.parquet", columns=["doc_id", "text"])
+    fold = {i: zlib.crc32(str(i).encode()) % 5 for i in labels}
+    counts = []
+    for _, block in words.scan(table["text"], lower=True):
+        h, row = t.terms(block)
+        order = np.argsort(row, kind="stable")
+        for i, part in enumerate(np.split(h[order], np.searchsorted(row[order], np.arange(1, len(block))))):
+            counts.append(np.unique(part, return_counts=True))
+    ids = table["doc_id"].to_pylist()
+    vocab, df = np.unique(np.concatenate([h for h, _ in counts]), return_counts=True)
+    mine = [(np.searchsorted(vocab, counts[k][0]), counts[k][1], labels[i], fold[i]) for k, i in enumerate(ids) if fold.get(i, 0)]
+    idf = np.log((len(ids) + 1) / (df + 1)) + 1
+
+    def area(even):
+        out = []
+        for f in (1, 2, 3, 4):
+            seen, judged = [m for m in mine if m[3] != f], [m for m in mine if m[3] == f]
+            y = np.array([m[2] for m in seen], float)
+            a, b = (sum(np.bincount(m[0], minlength=len(vocab)) for m in seen if m[2] == want) for want in (1, 0))
+            n1, n0 = y.sum(), len(y) - y.sum()
+            off = a * (n0 - b) - b * (n1 - a)
+            chi = (n1 + n0) * off * off / np.maximum((a + b) * (n1 + n0 - a - b) * n1 * n0, 1)
+            weight = idf * (even + (1 - even) * chi / (chi + t.CHI_SQUARED))
+            v = [(1 + np.log(m[1])) * weight[m[0]] for m in seen]
+            v = [x / max(np.sqrt((x * x).sum()), 1e-12) for x in v]
+            lists = t.Lists(np.concatenate([m[0] for m in seen]), np.repeat(np.arange(len(seen)), [len(m[0]) for m in seen]), np.concatenate(v), len(vocab), len(seen))
+            index = t.Index(np.arange(len(seen)), y, np.ones(len(seen)), weight, lists, None, y.mean())
+            s, truth = np.array([index.raw(m[0], m[1])[0] for m in judged]), np.array([m[2] for m in judged])
+            rank = np.argsort(np.argsort(s, kind="stable"), kind="stable")
+            k = truth.sum()
+            out.append((rank[truth == 1].sum() - k * (k - 1) / 2) / (k * (len(s) - k)))
+        return np.mean(out)
+
+    plain, weighted = area(1.0), area(t.EVEN)
+    assert weighted > 0.97 and weighted > plain + 0.03
+
+
 def test_far_examples_decide_little():
     x = index(1, 200, 40)
     x.toxic[:] = 1
