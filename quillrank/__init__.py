@@ -18,18 +18,23 @@ from quillrank.operators.tfidf import (
 )
 from quillrank.operators.graph import (
     adjacency,
+    adjacency_lists,
     dangling_nodes,
     distinct_arcs,
     initial_ranks,
     label_count,
     out_degree,
 )
+from quillrank.operators.keyed import WeightTable
 from quillrank.operators.pagerank import PageRank, pagerank, rank_labels
-from quillrank.operators.topk import bottom_k, top_k
+from quillrank.operators.topk import bottom_k, numbered, top_k
+from quillrank.sources.text import quarantine
 
 __all__ = [
     "PageRank",
+    "WeightTable",
     "adjacency",
+    "adjacency_lists",
     "bottom_k",
     "dangling_nodes",
     "distinct_arcs",
@@ -38,8 +43,10 @@ __all__ = [
     "idf",
     "initial_ranks",
     "label_count",
+    "numbered",
     "out_degree",
     "pagerank",
+    "quarantine",
     "rank_labels",
     "term_freq",
     "tfidf",

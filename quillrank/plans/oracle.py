@@ -273,8 +273,6 @@ cut AS (SELECT split_part(title, ',', 1) AS title, max(w) AS w FROM scored WHERE
         "string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst) AS dsts FROM arcs GROUP BY src, chunk",
     ),
     "adjacency_lists": list_rows(GRAPH_CTES),
-    "adjacency_lists_full": list_rows(graph_ctes(ARCS_FULL)),
-    "distinct_arcs_full": with_(graph_ctes(ARCS_FULL), "SELECT src, dst FROM arcs"),
     "out_degree": with_(GRAPH_CTES, "SELECT src, deg FROM deg"),
     "initial_ranks": with_(GRAPH_CTES, "SELECT src AS id, 1.0::DOUBLE AS rank FROM deg"),
     "dangling_nodes": with_(
@@ -297,9 +295,6 @@ cut AS (SELECT split_part(title, ',', 1) AS title, max(w) AS w FROM scored WHERE
     "pagerank_a": pagerank_sql("A"),
     "pagerank_b": pagerank_sql("B"),
     "pagerank_c": pagerank_sql("C"),
-    "pagerank_a_full": pagerank_sql("A", arcs=ARCS_FULL),
-    "pagerank_b_full": pagerank_sql("B", arcs=ARCS_FULL),
-    "pagerank_c_full": pagerank_sql("C", arcs=ARCS_FULL),
     "pagerank_a_topk": pagerank_topk_sql("A"),
     "pagerank_b_topk": pagerank_topk_sql("B"),
     "pagerank_c_topk": pagerank_topk_sql("C"),
@@ -312,3 +307,6 @@ cut AS (SELECT split_part(title, ',', 1) AS title, max(w) AS w FROM scored WHERE
         f"(SELECT r.id, l.name, round(r.rank, 3) AS rank FROM r{ITERATIONS} r JOIN labels l ON r.id = l.id)",
     ),
 }
+
+# Each query over arcs in its form over all lines.
+SQL |= {f"{name}_full": text.replace(ARCS_RAW, ARCS_FULL) for name, text in SQL.items() if ARCS_RAW in text}

@@ -2,7 +2,7 @@
 
 Each query reads the driver's tables (pages, documents, lineitem, part) and
 derives its inputs with Spark. The arcs are those of returned lines, which
-leaves dangling nodes; the ``_full`` queries take every line. Names and column aliases match the DuckDB
+leaves dangling nodes; every graph query has a ``_full`` form that takes all lines. Names and column aliases match the DuckDB
 statements in :mod:`quillrank.plans.oracle`.
 """
 
@@ -54,18 +54,18 @@ def part_labels(spark: SparkSession, d: str, delimiter: str = "tab") -> DataFram
     return src_tables.labels_from_part(src_tables.table(spark, d, "part"), delimiter)
 
 
-def graph_for(spark: SparkSession, d: str, variant: str) -> PageRank:
+def graph_for(spark: SparkSession, d: str, variant: str, returned_only: bool = True) -> PageRank:
     ensure_checkpoint_dir(spark)
     v = VARIANTS[variant]
     return PageRank(
-        lineitem_arcs(spark, d), part_labels(spark, d, v["delimiter"]),
+        lineitem_arcs(spark, d, returned_only=returned_only), part_labels(spark, d, v["delimiter"]),
         dangling=v["dangling"], normalizer=v["normalizer"],
     )
 
 
-def step(spark: SparkSession, d: str, variant: str, what: Callable[[PageRank], DataFrame]) -> DataFrame:
+def step(spark: SparkSession, d: str, variant: str, what: Callable[[PageRank], DataFrame], returned_only: bool = True) -> DataFrame:
     """One step over a prepared graph, written so that the link table can go."""
-    pr = graph_for(spark, d, variant)
+    pr = graph_for(spark, d, variant, returned_only)
     out, path = what(pr), scratch_path(spark, "step")
     out.write.parquet(path)
     pr.close()
@@ -102,14 +102,14 @@ def scan_articles(spark, d):
     return read_articles(spark, written(article_lines(arts), "articles"))
 
 
-def scan_arcs_tab(spark, d):
-    raw = lineitem_arcs(spark, d, distinct=False)
+def scan_arcs_tab(spark, d, returned_only=True):
+    raw = lineitem_arcs(spark, d, distinct=False, returned_only=returned_only)
     return read_arcs(spark, written(pair_lines(raw, "src", "dst"), "arcs"), "tab")
 
 
-def scan_arcs_ws(spark, d):
+def scan_arcs_ws(spark, d, returned_only=True):
     """Fields apart by 1 to 3 spaces and tabs; some lines begin with a space or end with a tab."""
-    raw = lineitem_arcs(spark, d, distinct=False)
+    raw = lineitem_arcs(spark, d, distinct=False, returned_only=returned_only)
     gap = F.substr(F.lit(SEPARATORS), (1 + F.col("src") % 3).cast("int"), (1 + F.col("dst") % 3).cast("int"))
     line = F.concat(F.repeat(F.lit(" "), (F.col("src") % 2).cast("int")), F.col("src").cast("string"), gap,
                     F.col("dst").cast("string"), F.repeat(F.lit("\t"), (F.col("dst") % 2).cast("int")))
@@ -229,31 +229,29 @@ def stream_tfidf_all(spark, d):
 
 
 # ------------------------------------------------------------------- graph
-def distinct_arcs(spark, d):
-    return graph.distinct_arcs(lineitem_arcs(spark, d))
+def distinct_arcs(spark, d, returned_only=True):
+    return graph.distinct_arcs(lineitem_arcs(spark, d, returned_only=returned_only))
 
 
-def adjacency(spark, d):
-    return graph.adjacency(lineitem_arcs(spark, d))
+def adjacency(spark, d, returned_only=True):
+    return graph.adjacency(lineitem_arcs(spark, d, returned_only=returned_only))
 
 
-def _adjacency_lists(returned_only):
-    def q(spark, d):
-        ensure_checkpoint_dir(spark)
-        return graph.adjacency_lists(lineitem_arcs(spark, d, returned_only=returned_only), LIST_LENGTH)
-    return q
+def adjacency_lists(spark, d, returned_only=True):
+    ensure_checkpoint_dir(spark)
+    return graph.adjacency_lists(lineitem_arcs(spark, d, returned_only=returned_only), LIST_LENGTH)
 
 
-def out_degree(spark, d):
-    return graph.out_degree(graph.distinct_arcs(lineitem_arcs(spark, d)))
+def out_degree(spark, d, returned_only=True):
+    return graph.out_degree(graph.distinct_arcs(lineitem_arcs(spark, d, returned_only=returned_only)))
 
 
-def initial_ranks(spark, d):
-    return graph.initial_ranks(graph.out_degree(graph.distinct_arcs(lineitem_arcs(spark, d))))
+def initial_ranks(spark, d, returned_only=True):
+    return graph.initial_ranks(graph.out_degree(graph.distinct_arcs(lineitem_arcs(spark, d, returned_only=returned_only))))
 
 
-def dangling_nodes(spark, d):
-    deg = graph.out_degree(graph.distinct_arcs(lineitem_arcs(spark, d)))
+def dangling_nodes(spark, d, returned_only=True):
+    deg = graph.out_degree(graph.distinct_arcs(lineitem_arcs(spark, d, returned_only=returned_only)))
     return graph.dangling_nodes(part_labels(spark, d), deg).select("id", "name")
 
 
@@ -262,44 +260,40 @@ def label_count(spark, d):
 
 
 # ---------------------------------------------------------------- PageRank
-def contributions(spark, d):
-    return step(spark, d, "C", lambda pr: pr.contributions(pr.initial()).select("dst", r9("contrib")))
+def contributions(spark, d, returned_only=True):
+    return step(spark, d, "C", lambda pr: pr.contributions(pr.initial()).select("dst", r9("contrib")), returned_only)
 
 
-def pagerank_step(spark, d):
-    return step(spark, d, "C", lambda pr: pr.intermediate(pr.initial()).select("id", r9("rank")))
+def pagerank_step(spark, d, returned_only=True):
+    return step(spark, d, "C", lambda pr: pr.intermediate(pr.initial()).select("id", r9("rank")), returned_only)
 
 
-def pagerank_step_dangling(spark, d):
-    return ranks_for(spark, d, "B", iterations=1).select("id", r9("rank"))
+def pagerank_step_dangling(spark, d, returned_only=True):
+    return ranks_for(spark, d, "B", iterations=1, returned_only=returned_only).select("id", r9("rank"))
 
 
-def distinct_contribs(spark, d):
+def distinct_contribs(spark, d, returned_only=True):
     return step(spark, d, "A", lambda pr: pr.contributions(pr.initial()).agg(
-        F.count_distinct("dst", significant(F.col("contrib"))).alias("n")))
+        F.count_distinct("dst", significant(F.col("contrib"))).alias("n")), returned_only)
 
 
-def dangling_mass(spark, d):
-    return step(spark, d, "B", lambda pr: pr.round_scalars(pr.intermediate(pr.initial())).select(r9("mass")))
+def dangling_mass(spark, d, returned_only=True):
+    return step(spark, d, "B", lambda pr: pr.round_scalars(pr.intermediate(pr.initial())).select(r9("mass")), returned_only)
 
 
-def rank_labels_q(spark, d):
-    return rank_labels(ranks_for(spark, d, "C"), part_labels(spark, d)).select("id", "name", r9("rank"))
+def rank_labels_q(spark, d, returned_only=True):
+    return rank_labels(ranks_for(spark, d, "C", returned_only=returned_only), part_labels(spark, d)).select("id", "name", r9("rank"))
 
 
-def _ranks(variant, returned_only=True):
-    def q(spark, d):
+def _ranks(variant):
+    def q(spark, d, returned_only=True):
         return ranks_for(spark, d, variant, returned_only=returned_only).select("id", r9("rank"))
     return q
 
 
-def distinct_arcs_full(spark, d):
-    return graph.distinct_arcs(lineitem_arcs(spark, d, returned_only=False))
-
-
 def _ranks_topk(variant, bottom=False):
-    def q(spark, d):
-        labelled = rank_labels(ranks_for(spark, d, variant), part_labels(spark, d, VARIANTS[variant]["delimiter"]))
+    def q(spark, d, returned_only=True):
+        labelled = rank_labels(ranks_for(spark, d, variant, returned_only=returned_only), part_labels(spark, d, VARIANTS[variant]["delimiter"]))
         pick = bottom_k if bottom else top_k
         return pick(labelled, "rank", "name", "id", k=K, digits=DIGITS).select("id", "name", r9("rank"))
     return q
@@ -322,10 +316,40 @@ def ranks_numbered(spark, d):
     return numbered(rows, "rank", "name", "id")
 
 
-QUERIES: dict[str, Query] = {
-    "scan_articles": scan_articles,
+def _full(query):
+    """A graph query over all lines instead of the returned ones."""
+    def q(spark, d):
+        return query(spark, d, returned_only=False)
+    return q
+
+
+#: Queries over arcs, each also registered in its ``_full`` form.
+GRAPH_QUERIES = {
     "scan_arcs_tab": scan_arcs_tab,
     "scan_arcs_ws": scan_arcs_ws,
+    "distinct_arcs": distinct_arcs,
+    "adjacency": adjacency,
+    "adjacency_lists": adjacency_lists,
+    "out_degree": out_degree,
+    "initial_ranks": initial_ranks,
+    "dangling_nodes": dangling_nodes,
+    "contributions": contributions,
+    "pagerank_step": pagerank_step,
+    "pagerank_step_dangling": pagerank_step_dangling,
+    "distinct_contribs": distinct_contribs,
+    "dangling_mass": dangling_mass,
+    "rank_labels": rank_labels_q,
+    "pagerank_a": _ranks("A"),
+    "pagerank_b": _ranks("B"),
+    "pagerank_c": _ranks("C"),
+    "pagerank_a_topk": _ranks_topk("A"),
+    "pagerank_b_topk": _ranks_topk("B"),
+    "pagerank_c_topk": _ranks_topk("C"),
+    "pagerank_bottomk": _ranks_topk("C", bottom=True),
+}
+
+QUERIES: dict[str, Query] = {
+    "scan_articles": scan_articles,
     "scan_labels_tab": _scan_labels("tab"),
     "scan_labels_ws": _scan_labels("ws"),
     "quarantine_articles": _quarantined("articles", "good"),
@@ -348,32 +372,10 @@ QUERIES: dict[str, Query] = {
     "docs_tfidf_topk": docs_tfidf_topk,
     "source_tfidf_all": source_tfidf_all,
     "stream_tfidf_all": stream_tfidf_all,
-    "distinct_arcs": distinct_arcs,
-    "distinct_arcs_full": distinct_arcs_full,
-    "adjacency": adjacency,
-    "adjacency_lists": _adjacency_lists(True),
-    "adjacency_lists_full": _adjacency_lists(False),
-    "out_degree": out_degree,
-    "initial_ranks": initial_ranks,
-    "dangling_nodes": dangling_nodes,
     "label_count": label_count,
-    "contributions": contributions,
-    "pagerank_step": pagerank_step,
-    "pagerank_step_dangling": pagerank_step_dangling,
-    "distinct_contribs": distinct_contribs,
-    "dangling_mass": dangling_mass,
-    "rank_labels": rank_labels_q,
-    "pagerank_a": _ranks("A"),
-    "pagerank_b": _ranks("B"),
-    "pagerank_c": _ranks("C"),
-    "pagerank_a_full": _ranks("A", returned_only=False),
-    "pagerank_b_full": _ranks("B", returned_only=False),
-    "pagerank_c_full": _ranks("C", returned_only=False),
-    "pagerank_a_topk": _ranks_topk("A"),
-    "pagerank_b_topk": _ranks_topk("B"),
-    "pagerank_c_topk": _ranks_topk("C"),
-    "pagerank_bottomk": _ranks_topk("C", bottom=True),
     "initial_topk_java": _initial_java(False),
     "initial_bottomk_java": _initial_java(True),
     "ranks_numbered": ranks_numbered,
+    **GRAPH_QUERIES,
+    **{f"{name}_full": _full(q) for name, q in GRAPH_QUERIES.items()},
 }
