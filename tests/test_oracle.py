@@ -9,7 +9,7 @@ import __spark_entry__ as entry_mod
 from quillrank.plans.registry import QUERIES
 from conftest import SF_SMALL
 
-TABLES = ["pages", "lineitem", "part", "documents"]
+TABLES = ["pages", "lineitem", "part", "documents", "benchmark"]
 CORE = sorted(QUERIES)
 
 
