@@ -133,7 +133,8 @@ def _count(vocabulary, sample):
 class Lists:
     """Posting lists of examples: per term its blocks and their largest weights, per block of a term its examples.
 
-    Lists that over one in ``LONG`` examples is in are kept as rows with a place for every example.
+    Lists that over one in ``LONG`` examples is in are used as rows with a place for every example. Only their
+    entries are sent with the index; each worker fills the rows itself.
     """
 
     def __init__(self, term: np.ndarray, example: np.ndarray, weight: np.ndarray, n_terms: int, n_examples: int):
@@ -141,8 +142,8 @@ class Lists:
         long = np.bincount(term, minlength=n_terms) > n_examples // LONG
         self.row = np.where(long, np.cumsum(long) - 1, -1).astype(np.int32)
         mine = long[term]
-        self.long = np.zeros((int(long.sum()), n_examples), np.float32)
-        self.long[self.row[term[mine]], example[mine]] = weight[mine]
+        self.entries = self.row[term[mine]], example[mine].astype(np.int32), weight[mine].astype(np.float32)
+        self.fill(int(long.sum()))
         term, example, weight = term[~mine], example[~mine], weight[~mine]
 
         order = np.lexsort((example, term))
@@ -154,6 +155,19 @@ class Lists:
         self.most = np.maximum.reduceat(self.weight, begin) if len(begin) else self.weight
         self.term = np.searchsorted(term[begin], np.arange(n_terms + 1))
 
+    def fill(self, rows: int) -> None:
+        self.long = np.zeros((rows, self.n), np.float32)
+        row, example, weight = self.entries
+        self.long[row, example] = weight
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "long"} | {"rows": len(self.long)}
+
+    def __setstate__(self, state: dict) -> None:
+        rows = state.pop("rows")
+        self.__dict__.update(state)
+        self.fill(rows)
+
     def nearest(self, at: np.ndarray, v: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of the highest cosines above 0, ties by place, and these.
 

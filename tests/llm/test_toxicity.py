@@ -49,6 +49,15 @@ def test_ties_at_the_last_place_go_to_the_first_examples(seed):
     assert (np.round(want, 9) == np.round(want[best[-1]], 9)).sum() > 10
 
 
+def test_an_index_that_was_sent_is_the_same():
+    import pickle
+
+    x = index(3, 500, 60)
+    again = pickle.loads(pickle.dumps(x.lists))
+    assert (again.long == x.lists.long).all() and len(again.long) and again.__dict__.keys() == x.lists.__dict__.keys()
+    assert len(pickle.dumps(x.lists)) < 24 * len(x.lists.entries[0]) + 24 * len(x.lists.example) + 20_000
+
+
 def test_blocks_that_cannot_reach_the_nearest_are_not_read(monkeypatch):
     """Short lists of far blocks stay unread, and the result is that of all cosines."""
     rng = np.random.default_rng(7)
