@@ -111,7 +111,7 @@ def test_odd_documents_go_through(spark, tmp_path):
 def test_registered():
     qs = entry_mod.queries()
     assert set(QUERIES) <= set(qs) and qs["pipeline"].__wrapped__ is corpus_pipeline.run
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(SQL) <= set(QUERIES) and "pipeline" not in entry_mod.oracle_sql()
 
 
