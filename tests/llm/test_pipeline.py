@@ -118,7 +118,7 @@ def test_registered():
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_queries_match_duckdb(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     res = con.execute(SQL[name])
     cols = [c[0] for c in res.description]
