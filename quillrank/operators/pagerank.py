@@ -18,17 +18,22 @@ Plan, per round (checked in ``tests/test_plans.py``):
   once, in one job, and written bucketed on (src, salt) under the shared
   checkpoint folder.
 * The **rank vector has the same buckets**. A round sums contributions by
-  (dst, dst_salt), where dst_salt is 0, and that one exchange already deals
-  its result the way the next round's join needs it: it is written bucketed
-  on (id, salt), and links and ranks are joined in place. Nothing but the
-  partial sums moves. Each round replaces the one before.
+  (dst, dst_salt), and that one exchange already deals its result the way the
+  next round's join needs it: it is written bucketed on (id, salt), and links
+  and ranks are joined in place. Nothing but the partial sums moves. Each round
+  replaces the one before.
+* Variant A's distinct pairs need a target's contributions in one place: they
+  move by target, once and uncombined, and only the sums of the targets move
+  again. A target of more than ``hub_degree`` in-links is split by the
+  contribution's hash, which keeps equal contributions together.
 * A hub (out-degree above ``hub_degree``) has its out-links spread over
   several salt buckets. The ranks have salt 0 only, so links of other salts
   are joined apart, with the hubs' ranks replicated once per salt; only these
   few rows move in addition, and only where the graph has hubs.
-* The dangling multiplicity and salt count of each target ride along on its
-  link rows, so the dangling-mass join runs once, outside the loop, and the
-  next round's rank rows already know their salt count.
+* A target's dst_salt is 0, or less by its dangling multiplicity where it has
+  one: it is no source then, so its rank row meets no link, and the mass needs
+  neither a join nor a column that moves in every round. The targets' salt
+  counts move along only in a graph with hubs.
 * Contributions are summed with a two-phase aggregate (hot targets combine
   map-side). Round outputs are written to the checkpoint folder, which cuts
   the lineage and survives lost executors: every round for A and B, whose
@@ -37,8 +42,8 @@ Plan, per round (checked in ``tests/test_plans.py``):
   written, the link table in :meth:`PageRank.close`.
 * The join is sorted, so it can spill; where a bucket's share of the ranks is
   below ``spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold`` (the
-  setting that lets adaptive execution do the same for shuffled joins), it is
-  hashed, which spares sorting the links in every round.
+  setting that lets adaptive execution do the same for shuffled joins; 64 MB
+  where it is not set), it is hashed, which spares sorting the links in every round.
 * With ``state`` a run is **resumable**: the link table, the last round and a
   manifest stay in that folder, and the same call goes on from there.
 """
@@ -71,12 +76,17 @@ CONTRIB_DIGITS = 12
 # Bytes that a rank row takes in a hash table, about.
 RANK_BYTES = 128
 HASH_CONF = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+HASH_LIMIT = "64m"
+#: How links and ranks are written; a state of another layout is not gone on with.
+LAYOUT = 2
 
 
 def significant(c: Column, digits: int = CONTRIB_DIGITS) -> Column:
     """A positive number at so many significant digits (others as they are)."""
     scale = F.pow(F.lit(10.0), F.floor(F.log10(F.when(c > 0, c))))
-    return F.coalesce(F.round(c / scale, digits - 1) * scale, c)
+    # as a whole number, which spares the decimal arithmetic of round()
+    whole = 10.0 ** (digits - 1)
+    return F.coalesce(F.rint(c / scale * whole) / whole * scale, c)
 
 
 class PageRank:
@@ -105,14 +115,16 @@ class PageRank:
         self._links: DataFrame | None = None
         self._links_path: str | None = None
         self._hubs = True  # as long as the built links have not been seen to have none
+        self._pairs = dangling and normalizer == DISTINCT_CONTRIBS  # whether distinct pairs are counted
         self._nodes: int | None = None
         self._label_rows: int | None = None
 
     # ------------------------------------------------------------------ build
     def links(self) -> DataFrame:
         """The loop-invariant link table (built and written on first use):
-        (src, salt, dst, dst_salt, deg, nsalt, dst_nsalt), and dst_dmult for the
-        dangling variants. dst_salt is 0: the salt of the target's rank row."""
+        (src, salt, dst, dst_salt, deg, nsalt, dst_nsalt), and dst_parts where distinct
+        pairs are counted. dst_salt is the salt of the target's rank row: 0, or less by
+        the target's dangling multiplicity."""
         if self._links is None:
             self._links = self._build(scratch_path(self.spark, "links"))
         return self._links
@@ -133,33 +145,45 @@ class PageRank:
             )
         return nodes
 
+    def hot_targets(self) -> DataFrame:
+        """(dst, dst_parts) of targets with more than ``hub_degree`` in-links."""
+        indeg = distinct_arcs(self.arcs).groupBy("dst").agg(F.count(F.lit(1)).alias("indeg"))
+        return indeg.where(F.col("indeg") > self.hub_degree).select("dst", salt_count(F.col("indeg"), self.hub_degree).alias("dst_parts"))
+
     def unwritten_links(self) -> DataFrame:
-        """The link rows before they are written."""
+        """The link rows before they are written, dealt as they are written."""
         # One job: every branch reads the degree, so the distinct-arc and degree
         # shuffles are shared (ReusedExchange) and the arcs are read once.
+        # Hubs are arcs / hub_degree at most, and so are hot targets: they are broadcast.
         nodes = self.nodes()
-        src_attr = nodes.where(F.col("deg").isNotNull()).select(F.col("id").alias("src"), "deg", "nsalt")
-        dst_attr = nodes.select(
-            F.col("id").alias("dst"), F.col("nsalt").alias("dst_nsalt"), F.col("dmult").alias("dst_dmult")
-        )
-        return (
-            distinct_arcs(self.arcs).join(src_attr, "src")
-            .withColumn("salt", salt_of(F.col("dst"), F.col("nsalt")))
-            .join(dst_attr, "dst", "left")
-            .select(
-                "src", "salt", "dst", F.lit(0).alias("dst_salt"), "deg", "nsalt",
-                F.coalesce("dst_nsalt", F.lit(1)).alias("dst_nsalt"),
-                *([F.coalesce("dst_dmult", F.lit(0).cast("long")).alias("dst_dmult")] if self.dangling else []),
-            )
-        )
+        sources = nodes.where("deg > 0").select(F.col("id").alias("src"), "deg", "nsalt")
+        hubs = sources.where(F.col("deg") > self.hub_degree)
+        links = distinct_arcs(self.arcs)
+        if self.dangling:
+            marked = nodes.where("dmult > 0").select(F.col("id").alias("dst"), "dmult")
+            links = links.join(marked, "dst", "left")
+        else:
+            links = links.withColumn("dmult", F.lit(0).cast("long"))
+        links = links.join(F.broadcast(hubs.select("src", F.col("nsalt").alias("hub"))), "src", "left")
+        links = links.join(F.broadcast(hubs.select(F.col("src").alias("dst"), F.col("nsalt").alias("dst_hub"))), "dst", "left")
+        if self._pairs:
+            links = links.join(F.broadcast(self.hot_targets()), "dst", "left")
+        links = links.select(
+            "src", salt_of(F.col("dst"), F.coalesce("hub", F.lit(1))).cast("long").alias("salt"), "dst",
+            F.negative(F.coalesce("dmult", F.lit(0).cast("long"))).alias("dst_salt"), F.coalesce("dst_hub", F.lit(1)).alias("dst_nsalt"),
+            *([F.coalesce("dst_parts", F.lit(1)).alias("dst_parts")] if self._pairs else []),
+        ).repartition(self.partitions, "src", "salt")
+        attr = sources.select("src", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nsalt") - 1)).alias("salt"), "deg", "nsalt")
+        return links.join(attr, ["src", "salt"]).select(
+            "src", "salt", "dst", "dst_salt", "deg", "nsalt", "dst_nsalt", *(["dst_parts"] if self._pairs else []))
 
     def _build(self, path: str) -> DataFrame:
         self._links_path = path
         obs = Observation()
         links = self.unwritten_links().observe(
             obs, F.coalesce(F.max("nsalt"), F.lit(1)).alias("salts"), F.approx_count_distinct("src").alias("nodes"))
-        # One writer task per bucket: one file per bucket, however many tasks.
-        out = write_bucketed(links.repartition(self.partitions, "src", "salt"), path, self.partitions, "src", "salt")
+        # The links are dealt: one writer task per bucket, one file per bucket.
+        out = write_bucketed(links, path, self.partitions, "src", "salt")
         self._hubs, self._nodes = obs.get["salts"] > 1, obs.get["nodes"]
         return out
 
@@ -169,13 +193,13 @@ class PageRank:
         # without them (src, salt) is the source, and its buckets are read in place
         per_src = links.groupBy("src", *([] if self._hubs else ["salt"])).agg(F.max("nsalt").alias("nsalt"))
         dmult = [F.lit(0).cast("long").alias("dmult")] if self.dangling else []
-        salt = F.lit(0).alias("salt") if self._hubs else F.col("salt")
+        salt = F.lit(0).cast("long").alias("salt") if self._hubs else F.col("salt")
         return per_src.select(F.col("src").alias("id"), salt, F.lit(1.0).alias("rank"), "nsalt", *dmult)
 
     # ------------------------------------------------------------------ round
     def _hashed(self, rows: DataFrame) -> DataFrame:
         """``rows`` marked to be hashed in a join where a bucket of them is small."""
-        limit = self.spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(self.spark.conf.get(HASH_CONF, "0"))
+        limit = self.spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(self.spark.conf.get(HASH_CONF, HASH_LIMIT))
         small = self._nodes is not None and self._nodes * RANK_BYTES < limit * self.partitions
         return rows.hint("shuffle_hash") if small else rows
 
@@ -187,7 +211,7 @@ class PageRank:
         if not self._hubs:
             return links.join(self._hashed(rows.select("src", "salt", "rank")), ["src", "salt"])
         home = links.where("salt = 0").join(self._hashed(rows.select("src", "salt", "rank")), ["src", "salt"])
-        spread = rows.where("src_nsalt > 1").select("src", F.explode(F.sequence(F.lit(1), F.col("src_nsalt") - 1)).alias("salt"), "rank")
+        spread = rows.where("src_nsalt > 1").select("src", F.explode(F.sequence(F.lit(1).cast("long"), F.col("src_nsalt") - 1)).alias("salt"), "rank")
         return home.unionByName(links.where("salt > 0").join(spread, ["src", "salt"]))
 
     def contributions(self, ranks: DataFrame) -> DataFrame:
@@ -197,18 +221,28 @@ class PageRank:
     def intermediate(self, ranks: DataFrame) -> DataFrame:
         """(id, salt, rank, nsalt, dmult[, ndist]): damped sums of one round.
 
-        Written as one aggregate over the join (few DataFrame calls, so the
-        driver spends little time analysing each round's plan)."""
+        Few DataFrame calls, so the driver spends little time analysing each
+        round's plan. Rows that move have what their sums need, and no more."""
         contrib = F.col("rank") / F.col("deg")
-        aggs = [
-            (F.lit(self.base) + F.lit(self.damping) * F.sum(contrib)).alias("rank"),
-            F.max("dst_nsalt").alias("nsalt"),
-        ]
-        if self.dangling:
-            aggs.append(F.max("dst_dmult").alias("dmult"))
-        if self.dangling and self.normalizer == DISTINCT_CONTRIBS:
-            aggs.append(F.count_distinct(significant(contrib)).alias("ndist"))
-        return self._joined(ranks).groupBy(F.col("dst").alias("id"), F.col("dst_salt").alias("salt")).agg(*aggs)
+        parts = F.col("dst_parts") if "dst_parts" in self.links().columns else F.lit(1)
+        rows = self._joined(ranks).select(
+            F.col("dst").alias("id"), F.col("dst_salt").alias("salt"), contrib.alias("contrib"),
+            *([F.col("dst_nsalt").alias("nsalt")] if self._hubs else []), *([parts.alias("dst_parts")] if self._pairs else []))
+        total = F.sum("contrib")
+        nsalt = [F.max("nsalt").alias("nsalt")] if self._hubs else []
+        ndist = []
+        if self._pairs:
+            # equal contributions of a split target have one part
+            digits = significant(F.col("contrib"))
+            part = F.when(F.col("dst_parts") > 1, F.pmod(F.xxhash64(digits), F.col("dst_parts"))).otherwise(F.lit(0).cast("long"))
+            rows = rows.withColumn("part", part).drop("dst_parts").repartition("id", "salt", "part")
+            rows = rows.groupBy("id", "salt", "part", digits.alias("digits")).agg(total.alias("contrib"), *nsalt)
+            ndist = [F.count("digits").alias("ndist")]
+        sums = rows.groupBy("id", "salt").agg((F.lit(self.base) + F.lit(self.damping) * total).alias("rank"), *nsalt, *ndist)
+        return sums.select(
+            "id", "salt", "rank", "nsalt" if self._hubs else F.lit(1).alias("nsalt"),
+            *([F.greatest(F.negative("salt"), F.lit(0).cast("long")).alias("dmult")] if self.dangling else []),
+            *(["ndist"] if ndist else []))
 
     def label_rows(self) -> int:
         if self._label_rows is None:
@@ -243,7 +277,7 @@ class PageRank:
     def _described(self) -> dict:
         """What a manifest must agree with: the input and everything that the ranks depend on."""
         labels = fingerprint(self.labels) if self.dangling else None
-        return {"arcs": fingerprint(self.arcs), "labels": labels, "dangling": self.dangling, "normalizer": self.normalizer if self.dangling else None,
+        return {"layout": LAYOUT, "arcs": fingerprint(self.arcs), "labels": labels, "dangling": self.dangling, "normalizer": self.normalizer if self.dangling else None,
                 "base": self.base, "damping": self.damping, "hub_degree": self.hub_degree, "partitions": self.partitions, "id": self.id_type}
 
     def _resume(self, manifest: Manifest, said: dict) -> DataFrame:

@@ -55,8 +55,16 @@ def arcs_from_lineitem(lineitem: DataFrame, distinct: bool = True, returned_only
     multiplies duplicates: with ``distinct=True`` (the arc relation as
     defined) each side is deduplicated first, with a map-side partial
     aggregate, and the result is the distinct arc set. ``distinct=False``
-    gives the raw bag, like an arc file with repeated lines.
+    gives the raw bag, like an arc file with repeated lines. Of all lines, both
+    sides are the same rows: they are read and deduplicated once.
     """
+    if distinct and not returned_only:
+        # Said here, the null filters are the same on both sides, which then share their shuffle.
+        lines = lineitem.select(F.col("l_orderkey").alias("ok"), F.col("l_linenumber").alias("ln"), F.col("l_partkey").alias("part"))
+        lines = lines.where("ok IS NOT NULL AND ln IS NOT NULL AND part IS NOT NULL").distinct()
+        a, b = lines.alias("a"), lines.alias("b")
+        arcs = a.join(b, F.expr("a.ok = b.ok AND a.ln + 1 = b.ln AND a.part <> b.part"))
+        return arcs.select(F.col("a.part").alias("src"), F.col("b.part").alias("dst")).distinct()
     first, second = lineitem, lineitem
     if returned_only:
         first = lineitem.where((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"))

@@ -401,3 +401,27 @@ def test_adjacency_lists_whatever_the_ranges(spark, lines):
             assert got == {("1", 0, "2,3"), ("2", 0, "3"), ("3", 0, "1,4"), ("3", 1, "6"), ("5", 0, "1")}
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
+def test_split_targets_count_equal_contributions_once(spark):
+    """Ten sources of each degree from 1 to 5 share a target: 5 distinct contributions, also
+    where the target is split into parts; the mass counts a label id as often as it has labels."""
+    arcs = [(s, 1000) for s in range(50)] + [(s, 2000 + 10 * s + k) for s in range(50) for k in range(s % 5)]
+    arcs = spark.createDataFrame(arcs, "src long, dst long")
+    labels = spark.createDataFrame([(1000, "a"), (1000, "a"), (1000, "b"), (2001, "c"), (0, "d"), (9999, "e")], "id long, name string")
+    got = []
+    for degree in (10**6, 3):
+        pr = PageRank(arcs, labels, dangling=True, normalizer="distinct_contribs", hub_degree=degree, partitions=4)
+        rows = {r["id"]: r for r in pr.intermediate(pr.initial()).collect()}
+        pr.close()
+        assert rows[1000]["ndist"] == 5 and rows[1000]["dmult"] == 3 and rows[2001]["dmult"] == 1
+        assert sum(r["dmult"] for r in rows.values()) == 4
+        got.append({i: (round(r["rank"], 12), r["ndist"]) for i, r in rows.items()})
+    assert got[0] == got[1]
+
+
+def test_arcs_of_all_lines_with_nulls_and_repeated_lines(spark):
+    lines = [(1, 1, 10), (1, 1, 10), (1, 2, 20), (1, 2, 20), (1, 2, None), (1, 3, 20), (1, 4, 10), (2, None, 10), (2, 2, 30), (None, 1, 10), (None, 2, 20), (3, 1, 10), (3, 1, 11), (3, 2, 12)]
+    df = spark.createDataFrame([(*x, "N", "O") for x in lines], "l_orderkey long, l_linenumber int, l_partkey long, l_returnflag string, l_linestatus string")
+    got = sorted((r["src"], r["dst"]) for r in arcs_from_lineitem(df, returned_only=False).collect())
+    assert got == [(10, 12), (10, 20), (11, 12), (20, 10)]

@@ -150,3 +150,41 @@ def test_corpus_is_tokenized_once(spark):
     assert executed(df, "Generate") == 1
     assert executed(df, "ColumnarToRow") == 1
     assert "ReusedExchange" in plan_text(df, "simple")
+
+
+def test_rounds_are_hashed_without_a_setting_and_move_sums_alone(spark):
+    """Where no threshold is set a small bucket of ranks is hashed all the same, and beside
+    the sums no attribute of the targets moves in a graph without hubs."""
+    key, low = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    old = spark.conf.get(key)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.unset(key)
+    try:
+        for variant in "ABC":
+            pr = graph_for(spark, SF_SMALL, variant)
+            df = pr.intermediate(pr.initial())
+            df.collect()
+            final = final_plan(df)
+            assert "ShuffledHashJoin" in final and "SortMergeJoin" not in final
+            assert "max(" not in final.replace("initial", "").split("HashAggregate(keys=[id")[1]
+            pr.close()
+    finally:
+        spark.conf.set(key, old)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", low)
+
+
+def test_distinct_pairs_move_links_once(spark):
+    """Variant A deals the contributions by target; what moves again is one row per target."""
+    pr = graph_for(spark, SF_SMALL, "A", returned_only=False)
+    try:
+        df = pr.intermediate(pr.initial())
+        df.collect()
+        assert "REPARTITION_BY_COL" in final_plan(df).split("digits")[-1]
+    finally:
+        pr.close()
+
+
+def test_all_lines_are_deduplicated_once(spark):
+    df = QUERIES["distinct_arcs_full"](spark, SF_SMALL)
+    df.collect()
+    assert executed(df, "ColumnarToRow") == 1 and "ReusedExchange" in plan_text(df, "simple")
