@@ -22,10 +22,18 @@ Plan, per round (checked in ``tests/test_plans.py``):
   next round's join needs it: it is written bucketed on (id, salt), and links
   and ranks are joined in place. Nothing but the partial sums moves. Each round
   replaces the one before.
+* The first round counts in-links. Where no target has over ``hub_degree`` of
+  them, the other rounds move each contribution to its target as it is, in one
+  exchange in all variants, and take all sums there: on their way few would
+  share a target, and combining them costs more than it spares.
 * Variant A's distinct pairs need a target's contributions in one place: they
-  move by target, once and uncombined, and only the sums of the targets move
-  again. A target of more than ``hub_degree`` in-links is split by the
-  contribution's hash, which keeps equal contributions together.
+  move by target, once and uncombined. With hot targets (in the first round,
+  when they aren't known, too) a target of more than ``hub_degree`` in-links is
+  split by the contribution's hash, which keeps equal contributions together,
+  and only the sums of the targets move again.
+* There are as many buckets as the links need (``bucket_count``), ``partitions``
+  at most: a round writes a block per pair of buckets, which for buckets of
+  few links is most of its time.
 * A hub (out-degree above ``hub_degree``) has its out-links spread over
   several salt buckets. The ranks have salt 0 only, so links of other salts
   are joined apart, with the hubs' ranks replicated once per salt; only these
@@ -34,8 +42,8 @@ Plan, per round (checked in ``tests/test_plans.py``):
   one: it is no source then, so its rank row meets no link, and the mass needs
   neither a join nor a column that moves in every round. The targets' salt
   counts move along only in a graph with hubs.
-* Contributions are summed with a two-phase aggregate (hot targets combine
-  map-side). Round outputs are written to the checkpoint folder, which cuts
+* Contributions to hot targets are summed with a two-phase aggregate (they
+  combine map-side). Round outputs are written to the checkpoint folder, which cuts
   the lineage and survives lost executors: every round for A and B, whose
   scalars (mass, normalizer) are observed while that output is written, and
   every fifth round for C. A round's folder is deleted once the next one is
@@ -79,6 +87,9 @@ HASH_CONF = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
 HASH_LIMIT = "64m"
 #: How links and ranks are written; a state of another layout is not gone on with.
 LAYOUT = 2
+# Links of a bucket, about, and the least buckets: a round's files and blocks grow with the square of the
+# buckets, so a small graph has fewer than ``partitions``.
+BUCKET_LINKS, LEAST_BUCKETS = 500_000, 32
 
 
 def significant(c: Column, digits: int = CONTRIB_DIGITS) -> Column:
@@ -89,6 +100,14 @@ def significant(c: Column, digits: int = CONTRIB_DIGITS) -> Column:
     return F.coalesce(F.rint(c / scale * whole) / whole * scale, c)
 
 
+def bucket_count(links: int, partitions: int) -> int:
+    """The least divisor of ``partitions`` that gives buckets of ``BUCKET_LINKS`` links at most, or all of them.
+
+    A divisor, so that what is dealt to ``partitions`` tasks has one bucket a task, too."""
+    least = max(LEAST_BUCKETS, -(-links // BUCKET_LINKS))
+    return next((n for n in range(least, partitions) if partitions % n == 0), partitions)
+
+
 class PageRank:
     """A prepared graph that runs rounds of one PageRank variant."""
 
@@ -112,12 +131,16 @@ class PageRank:
         self.damping = float(damping)
         self.hub_degree = int(hub_degree)
         self.partitions = int(partitions or self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = self.partitions  # of links and ranks; fewer once the links are counted and are few
+        self._distinct: DataFrame | None = None  # the distinct arcs, where they are written
         self._links: DataFrame | None = None
         self._links_path: str | None = None
         self._hubs = True  # as long as the built links have not been seen to have none
         self._pairs = dangling and normalizer == DISTINCT_CONTRIBS  # whether distinct pairs are counted
         self._nodes: int | None = None
         self._label_rows: int | None = None
+        self._spread = True  # as long as a round has not shown that no target has over hub_degree in-links
+        self._seek = False  # whether a round counts in-links to find that out
 
     # ------------------------------------------------------------------ build
     def links(self) -> DataFrame:
@@ -129,10 +152,13 @@ class PageRank:
             self._links = self._build(scratch_path(self.spark, "links"))
         return self._links
 
+    def distinct_arcs(self) -> DataFrame:
+        return distinct_arcs(self.arcs) if self._distinct is None else self._distinct
+
     def nodes(self) -> DataFrame:
         """(id, deg, nsalt, dmult) for every source (dmult 0) and every
         dangling label id (deg null)."""
-        deg = out_degree(distinct_arcs(self.arcs))
+        deg = out_degree(self.distinct_arcs())
         deg = deg.withColumn("nsalt", salt_count(F.col("deg"), self.hub_degree, self.partitions))
         nodes = deg.select(F.col("src").alias("id"), "deg", "nsalt", F.lit(0).cast("long").alias("dmult"))
         if self.dangling:
@@ -147,7 +173,7 @@ class PageRank:
 
     def hot_targets(self) -> DataFrame:
         """(dst, dst_parts) of targets with more than ``hub_degree`` in-links."""
-        indeg = distinct_arcs(self.arcs).groupBy("dst").agg(F.count(F.lit(1)).alias("indeg"))
+        indeg = self.distinct_arcs().groupBy("dst").agg(F.count(F.lit(1)).alias("indeg"))
         return indeg.where(F.col("indeg") > self.hub_degree).select("dst", salt_count(F.col("indeg"), self.hub_degree).alias("dst_parts"))
 
     def unwritten_links(self) -> DataFrame:
@@ -158,7 +184,7 @@ class PageRank:
         nodes = self.nodes()
         sources = nodes.where("deg > 0").select(F.col("id").alias("src"), "deg", "nsalt")
         hubs = sources.where(F.col("deg") > self.hub_degree)
-        links = distinct_arcs(self.arcs)
+        links = self.distinct_arcs()
         if self.dangling:
             marked = nodes.where("dmult > 0").select(F.col("id").alias("dst"), "dmult")
             links = links.join(marked, "dst", "left")
@@ -172,18 +198,28 @@ class PageRank:
             "src", salt_of(F.col("dst"), F.coalesce("hub", F.lit(1))).cast("long").alias("salt"), "dst",
             F.negative(F.coalesce("dmult", F.lit(0).cast("long"))).alias("dst_salt"), F.coalesce("dst_hub", F.lit(1)).alias("dst_nsalt"),
             *([F.coalesce("dst_parts", F.lit(1)).alias("dst_parts")] if self._pairs else []),
-        ).repartition(self.partitions, "src", "salt")
-        attr = sources.select("src", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nsalt") - 1)).alias("salt"), "deg", "nsalt")
+        ).repartition(self.buckets, "src", "salt")
+        attr = sources.select("src", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nsalt") - 1)).alias("salt"), "deg", "nsalt").repartition(self.buckets, "src", "salt")
         return links.join(attr, ["src", "salt"]).select(
             "src", "salt", "dst", "dst_salt", "deg", "nsalt", "dst_nsalt", *(["dst_parts"] if self._pairs else []))
 
     def _build(self, path: str) -> DataFrame:
         self._links_path = path
-        obs = Observation()
-        links = self.unwritten_links().observe(
-            obs, F.coalesce(F.max("nsalt"), F.lit(1)).alias("salts"), F.approx_count_distinct("src").alias("nodes"))
-        # The links are dealt: one writer task per bucket, one file per bucket.
-        out = write_bucketed(links, path, self.partitions, "src", "salt")
+        # The distinct arcs are written first: every branch of the links then reads them as
+        # they are, and their number says how many buckets there are.
+        arcs, count, obs = scratch_path(self.spark, "arcs"), Observation(), Observation()
+        rows = distinct_arcs(self.arcs)
+        try:
+            rows.observe(count, F.count(F.lit(1)).alias("n")).write.parquet(arcs)
+            self._distinct = self.spark.read.schema(rows.schema).parquet(arcs)
+            self.buckets = bucket_count(count.get["n"], self.partitions)
+            links = self.unwritten_links().observe(
+                obs, F.coalesce(F.max("nsalt"), F.lit(1)).alias("salts"), F.approx_count_distinct("src").alias("nodes"))
+            # The links are dealt: one writer task per bucket, one file per bucket.
+            out = write_bucketed(links, path, self.buckets, "src", "salt")
+        finally:
+            self._distinct = None
+            delete_path(self.spark, arcs)
         self._hubs, self._nodes = obs.get["salts"] > 1, obs.get["nodes"]
         return out
 
@@ -200,7 +236,7 @@ class PageRank:
     def _hashed(self, rows: DataFrame) -> DataFrame:
         """``rows`` marked to be hashed in a join where a bucket of them is small."""
         limit = self.spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(self.spark.conf.get(HASH_CONF, HASH_LIMIT))
-        small = self._nodes is not None and self._nodes * RANK_BYTES < limit * self.partitions
+        small = self._nodes is not None and self._nodes * RANK_BYTES < limit * self.buckets
         return rows.hint("shuffle_hash") if small else rows
 
     def _joined(self, ranks: DataFrame) -> DataFrame:
@@ -219,30 +255,36 @@ class PageRank:
         return self._joined(ranks).select("dst", (F.col("rank") / F.col("deg")).alias("contrib"))
 
     def intermediate(self, ranks: DataFrame) -> DataFrame:
-        """(id, salt, rank, nsalt, dmult[, ndist]): damped sums of one round.
+        """(id, salt, rank, nsalt, dmult[, ndist][, indeg]): damped sums of one round.
 
         Few DataFrame calls, so the driver spends little time analysing each
-        round's plan. Rows that move have what their sums need, and no more."""
+        round's plan. Rows that move have what their sums need, and no more.
+        Where no target has over ``hub_degree`` in-links, each contribution moves
+        to its target as it is, and all its sums are taken there."""
         contrib = F.col("rank") / F.col("deg")
+        split = self._pairs and self._spread
         parts = F.col("dst_parts") if "dst_parts" in self.links().columns else F.lit(1)
         rows = self._joined(ranks).select(
             F.col("dst").alias("id"), F.col("dst_salt").alias("salt"), contrib.alias("contrib"),
-            *([F.col("dst_nsalt").alias("nsalt")] if self._hubs else []), *([parts.alias("dst_parts")] if self._pairs else []))
+            *([F.col("dst_nsalt").alias("nsalt")] if self._hubs else []), *([parts.alias("dst_parts")] if split else []))
         total = F.sum("contrib")
         nsalt = [F.max("nsalt").alias("nsalt")] if self._hubs else []
-        ndist = []
-        if self._pairs:
+        ndist, indeg = [], [F.count(F.lit(1)).alias("indeg")] if self._seek else []
+        digits = significant(F.col("contrib"))
+        if not self._spread:
+            rows = rows.repartition(self.buckets, "id", "salt")
+        if split:
             # equal contributions of a split target have one part
-            digits = significant(F.col("contrib"))
             part = F.when(F.col("dst_parts") > 1, F.pmod(F.xxhash64(digits), F.col("dst_parts"))).otherwise(F.lit(0).cast("long"))
             rows = rows.withColumn("part", part).drop("dst_parts").repartition("id", "salt", "part")
-            rows = rows.groupBy("id", "salt", "part", digits.alias("digits")).agg(total.alias("contrib"), *nsalt)
-            ndist = [F.count("digits").alias("ndist")]
-        sums = rows.groupBy("id", "salt").agg((F.lit(self.base) + F.lit(self.damping) * total).alias("rank"), *nsalt, *ndist)
+        if self._pairs:
+            rows = rows.groupBy("id", "salt", *(["part"] if split else []), digits.alias("digits")).agg(total.alias("contrib"), *nsalt, *indeg)
+            ndist, indeg = [F.count("digits").alias("ndist")], [F.sum("indeg").alias("indeg")] if self._seek else []
+        sums = rows.groupBy("id", "salt").agg((F.lit(self.base) + F.lit(self.damping) * total).alias("rank"), *nsalt, *ndist, *indeg)
         return sums.select(
             "id", "salt", "rank", "nsalt" if self._hubs else F.lit(1).alias("nsalt"),
             *([F.greatest(F.negative("salt"), F.lit(0).cast("long")).alias("dmult")] if self.dangling else []),
-            *(["ndist"] if ndist else []))
+            *(["ndist"] if ndist else []), *(["indeg"] if indeg else []))
 
     def label_rows(self) -> int:
         if self._label_rows is None:
@@ -284,9 +326,11 @@ class PageRank:
         """The ranks of the last finished round; the link table is opened, not built."""
         kind = {k: T.StructType.fromJson(said[k + "_schema"]) for k in ("links", "ranks")}
         self._links_path = None  # the state's own, so close() leaves it
-        self._links = open_bucketed(self.spark, said["links"], kind["links"], self.partitions, "src", "salt")
+        self.buckets = said.get("buckets", self.partitions)
+        self._links = open_bucketed(self.spark, said["links"], kind["links"], self.buckets, "src", "salt")
         self._hubs, self._nodes, self._label_rows = said["hubs"], said["nodes"], said["label_rows"]
-        return open_bucketed(self.spark, said["ranks"], kind["ranks"], self.partitions, "id", "salt")
+        self._spread = said.get("spread", True)
+        return open_bucketed(self.spark, said["ranks"], kind["ranks"], self.buckets, "id", "salt")
 
     def run(self, iterations: int = 10, write_every: int | None = None, state: str | None = None) -> DataFrame:
         """(id, rank) after ``iterations`` rounds.
@@ -295,8 +339,10 @@ class PageRank:
         lineage. The dangling variants write every round: the mass and
         normaliser are observed while the round is written, so no second
         pass is needed. Variant C needs no scalar, so by default it chains
-        five rounds per job (a lost executor recomputes at most those). Only
-        the folder that the result reads is left.
+        five rounds per job (a lost executor recomputes at most those). The first
+        round is written in any case: it counts each target's in-links, which says
+        how the others move; with hot targets every round is. Only the folder that
+        the result reads is left.
 
         ``state`` names a folder (one run's own, on a file system that every
         executor reaches) in which the run keeps its link table, its last
@@ -339,8 +385,9 @@ class PageRank:
             ranks.write.mode("overwrite").parquet(path)
             ranks = self.spark.read.schema(ranks.schema).parquet(path)
         for i in range(done, iterations):
+            self._seek = self._spread and i == 0 and iterations > 1
             inter = self.intermediate(ranks)
-            if (i + 1) % write_every and i + 1 < iterations:
+            if (i + 1) % write_every and i + 1 < iterations and not self._spread:
                 ranks = inter
                 continue
             ranks, path, share, scalars = self._written(inter, f"{run}/round-{i + 1:04d}")
@@ -348,7 +395,7 @@ class PageRank:
                 manifest.add(i + 1, {
                     "input": described, "links": manifest.path("links"), "links_schema": self.links().schema.jsonValue(),
                     "ranks": path, "ranks_schema": ranks.schema.jsonValue(), "share": share, **scalars,
-                    "hubs": self._hubs, "nodes": self._nodes, "label_rows": self._label_rows})
+                    "hubs": self._hubs, "nodes": self._nodes, "label_rows": self._label_rows, "spread": self._spread, "buckets": self.buckets})
             elif before:
                 delete_path(self.spark, before)
             before = path
@@ -363,10 +410,13 @@ class PageRank:
         """A round's ranks as written in the links' buckets, their folder, the dangling share and what it comes from."""
         obs = Observation()
         scalars = self._scalar_columns() if self.dangling else []
+        most = [F.coalesce(F.max("indeg"), F.lit(0)).alias("indeg")] if "indeg" in inter.columns else []
         delete_path(self.spark, path)  # of a write that did not end
-        ranks = write_bucketed(inter.observe(obs, F.count("*").alias("nodes"), *scalars), path, self.partitions, "id", "salt")
+        ranks = write_bucketed(inter.observe(obs, F.count("*").alias("nodes"), *scalars, *most).drop("indeg"), path, self.buckets, "id", "salt")
         got = obs.get
         self._nodes = got["nodes"]
+        if most:
+            self._spread = got["indeg"] > self.hub_degree
         if not self.dangling:
             return ranks, path, 0.0, {}
         mass, normalizer = float(got["mass"]), self._normalizer(got)

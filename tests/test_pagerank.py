@@ -425,3 +425,44 @@ def test_arcs_of_all_lines_with_nulls_and_repeated_lines(spark):
     df = spark.createDataFrame([(*x, "N", "O") for x in lines], "l_orderkey long, l_linenumber int, l_partkey long, l_returnflag string, l_linestatus string")
     got = sorted((r["src"], r["dst"]) for r in arcs_from_lineitem(df, returned_only=False).collect())
     assert got == [(10, 12), (10, 20), (11, 12), (20, 10)]
+
+
+def test_buckets_are_as_many_as_the_links_need(spark):
+    """A small graph at many partitions has few buckets, one file each; ranks are those of all buckets."""
+    from quillrank.operators.pagerank import BUCKET_LINKS, bucket_count
+
+    assert [bucket_count(n, 200) for n in (0, 1, 32 * BUCKET_LINKS, 33 * BUCKET_LINKS, 41 * BUCKET_LINKS, 10**12)] == [40, 40, 40, 40, 50, 200]
+    assert [bucket_count(10**9, p) for p in (1, 8, 31, 33, 64)] == [1, 8, 31, 33, 64]
+    assert bucket_count(5, 64) == 32 and bucket_count(5, 37) == 37
+    arcs, labels = _graph(spark)
+    for variant in "ABC":
+        _, kw = VARIANTS[variant]
+        pr = PageRank(arcs, labels, partitions=64, **kw)
+        files = pr.links().inputFiles()
+        assert len({f.split("_")[-1] for f in files}) == len(files) <= 32 == pr.buckets
+        got, want = ({r.id: r.rank for r in x.collect()} for x in (pr.run(4), pagerank(arcs, labels, iterations=4, partitions=8, **kw)))
+        pr.close()
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in got)
+
+
+@pytest.mark.parametrize("variant", ["A", "B", "C"])
+def test_contributions_move_once_unless_a_target_is_hot(spark, variant):
+    """After the first round's count: one exchange a round, without hot targets; with them parts and partial sums as before. Ranks agree."""
+    from quillrank.plans.inspect import plan_text
+
+    arcs = [(s, 1000) for s in range(50)] + [(1000, s) for s in range(50)] + [(s, 2000 + 10 * s + k) for s in range(50) for k in range(s % 5)]
+    arcs = spark.createDataFrame(arcs, "src long, dst long")
+    labels = spark.createDataFrame([(1000, "a"), (2001, "b"), (2001, "c"), (9999, "d")], "id long, name string")
+    _, kw = VARIANTS[variant]
+    got = []
+    for degree, hot in ((50, False), (49, True)):
+        pr = PageRank(arcs, labels, hub_degree=degree, partitions=8, **kw)
+        rows = pr.run(5).collect()
+        assert pr._spread is hot and "indeg" not in pr.intermediate(pr.initial()).columns
+        if not hot:
+            df = pr.intermediate(pr.initial())
+            df.collect()
+            assert plan_text(df, "simple").split("+- == Initial Plan ==")[0].count("Exchange hashpartitioning") == 1
+        pr.close()
+        got.append({r.id: r.rank for r in rows})
+    assert got[0].keys() == got[1].keys() and all(abs(got[0][k] - got[1][k]) < 1e-12 for k in got[0])
