@@ -42,6 +42,8 @@ CHI_SQUARED, EVEN = 32.8, 0.05
 NEIGHBOURS, SOFT, PRIOR, BLOCK, BINS, EVIDENCE = 25, 0.05, 5.0, 64, 20, 5
 #: Blocks whose short lists are read before bounds are compared.
 FIRST = 4
+#: Short lists are read whole where bounds leave out less than one of so many blocks.
+WHOLE = 20
 #: One example in so many makes a list a long one; what sums of 32-bit numbers can be off, and much more.
 LONG, ROUNDING = 32, 1e-4
 _STEM_MARK = np.uint64(0x5bd1e995_9e3779b9)
@@ -79,6 +81,8 @@ def _rows(column: pa.Array, vocab: np.ndarray):
     """Per block of texts its first row, and the (row, term, count) of the vocabulary's terms in order."""
     for first, block in words.scan(column, lower=True):
         h, row = terms(block)
+        order = np.argsort(h)  # in order, they are found much faster
+        h, row = h[order], row[order]
         at = np.searchsorted(vocab, h)
         hit = np.flatnonzero(at < len(vocab))
         hit = hit[vocab[at[hit]] == h[hit]]
@@ -159,9 +163,10 @@ class Lists:
         self.long = np.zeros((rows, self.n), np.float32)
         row, example, weight = self.entries
         self.long[row, example] = weight
+        self.buffer = np.empty((0, self.n), np.float32)  # the long lists of a query
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "long"} | {"rows": len(self.long)}
+        return {k: v for k, v in self.__dict__.items() if k not in ("long", "buffer")} | {"rows": len(self.long)}
 
     def __setstate__(self, state: dict) -> None:
         rows = state.pop("rows")
@@ -174,33 +179,40 @@ class Lists:
         Long lists are summed for all examples first (in 32 bits). A block's bound
         is the best of these sums in it and the largest weights of the short lists
         in it. Short lists are read for the blocks of the highest bounds, and then
-        for those whose bound reaches the k-th best sum. Whatever is within ``ROUNDING`` of the k-th
+        for those whose bound reaches the k-th best sum; where that leaves out less than one
+        block in ``WHOLE`` of theirs, they are read whole, which is quicker than picking. Whatever is within ``ROUNDING`` of the k-th
         best then is summed again in 64 bits.
         """
         if not self.n:
             return np.zeros(0, np.int64), np.zeros(0)
         row = self.row[at]
         heavy = row >= 0
-        rows, by_row = self.long[row[heavy]], v[heavy]
+        by_row = v[heavy]
+        if len(by_row) > len(self.buffer):
+            self.buffer = np.empty((2 * len(by_row), self.n), np.float32)
+        rows = np.take(self.long, row[heavy], axis=0, out=self.buffer[: len(by_row)], mode="clip")
         sums = (by_row.astype(np.float32) @ rows).astype(np.float64)
         at, v = at[~heavy], v[~heavy]
         lo, hi = self.term[at], self.term[at + 1]
         entry, by = _ranges(lo, hi), np.repeat(v, hi - lo)
         block = self.block[entry]
         most = np.maximum.reduceat(sums, np.arange(0, self.n, BLOCK)) + (bound := np.bincount(block, weights=self.most[entry] * by, minlength=self.blocks))
-        short = np.zeros(self.n)
 
-        def read(blocks: np.ndarray) -> None:
-            mine = blocks[block]
-            lo, hi = self.begin[entry[mine]], self.begin[entry[mine] + 1]
+        def read(lo: np.ndarray, hi: np.ndarray, by: np.ndarray) -> np.ndarray:
             post = _ranges(lo, hi)
-            np.add(short, np.bincount(self.example[post], weights=self.weight[post] * np.repeat(by[mine], hi - lo), minlength=self.n), out=short)
+            return np.bincount(self.example[post], weights=self.weight[post] * np.repeat(by, hi - lo), minlength=self.n).astype(np.float64, copy=False)  # of nothing: whole numbers
 
         first = np.zeros(self.blocks, bool)
         first[np.argsort(-most, kind="stable")[:FIRST]] = True
-        read(first)
+        some = np.flatnonzero(first[block])
+        short = read(self.begin[entry[some]], self.begin[entry[some] + 1], by[some])
         least = -np.partition(-(sums + short), k - 1)[k - 1] if self.n >= k else 0.0
-        read(~first & (bound > 0) & (most >= least - ROUNDING))
+        mine = ((bound > 0) & (first | (most >= least - ROUNDING)))[block]
+        if WHOLE * np.count_nonzero(~mine) < len(mine):
+            short = read(self.begin[lo], self.begin[hi], v)
+        else:
+            some = np.flatnonzero(mine & ~first[block])
+            short += read(self.begin[entry[some]], self.begin[entry[some] + 1], by[some])
         sums += short
         found = np.flatnonzero(sums > 0)
         if len(found) > k:
