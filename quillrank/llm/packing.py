@@ -27,11 +27,11 @@ from pyspark.sql import functions as F
 from quillrank.llm.common import Scratch
 
 WINDOW, END = 2048, 1
-#: Words whose ids a worker keeps, in each of two generations; longer words are not kept.
-CACHE_WORDS, CACHE_BYTES = 500_000, 64
+#: Words whose ids a worker keeps at most, those last met; longer words are not kept.
+CACHE_WORDS, CACHE_BYTES = 300_000, 64
 _PUNCTUATION = b"!\"#$%&()*+,-./:;=>?@[]^_`{}~"  # no apostrophe, and nothing that begins a special token
 #: Unknown words encoded in one call, and bytes of texts handled at once.
-CALL_WORDS, BLOCK = 4096, 1 << 23
+CALL_WORDS, BLOCK = 4096, 1 << 22
 
 
 def cuts_at_spaces(path: str) -> bool:
@@ -139,6 +139,36 @@ def _ends_plainly(word: bytes) -> bool:
     return last.isalpha() and last < "\u0250" and len(last.lower()) == 1  # a capital dotted I becomes two
 
 
+class Kept:
+    """Ids of at most ``CACHE_WORDS`` words, in arrays: about 30 bytes a word, where a dict of bytes takes 200."""
+
+    def __init__(self):
+        self.words, self.flat = pa.array([], pa.binary()), np.zeros(0, "<u4")
+        self.start, self.size, self.used = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.clock = 0
+
+    def find(self, words: pa.Array) -> np.ndarray:
+        """Place of each word, -1 where it is not kept."""
+        at = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy(zero_copy_only=False)
+        self.used[at[at >= 0]] = self.clock
+        return at
+
+    def add(self, new: dict[bytes, bytes]) -> None:
+        """Words that are not kept yet; those met longest ago make room."""
+        new = {w: ids for w, ids in new.items() if len(w) <= CACHE_BYTES}
+        size = np.fromiter(map(len, new.values()), np.int32, len(new)) // 4
+        words = pa.concat_arrays([self.words, pa.array(list(new), pa.binary())])
+        flat, size = np.concatenate([self.flat, np.frombuffer(b"".join(new.values()), "<u4")]), np.concatenate([self.size, size])
+        used = np.concatenate([self.used, np.full(len(new), self.clock, np.int32)])
+        self.clock += 1
+        if len(words) > CACHE_WORDS:
+            last = np.zeros(len(words), bool)
+            last[np.argpartition(used, -CACHE_WORDS)[-CACHE_WORDS:]] = True
+            words, flat, size, used = words.filter(pa.array(last)), flat[np.repeat(last, size)], size[last], used[last]
+        self.words, self.flat, self.size, self.used = words, flat, size, used
+        self.start = np.cumsum(size, dtype=np.int32) - size
+
+
 class Encoder:
     """Token ids of texts, equal to the library's for the whole text.
 
@@ -154,7 +184,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.young, self.old = {}, {}
+        self.kept = Kept()
         special = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.lstrip and not t.rstrip and not t.single_word]
         special = [s for s in special if s[0].startswith("<|")]
         others = [t for t in self.tokenizer.get_added_tokens_decoder().values() if not t.content.startswith("<|")]
@@ -165,15 +195,15 @@ class Encoder:
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
-    def _learn(self, unknown: list[bytes]) -> None:
-        """Encode words without ``<|``, which begins every special token of the file."""
-        mark = self.mark.encode()
+    def _learn(self, unknown: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words without ``<|``, which begins every special token of the file."""
+        mark, out = self.mark.encode(), {}
         if self.words:
             plain, others = [], []
             for w in unknown:
                 (plain if PlainWords.plain(w.decode()) else others).append(w)
             if plain:
-                self.young.update(zip(plain, self.words.encode([w.decode() for w in plain]), strict=True))
+                out.update(zip(plain, self.words.encode([w.decode() for w in plain]), strict=True))
             unknown = others
         for at in range(0, len(unknown), CALL_WORDS):
             part = unknown[at : at + CALL_WORDS]
@@ -182,39 +212,49 @@ class Encoder:
             lo = (np.concatenate([[0], cuts + 1]) * 4).tolist()
             hi = (np.concatenate([cuts, [len(ids)]]) * 4).tolist()
             raw = ids.tobytes()
-            self.young.update(zip(part, [raw[i:j] for i, j in zip(lo, hi)], strict=True))
+            out.update(zip(part, [raw[i:j] for i, j in zip(lo, hi)], strict=True))
+        return out
 
-    def _known(self, distinct: list[bytes]) -> list[bytes]:
-        """Ids of distinct words without special tokens; where texts go whole the only word is the empty one."""
-        if self.mark is None:
-            return [b""] * len(distinct)
-        unknown = [w for w in distinct if w not in self.young]
-        if unknown and len(self.young) > CACHE_WORDS:
-            self.old, self.young = self.young, {}
-            unknown = distinct
-        if unknown:
-            self.young.update([(w, self.old[w]) for w in unknown if w in self.old])
-            # punctuation after a letter or digit is a pre-token of its own
-            ends, parts = [], set()
-            for w in unknown:
-                if w in self.young:
-                    continue
-                stem = w.rstrip(_PUNCTUATION)
-                if stem and len(stem) < len(w) and _ends_plainly(stem):
-                    ends.append((w, stem, w[len(stem):]))
-                    parts.update(ends[-1][1:])
-                else:
-                    parts.add(w)
-            parts.difference_update(self.young)
-            self._learn(list(parts))
-            self.young.update([(w, self.young[stem] + self.young[tail]) for w, stem, tail in ends])
-            unknown = parts.union(unknown)
-        out = [self.young[w] for w in distinct]
+    def _new(self, unknown: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words that are not kept, and of their parts that are not."""
+        # punctuation after a letter or digit is a pre-token of its own
+        ends, parts, plain = [], set(), []
         for w in unknown:
-            if len(w) > CACHE_BYTES:
-                self.young.pop(w, None)
+            stem = w.rstrip(_PUNCTUATION)
+            if stem and len(stem) < len(w) and _ends_plainly(stem):
+                ends.append((w, stem, w[len(stem):]))
+                parts.update(ends[-1][1:])
+            else:
+                plain.append(w)
+        parts = list(parts.difference(plain))
+        at = self.kept.find(pa.array(parts, pa.binary()))
+        out = self._learn([*plain, *(w for w, i in zip(parts, at.tolist()) if i < 0)])
+        known = {w: self.kept.flat[self.kept.start[i] : self.kept.start[i] + self.kept.size[i]].tobytes() for w, i in zip(parts, at.tolist()) if i >= 0}
+        get = lambda w: known[w] if w in known else out[w]
+        out.update([(w, get(stem) + get(tail)) for w, stem, tail in ends])
         return out
 
+    def _known(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids in one array, and each word's place and number there, of distinct words without special tokens.
+
+        Where texts go whole the only word is the empty one.
+        """
+        if self.mark is None:
+            return np.zeros(0, "<u4"), *np.zeros((2, len(distinct)), np.int32)
+        at = self.kept.find(distinct)
+        flat, start, size = self.kept.flat, np.zeros(len(at), np.int32), np.zeros(len(at), np.int32)
+        hit, missing = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
+        start[hit], size[hit] = self.kept.start[at[hit]], self.kept.size[at[hit]]
+        if len(missing):
+            unknown = distinct.take(pa.array(missing)).to_pylist()
+            new = self._new(unknown)
+            pieces = [new[w] for w in unknown]
+            size[missing] = np.fromiter(map(len, pieces), np.int32, len(pieces)) // 4
+            start[missing] = len(flat) + np.cumsum(size[missing]) - size[missing]
+            flat = np.concatenate([flat, np.frombuffer(b"".join(pieces), "<u4")])
+            self.kept.add(new)
+        return flat, start, size
+
     def ids(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids of some texts in one array, and how many each has; ``end`` comes after each text.
 
@@ -226,22 +266,23 @@ class Encoder:
         lists = pc.ascii_split_whitespace(pc.ascii_lower(plain) if self.mark is not None and self.lowers else plain)
         found = lists.flatten().dictionary_encode()
         at = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
-        word = found.indices.to_numpy(zero_copy_only=False)
-        pieces = self._known(found.dictionary.cast(pa.binary()).to_pylist())
-        word = word.astype(np.int64)
+        word = found.indices.to_numpy(zero_copy_only=False).copy()
+        flat, start, size = self._known(found.dictionary.cast(pa.binary()))
+        pieces = [flat]
         for i in np.flatnonzero(whole):
-            word[at[i]] = len(pieces)
-            pieces.append(self._ids(texts[int(i)].as_py()).tobytes())
+            word[at[i]] = len(size) + len(pieces) - 1
+            pieces.append(self._ids(texts[int(i)].as_py()))
         if end is not None:
-            word = np.insert(word, at[1:], len(pieces))
-            pieces.append(np.array([end], "<u4").tobytes())
+            word = np.insert(word, at[1:], len(size) + len(pieces) - 1)
+            pieces.append(np.array([end], "<u4"))
             at = at + np.arange(len(at))
-        size = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
-        flat, start = np.frombuffer(b"".join(pieces), "<u4"), np.cumsum(size) - size
+        more = np.array([len(p) for p in pieces], np.int32)
+        flat, start, size = np.concatenate(pieces), np.concatenate([start, (np.cumsum(more) - more)[1:].astype(np.int32)]), np.concatenate([size, more[1:]])
         length = size[word]
-        total = np.concatenate([[0], np.cumsum(length)])
-        out = flat[np.repeat(start[word] - total[:-1], length) + np.arange(total[-1])]
-        return out, np.diff(total[at])
+        total = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])
+        place = np.repeat(start[word] - total[:-1].astype(np.int32), length)
+        place += np.arange(len(place), dtype=np.int32)
+        return flat[place], np.diff(total[at])
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Each text's ids as little-endian uint32 bytes."""
@@ -295,6 +336,7 @@ def _tokenize(path: str, ranked: bool):
             texts = batch.column(1).fill_null("")
             for lo, hi in spans(texts, BLOCK):
                 ids, n = enc.ids(texts.slice(lo, hi - lo), END)
+                pa.default_memory_pool().release_unused()  # else it keeps what the block's words took
                 before = at + np.cumsum(n) - n
                 at += int(n.sum())
                 edges = pa.py_buffer((np.concatenate([[0], np.cumsum(n)]) * 4).astype(np.int64).tobytes())

@@ -79,6 +79,31 @@ def test_every_word_of_the_documents(spark):
     assert [np.frombuffer(x, "<u4").tolist() for x in packing.PlainWords(WORD).encode(plain)] == [x.ids for x in t.encode_batch(plain, add_special_tokens=False)]
 
 
+def test_words_are_kept_in_little_memory(monkeypatch):
+    """No more than CACHE_WORDS, those last met, and less than 60 bytes for each, whoever holds them."""
+    import gc
+    import tracemalloc
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(packing, "CACHE_WORDS", 40_000)
+    e = packing.Encoder(WORD, True)
+    e.encode([b"x"])
+    some = [[f"{a}{b}{c}{d}".encode() for a in "abcdefghij" for b in "qrstuvwxyz" for c in "bcdfghklmn" for d in part] for part in ("abcdefghij", "klmnopqrst", "uvwxyzabcd", "efghijklmn", "opqrstuvwx")]
+    gc.collect()
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    for words in some:
+        got = e.encode([b" ".join(words)])
+    want = e.tokenizer.encode(b" ".join(words).decode(), add_special_tokens=False).ids
+    assert np.frombuffer(got[0], "<u4").tolist() == want
+    del got, want
+    gc.collect()
+    held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert held < 60 * 40_000 + 500_000
+
+
 def test_other_tokenizers_go_whole():
     e = packing.Encoder(P.path("byte_bpe_50k.json"))
     assert np.frombuffer(e.encode([b"a  b <|endoftext|>"])[0], "<u4").tolist() == e.tokenizer.encode("a  b <|endoftext|>", add_special_tokens=False).ids
