@@ -44,6 +44,8 @@ NEIGHBOURS, SOFT, PRIOR, BLOCK, BINS, EVIDENCE = 25, 0.05, 5.0, 64, 20, 5
 FIRST = 4
 #: Short lists are read whole where bounds leave out less than one of so many blocks.
 WHOLE = 20
+#: After so many queries in a row that were read whole, bounds are left out for as many times PAUSE queries.
+TRIALS, PAUSE = 4, 15
 #: One example in so many makes a list a long one; what sums of 32-bit numbers can be off, and much more.
 LONG, ROUNDING = 32, 1e-4
 _STEM_MARK = np.uint64(0x5bd1e995_9e3779b9)
@@ -164,23 +166,25 @@ class Lists:
         row, example, weight = self.entries
         self.long[row, example] = weight
         self.buffer = np.empty((0, self.n), np.float32)  # the long lists of a query
+        self.whole = False  # whether bounds left out next to nothing of the last query that had them
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("long", "buffer")} | {"rows": len(self.long)}
+        return {k: v for k, v in self.__dict__.items() if k not in ("long", "buffer", "whole")} | {"rows": len(self.long)}
 
     def __setstate__(self, state: dict) -> None:
         rows = state.pop("rows")
         self.__dict__.update(state)
         self.fill(rows)
 
-    def nearest(self, at: np.ndarray, v: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(self, at: np.ndarray, v: np.ndarray, k: int, bounded: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of the highest cosines above 0, ties by place, and these.
 
         Long lists are summed for all examples first (in 32 bits). A block's bound
         is the best of these sums in it and the largest weights of the short lists
         in it. Short lists are read for the blocks of the highest bounds, and then
         for those whose bound reaches the k-th best sum; where that leaves out less than one
-        block in ``WHOLE`` of theirs, they are read whole, which is quicker than picking. Whatever is within ``ROUNDING`` of the k-th
+        block in ``WHOLE`` of theirs, they are read whole, which is quicker than picking
+        (``whole`` tells), and without ``bounded`` at once: only the time differs. Whatever is within ``ROUNDING`` of the k-th
         best then is summed again in 64 bits.
         """
         if not self.n:
@@ -194,25 +198,29 @@ class Lists:
         sums = (by_row.astype(np.float32) @ rows).astype(np.float64)
         at, v = at[~heavy], v[~heavy]
         lo, hi = self.term[at], self.term[at + 1]
-        entry, by = _ranges(lo, hi), np.repeat(v, hi - lo)
-        block = self.block[entry]
-        most = np.maximum.reduceat(sums, np.arange(0, self.n, BLOCK)) + (bound := np.bincount(block, weights=self.most[entry] * by, minlength=self.blocks))
 
         def read(lo: np.ndarray, hi: np.ndarray, by: np.ndarray) -> np.ndarray:
             post = _ranges(lo, hi)
             return np.bincount(self.example[post], weights=self.weight[post] * np.repeat(by, hi - lo), minlength=self.n).astype(np.float64, copy=False)  # of nothing: whole numbers
 
-        first = np.zeros(self.blocks, bool)
-        first[np.argsort(-most, kind="stable")[:FIRST]] = True
-        some = np.flatnonzero(first[block])
-        short = read(self.begin[entry[some]], self.begin[entry[some] + 1], by[some])
-        least = -np.partition(-(sums + short), k - 1)[k - 1] if self.n >= k else 0.0
-        mine = ((bound > 0) & (first | (most >= least - ROUNDING)))[block]
-        if WHOLE * np.count_nonzero(~mine) < len(mine):
-            short = read(self.begin[lo], self.begin[hi], v)
+        if bounded:
+            entry, by = _ranges(lo, hi), np.repeat(v, hi - lo)
+            block = self.block[entry]
+            most = np.maximum.reduceat(sums, np.arange(0, self.n, BLOCK)) + (bound := np.bincount(block, weights=self.most[entry] * by, minlength=self.blocks))
+            first = np.zeros(self.blocks, bool)
+            first[np.argsort(-most, kind="stable")[:FIRST]] = True
+            some = np.flatnonzero(first[block])
+            short = read(self.begin[entry[some]], self.begin[entry[some] + 1], by[some])
+            least = -np.partition(-(sums + short), k - 1)[k - 1] if self.n >= k else 0.0
+            mine = ((bound > 0) & (first | (most >= least - ROUNDING)))[block]
+            self.whole = WHOLE * np.count_nonzero(~mine) < len(mine)
+            if self.whole:
+                short = read(self.begin[lo], self.begin[hi], v)
+            else:
+                some = np.flatnonzero(mine & ~first[block])
+                short += read(self.begin[entry[some]], self.begin[entry[some] + 1], by[some])
         else:
-            some = np.flatnonzero(mine & ~first[block])
-            short += read(self.begin[entry[some]], self.begin[entry[some] + 1], by[some])
+            short = read(self.begin[lo], self.begin[hi], v)
         sums += short
         found = np.flatnonzero(sums > 0)
         if len(found) > k:
@@ -236,6 +244,7 @@ class Index:
     bins: np.ndarray | None = None  # calibrated score of each raw bin; the last is for texts without a term
 
     def __post_init__(self):
+        self.in_vain = 0  # queries in a row whose bounds left out next to nothing, and those asked without bounds after them
         self.lists = self.rows
         if not isinstance(self.rows, Lists):
             example, term = np.nonzero(self.rows)
@@ -246,8 +255,17 @@ class Index:
         return v / max(float(np.sqrt((v * v).sum())), 1e-12)
 
     def nearest(self, at: np.ndarray, v: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and cosines of the k nearest examples with a cosine above 0, ties by id."""
-        return self.lists.nearest(at, v, k)
+        """Positions and cosines of the k nearest examples with a cosine above 0, ties by id.
+
+        Bounds that have just left out nothing several times are not computed for some queries.
+        """
+        bounded = self.in_vain < TRIALS
+        found = self.lists.nearest(at, v, k, bounded)
+        if bounded:
+            self.in_vain = self.in_vain + 1 if self.lists.whole else 0
+        else:
+            self.in_vain = (self.in_vain + 1) % (TRIALS * (1 + PAUSE))
+        return found
 
     def raw(self, at: np.ndarray, counts: np.ndarray) -> tuple[float, np.ndarray]:
         """Weighted vote and the examples it comes from; the base rate and none where no example is near."""

@@ -213,3 +213,23 @@ def test_short_lists_are_read_whole_where_bounds_leave_out_next_to_nothing(monke
         want = dense.astype(np.float32)[:, at].astype(float).sum(1)
         best = np.lexsort((np.arange(1280), -np.round(want, 9)))[:25]
         assert found.tolist() == [i for i in best if want[i] > 0] and np.allclose(cosine, want[found], atol=1e-9)
+
+
+def test_bounds_are_left_out_for_a_while_where_they_leave_out_nothing(monkeypatch):
+    """Fewer ranges are read then; the nearest are those of all cosines, and bounds are tried again."""
+    rng = np.random.default_rng(12)
+    dense = np.where(rng.random((1280, 300)) < 0.02, rng.random((1280, 300)), 0).astype(np.float32)
+    dense[:, 0] = 0.02
+    x, calls, ranges = t.Index(np.arange(1280), np.zeros(1280), np.ones(1280), np.ones(300), dense, None, 0.2), [], t._ranges
+    monkeypatch.setattr(t, "_ranges", lambda lo, hi: calls.append(len(lo)) or ranges(lo, hi))
+    used = []
+    for _ in range(2 * t.TRIALS * (1 + t.PAUSE)):
+        at = np.unique(np.append(0, rng.integers(1, 300, 40)))
+        v = np.where(at == 0, 0.1, 0.3 * rng.random(len(at)))
+        calls.clear()
+        found, cosine = x.nearest(at, v)
+        used.append(len(calls))
+        want = dense[:, at].astype(float) @ v
+        best = np.lexsort((np.arange(1280), -np.round(want, 9)))[: t.NEIGHBOURS]
+        assert found.tolist() == best.tolist() and np.allclose(cosine, want[best], atol=1e-9)
+    assert used == 2 * ([3] * t.TRIALS + [1] * t.TRIALS * t.PAUSE)
