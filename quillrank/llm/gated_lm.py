@@ -88,13 +88,24 @@ class Vocabulary:
         self.tail = total - int(c[: self.top].sum()) + (kinds - self.top) + 1  # mass that tail tokens share: count + 1 each, and 1 for the unknown
         order = np.argsort(h)
         self.hash, self.log, self.id = h[order], np.log10(c[order] + 1.0), np.minimum(order, self.top).astype(np.int32)
+        bits = max(1, len(h).bit_length() + 1)  # hashes are spread evenly, so their first bits lead to the place or just before it
+        self.shift = np.uint64(64 - bits)
+        self.first = np.searchsorted(self.hash, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
 
     def find(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Id of each token, and log10(count + 1); -1 in the latter where it is not of the HEAD."""
         if not len(self.hash):
             return np.full(len(tokens), self.top, np.int32), np.full(len(tokens), -1.0)
-        at = np.minimum(np.searchsorted(self.hash, tokens), len(self.hash) - 1)
-        hit = self.hash[at] == tokens
+        at, end = self.first[tokens >> self.shift], len(self.hash)
+        found = self.hash[np.minimum(at, end - 1)]
+        low = np.flatnonzero(found < tokens)
+        while len(low):
+            at[low] += 1
+            low = low[at[low] < end]
+            found[low] = self.hash[at[low]]
+            low = low[found[low] < tokens[low]]
+        hit = found == tokens
+        at = np.minimum(at, end - 1)
         return np.where(hit, self.id[at], self.top).astype(np.int32), np.where(hit, self.log[at], -1.0)
 
 
@@ -136,101 +147,143 @@ def unflat(v: np.ndarray, top: int) -> dict[str, np.ndarray]:
     return out
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+def _gates(m: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """W, b and U, negative where a sigmoid follows: what it needs is exp(-x)."""
+    sign = np.ones(3 * HIDDEN, m["U"].dtype)
+    sign[: 2 * HIDDEN] = -1
+    return m["W"] * sign, m["b"] * sign, m["U"] * sign
 
 
-def _exp_rows(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows less their largest value, in place, and their exponentials."""
-    x -= x.max(1, keepdims=True)
-    return x, np.exp(x)
+class Window:
+    """What :func:`forward` keeps of a window, (steps, lanes, units) each."""
 
+    def __init__(self, steps: int, lanes: int, dtype):
+        self.before, self.states, self.c, self.un = (np.empty((steps, lanes, HIDDEN), dtype) for _ in range(4))
+        self.zr = np.empty((steps, lanes, 2 * HIDDEN), dtype)
+        self.resets = {}
 
-def forward(m: dict[str, np.ndarray], table: np.ndarray, inputs: np.ndarray, h: np.ndarray, keep: bool = False):
-    """States of a window, ``inputs`` (steps, lanes); ``table`` is ``E @ W + b``. A start input clears its lane's state."""
-    n, first = HIDDEN, len(table) - 1
-    states, saved = np.empty((*inputs.shape, n), np.float32), []
-    read, resets = table[inputs], inputs == first
+
+def forward(read: np.ndarray, u: np.ndarray, resets: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, Window]:
+    """Last state and all of a window: ``read`` (steps, lanes, 3 * units) is what the inputs give the gates, ``u`` as
+    :func:`_gates` gives it. ``resets`` (steps, lanes) clear a lane's state."""
+    n, w = HIDDEN, Window(*resets.shape, read.dtype)
     some = resets.any(1)
-    for t, a in enumerate(read):
-        if some[t]:
-            h = np.where(resets[t][:, None], np.float32(0), h)
-        u = h @ m["U"]
-        zr = _sigmoid(a[:, : 2 * n] + u[:, : 2 * n])
-        z, r = zr[:, :n], zr[:, n:]
-        c = np.tanh(a[:, 2 * n :] + r * u[:, 2 * n :])
-        if keep:
-            saved.append((h, z, r, c, u[:, 2 * n :], resets[t] if some[t] else None))
-        h = c + z * (h - c)
-        states[t] = h
-    return states, h, saved
+    from_h = np.empty((resets.shape[1], 3 * n), read.dtype)
+    with np.errstate(over="ignore"):  # 1 / (1 + inf) is the 0 it should be
+        for t, a in enumerate(read):
+            if some[t]:
+                h = np.where(resets[t][:, None], read.dtype.type(0), h)
+                w.resets[t] = resets[t]
+            w.before[t] = h
+            np.matmul(h, u, out=from_h)
+            zr, c = w.zr[t], w.c[t]
+            np.add(a[:, : 2 * n], from_h[:, : 2 * n], out=zr)
+            np.exp(zr, out=zr)
+            zr += 1
+            np.reciprocal(zr, out=zr)
+            w.un[t] = from_h[:, 2 * n :]
+            np.multiply(zr[:, n:], w.un[t], out=c)
+            c += a[:, 2 * n :]
+            np.tanh(c, out=c)
+            state = w.states[t]
+            np.subtract(h, c, out=state)
+            state *= zr[:, :n]
+            state += c
+            h = state
+    return h, w
+
+
+def _soft(states: np.ndarray, weights: np.ndarray, at: np.ndarray, grad: np.ndarray | None, rows: np.ndarray):
+    """Natural log of the softmax at one column of each row; ``states`` end with a 1 and ``weights`` with the biases.
+
+    With ``grad``, the gradient of -sum is added there, and the one of the states is returned, without the 1's.
+    """
+    x = states @ weights
+    if x.size and (x.max() > 60 or x.min() < -60):  # the exponentials may be too large or too small
+        x -= x.max(1, keepdims=True)
+    mine = x[rows, at]
+    e = np.exp(x, out=x)
+    total = e @ np.ones(e.shape[1], e.dtype)
+    lp = (mine - np.log(total)).astype(np.float64)
+    if grad is None:
+        return lp, None
+    e[rows, at] -= total  # the softmax's own gradient, times the total
+    share = (1 / total)[:, None]
+    grad += (states * share).T @ e
+    return lp, (e @ weights[:-1].T) * share
 
 
 def output(m: dict[str, np.ndarray], states: np.ndarray, targets: np.ndarray, grads: dict[str, np.ndarray] | None = None):
     """Natural log probability of each target given its state, both factors; with ``grads`` also d(-sum)/d(state)."""
     top = m["Ww"].shape[1]
-    cls = np.where(targets < top, targets // CLASS, classes(top))
+    cls = np.where(targets < top, targets // CLASS, classes(top)).astype(np.int16)
     order = np.argsort(cls, kind="stable")  # a class's targets side by side
-    states, targets, cls = states[order], targets[order], cls[order]
-    x, e = _exp_rows(states @ m["Wc"] + m["bc"])
-    rows, total = np.arange(len(targets)), e.sum(1)
-    lp = (x[rows, cls] - np.log(total)).astype(np.float64)
-    back = None
-    if grads is not None:
-        e /= total[:, None]
-        e[rows, cls] -= 1
-        grads["Wc"] += states.T @ e
-        grads["bc"] += e.sum(0)
-        back = e @ m["Wc"].T
+    targets, cls = targets[order], cls[order]
+    ordered = np.ones((len(order), HIDDEN + 1), states.dtype)
+    ordered[:, :-1] = states[order]
+    wc, ww = np.vstack([m["Wc"], m["bc"]]), np.vstack([m["Ww"], m["bw"]])
+    gc, gw = (None, None) if grads is None else (np.zeros_like(wc), np.zeros_like(ww))
+    rows = np.arange(len(targets))
+    lp, back = _soft(ordered, wc, cls, gc, rows)
     edges = np.searchsorted(cls, np.arange(classes(top) + 1))
-    for k in range(classes(top)):
+    for k in np.flatnonzero(np.diff(edges)).tolist():
         mine = slice(edges[k], edges[k + 1])
-        if edges[k] == edges[k + 1]:
-            continue
         span = slice(k * CLASS, min((k + 1) * CLASS, top))
-        x, e = _exp_rows(states[mine] @ m["Ww"][:, span] + m["bw"][span])
-        at, total = targets[mine] - k * CLASS, e.sum(1)
-        lp[mine] += x[rows[: len(at)], at] - np.log(total)
+        more, back_too = _soft(ordered[mine], ww[:, span], targets[mine] - k * CLASS, None if gw is None else gw[:, span], rows[: edges[k + 1] - edges[k]])
+        lp[mine] += more
         if grads is not None:
-            e /= total[:, None]
-            e[rows[: len(at)], at] -= 1
-            grads["Ww"][:, span] += states[mine].T @ e
-            grads["bw"][span] += e.sum(0)
-            back[mine] += e @ m["Ww"][:, span].T
-    place = np.empty(len(order), np.int64)
-    place[order] = rows
-    return lp[place], None if back is None else back[place]
-
-
-def backward(m, inputs, saved, dstates: np.ndarray, grads) -> None:
-    """Backpropagation through one window; the gradient stops at its first step."""
-    n, steps = HIDDEN, len(inputs)
-    dh = np.zeros(dstates.shape[1:], np.float32)
-    da, du = (np.empty((*inputs.shape, 3 * n), np.float32) for _ in range(2))
-    before = np.empty((*inputs.shape, n), np.float32)
-    back = m["U"].T.copy()
-    for t in range(steps - 1, -1, -1):
-        h, z, r, c, un, reset = saved[t]
-        before[t] = h
-        dh = dh + dstates[t]
-        dc = dh * (1 - z) * (1 - c * c)
-        da[t, :, :n] = dh * (h - c) * z * (1 - z)
-        da[t, :, n : 2 * n] = dc * un * r * (1 - r)
-        da[t, :, 2 * n :] = dc
-        du[t] = da[t]
-        du[t, :, 2 * n :] *= r
-        dh = dh * z + du[t] @ back
-        if reset is not None:
-            dh[reset] = 0
-    grads["U"] += before.reshape(-1, n).T @ du.reshape(-1, 3 * n)
+            back[mine] += back_too
+    out = np.empty_like(lp)
+    out[order] = lp
+    if grads is None:
+        return out, None
+    for name, bias, g in (("Wc", "bc", gc), ("Ww", "bw", gw)):
+        grads[name] += g[:-1]
+        grads[bias] += g[-1]
+    d = np.empty_like(back)
+    d[order] = back
+    return out, d
+
+
+def backward(m, inputs, embedded: np.ndarray, w: Window, dstates: np.ndarray, grads) -> None:
+    """Backpropagation through one window; the gradient stops at its first step. ``dstates`` is overwritten.
+
+    Only what a step has of the later ones is computed step by step; all else before or after, for the whole window.
+    """
+    n = HIDDEN
+    z, r = w.zr[..., :n], w.zr[..., n:]
+    keep = 1 - z
+    to_c = 1 - w.c * w.c
+    to_c *= keep
+    du = np.empty((*inputs.shape, 3, n), dstates.dtype)  # first what to multiply the state's gradient with
+    np.subtract(w.before, w.c, out=du[:, :, 0])
+    du[:, :, 0] *= z
+    du[:, :, 0] *= keep
+    np.multiply(to_c, r, out=du[:, :, 2])
+    np.multiply(du[:, :, 2], w.un, out=du[:, :, 1])
+    du[:, :, 1] *= 1 - r
+    back, steps = m["U"].T.copy(), du.reshape(*inputs.shape, 3 * n)
+    dh, through = np.zeros(dstates.shape[1:], dstates.dtype), np.empty(dstates.shape[1:], dstates.dtype)
+    for t in range(len(inputs) - 1, -1, -1):
+        here = dstates[t]
+        here += dh
+        du[t] *= here[:, None]
+        np.matmul(steps[t], back, out=dh)
+        np.multiply(here, z[t], out=through)
+        dh += through
+        if t in w.resets:
+            dh[w.resets[t]] = 0
+    flat_in, rows = inputs.ravel(), inputs.size
+    grads["U"] += w.before.reshape(rows, n).T @ steps.reshape(rows, 3 * n)
+    np.multiply(dstates, to_c, out=du[:, :, 2])  # as the inputs have it, without r
+    da = steps.reshape(rows, 3 * n)
+    grads["b"] += np.ones(rows, da.dtype) @ da
+    grads["W"] += embedded.T @ da
     # the rows of an input's own, summed at once
-    flat_in, da = inputs.ravel(), da.reshape(-1, 3 * n)
-    order = np.argsort(flat_in, kind="stable")
-    begin = np.flatnonzero(np.diff(flat_in[order], prepend=-1))
-    some, sums = flat_in[order][begin], np.add.reduceat(da[order], begin, axis=0)
-    grads["b"] += sums.sum(0)
-    grads["W"] += m["E"][some].T @ sums
-    grads["E"][some] += sums @ m["W"].T
+    order = np.argsort(flat_in.astype(np.int16) if len(m["E"]) < 1 << 15 else flat_in, kind="stable")
+    ordered = flat_in[order]
+    begin = np.flatnonzero(np.diff(ordered, prepend=-1))
+    grads["E"][ordered[begin]] += np.add.reduceat((da @ m["W"].T)[order], begin, axis=0)
 
 
 def lanes(lengths: np.ndarray, n: int) -> list[list[int]]:
@@ -267,23 +320,33 @@ def run_windows(m, ids: np.ndarray, at: np.ndarray, n: int, learn=None) -> np.nd
     """Log probability of every token; ``learn(grads, tokens)`` changes m after each window."""
     top = m["Ww"].shape[1]
     out = np.zeros(len(ids))
-    h = np.zeros((min(n, len(at) - 1), HIDDEN), np.float32)
-    table = m["E"] @ m["W"] + m["b"]
+    h = np.zeros((min(n, len(at) - 1), HIDDEN), m["E"].dtype)
+    w, b, u = _gates(m)
+    table = m["E"] @ w + b if learn is None else None
     for live, where, valid, begins in windows(ids, at, n):
         inputs = np.where(begins, top + 1, ids[np.maximum(where - 1, 0)])
-        inputs = np.where(valid, inputs, top)
-        states, h, saved = forward(m, table, inputs, h[:live], keep=learn is not None)
-        mine = where[valid]
+        full = valid.all()
+        if not full:
+            inputs = np.where(valid, inputs, top)
+        mine = where.ravel() if full else where[valid]
         if learn is None:
-            out[mine] = output(m, states[valid], ids[mine])[0]
+            h, kept = forward(table[inputs], u, inputs == top + 1, h[:live])
+            out[mine] = output(m, kept.states.reshape(-1, HIDDEN) if full else kept.states[valid], ids[mine])[0]
             continue
+        embedded = m["E"][inputs.ravel()]
+        read = embedded @ w
+        read += b
+        h, kept = forward(read.reshape(*inputs.shape, 3 * HIDDEN), u, inputs == top + 1, h[:live])
         grads = {k: np.zeros_like(v) for k, v in m.items()}
-        out[mine], back = output(m, states[valid], ids[mine], grads)
-        dstates = np.zeros_like(states)
-        dstates[valid] = back
-        backward(m, inputs, saved, dstates, grads)
+        if full:
+            out[mine], back = output(m, kept.states.reshape(-1, HIDDEN), ids[mine], grads)
+            dstates = back.reshape(kept.states.shape)
+        else:
+            dstates = np.zeros_like(kept.states)
+            out[mine], dstates[valid] = output(m, kept.states[valid], ids[mine], grads)
+        backward(m, inputs, embedded, kept, dstates, grads)
         learn(grads, len(mine))
-        table = m["E"] @ m["W"] + m["b"]
+        w, b, u = _gates(m)
     return out
 
 
@@ -292,18 +355,28 @@ class Adam:
 
     def __init__(self, m: dict[str, np.ndarray], rate: float):
         self.m, self.rate, self.t = m, rate, 0
-        self.a, self.v = ({k: np.zeros_like(x) for k, x in m.items()} for _ in range(2))
+        self.a, self.v = (np.zeros_like(flat(m)) for _ in range(2))
 
     def __call__(self, grads: dict[str, np.ndarray], n: int) -> None:
         self.t += 1
-        norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values())) / n
-        scale = min(1.0, 1.0 / max(norm, 1e-9)) / n
-        for k, g in grads.items():
-            g = g * np.float32(scale)
-            self.a[k] = 0.9 * self.a[k] + 0.1 * g
-            self.v[k] = 0.99 * self.v[k] + 0.01 * g * g
-            step = self.rate * (self.a[k] / (1 - 0.9**self.t)) / (np.sqrt(self.v[k] / (1 - 0.99**self.t)) + 1e-8)
-            self.m[k] -= step.astype(np.float32)
+        g = flat(grads)
+        norm = np.sqrt(float(g @ g)) / n
+        g *= g.dtype.type(min(1.0, 1.0 / max(norm, 1e-9)) / n)
+        self.a *= 0.9
+        self.v *= 0.99
+        self.a += 0.1 * g
+        g *= g
+        g *= 0.01
+        self.v += g
+        np.multiply(self.v, 1 / (1 - 0.99**self.t), out=g)
+        np.sqrt(g, out=g)
+        g += 1e-8
+        np.divide(self.a, g, out=g)
+        g *= self.rate / (1 - 0.9**self.t)
+        at = 0
+        for w in self.m.values():
+            w -= g[at : at + w.size].reshape(w.shape)
+            at += w.size
 
 
 # ------------------------------------------------------------------ Spark

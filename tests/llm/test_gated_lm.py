@@ -104,3 +104,37 @@ def test_every_training_document_is_trained_on(spark, monkeypatch):
     rows = [(i, f"word{i} again") for i in range(200)] + [(None, "no id"), (1, "word1 again")]
     g.document_scores(cases.plain(spark, rows))
     assert sorted(seen) == sorted(t for i, t in rows if i is None or zlib.crc32(str(i).encode()) % 7 != 2)
+
+
+def test_tokens_are_found_wherever_their_hash_lies():
+    """Evenly spread hashes, many of one beginning, both ends, and tokens that are in none of the places."""
+    rng = np.random.default_rng(3)
+    spread = rng.integers(0, 2**64, 3000, dtype=np.uint64)
+    for h in (spread, np.arange(50, dtype=np.uint64), np.append(spread[:9], np.array([0, 2**64 - 1], np.uint64)), spread[:1], spread[:0]):
+        h = np.unique(h)
+        rng.shuffle(h)
+        c = np.arange(len(h) + 5, 5, -1)
+        v = g.Vocabulary(h, c, 10**6, 10**4)
+        tokens = np.concatenate([h, rng.integers(0, 2**64, 500, dtype=np.uint64), np.array([0, 60, 2**63, 2**64 - 1], np.uint64)])
+        place = {int(x): i for i, x in enumerate(h)}
+        ids, logs = v.find(tokens)
+        assert ids.tolist() == [min(place.get(int(x), v.top), v.top) for x in tokens]
+        assert np.allclose(logs, [math.log10(c[place[int(x)]] + 1) if int(x) in place else -1 for x in tokens])
+
+
+def test_logits_out_of_range_stay_finite(small):
+    """Very large and very small ones: the probabilities are those of whole softmaxes in 64 bits."""
+    v, m, *_ = small
+    m = {k: (x * 300 if k in ("Wc", "bc", "Ww", "bw") else x).astype(np.float32) for k, x in m.items()}
+    states, targets = np.random.default_rng(2).normal(size=(40, 4)).astype(np.float32), np.arange(40) % 8
+    grads = {k: np.zeros_like(x) for k, x in m.items()}
+    lp, back = g.output(m, states, targets, grads)
+    soft = lambda x: x - x.max(1, keepdims=True) - np.log(np.exp(x - x.max(1, keepdims=True)).sum(1, keepdims=True))
+    wide = {k: x.astype(float) for k, x in m.items()}
+    cls = soft(states @ wide["Wc"] + wide["bc"])
+    want = []
+    for i, y in enumerate(targets):
+        k = y // 3 if y < 7 else 3
+        inside = soft((states @ wide["Ww"] + wide["bw"])[i : i + 1, 3 * k : min(3 * k + 3, 7)])[0, y - 3 * k] if y < 7 else 0
+        want.append(cls[i, k] + inside)
+    assert np.allclose(lp, want, rtol=1e-4, atol=1e-2) and np.isfinite(back).all() and all(np.isfinite(x).all() for x in grads.values())
