@@ -44,6 +44,8 @@ WARM, WARM_LANES, TRAIN_LANES = 1 << 18, 32, 128
 ROUNDS, RATE, WIDE_RATE = 2, 0.01, 0.02
 #: Tokens that are dealt to lanes at once: so many that the longest documents don't leave most lanes empty.
 COUNT_BLOCK, SCORE_TOKENS, WARM_TOKENS, TRAIN_TOKENS, SEED = 1 << 21, 1 << 21, 1 << 17, 1 << 22, 5
+#: Weights that Adam works on at once: what they need fits the processor's own cache.
+ADAM = 1 << 14
 #: The end of a document as a token; no word is empty.
 END = words.mix(np.array([1], np.uint64))[0]
 LN10 = float(np.log(10))
@@ -79,23 +81,44 @@ def _count(batches):
 
 
 class Vocabulary:
-    """Sorted hashes of the HEAD tokens with their counts and ids; id ``top`` is the tail."""
+    """The HEAD tokens with their counts and ids; id ``top`` is the tail."""
 
     def __init__(self, h: np.ndarray, c: np.ndarray, total: int, kinds: int):
         """``h`` and ``c`` by falling count; ``total`` tokens of ``kinds`` kinds in all."""
         self.total, self.kinds, self.top = total, kinds, min(TOP, len(h))
         self.top_counts = c[: self.top].astype(float)
         self.tail = total - int(c[: self.top].sum()) + (kinds - self.top) + 1  # mass that tail tokens share: count + 1 each, and 1 for the unknown
-        order = np.argsort(h)
-        self.hash, self.log, self.id = h[order], np.log10(c[order] + 1.0), np.minimum(order, self.top).astype(np.int32)
+        self.head, self.words = Places(h), Places(h[: self.top])
+        order = self.head.order
+        self.log, self.id = np.log10(c[order] + 1.0), np.minimum(order, self.top).astype(np.int32)
+
+    def find(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Id of each token, and log10(count + 1); -1 in the latter where it is not of the HEAD."""
+        if not len(self.id):
+            return np.full(len(tokens), self.top, np.int32), np.full(len(tokens), -1.0)
+        at, hit = self.head.find(tokens)
+        return np.where(hit, self.id[at], self.top).astype(np.int32), np.where(hit, self.log[at], -1.0)
+
+    def ids(self, tokens: np.ndarray) -> np.ndarray:
+        """Id of each token alone: only the model's words are looked up, a table that the processor's own cache holds."""
+        if not self.top:
+            return np.full(len(tokens), self.top, np.int32)
+        at, hit = self.words.find(tokens)
+        return np.where(hit, self.words.order[at], self.top).astype(np.int32)
+
+
+class Places:
+    """Where 64-bit hashes lie among sorted ones."""
+
+    def __init__(self, h: np.ndarray):
+        self.order = np.argsort(h)
+        self.hash = h[self.order]
         bits = max(1, len(h).bit_length() + 1)  # hashes are spread evenly, so their first bits lead to the place or just before it
         self.shift = np.uint64(64 - bits)
         self.first = np.searchsorted(self.hash, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
 
     def find(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Id of each token, and log10(count + 1); -1 in the latter where it is not of the HEAD."""
-        if not len(self.hash):
-            return np.full(len(tokens), self.top, np.int32), np.full(len(tokens), -1.0)
+        """Place of each token, and whether it is there at all. There must be hashes."""
         at, end = self.first[tokens >> self.shift], len(self.hash)
         found = self.hash[np.minimum(at, end - 1)]
         low = np.flatnonzero(found < tokens)
@@ -104,9 +127,7 @@ class Vocabulary:
             low = low[at[low] < end]
             found[low] = self.hash[at[low]]
             low = low[found[low] < tokens[low]]
-        hit = found == tokens
-        at = np.minimum(at, end - 1)
-        return np.where(hit, self.id[at], self.top).astype(np.int32), np.where(hit, self.log[at], -1.0)
+        return np.minimum(at, end - 1), found == tokens
 
 
 # ------------------------------------------------------------------ model
@@ -148,101 +169,111 @@ def unflat(v: np.ndarray, top: int) -> dict[str, np.ndarray]:
 
 
 def _gates(m: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """W, b and U, negative where a sigmoid follows: what it needs is exp(-x)."""
-    sign = np.ones(3 * HIDDEN, m["U"].dtype)
+    """W, b and U, a unit a row, negative where a sigmoid follows: what it needs is exp(-x)."""
+    sign = np.ones((3 * HIDDEN, 1), m["U"].dtype)
     sign[: 2 * HIDDEN] = -1
-    return m["W"] * sign, m["b"] * sign, m["U"] * sign
+    return m["W"].T * sign, m["b"][:, None] * sign, m["U"].T * sign
 
 
 class Window:
-    """What :func:`forward` keeps of a window, (steps, lanes, units) each."""
+    """What :func:`forward` keeps of a window, (steps, units, lanes) each, so that each gate of a step is one run of memory."""
 
-    def __init__(self, steps: int, lanes: int, dtype):
-        self.before, self.states, self.c, self.un = (np.empty((steps, lanes, HIDDEN), dtype) for _ in range(4))
-        self.zr = np.empty((steps, lanes, 2 * HIDDEN), dtype)
+    def __init__(self, steps: int, lanes: int, dtype, learn: bool):
+        kept = steps if learn else 1  # of all but the states; without learning, each step's takes the place of the last one's
+        self.states, self.before, self.c = (np.empty((k, HIDDEN, lanes), dtype) for k in (steps, kept, kept))
+        self.gates = np.empty((kept, 3 * HIDDEN, lanes), dtype)  # z, r, and what c has of the state before r
         self.resets = {}
 
 
-def forward(read: np.ndarray, u: np.ndarray, resets: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, Window]:
-    """Last state and all of a window: ``read`` (steps, lanes, 3 * units) is what the inputs give the gates, ``u`` as
-    :func:`_gates` gives it. ``resets`` (steps, lanes) clear a lane's state."""
-    n, w = HIDDEN, Window(*resets.shape, read.dtype)
+def forward(read: np.ndarray, u: np.ndarray, resets: np.ndarray, h: np.ndarray, learn: bool) -> tuple[np.ndarray, Window]:
+    """Last state and all of a window: ``read`` (steps, 3 * units, lanes) is what the inputs give the gates, ``u`` as
+    :func:`_gates` gives it. ``resets`` (steps, lanes) clear a lane's state ``h`` (units, lanes)."""
+    n, w = HIDDEN, Window(*resets.shape, read.dtype, learn)
     some = resets.any(1)
-    from_h = np.empty((resets.shape[1], 3 * n), read.dtype)
     with np.errstate(over="ignore"):  # 1 / (1 + inf) is the 0 it should be
         for t, a in enumerate(read):
+            k = t if learn else 0
+            before, g, c, state = w.before[k], w.gates[k], w.c[k], w.states[t]
+            before[:] = h
             if some[t]:
-                h = np.where(resets[t][:, None], read.dtype.type(0), h)
+                before[:, resets[t]] = 0
                 w.resets[t] = resets[t]
-            w.before[t] = h
-            np.matmul(h, u, out=from_h)
-            zr, c = w.zr[t], w.c[t]
-            np.add(a[:, : 2 * n], from_h[:, : 2 * n], out=zr)
+            np.dot(u, before, out=g)
+            zr = g[: 2 * n]
+            zr += a[: 2 * n]
             np.exp(zr, out=zr)
             zr += 1
             np.reciprocal(zr, out=zr)
-            w.un[t] = from_h[:, 2 * n :]
-            np.multiply(zr[:, n:], w.un[t], out=c)
-            c += a[:, 2 * n :]
+            np.multiply(zr[n:], g[2 * n :], out=c)
+            c += a[2 * n :]
             np.tanh(c, out=c)
-            state = w.states[t]
-            np.subtract(h, c, out=state)
-            state *= zr[:, :n]
+            np.subtract(before, c, out=state)
+            state *= zr[:n]
             state += c
             h = state
     return h, w
 
 
-def _soft(states: np.ndarray, weights: np.ndarray, at: np.ndarray, grad: np.ndarray | None, rows: np.ndarray):
-    """Natural log of the softmax at one column of each row; ``states`` end with a 1 and ``weights`` with the biases.
+def _soft(x: np.ndarray, at: np.ndarray, learn: bool, void=None):
+    """Natural log of each row's softmax at one of its columns, and 1 / its sum; ``x`` is overwritten.
 
-    With ``grad``, the gradient of -sum is added there, and the one of the states is returned, without the 1's.
+    With ``learn``, by the gradient of -log, times the sum. ``void`` are places of x that count for nothing.
     """
-    x = states @ weights
     if x.size and (x.max() > 60 or x.min() < -60):  # the exponentials may be too large or too small
         x -= x.max(1, keepdims=True)
-    mine = x[rows, at]
-    e = np.exp(x, out=x)
-    total = e @ np.ones(e.shape[1], e.dtype)
+    place, flat_x = np.arange(len(x)) * x.shape[1] + at, x.reshape(-1)
+    mine = flat_x[place]
+    np.exp(x, out=x)
+    if void is not None:
+        x[void] = 0
+    total = x @ np.ones(x.shape[1], x.dtype)
     lp = (mine - np.log(total)).astype(np.float64)
-    if grad is None:
-        return lp, None
-    e[rows, at] -= total  # the softmax's own gradient, times the total
-    share = (1 / total)[:, None]
-    grad += (states * share).T @ e
-    return lp, (e @ weights[:-1].T) * share
+    if learn:
+        flat_x[place] -= total
+    return lp, (1 / total)[:, None]
 
 
 def output(m: dict[str, np.ndarray], states: np.ndarray, targets: np.ndarray, grads: dict[str, np.ndarray] | None = None):
-    """Natural log probability of each target given its state, both factors; with ``grads`` also d(-sum)/d(state)."""
-    top = m["Ww"].shape[1]
+    """Natural log probability of each target given its state (the last axis), both factors; with ``grads`` also d(-sum)/d(state)."""
+    n, top, learn = HIDDEN, m["Ww"].shape[1], grads is not None
     cls = np.where(targets < top, targets // CLASS, classes(top)).astype(np.int16)
-    order = np.argsort(cls, kind="stable")  # a class's targets side by side
-    targets, cls = targets[order], cls[order]
-    ordered = np.ones((len(order), HIDDEN + 1), states.dtype)
-    ordered[:, :-1] = states[order]
-    wc, ww = np.vstack([m["Wc"], m["bc"]]), np.vstack([m["Ww"], m["bw"]])
-    gc, gw = (None, None) if grads is None else (np.zeros_like(wc), np.zeros_like(ww))
-    rows = np.arange(len(targets))
-    lp, back = _soft(ordered, wc, cls, gc, rows)
-    edges = np.searchsorted(cls, np.arange(classes(top) + 1))
-    for k in np.flatnonzero(np.diff(edges)).tolist():
-        mine = slice(edges[k], edges[k + 1])
-        span = slice(k * CLASS, min((k + 1) * CLASS, top))
-        more, back_too = _soft(ordered[mine], ww[:, span], targets[mine] - k * CLASS, None if gw is None else gw[:, span], rows[: edges[k + 1] - edges[k]])
-        lp[mine] += more
-        if grads is not None:
-            back[mine] += back_too
-    out = np.empty_like(lp)
-    out[order] = lp
-    if grads is None:
-        return out, None
-    for name, bias, g in (("Wc", "bc", gc), ("Ww", "bw", gw)):
-        grads[name] += g[:-1]
-        grads[bias] += g[-1]
-    d = np.empty_like(back)
-    d[order] = back
-    return out, d
+    rows = np.ones((*states.shape[:-1], n + 1), states.dtype)  # the 1 is for the biases
+    rows[..., :n] = states
+    rows = rows.reshape(-1, n + 1)
+    x = rows @ np.vstack([m["Wc"], m["bc"]])
+    lp, share = _soft(x, cls, learn)
+    back = None
+    if learn:
+        g = x.T @ (rows * share)
+        grads["Wc"] += g[:, :n].T
+        grads["bc"] += g[:, n]
+        back = x @ m["Wc"].T
+        back *= share
+    order = np.argsort(cls, kind="stable")  # a class's targets side by side; the tail has no second factor
+    edges = np.searchsorted(cls, np.arange(classes(top) + 1), sorter=order)
+    order = order[: edges[-1]]
+    if not len(order):
+        return lp, back
+    rows, weights = rows[order], np.empty((classes(top) * CLASS, n + 1), states.dtype)
+    weights[:top, :n], weights[:top, n], weights[top:, :n], weights[top:, n] = m["Ww"].T, m["bw"], m["Ww"][:, -1], m["bw"][-1]
+    spans = [(slice(edges[k], edges[k + 1]), slice(k * CLASS, (k + 1) * CLASS)) for k in np.flatnonzero(np.diff(edges)).tolist()]
+    x = np.empty((len(order), CLASS), states.dtype)
+    for mine, span in spans:
+        np.dot(rows[mine], weights[span].T, out=x[mine])
+    void = (slice(edges[-2], None), slice(top - (classes(top) - 1) * CLASS, None)) if top % CLASS else None
+    more, share = _soft(x, targets[order] % CLASS, learn, void)
+    lp[order] += more
+    if learn:
+        rows *= share
+        g, back_too, plain = np.zeros_like(weights), np.empty((len(order), n), states.dtype), weights[:, :n].copy()
+        for mine, span in spans:
+            np.dot(x[mine].T, rows[mine], out=g[span])
+            np.dot(x[mine], plain[span], out=back_too[mine])
+        grads["Ww"] += g[:top, :n].T
+        grads["bw"] += g[:top, n]
+        back_too *= share
+        back[order] += back_too
+    return lp, back
 
 
 def backward(m, inputs, embedded: np.ndarray, w: Window, dstates: np.ndarray, grads) -> None:
@@ -251,39 +282,45 @@ def backward(m, inputs, embedded: np.ndarray, w: Window, dstates: np.ndarray, gr
     Only what a step has of the later ones is computed step by step; all else before or after, for the whole window.
     """
     n = HIDDEN
-    z, r = w.zr[..., :n], w.zr[..., n:]
+    z, r, un = w.gates[:, :n], w.gates[:, n : 2 * n], w.gates[:, 2 * n :]
     keep = 1 - z
-    to_c = 1 - w.c * w.c
+    to_c = w.c * w.c
+    np.subtract(1, to_c, out=to_c)
     to_c *= keep
-    du = np.empty((*inputs.shape, 3, n), dstates.dtype)  # first what to multiply the state's gradient with
-    np.subtract(w.before, w.c, out=du[:, :, 0])
-    du[:, :, 0] *= z
-    du[:, :, 0] *= keep
-    np.multiply(to_c, r, out=du[:, :, 2])
-    np.multiply(du[:, :, 2], w.un, out=du[:, :, 1])
-    du[:, :, 1] *= 1 - r
-    back, steps = m["U"].T.copy(), du.reshape(*inputs.shape, 3 * n)
-    dh, through = np.zeros(dstates.shape[1:], dstates.dtype), np.empty(dstates.shape[1:], dstates.dtype)
-    for t in range(len(inputs) - 1, -1, -1):
-        here = dstates[t]
+    steps, lanes = inputs.shape
+    da = np.empty((steps, 3 * n, lanes), dstates.dtype)  # first what to multiply the state's gradient with
+    du = da.reshape(steps, 3, n, lanes)
+    np.subtract(w.before, w.c, out=du[:, 0])
+    du[:, 0] *= z
+    du[:, 0] *= keep
+    np.multiply(to_c, r, out=du[:, 2])
+    np.multiply(du[:, 2], un, out=du[:, 1])
+    np.subtract(1, r, out=keep)
+    du[:, 1] *= keep
+    dh, through = np.zeros((n, lanes), dstates.dtype), np.empty((n, lanes), dstates.dtype)
+    for t in range(steps - 1, -1, -1):
+        here, of = dstates[t], du[t]
         here += dh
-        du[t] *= here[:, None]
-        np.matmul(steps[t], back, out=dh)
+        of *= here
+        np.dot(m["U"], da[t], out=dh)
         np.multiply(here, z[t], out=through)
         dh += through
         if t in w.resets:
-            dh[w.resets[t]] = 0
-    flat_in, rows = inputs.ravel(), inputs.size
-    grads["U"] += w.before.reshape(rows, n).T @ steps.reshape(rows, 3 * n)
-    np.multiply(dstates, to_c, out=du[:, :, 2])  # as the inputs have it, without r
-    da = steps.reshape(rows, 3 * n)
-    grads["b"] += np.ones(rows, da.dtype) @ da
-    grads["W"] += embedded.T @ da
-    # the rows of an input's own, summed at once
+            dh[:, w.resets[t]] = 0
+    grads["U"] += np.matmul(da, w.before.transpose(0, 2, 1)).sum(0).T
+    np.multiply(dstates, to_c, out=du[:, 2])  # as the inputs have it, without r
+    grads["b"] += (da @ np.ones(lanes, da.dtype)).sum(0)
+    grads["W"] += np.matmul(da, embedded).sum(0).T
+    # the rows of an input's own, summed at once: words run by run, the many of the tail and the starts as products
+    flat_in, top = inputs.ravel(), len(m["E"]) - 2
     order = np.argsort(flat_in.astype(np.int16) if len(m["E"]) < 1 << 15 else flat_in, kind="stable")
-    ordered = flat_in[order]
-    begin = np.flatnonzero(np.diff(ordered, prepend=-1))
-    grads["E"][ordered[begin]] += np.add.reduceat((da @ m["W"].T)[order], begin, axis=0)
+    ordered, rows = flat_in[order], np.matmul(da.transpose(0, 2, 1), m["W"].T).reshape(-1, n)[order]
+    tail, first = np.searchsorted(ordered, [top, top + 1])
+    grads["E"][top] += np.ones(first - tail, rows.dtype) @ rows[tail:first]
+    grads["E"][top + 1] += np.ones(len(rows) - first, rows.dtype) @ rows[first:]
+    begin = np.flatnonzero(np.diff(ordered[:tail], prepend=-1))
+    if len(begin):
+        grads["E"][ordered[begin]] += np.add.reduceat(rows[:tail], begin, axis=0)
 
 
 def lanes(lengths: np.ndarray, n: int) -> list[list[int]]:
@@ -297,56 +334,62 @@ def lanes(lengths: np.ndarray, n: int) -> list[list[int]]:
     return sorted(out, key=lambda ds: -int(lengths[ds].sum()))
 
 
-def windows(ids: np.ndarray, at: np.ndarray, n: int):
-    """Windows over documents ``ids[at[d]:at[d + 1]]`` in n lanes: live lanes, places in ids, which are valid, which begin a document.
+def windows(size: np.ndarray):
+    """Windows over lanes of falling ``size`` that lie one after another: live lanes, places, and which are valid (None: all).
 
     Arrays are (steps, lanes); lanes that have ended are left out of later windows.
     """
-    dealt = lanes(np.diff(at), n)
-    place = [np.concatenate([np.arange(at[d], at[d + 1]) for d in ds]) for ds in dealt]
-    size = np.array([len(p) for p in place])
-    begins = np.zeros(len(ids), bool)
-    begins[at[:-1]] = True
-    flat_place, offset = np.concatenate(place), np.cumsum(size) - size
+    offset, last = np.cumsum(size) - size, int(size.sum()) - 1
     for t in range(0, int(size[0]) if len(size) else 0, STEPS):
         live = int(np.searchsorted(-size, -t, side="left"))
         step = np.arange(t, min(t + STEPS, int(size[0])))[:, None]
-        valid = step < size[:live]
-        where = flat_place[np.minimum(offset[:live] + step, len(flat_place) - 1)]
-        yield live, where, valid, begins[where]
+        where = offset[:live] + step
+        if size[live - 1] > step[-1, 0]:
+            yield live, where, None
+        else:
+            yield live, np.minimum(where, last, out=where), step < size[:live]
 
 
 def run_windows(m, ids: np.ndarray, at: np.ndarray, n: int, learn=None) -> np.ndarray:
-    """Log probability of every token; ``learn(grads, tokens)`` changes m after each window."""
+    """Log probability of every token of documents ``ids[at[d]:at[d + 1]]``, run in n lanes; ``learn(grads, tokens)`` changes m after each window."""
     top = m["Ww"].shape[1]
-    out = np.zeros(len(ids))
-    h = np.zeros((min(n, len(at) - 1), HIDDEN), m["E"].dtype)
+    dealt = lanes(np.diff(at), n)
+    place = np.concatenate([np.arange(at[d], at[d + 1]) for ds in dealt for d in ds])  # lane after lane
+    targets, begins = ids[place], np.zeros(len(ids), bool)
+    begins[at[:-1]] = True
+    before = np.concatenate([targets[:1], targets[:-1]])
+    before[begins[place]] = top + 1
+    lp, out = np.empty(len(ids)), np.empty(len(ids))
+    h = np.zeros((HIDDEN, len(dealt)), m["E"].dtype)
     w, b, u = _gates(m)
-    table = m["E"] @ w + b if learn is None else None
-    for live, where, valid, begins in windows(ids, at, n):
-        inputs = np.where(begins, top + 1, ids[np.maximum(where - 1, 0)])
-        full = valid.all()
-        if not full:
+    grads = {k: np.empty_like(v) for k, v in m.items()}
+    for live, where, valid in windows(np.array([sum(int(at[d + 1] - at[d]) for d in ds) for ds in dealt])):
+        inputs = before[where]
+        if valid is not None:
             inputs = np.where(valid, inputs, top)
-        mine = where.ravel() if full else where[valid]
+        mine = where.ravel() if valid is None else where[valid]
+        embedded = m["E"][inputs]
+        read = np.matmul(w, embedded.transpose(0, 2, 1))
+        read += b
+        h, kept = forward(read, u, inputs == top + 1, h[:, :live], learn is not None)
+        states = kept.states.transpose(0, 2, 1)
+        if valid is not None:
+            states = states[valid]
         if learn is None:
-            h, kept = forward(table[inputs], u, inputs == top + 1, h[:live])
-            out[mine] = output(m, kept.states.reshape(-1, HIDDEN) if full else kept.states[valid], ids[mine])[0]
+            lp[mine] = output(m, states, targets[mine])[0]
             continue
-        embedded = m["E"][inputs.ravel()]
-        read = embedded @ w
-        read += b
-        h, kept = forward(read.reshape(*inputs.shape, 3 * HIDDEN), u, inputs == top + 1, h[:live])
-        grads = {k: np.zeros_like(v) for k, v in m.items()}
-        if full:
-            out[mine], back = output(m, kept.states.reshape(-1, HIDDEN), ids[mine], grads)
-            dstates = back.reshape(kept.states.shape)
+        for g in grads.values():
+            g.fill(0)
+        lp[mine], back = output(m, states, targets[mine], grads)
+        if valid is None:
+            dstates = back.reshape(embedded.shape)
         else:
-            dstates = np.zeros_like(kept.states)
-            out[mine], dstates[valid] = output(m, kept.states[valid], ids[mine], grads)
-        backward(m, inputs, embedded, kept, dstates, grads)
+            dstates = np.zeros_like(embedded)
+            dstates[valid] = back
+        backward(m, inputs, embedded, kept, dstates.transpose(0, 2, 1).copy(), grads)
         learn(grads, len(mine))
         w, b, u = _gates(m)
+    out[place] = lp
     return out
 
 
@@ -362,17 +405,19 @@ class Adam:
         g = flat(grads)
         norm = np.sqrt(float(g @ g)) / n
         g *= g.dtype.type(min(1.0, 1.0 / max(norm, 1e-9)) / n)
-        self.a *= 0.9
-        self.v *= 0.99
-        self.a += 0.1 * g
-        g *= g
-        g *= 0.01
-        self.v += g
-        np.multiply(self.v, 1 / (1 - 0.99**self.t), out=g)
-        np.sqrt(g, out=g)
-        g += 1e-8
-        np.divide(self.a, g, out=g)
-        g *= self.rate / (1 - 0.9**self.t)
+        for k in range(0, len(g), ADAM):
+            p, a, v = g[k : k + ADAM], self.a[k : k + ADAM], self.v[k : k + ADAM]
+            a *= 0.9
+            v *= 0.99
+            a += 0.1 * p
+            p *= p
+            p *= 0.01
+            v += p
+            np.multiply(v, 1 / (1 - 0.99**self.t), out=p)
+            np.sqrt(p, out=p)
+            p += 1e-8
+            np.divide(a, p, out=p)
+            p *= self.rate / (1 - 0.9**self.t)
         at = 0
         for w in self.m.values():
             w -= g[at : at + w.size].reshape(w.shape)
@@ -395,7 +440,7 @@ def _train(vocabulary, weights, rate: float):
         for batch in batches:
             for _, block in words.scan(batch.column(0), lower=True):
                 tokens, at = _tokens(block)
-                ids.append(v.find(tokens)[0])
+                ids.append(v.ids(tokens))
                 seen += len(tokens)
                 ends += (ends[-1] + at[1:]).tolist()
                 if ends[-1] >= (WARM_TOKENS if done < WARM else TRAIN_TOKENS):

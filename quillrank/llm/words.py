@@ -137,11 +137,13 @@ def scan(column: pa.Array, lower: bool = False, fold: np.ndarray | None = None):
         last = min(last, n)
         a, b = int(offsets[first]), int(offsets[last])
         block = data[a:b]
-        if fold is not None:
+        if fold is _LOWER:  # by arithmetic, which takes a quarter of the time of looking every byte up
+            block = block + ((block - np.uint8(65) < 26).view(np.uint8) << 5)
+        elif fold is not None:
             block = fold[block]
         text = offsets[first : last + 1] - a
         edge = np.ones(len(block) + 2, dtype=bool)
-        edge[1:-1] = _SPACE[block]
+        np.logical_or(block == 0x20, block - np.uint8(9) < 5, out=edge[1:-1])
         begins = edge[:-1] & ~edge[1:]
         stops = ~edge[:-1] & edge[1:]
         cuts = text[1:-1]  # a word ends where its row ends, whatever byte follows

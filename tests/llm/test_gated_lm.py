@@ -138,3 +138,28 @@ def test_logits_out_of_range_stay_finite(small):
         inside = soft((states @ wide["Ww"] + wide["bw"])[i : i + 1, 3 * k : min(3 * k + 3, 7)])[0, y - 3 * k] if y < 7 else 0
         want.append(cls[i, k] + inside)
     assert np.allclose(lp, want, rtol=1e-4, atol=1e-2) and np.isfinite(back).all() and all(np.isfinite(x).all() for x in grads.values())
+
+
+def test_training_finds_the_same_ids_among_the_models_words_alone(monkeypatch):
+    monkeypatch.setattr(g, "TOP", 9)
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 5, 9, 10, 400):
+        h = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        rng.shuffle(h)
+        v = g.Vocabulary(h, np.arange(len(h) + 3, 3, -1), 10**6, 10**4)
+        tokens = np.concatenate([h, h[:3], rng.integers(0, 2**64, 200, dtype=np.uint64), np.array([0, 2**64 - 1], np.uint64)])
+        assert v.ids(tokens).tolist() == v.find(tokens)[0].tolist()
+        assert len(v.words.hash) == v.top if n else not v.top
+
+
+@pytest.mark.parametrize("lanes", [1, 2, 4])
+def test_scoring_keeps_one_step_and_learning_all(small, monkeypatch, lanes):
+    """What scoring holds of a window does not grow with its steps, and both give the same probabilities."""
+    _, m, ids, at, _ = small
+    kept, forward = [], g.forward
+    monkeypatch.setattr(g, "forward", lambda *a: kept.append(forward(*a)) or kept[-1])
+    scored = g.run_windows(m, ids, at, lanes)
+    assert {len(w.gates) for _, w in kept} == {len(w.c) for _, w in kept} == {1}
+    kept.clear()
+    assert np.allclose(g.run_windows(m, ids, at, lanes, lambda grads, n: None), scored, atol=1e-5)
+    assert all(len(w.gates) == len(w.states) for _, w in kept)
