@@ -168,11 +168,16 @@ def unflat(v: np.ndarray, top: int) -> dict[str, np.ndarray]:
     return out
 
 
-def _gates(m: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """W, b and U, a unit a row, negative where a sigmoid follows: what it needs is exp(-x)."""
+def _gates(m: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """W with b, and U, a unit a row, negative where a sigmoid follows: what it needs is exp(-x)."""
     sign = np.ones((3 * HIDDEN, 1), m["U"].dtype)
     sign[: 2 * HIDDEN] = -1
-    return m["W"].T * sign, m["b"][:, None] * sign, m["U"].T * sign
+    return np.vstack([m["W"], m["b"]]).T * sign, m["U"].T * sign
+
+
+def _inputs(m: dict[str, np.ndarray]) -> np.ndarray:
+    """E, each row with a 1 for the biases."""
+    return np.hstack([m["E"], np.ones((len(m["E"]), 1), m["E"].dtype)])
 
 
 class Window:
@@ -214,23 +219,31 @@ def forward(read: np.ndarray, u: np.ndarray, resets: np.ndarray, h: np.ndarray,
     return h, w
 
 
-def _soft(x: np.ndarray, at: np.ndarray, learn: bool, void=None):
-    """Natural log of each row's softmax at one of its columns, and 1 / its sum; ``x`` is overwritten.
+def _soft(logits, at: np.ndarray, learn: bool, void=None):
+    """Natural log of the softmax of each row of ``logits()`` at one of its columns, 1 / its sum, and the exponentials.
 
-    With ``learn``, by the gradient of -log, times the sum. ``void`` are places of x that count for nothing.
+    With ``learn``, instead of these the gradient of -log, times the sum. ``void`` are places that count for nothing.
     """
-    if x.size and (x.max() > 60 or x.min() < -60):  # the exponentials may be too large or too small
-        x -= x.max(1, keepdims=True)
-    place, flat_x = np.arange(len(x)) * x.shape[1] + at, x.reshape(-1)
-    mine = flat_x[place]
-    np.exp(x, out=x)
-    if void is not None:
-        x[void] = 0
-    total = x @ np.ones(x.shape[1], x.dtype)
+    place = None
+    for safe in (False, True):
+        x = logits()
+        if safe:
+            x -= x.max(1, keepdims=True)
+        if place is None:
+            place = np.arange(len(x)) * x.shape[1] + at
+        flat_x = x.reshape(-1)
+        mine = flat_x[place]
+        with np.errstate(over="ignore"):
+            np.exp(x, out=x)
+            if void is not None:
+                x[void] = 0
+            total = x @ np.ones(x.shape[1], x.dtype)
+        if not len(total) or (total.max() < 1e26 and total.min() > 1e-26):
+            break  # else the exponentials were too large or too small
     lp = (mine - np.log(total)).astype(np.float64)
     if learn:
         flat_x[place] -= total
-    return lp, (1 / total)[:, None]
+    return lp, (1 / total)[:, None], x
 
 
 def output(m: dict[str, np.ndarray], states: np.ndarray, targets: np.ndarray, grads: dict[str, np.ndarray] | None = None):
@@ -240,8 +253,8 @@ def output(m: dict[str, np.ndarray], states: np.ndarray, targets: np.ndarray, gr
     rows = np.ones((*states.shape[:-1], n + 1), states.dtype)  # the 1 is for the biases
     rows[..., :n] = states
     rows = rows.reshape(-1, n + 1)
-    x = rows @ np.vstack([m["Wc"], m["bc"]])
-    lp, share = _soft(x, cls, learn)
+    weights = np.vstack([m["Wc"], m["bc"]])
+    lp, share, x = _soft(lambda: rows @ weights, cls, learn)
     back = None
     if learn:
         g = x.T @ (rows * share)
@@ -257,11 +270,15 @@ def output(m: dict[str, np.ndarray], states: np.ndarray, targets: np.ndarray, gr
     rows, weights = rows[order], np.empty((classes(top) * CLASS, n + 1), states.dtype)
     weights[:top, :n], weights[:top, n], weights[top:, :n], weights[top:, n] = m["Ww"].T, m["bw"], m["Ww"][:, -1], m["bw"][-1]
     spans = [(slice(edges[k], edges[k + 1]), slice(k * CLASS, (k + 1) * CLASS)) for k in np.flatnonzero(np.diff(edges)).tolist()]
-    x = np.empty((len(order), CLASS), states.dtype)
-    for mine, span in spans:
-        np.dot(rows[mine], weights[span].T, out=x[mine])
+
+    def logits():
+        x = np.empty((len(order), CLASS), states.dtype)
+        for mine, span in spans:
+            np.dot(rows[mine], weights[span].T, out=x[mine])
+        return x
+
     void = (slice(edges[-2], None), slice(top - (classes(top) - 1) * CLASS, None)) if top % CLASS else None
-    more, share = _soft(x, targets[order] % CLASS, learn, void)
+    more, share, x = _soft(logits, targets[order] % CLASS, learn, void)
     lp[order] += more
     if learn:
         rows *= share
@@ -309,8 +326,9 @@ def backward(m, inputs, embedded: np.ndarray, w: Window, dstates: np.ndarray, gr
             dh[:, w.resets[t]] = 0
     grads["U"] += np.matmul(da, w.before.transpose(0, 2, 1)).sum(0).T
     np.multiply(dstates, to_c, out=du[:, 2])  # as the inputs have it, without r
-    grads["b"] += (da @ np.ones(lanes, da.dtype)).sum(0)
-    grads["W"] += np.matmul(da, embedded).sum(0).T
+    both = np.matmul(da, embedded).sum(0).T
+    grads["W"] += both[:-1]
+    grads["b"] += both[-1]
     # the rows of an input's own, summed at once: words run by run, the many of the tail and the starts as products
     flat_in, top = inputs.ravel(), len(m["E"]) - 2
     order = np.argsort(flat_in.astype(np.int16) if len(m["E"]) < 1 << 15 else flat_in, kind="stable")
@@ -361,16 +379,15 @@ def run_windows(m, ids: np.ndarray, at: np.ndarray, n: int, learn=None) -> np.nd
     before[begins[place]] = top + 1
     lp, out = np.empty(len(ids)), np.empty(len(ids))
     h = np.zeros((HIDDEN, len(dealt)), m["E"].dtype)
-    w, b, u = _gates(m)
+    (w, u), table = _gates(m), _inputs(m)
     grads = {k: np.empty_like(v) for k, v in m.items()}
     for live, where, valid in windows(np.array([sum(int(at[d + 1] - at[d]) for d in ds) for ds in dealt])):
         inputs = before[where]
         if valid is not None:
             inputs = np.where(valid, inputs, top)
         mine = where.ravel() if valid is None else where[valid]
-        embedded = m["E"][inputs]
+        embedded = table[inputs]
         read = np.matmul(w, embedded.transpose(0, 2, 1))
-        read += b
         h, kept = forward(read, u, inputs == top + 1, h[:, :live], learn is not None)
         states = kept.states.transpose(0, 2, 1)
         if valid is not None:
@@ -382,13 +399,13 @@ def run_windows(m, ids: np.ndarray, at: np.ndarray, n: int, learn=None) -> np.nd
             g.fill(0)
         lp[mine], back = output(m, states, targets[mine], grads)
         if valid is None:
-            dstates = back.reshape(embedded.shape)
+            dstates = back.reshape(*inputs.shape, HIDDEN)
         else:
-            dstates = np.zeros_like(embedded)
+            dstates = np.zeros((*inputs.shape, HIDDEN), back.dtype)
             dstates[valid] = back
         backward(m, inputs, embedded, kept, dstates.transpose(0, 2, 1).copy(), grads)
         learn(grads, len(mine))
-        w, b, u = _gates(m)
+        (w, u), table = _gates(m), _inputs(m)
     out[place] = lp
     return out
 

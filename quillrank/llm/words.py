@@ -56,7 +56,9 @@ def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
         return np.zeros(0, dtype=np.uint64)
     p, inverse = _power(len(data))
     total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_TABLE[data] * p[:-1], out=total[1:])
+    parts = _TABLE.take(data)
+    parts *= p[:-1]
+    np.cumsum(parts, out=total[1:])
     return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * _BASE)
 
 
